@@ -1,0 +1,79 @@
+"""Splitting long groups into slices so that no group has to fit in one task.
+
+An ordered window (the successor of an event, the rank of a run) needs the rows of a
+group in order.  A group may hold a large share of all rows, so a long group is cut
+along its order column into slices; the window runs per slice, and a small table with
+one row per slice carries what crosses the seams.  Short groups stay whole.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+ROWS_PER_SLICE = 4_000_000
+
+# A group counts as long only if it holds more than this share of all rows, so there are
+# never more long groups than its inverse and their list can always be broadcast.
+LONG_GROUP_SHARE = 1 / 50_000
+
+
+def _bucket(position: Column, width: Column) -> Column:
+    return F.call_function("div", position, width)
+
+
+def slice_widths(
+    rows: DataFrame,
+    keys: Sequence[str],
+    position: Column,
+    ladder: Sequence[int],
+    rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
+    """One row (keys, slice_width) per long group.
+
+    The width is the widest ladder step at which no slice exceeds the row limit, or a
+    proportional part of the last step where even that is too wide.  Counting combines
+    map-side, so the shuffled rows are groups and slices, not events.
+    """
+    total = rows.select(F.count(F.lit(1))).scalar()
+    limit = F.greatest(F.lit(rows_per_slice), F.ceil(total * LONG_GROUP_SHARE)).cast("bigint")
+    long_groups = (
+        rows.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > limit)
+        .select(*keys, limit.alias("row_limit"))
+    )
+    steps = F.explode(F.array(*[F.lit(width).cast("bigint") for width in ladder]))
+    peaks = (
+        rows.select(*keys, position.alias("position"))
+        .join(F.broadcast(long_groups), list(keys))
+        .select(*keys, "row_limit", "position", steps.alias("step"))
+        .groupBy(*keys, "row_limit", "step", _bucket(F.col("position"), F.col("step")).alias("bucket"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(*keys, "row_limit", "step")
+        .agg(F.max("n").alias("peak"))
+    )
+    fitting = F.max(F.when(F.col("peak") <= F.col("row_limit"), F.col("step")))
+    overfull = F.min(
+        F.when(
+            F.col("step") == ladder[-1],
+            F.greatest(F.lit(1), F.floor(F.col("step") * (F.col("row_limit") / F.col("peak")))),
+        )
+    )
+    return peaks.groupBy(*keys).agg(F.coalesce(fitting, overfull).cast("bigint").alias("slice_width"))
+
+
+def with_slices(
+    rows: DataFrame,
+    keys: Sequence[str],
+    position: Column,
+    ladder: Sequence[int],
+    rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
+    """rows plus ``slice`` (0 for short groups) and ``slice_width`` (null for short groups)."""
+    widths = slice_widths(rows, keys, position, ladder, rows_per_slice)
+    return rows.join(F.broadcast(widths), list(keys), "left").withColumn(
+        "slice", F.coalesce(_bucket(position, F.col("slice_width")), F.lit(0).cast("bigint"))
+    )
