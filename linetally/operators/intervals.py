@@ -10,35 +10,41 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linetally.functions import epoch_micros, micros_between
-from linetally.operators.slices import ROWS_PER_SLICE, with_slices
+from linetally.operators.slices import ROWS_PER_SLICE, slice_widths, with_slices
 
 SECOND_US = 1_000_000
 TIME_LADDER = (86_400 * SECOND_US, 3_600 * SECOND_US, 60 * SECOND_US, SECOND_US)
 
 
-def sliced_events(events: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """Events with the time slice of their machine's log."""
+def slices_of_logs(events: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+    """Slice width in microseconds of every machine whose log is too long for one task."""
     position = epoch_micros(F.col("event_ts"))
-    return with_slices(events, ["machine_id"], position, TIME_LADDER, rows_per_slice)
+    return slice_widths(events, ["machine_id"], position, TIME_LADDER, rows_per_slice)
+
+
+def sliced_events(events: DataFrame, widths: DataFrame, only_long: bool = False) -> DataFrame:
+    """Events with the time slice of their machine's log."""
+    return with_slices(events, widths, ["machine_id"], epoch_micros(F.col("event_ts")), only_long)
 
 
-def _seams(sliced: DataFrame) -> DataFrame:
+def _seams(events: DataFrame, widths: DataFrame) -> DataFrame:
     """For each slice of a cut log, when the machine's next event after it happens."""
     in_order = Window.partitionBy("machine_id").orderBy("slice")
     return (
-        sliced.where(F.col("slice_width").isNotNull())
+        sliced_events(events, widths, only_long=True)
         .groupBy("machine_id", "slice")
         .agg(F.min("event_ts").alias("first_ts"))
         .select("machine_id", "slice", F.lead("first_ts").over(in_order).alias("seam_ts"))
     )
 
 
-def _measure(sliced: DataFrame) -> DataFrame:
+def _measure(events: DataFrame, widths: DataFrame) -> DataFrame:
     in_order = Window.partitionBy("machine_id", "slice").orderBy("event_ts", "event_id")
     until = F.coalesce(F.col("next_ts"), F.col("event_ts"))
     return (
-        sliced.withColumn("next_in_slice", F.lead("event_ts").over(in_order))
-        .join(_seams(sliced), ["machine_id", "slice"], "left")
+        sliced_events(events, widths)
+        .withColumn("next_in_slice", F.lead("event_ts").over(in_order))
+        .join(_seams(events, widths), ["machine_id", "slice"], "left")
         .withColumn("next_ts", F.coalesce("next_in_slice", "seam_ts"))
         .withColumn("duration_us", F.greatest(micros_between(F.col("event_ts"), until), F.lit(0)))
         .withColumn("day", F.to_date("event_ts"))
@@ -50,7 +56,7 @@ def machine_intervals(events: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -
 
     Aggregates keyed by at least (machine_id, slice) run without another shuffle.
     """
-    return _measure(sliced_events(events, rows_per_slice))
+    return _measure(events, slices_of_logs(events, rows_per_slice))
 
 
 def state_intervals(
@@ -61,14 +67,15 @@ def state_intervals(
     The line is looked up once per (machine, slice) and joined on the partitioning the
     intervals already have, so the events are shuffled once however large the dimension is.
     """
-    sliced = sliced_events(events, rows_per_slice)
+    widths = slices_of_logs(events, rows_per_slice)
     line_of_slice = (
-        sliced.select("machine_id", "slice")
+        sliced_events(events, widths)
+        .select("machine_id", "slice")
         .distinct()
         .join(machines.select("machine_id", "line_id"), "machine_id")
     )
     return (
-        _measure(sliced)
+        _measure(events, widths)
         .join(line_of_slice, ["machine_id", "slice"])
         .select(
             "event_id",

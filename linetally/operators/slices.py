@@ -66,14 +66,11 @@ def slice_widths(
 
 
 def with_slices(
-    rows: DataFrame,
-    keys: Sequence[str],
-    position: Column,
-    ladder: Sequence[int],
-    rows_per_slice: int = ROWS_PER_SLICE,
+    rows: DataFrame, widths: DataFrame, keys: Sequence[str], position: Column, only_long: bool = False
 ) -> DataFrame:
-    """rows plus ``slice`` (0 for short groups) and ``slice_width`` (null for short groups)."""
-    widths = slice_widths(rows, keys, position, ladder, rows_per_slice)
-    return rows.join(F.broadcast(widths), list(keys), "left").withColumn(
-        "slice", F.coalesce(_bucket(position, F.col("slice_width")), F.lit(0).cast("bigint"))
+    """rows plus ``slice``, 0 in short groups; optionally only the rows of long groups."""
+    return (
+        rows.join(F.broadcast(widths), list(keys), "inner" if only_long else "left")
+        .withColumn("slice", F.coalesce(_bucket(position, F.col("slice_width")), F.lit(0).cast("bigint")))
+        .drop("slice_width")
     )

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linetally.operators.intervals import sliced_events
-from linetally.operators.slices import ROWS_PER_SLICE, with_slices
+from linetally.operators.intervals import sliced_events, slices_of_logs
+from linetally.operators.slices import ROWS_PER_SLICE, slice_widths, with_slices
 
 ORDER_LADDER = (10**12, 10**9, 10**6, 10**4, 100)
 
@@ -23,9 +23,10 @@ def _candidates(runs: DataFrame, copies: DataFrame, rows_per_slice: int) -> Data
 
     A long line-day is numbered slice by slice; the slice sizes give each its offset.
     """
-    sliced = with_slices(
-        _starts(runs), ["line_id", "day"], F.col("work_order_id"), ORDER_LADDER, rows_per_slice
-    )
+    line_day, position = ["line_id", "day"], F.col("work_order_id")
+    starts = _starts(runs)
+    widths = slice_widths(starts, line_day, position, ORDER_LADDER, rows_per_slice)
+    sliced = with_slices(starts, widths, line_day, position)
     in_line_day = Window.partitionBy("line_id", "day").orderBy("slice")
     before = in_line_day.rowsBetween(Window.unboundedPreceding, -1)
     slice_starts = (
@@ -65,7 +66,8 @@ def assign_work_order(
     its copies, so the last join has no heavy key either: at most one extra copy per
     ``rows_per_slice`` events exists.
     """
-    sliced = sliced_events(events, rows_per_slice).withColumn("day", F.to_date("event_ts"))
+    widths = slices_of_logs(events, rows_per_slice)
+    sliced = sliced_events(events, widths).withColumn("day", F.to_date("event_ts"))
     machine_days = (
         sliced.groupBy("machine_id", "slice", "day")
         .agg(F.count(F.lit(1)).alias("n_events"))
