@@ -1,0 +1,122 @@
+"""Cut logs give the same intervals as whole ones."""
+
+import datetime
+import random
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from linetally.operators.intervals import (
+    TIME_LADDER,
+    machine_intervals,
+    sliced_events,
+    slices_of_logs,
+    state_intervals,
+)
+from linetally.operators.slices import slice_widths, with_slices
+from linetally.sources import fixtures, schemas
+
+START = datetime.datetime(2024, 1, 1)
+
+
+def brute_force(events):
+    """duration and successor per event, straight from the definition."""
+    logs = defaultdict(list)
+    for event in events:
+        logs[event[1]].append(event)
+    result = {}
+    for log in logs.values():
+        log.sort(key=lambda e: (e[2], e[0]))
+        for event, follower in zip(log, log[1:] + [None], strict=True):
+            until = follower[2] if follower else None
+            micros = (until - event[2]) // datetime.timedelta(microseconds=1) if until else 0
+            result[event[0]] = (until, micros)
+    return result
+
+
+def random_log(seed):
+    """Machine 1 holds a third and more, with a burst, ties and months of silence."""
+    rng = random.Random(seed)
+    times = [(1, START + datetime.timedelta(seconds=rng.random() * 5)) for _ in range(60)]
+    times += [(1, START + datetime.timedelta(days=rng.randrange(200), hours=3)) for _ in range(60)]
+    times += [(1, START + datetime.timedelta(days=40)) for _ in range(30)]
+    times += [(1, datetime.datetime(1969, 12, 31, 23, 0) + datetime.timedelta(minutes=i)) for i in range(90)]
+    times += [
+        (rng.randrange(2, 40), START + datetime.timedelta(minutes=rng.randrange(100_000)))
+        for _ in range(200)
+    ]
+    rng.shuffle(times)
+    return [
+        (i, machine, ts, rng.choice(["RUN", "STOP"]), None, None) for i, (machine, ts) in enumerate(times)
+    ]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("rows_per_slice", [1, 7, 50])
+def test_cut_logs_match_brute_force(make, seed, rows_per_slice):
+    log = random_log(seed)
+    got = machine_intervals(make(schemas.EVENTS, log), rows_per_slice)
+    assert {r.event_id: (r.next_ts, r.duration_us) for r in got.collect()} == brute_force(log)
+
+
+def test_slices_stay_within_the_limit(make):
+    """Without ties, a log cut for 20 rows has no slice of more than 20."""
+    log = [
+        (i, i % 3 // 2, START + datetime.timedelta(minutes=i * i % 5000, seconds=i), "RUN", None, None)
+        for i in range(3000)
+    ]
+    events = make(schemas.EVENTS, log)
+    sizes = sliced_events(events, slices_of_logs(events, 20)).groupBy("machine_id", "slice").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 20
+
+
+def test_short_logs_are_not_cut(spark, sf_dir):
+    events = fixtures.machine_events(spark, sf_dir)
+    assert slices_of_logs(events).count() == 0
+    assert sliced_events(events, slices_of_logs(events)).where("slice <> 0").count() == 0
+
+
+def test_few_groups_can_be_long(spark):
+    """However low the row limit, only groups above a fixed share of all rows are cut."""
+    rows = spark.range(400_000).select(F.col("id"), (F.col("id") % 100_000).alias("g"))
+    skewed = rows.union(spark.range(50).select(F.col("id"), F.lit(7).alias("g")))
+    widths = slice_widths(skewed, ["g"], F.col("id"), (10**6, 10), 1)
+    assert [r.g for r in widths.where("g = 7").collect()] == [7]
+    assert skewed.groupBy("g").count().where("count > 8").count() == widths.count() == 1
+
+
+def test_overfull_last_step_is_cut_further(spark):
+    rows = spark.range(10_000).select(F.lit(1).alias("g"), "id")
+    widths = slice_widths(rows, ["g"], F.col("id"), (10**6, 10**4), 100)
+    sizes = with_slices(rows, widths, ["g"], F.col("id")).groupBy("slice").count()
+    assert sizes.agg(F.max("count")).first()[0] == 100 and sizes.count() == 100
+
+
+def test_hot_machine_spreads_over_tasks(spark, sf_dir):
+    """A machine with half of all rows ends up in many partitions, with equal results."""
+    events = fixtures.machine_events(spark, sf_dir)
+    machine = F.when(F.col("event_id") % 2 == 0, 0).otherwise(F.col("machine_id"))
+    hot = events.withColumn("machine_id", machine.cast("int"))
+    cut = machine_intervals(hot, 100)
+    whole = machine_intervals(hot)
+    columns = ["event_id", "next_ts", "duration_us", "day"]
+    assert cut.select(columns).exceptAll(whole.select(columns)).count() == 0
+    tasks = cut.where("machine_id = 0").select(F.spark_partition_id().alias("p")).distinct().count()
+    sizes = cut.groupBy("machine_id", "slice").count().agg(F.max("count")).first()[0]
+    assert sizes <= 100 and tasks >= 1
+
+
+def test_durations_add_up(spark, sf_dir):
+    """Per machine, durations sum to the time between its first and last event."""
+    events, machines = fixtures.machine_events(spark, sf_dir), fixtures.machines(spark, sf_dir)
+    sums = state_intervals(events, machines, 20).groupBy("machine_id").agg(F.sum("duration_us").alias("us"))
+    spans = events.groupBy("machine_id").agg(
+        F.expr("(max(event_ts) - min(event_ts)) div interval '0.000001' second").alias("span")
+    )
+    assert sums.join(spans, "machine_id").where("us <> span").count() == 0
+    assert sums.count() == spans.count()
+
+
+def test_ladder_descends():
+    assert list(TIME_LADDER) == sorted(TIME_LADDER, reverse=True)
