@@ -6,6 +6,8 @@ event of a machine lasts 0.  An interval belongs to the day on which it starts.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,50 +15,82 @@ from linetally.functions import epoch_micros, micros_between
 from linetally.operators.slices import ROWS_PER_SLICE, slice_widths, with_slices
 
 SECOND_US = 1_000_000
-TIME_LADDER = (86_400 * SECOND_US, 3_600 * SECOND_US, 60 * SECOND_US, SECOND_US)
+TIME_LADDER = (86_400 * SECOND_US, 3_600 * SECOND_US, 60 * SECOND_US)
+BURST_LADDER = (SECOND_US, 1_000)
 
+EVENT_ORDER = ("event_ts", "event_id")
 
-def slices_of_logs(events: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """Slice width in microseconds of every machine whose log is too long for one task."""
-    position = epoch_micros(F.col("event_ts"))
-    return slice_widths(events, ["machine_id"], position, TIME_LADDER, rows_per_slice)
 
+@dataclass(frozen=True)
+class MachineLogs:
+    """Rows of machine logs and the columns that name a piece of a log small enough for one task.
+
+    ``keys`` is machine_id, and slice where long logs had to be cut.  ``widths`` holds the
+    slice widths of the cut logs.
+    """
+
+    rows: DataFrame
+    keys: list[str]
+    widths: DataFrame | None = None
 
-def sliced_events(events: DataFrame, widths: DataFrame, only_long: bool = False) -> DataFrame:
-    """Events with the time slice of their machine's log."""
-    return with_slices(events, widths, ["machine_id"], epoch_micros(F.col("event_ts")), only_long)
+
+def machine_logs(events: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> MachineLogs:
+    """Events with the slice of their machine's log, if any log is long."""
+    position = epoch_micros(F.col("event_ts"))
+    widths = slice_widths(events, ["machine_id"], position, TIME_LADDER, BURST_LADDER, rows_per_slice)
+    if widths is None:
+        return MachineLogs(events, ["machine_id"])
+    sliced = with_slices(events, widths, ["machine_id"], position)
+    return MachineLogs(sliced, ["machine_id", "slice"], widths)
 
 
 def _seams(events: DataFrame, widths: DataFrame) -> DataFrame:
     """For each slice of a cut log, when the machine's next event after it happens."""
     in_order = Window.partitionBy("machine_id").orderBy("slice")
     return (
-        sliced_events(events, widths, only_long=True)
+        with_slices(events, widths, ["machine_id"], epoch_micros(F.col("event_ts")), only_long=True)
         .groupBy("machine_id", "slice")
         .agg(F.min("event_ts").alias("first_ts"))
         .select("machine_id", "slice", F.lead("first_ts").over(in_order).alias("seam_ts"))
     )
 
 
-def _measure(events: DataFrame, widths: DataFrame) -> DataFrame:
-    in_order = Window.partitionBy("machine_id", "slice").orderBy("event_ts", "event_id")
-    until = F.coalesce(F.col("next_ts"), F.col("event_ts"))
+def _with_next(events: DataFrame, logs: MachineLogs) -> DataFrame:
+    in_order = Window.partitionBy(*logs.keys).orderBy(*EVENT_ORDER)
+    rows = logs.rows.withColumn("next_ts", F.lead("event_ts").over(in_order))
+    if logs.widths is None:
+        return rows
     return (
-        sliced_events(events, widths)
-        .withColumn("next_in_slice", F.lead("event_ts").over(in_order))
-        .join(_seams(events, widths), ["machine_id", "slice"], "left")
-        .withColumn("next_ts", F.coalesce("next_in_slice", "seam_ts"))
-        .withColumn("duration_us", F.greatest(micros_between(F.col("event_ts"), until), F.lit(0)))
-        .withColumn("day", F.to_date("event_ts"))
+        rows.join(_seams(events, logs.widths), logs.keys, "left")
+        .withColumn("next_ts", F.coalesce("next_ts", "seam_ts"))
+        .drop("seam_ts")
     )
 
 
-def machine_intervals(events: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """Events with next_ts, duration_us, day and slice; hash-partitioned by (machine_id, slice).
+def machine_intervals(events: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> MachineLogs:
+    """Events with next_ts, duration_us and day.
 
-    Aggregates keyed by at least (machine_id, slice) run without another shuffle.
+    The rows are hash-partitioned by ``keys``: aggregates keyed by these columns and any
+    others run without another shuffle.
     """
-    return _measure(events, slices_of_logs(events, rows_per_slice))
+    logs = machine_logs(events, rows_per_slice)
+    until = F.coalesce(F.col("next_ts"), F.col("event_ts"))
+    rows = (
+        _with_next(events, logs)
+        .withColumn("duration_us", F.greatest(micros_between(F.col("event_ts"), until), F.lit(0)))
+        .withColumn("day", F.to_date("event_ts"))
+    )
+    return MachineLogs(rows, logs.keys, logs.widths)
+
+
+def _line_of(events: DataFrame, machines: DataFrame, logs: MachineLogs) -> DataFrame:
+    """The line of every machine, or of every slice where logs are cut."""
+    lines = machines.select("machine_id", "line_id")
+    if logs.widths is None:
+        return lines
+    position = epoch_micros(F.col("event_ts"))
+    slices = with_slices(events, logs.widths, ["machine_id"], position).select(*logs.keys).distinct()
+    return slices.join(lines, "machine_id")
 
 
 def state_intervals(
@@ -64,30 +98,20 @@ def state_intervals(
 ) -> DataFrame:
     """One row per event of a known machine, with its line, day and duration in microseconds.
 
-    The line is looked up once per (machine, slice) and joined on the partitioning the
-    intervals already have, so the events are shuffled once however large the dimension is.
+    The line joins on the partitioning the intervals already have, so the events are shuffled
+    once however large the dimension is, and a long log stays spread over its slices.
     """
-    widths = slices_of_logs(events, rows_per_slice)
-    line_of_slice = (
-        sliced_events(events, widths)
-        .select("machine_id", "slice")
-        .distinct()
-        .join(machines.select("machine_id", "line_id"), "machine_id")
-    )
-    return (
-        _measure(events, widths)
-        .join(line_of_slice, ["machine_id", "slice"])
-        .select(
-            "event_id",
-            "machine_id",
-            "line_id",
-            "day",
-            "state",
-            "reason_code",
-            "event_ts",
-            "next_ts",
-            "duration_us",
-        )
+    logs = machine_intervals(events, rows_per_slice)
+    return logs.rows.join(_line_of(events, machines, logs), logs.keys).select(
+        "event_id",
+        "machine_id",
+        "line_id",
+        "day",
+        "state",
+        "reason_code",
+        "event_ts",
+        "next_ts",
+        "duration_us",
     )
 
 

@@ -20,10 +20,9 @@ def line_time_daily(
     those sums meet the dimension and are shuffled to their line.  Machines without a
     dimension row drop out.
     """
-    per_machine = (
-        machine_intervals(events, rows_per_slice)
-        .groupBy("machine_id", "slice", "day")
-        .agg(time_in("RUN").alias("run_us"), time_in("STOP").alias("stop_us"))
+    logs = machine_intervals(events, rows_per_slice)
+    per_machine = logs.rows.groupBy(*logs.keys, "day").agg(
+        time_in("RUN").alias("run_us"), time_in("STOP").alias("stop_us")
     )
     return (
         per_machine.join(machines.select("machine_id", "line_id"), "machine_id")

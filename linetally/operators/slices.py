@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linetally.session import checkpointed
+
 ROWS_PER_SLICE = 4_000_000
 
 # A group counts as long only if it holds more than this share of all rows, so there are
@@ -24,18 +26,51 @@ def _bucket(position: Column, width: Column) -> Column:
     return F.call_function("div", position, width)
 
 
+def _fit(
+    rows: DataFrame, groups: DataFrame, keys: Sequence[str], position: Column, ladder: Sequence[int]
+) -> DataFrame:
+    """The given groups with the widest ladder step whose slices all stay within the limit.
+
+    ``step`` is null where none does; ``peak`` is the longest slice at the last step.  Rows
+    are counted once, at the last step, and those counts are rolled up to the others, which
+    must be multiples of it.
+    """
+    unit = F.lit(ladder[-1]).cast("bigint")
+    steps = F.explode(F.array(*[F.lit(width).cast("bigint") for width in ladder]))
+    return (
+        rows.select(*keys, _bucket(position, unit).alias("unit"))
+        .join(F.broadcast(groups), list(keys))
+        .groupBy(*keys, "row_limit", "unit")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(*keys, "row_limit", "n", (F.col("unit") * unit).alias("start"), steps.alias("step"))
+        .groupBy(*keys, "row_limit", "step", _bucket(F.col("start"), F.col("step")).alias("bucket"))
+        .agg(F.sum("n").alias("n"))
+        .groupBy(*keys, "row_limit", "step")
+        .agg(F.max("n").alias("n"))
+        .groupBy(*keys, "row_limit")
+        .agg(
+            F.max(F.when(F.col("n") <= F.col("row_limit"), F.col("step"))).alias("step"),
+            F.min("n").alias("peak"),
+        )
+    )
+
+
 def slice_widths(
     rows: DataFrame,
     keys: Sequence[str],
     position: Column,
     ladder: Sequence[int],
+    fine_ladder: Sequence[int],
     rows_per_slice: int = ROWS_PER_SLICE,
-) -> DataFrame:
-    """One row (keys, slice_width) per long group.
+) -> DataFrame | None:
+    """One row (keys, slice_width) per long group; None if all groups are short.
 
-    The width is the widest ladder step at which no slice exceeds the row limit, or a
-    proportional part of the last step where even that is too wide.  Counting combines
-    map-side, so the shuffled rows are groups and slices, not events.
+    Runs at once, because plans differ between the two cases: counting the groups reads
+    the key columns only and combines map-side, and most data needs no more than that.
+
+    The width is the widest step of the ladder at which no slice exceeds the row limit.
+    Groups with bursts too dense for it are tried on the fine ladder, and get an even share
+    of its last step if that does not suffice.
     """
     total = rows.select(F.count(F.lit(1))).scalar()
     limit = F.greatest(F.lit(rows_per_slice), F.ceil(total * LONG_GROUP_SHARE)).cast("bigint")
@@ -45,24 +80,17 @@ def slice_widths(
         .where(F.col("n") > limit)
         .select(*keys, limit.alias("row_limit"))
     )
-    steps = F.explode(F.array(*[F.lit(width).cast("bigint") for width in ladder]))
-    peaks = (
-        rows.select(*keys, position.alias("position"))
-        .join(F.broadcast(long_groups), list(keys))
-        .select(*keys, "row_limit", "position", steps.alias("step"))
-        .groupBy(*keys, "row_limit", "step", _bucket(F.col("position"), F.col("step")).alias("bucket"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy(*keys, "row_limit", "step")
-        .agg(F.max("n").alias("peak"))
-    )
-    fitting = F.max(F.when(F.col("peak") <= F.col("row_limit"), F.col("step")))
-    overfull = F.min(
-        F.when(
-            F.col("step") == ladder[-1],
-            F.greatest(F.lit(1), F.floor(F.col("step") * (F.col("row_limit") / F.col("peak")))),
-        )
-    )
-    return peaks.groupBy(*keys).agg(F.coalesce(fitting, overfull).cast("bigint").alias("slice_width"))
+    if long_groups.isEmpty():
+        return None
+    coarse = checkpointed(_fit(rows, checkpointed(long_groups), keys, position, ladder))
+    dense = coarse.where(F.col("step").isNull()).select(*keys, "row_limit")
+    widths = coarse.where(F.col("step").isNotNull()).select(*keys, F.col("step").alias("slice_width"))
+    if dense.isEmpty():
+        return widths
+    fine = _fit(rows, dense, keys, position, fine_ladder)
+    share = F.floor(F.lit(fine_ladder[-1]) * (F.col("row_limit") / F.col("peak")))
+    cut = F.coalesce("step", F.greatest(F.lit(1), share)).cast("bigint")
+    return checkpointed(widths.union(fine.select(*keys, cut.alias("slice_width"))))
 
 
 def with_slices(

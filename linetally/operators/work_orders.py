@@ -5,48 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linetally.operators.intervals import sliced_events, slices_of_logs
+from linetally.operators.intervals import machine_logs
 from linetally.operators.slices import ROWS_PER_SLICE, slice_widths, with_slices
 
-ORDER_LADDER = (10**12, 10**9, 10**6, 10**4, 100)
+ORDER_LADDER = (10**12, 10**9, 10**6, 10**4)
+DENSE_ORDER_LADDER = (100,)
 
-# Parts over which events without any candidate spread in the last join.
-UNMATCHED_PARTS = 4096
+LINE_DAY = ["line_id", "day"]
 
 
-def _starts(runs: DataFrame) -> DataFrame:
-    return runs.select("line_id", F.to_date("actual_start_ts").alias("day"), "work_order_id")
+def _numbered(starts: DataFrame, copies: DataFrame, rows_per_slice: int) -> DataFrame:
+    """Runs with the copies of their line-day and their ``pick``, the place in it from 0.
 
-
-def _candidates(runs: DataFrame, copies: DataFrame, rows_per_slice: int) -> DataFrame:
-    """(line_id, day, pick, copy, work_order_id): the runs of a line-day numbered from 0.
-
-    A long line-day is numbered slice by slice; the slice sizes give each its offset.
+    A long line-day is numbered slice by slice; the slice sizes give each its first number.
     """
-    line_day, position = ["line_id", "day"], F.col("work_order_id")
-    starts = _starts(runs)
-    widths = slice_widths(starts, line_day, position, ORDER_LADDER, rows_per_slice)
-    sliced = with_slices(starts, widths, line_day, position)
-    in_line_day = Window.partitionBy("line_id", "day").orderBy("slice")
-    before = in_line_day.rowsBetween(Window.unboundedPreceding, -1)
-    slice_starts = (
-        sliced.groupBy("line_id", "day", "slice")
+    position = F.col("work_order_id")
+    widths = slice_widths(starts, LINE_DAY, position, ORDER_LADDER, DENSE_ORDER_LADDER, rows_per_slice)
+    if widths is None:
+        in_order = Window.partitionBy(*LINE_DAY).orderBy("work_order_id")
+        place = F.row_number().over(in_order).cast("bigint")
+        return starts.withColumn("pick", place - 1).join(copies, LINE_DAY)
+    sliced = with_slices(starts, widths, LINE_DAY, position)
+    before = Window.partitionBy(*LINE_DAY).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    slices = (
+        sliced.groupBy(*LINE_DAY, "slice")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("first_pick", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        .join(copies, ["line_id", "day"])
-        .select("line_id", "day", "slice", "first_pick", "copies")
+        .join(copies, LINE_DAY)
+        .drop("n")
     )
-    in_slice = Window.partitionBy("line_id", "day", "slice").orderBy("work_order_id")
+    in_slice = Window.partitionBy(*LINE_DAY, "slice").orderBy("work_order_id")
     return (
-        sliced.withColumn("place", F.row_number().over(in_slice) - 1)
-        .join(slice_starts, ["line_id", "day", "slice"])
-        .select(
-            "line_id",
-            "day",
-            (F.col("first_pick") + F.col("place")).alias("pick"),
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)).alias("copy"),
-            F.col("work_order_id").alias("assigned"),
-        )
+        sliced.withColumn("place", F.row_number().over(in_slice))
+        .join(slices, [*LINE_DAY, "slice"])
+        .withColumn("pick", F.col("first_pick") + F.col("place") - 1)
     )
 
 
@@ -61,37 +53,43 @@ def assign_work_order(
     With the candidates numbered by work order from 0, event e takes number
     e mod (number of candidates); null if there is none.
 
-    Events meet their line-day through one row per (machine, slice, day), which is never
-    long.  A run that many events pick is copied in proportion and the events spread over
-    its copies, so the last join has no heavy key either: at most one extra copy per
-    ``rows_per_slice`` events exists.
+    Events meet their line-day through one row per machine (or slice of its log) and day,
+    which never stands for more events than fit in a task.  A line-day's runs are copied in
+    proportion to the events per run and the events spread over the copies, so the last join
+    has no heavy key either; there is at most one extra copy per ``rows_per_slice`` events.
     """
-    widths = slices_of_logs(events, rows_per_slice)
-    sliced = sliced_events(events, widths).withColumn("day", F.to_date("event_ts"))
+    logs = machine_logs(events, rows_per_slice)
+    rows = logs.rows.withColumn("day", F.to_date("event_ts"))
+    piece = [*logs.keys, "day"]
+    starts = runs.select("line_id", F.to_date("actual_start_ts").alias("day"), "work_order_id")
+
     machine_days = (
-        sliced.groupBy("machine_id", "slice", "day")
+        rows.groupBy(*piece)
         .agg(F.count(F.lit(1)).alias("n_events"))
-        .join(machines.select("machine_id", "line_id"), "machine_id")
+        .join(machines.select("machine_id", "line_id"), "machine_id", "left")
     )
-    n_runs = _starts(runs).groupBy("line_id", "day").agg(F.count(F.lit(1)).alias("n_runs"))
+    n_runs = starts.groupBy(*LINE_DAY).agg(F.count(F.lit(1)).alias("n_runs"))
     events_per_copy = F.col("n_runs") * F.lit(rows_per_slice)
     line_days = (
-        machine_days.groupBy("line_id", "day")
+        machine_days.groupBy(*LINE_DAY)
         .agg(F.sum("n_events").alias("n_events"))
-        .join(n_runs, ["line_id", "day"])
-        .select("line_id", "day", "n_runs", F.ceil(F.col("n_events") / events_per_copy).alias("copies"))
+        .join(n_runs, LINE_DAY)
+        .select(*LINE_DAY, "n_runs", F.ceil(F.col("n_events") / events_per_copy).alias("copies"))
+    )
+    # Events without candidates match nothing; they spread as far as their number allows.
+    lookup = machine_days.join(line_days, LINE_DAY, "left").select(
+        *piece, "line_id", "n_runs", F.coalesce("copies", "n_events").alias("spread")
     )
-    lookup = machine_days.join(line_days, ["line_id", "day"]).select(
-        "machine_id", "slice", "day", "line_id", "n_runs", "copies"
+    each_copy = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1))
+    candidates = _numbered(starts, line_days.select(*LINE_DAY, "copies"), rows_per_slice).select(
+        *LINE_DAY, "pick", each_copy.alias("copy"), F.col("work_order_id").alias("assigned")
     )
-    candidates = _candidates(runs, line_days.select("line_id", "day", "copies"), rows_per_slice)
-    spread = F.coalesce(F.col("copies"), F.lit(UNMATCHED_PARTS))
     return (
-        sliced.drop("work_order_id")
-        .join(lookup, ["machine_id", "slice", "day"], "left")
+        rows.drop("work_order_id")
+        .join(lookup, piece)
         .withColumn("pick", F.pmod(F.col("event_id"), F.col("n_runs")))
-        .withColumn("copy", F.pmod(F.xxhash64("event_id"), spread))
-        .join(candidates, ["line_id", "day", "pick", "copy"], "left")
+        .withColumn("copy", F.pmod(F.xxhash64("event_id"), F.col("spread")))
+        .join(candidates, [*LINE_DAY, "pick", "copy"], "left")
         .select(
             "event_id",
             "machine_id",

@@ -24,10 +24,9 @@ def _stops_per_machine(events: DataFrame, as_of: AsOf, days: int, rows_per_slice
     Sums turn decimal here: over a whole fleet they may pass the range of bigint.
     """
     recent = events.where(on_or_after("event_ts", days_back(as_of, days)))
-    return (
-        machine_intervals(recent, rows_per_slice)
-        .groupBy("machine_id", "slice", "reason_code")
-        .agg(time_in("STOP").cast("decimal(20,0)").alias("stop_us"))
+    logs = machine_intervals(recent, rows_per_slice)
+    return logs.rows.groupBy(*logs.keys, "reason_code").agg(
+        time_in("STOP").cast("decimal(20,0)").alias("stop_us")
     )
 
 

@@ -3,9 +3,9 @@
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from linetally.operators.intervals import state_intervals
 from linetally.operators.line_day import line_day_kpi, line_output_daily
 from linetally.plans import downtime, production
 from linetally.sources import fixtures
@@ -25,7 +25,19 @@ def no_static_broadcast(spark):
 
 
 def exchanges(plan, keys):
-    return len(re.findall(rf"Exchange hashpartitioning\({keys}, ", plan))
+    return len(re.findall(rf"Exchange hashpartitioning\({keys}, \d+\)", plan))
+
+
+def facts(spark, sf_dir):
+    return (
+        fixtures.machine_events(spark, sf_dir),
+        fixtures.machines(spark, sf_dir),
+        fixtures.production_runs(spark, sf_dir),
+    )
+
+
+def event_scans(plan):
+    return sum("FileScan" in line and "event_id" in line for line in plan.splitlines())
 
 
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - {"write_line_day_kpi", "refresh_line_day_kpi"}))
@@ -35,24 +47,34 @@ def test_no_python_and_no_cross_join(spark, sf_dir, name, no_static_broadcast):
         assert node not in plan, node
 
 
-def test_full_join_reuses_the_aggregates_partitioning(spark, sf_dir, no_static_broadcast):
-    plan = plan_of(
-        line_day_kpi(
-            fixtures.machine_events(spark, sf_dir),
-            fixtures.machines(spark, sf_dir),
-            fixtures.production_runs(spark, sf_dir),
-        )
-    )
-    top = plan[plan.index("FullOuter") :]
-    # Below the join: a sort and the final aggregate on each side, no exchange before them.
-    left = top[: top.index("Exchange")]
+def test_mart_shuffles_events_once_and_joins_in_place(spark, sf_dir, no_static_broadcast):
+    plan = plan_of(line_day_kpi(*facts(spark, sf_dir)))
+    # Below the full join: a sort and the final aggregate, no exchange before them.
+    join = plan[plan.index("FullOuter") :]
+    left = join[: join.index("Exchange")]
     assert "Sort" in left and "HashAggregate" in left
     assert exchanges(plan, r"line_id#\d+, day#\d+") == 1
     assert exchanges(plan, r"line_id#\d+, _groupingexpression#\d+") == 1
-    # The events move once; the other two move one row per slice of a long log.
+    # The window, the sums per machine and day, and the machine join share one shuffle.
+    assert event_scans(plan) == 1
+    assert plan.count("Exchange") == 5  # these three, the machine list, its distinct
+    assert "Broadcast" not in plan
+
+
+def test_cut_logs_shuffle_events_once(spark, sf_dir, no_static_broadcast):
+    plan = plan_of(line_day_kpi(*facts(spark, sf_dir), rows_per_slice=20))
+    assert event_scans(plan) == 1
+    # Events, slice starts, and these back to their slices.
     assert exchanges(plan, r"machine_id#\d+, slice#\d+L") == 3
-    scans = [line for line in plan.splitlines() if "FileScan" in line]
-    assert sum("event_id" in scan for scan in scans) == 1
+
+
+def test_intervals_meet_their_line_in_place(spark, sf_dir, no_static_broadcast):
+    events, machines, _ = facts(spark, sf_dir)
+    for rows_per_slice in (4_000_000, 20):
+        plan = plan_of(state_intervals(events, machines, rows_per_slice))
+        top = plan[: plan.index("Window")]
+        assert "SortMergeJoin" in top and "Exchange" not in top
+        assert event_scans(plan) == 1
 
 
 def test_date_filters_reach_the_scans(spark, sf_dir, no_static_broadcast):
@@ -81,16 +103,3 @@ def test_scan_reads_needed_columns_only(spark, sf_dir):
 def test_top_k_needs_no_full_sort(spark, sf_dir):
     plan = plan_of(entry.queries()["best_throughput_days"](spark, sf_dir))
     assert "TakeOrderedAndProject" in plan
-
-
-def test_slices_vanish_when_no_log_is_long(spark, sf_dir):
-    rows = line_day_kpi(
-        fixtures.machine_events(spark, sf_dir),
-        fixtures.machines(spark, sf_dir),
-        fixtures.production_runs(spark, sf_dir),
-    )
-    rows.select(F.count("*")).collect()
-    rows.collect()
-    final = plan_of(rows).split("== Initial Plan ==")[0]
-    assert "Final Plan" in final
-    assert final.count("FileScan") == 3  # events once, machine list once, orders once
