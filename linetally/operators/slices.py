@@ -8,6 +8,7 @@ one row per slice carries what crosses the seams.  Short groups stay whole.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -27,7 +28,12 @@ def _bucket(position: Column, width: Column) -> Column:
 
 
 def _fit(
-    rows: DataFrame, groups: DataFrame, keys: Sequence[str], position: Column, ladder: Sequence[int]
+    rows: DataFrame,
+    groups: DataFrame,
+    keys: Sequence[str],
+    position: Column,
+    ladder: Sequence[int],
+    limit: int,
 ) -> DataFrame:
     """The given groups with the widest ladder step whose slices all stay within the limit.
 
@@ -40,18 +46,15 @@ def _fit(
     return (
         rows.select(*keys, _bucket(position, unit).alias("unit"))
         .join(F.broadcast(groups), list(keys))
-        .groupBy(*keys, "row_limit", "unit")
+        .groupBy(*keys, "unit")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(*keys, "row_limit", "n", (F.col("unit") * unit).alias("start"), steps.alias("step"))
-        .groupBy(*keys, "row_limit", "step", _bucket(F.col("start"), F.col("step")).alias("bucket"))
+        .select(*keys, "n", (F.col("unit") * unit).alias("start"), steps.alias("step"))
+        .groupBy(*keys, "step", _bucket(F.col("start"), F.col("step")).alias("bucket"))
         .agg(F.sum("n").alias("n"))
-        .groupBy(*keys, "row_limit", "step")
+        .groupBy(*keys, "step")
         .agg(F.max("n").alias("n"))
-        .groupBy(*keys, "row_limit")
-        .agg(
-            F.max(F.when(F.col("n") <= F.col("row_limit"), F.col("step"))).alias("step"),
-            F.min("n").alias("peak"),
-        )
+        .groupBy(*keys)
+        .agg(F.max(F.when(F.col("n") <= limit, F.col("step"))).alias("step"), F.min("n").alias("peak"))
     )
 
 
@@ -65,30 +68,29 @@ def slice_widths(
 ) -> DataFrame | None:
     """One row (keys, slice_width) per long group; None if all groups are short.
 
-    Runs at once, because plans differ between the two cases: counting the groups reads
-    the key columns only and combines map-side, and most data needs no more than that.
+    Runs at once, because plans differ between the two cases.  Counting the groups reads the
+    key columns only and combines map-side, and most data needs no more than that.
 
     The width is the widest step of the ladder at which no slice exceeds the row limit.
     Groups with bursts too dense for it are tried on the fine ladder, and get an even share
     of its last step if that does not suffice.
     """
-    total = rows.select(F.count(F.lit(1))).scalar()
-    limit = F.greatest(F.lit(rows_per_slice), F.ceil(total * LONG_GROUP_SHARE)).cast("bigint")
-    long_groups = (
-        rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > limit)
-        .select(*keys, limit.alias("row_limit"))
+    total = rows.count()
+    limit = max(rows_per_slice, math.ceil(total * LONG_GROUP_SHARE))
+    if total <= limit:
+        return None
+    long_groups = checkpointed(
+        rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).select(*keys)
     )
     if long_groups.isEmpty():
         return None
-    coarse = checkpointed(_fit(rows, checkpointed(long_groups), keys, position, ladder))
-    dense = coarse.where(F.col("step").isNull()).select(*keys, "row_limit")
+    coarse = checkpointed(_fit(rows, long_groups, keys, position, ladder, limit))
+    dense = coarse.where(F.col("step").isNull()).select(*keys)
     widths = coarse.where(F.col("step").isNotNull()).select(*keys, F.col("step").alias("slice_width"))
     if dense.isEmpty():
         return widths
-    fine = _fit(rows, dense, keys, position, fine_ladder)
-    share = F.floor(F.lit(fine_ladder[-1]) * (F.col("row_limit") / F.col("peak")))
+    fine = _fit(rows, dense, keys, position, fine_ladder, limit)
+    share = F.floor(F.lit(fine_ladder[-1] * limit) / F.col("peak"))
     cut = F.coalesce("step", F.greatest(F.lit(1), share)).cast("bigint")
     return checkpointed(widths.union(fine.select(*keys, cut.alias("slice_width"))))
 

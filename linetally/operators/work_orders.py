@@ -63,8 +63,10 @@ def assign_work_order(
     piece = [*logs.keys, "day"]
     starts = runs.select("line_id", F.to_date("actual_start_ts").alias("day"), "work_order_id")
 
+    # Stating the join's null filter here keeps both uses of this table one shuffle.
     machine_days = (
-        rows.groupBy(*piece)
+        rows.where(F.col("machine_id").isNotNull() & F.col("day").isNotNull())
+        .groupBy(*piece)
         .agg(F.count(F.lit(1)).alias("n_events"))
         .join(machines.select("machine_id", "line_id"), "machine_id", "left")
     )
@@ -86,7 +88,7 @@ def assign_work_order(
     )
     return (
         rows.drop("work_order_id")
-        .join(lookup, piece)
+        .join(lookup, piece, "left")
         .withColumn("pick", F.pmod(F.col("event_id"), F.col("n_runs")))
         .withColumn("copy", F.pmod(F.xxhash64("event_id"), F.col("spread")))
         .join(candidates, [*LINE_DAY, "pick", "copy"], "left")

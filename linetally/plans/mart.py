@@ -7,8 +7,10 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linetally.functions import on_or_after
 from linetally.operators.line_day import line_day_kpi
 from linetally.operators.slices import ROWS_PER_SLICE
+from linetally.session import checkpointed
 from linetally.sources.schemas import LINE_DAY_KPI
 from linetally.sources.tables import conform
 
@@ -60,6 +62,23 @@ def days_to_rebuild(
     return earlier.union(given).distinct()
 
 
+def _log_of_days(events: DataFrame, since: datetime.date, last_day: datetime.date) -> DataFrame:
+    """Events of since..last_day, and per machine the time its last interval of these ends.
+
+    That time is the machine's next event, found by a map-side combined minimum, so later
+    events are neither shuffled nor sorted.
+    """
+    end = F.lit(last_day + datetime.timedelta(days=1)).cast("timestamp_ntz")
+    start = F.lit(since).cast("timestamp_ntz")
+    wanted = events.where((F.col("event_ts") >= start) & (F.col("event_ts") < end))
+    closing = (
+        events.where(F.col("event_ts") >= end)
+        .groupBy("machine_id")
+        .agg(F.min("event_ts").alias("event_ts"))
+    )
+    return wanted.unionByName(closing, allowMissingColumns=True)
+
+
 def refresh_line_day_kpi(
     path: str,
     events: DataFrame,
@@ -71,10 +90,11 @@ def refresh_line_day_kpi(
 ) -> None:
     """Rebuild only the stored days that rows added on first_day..last_day can change.
 
-    Reads the log from the earliest of these days on.  Rows must only have been added: a
-    day that lost all its rows would keep its stored KPI.
+    Rows must only have been added: a day that lost all its rows would keep its stored KPI.
     """
-    days = days_to_rebuild(events, first_day, last_day)
+    days = checkpointed(days_to_rebuild(events, first_day, last_day))
     since = days.agg(F.min("day")).first()[0]
-    fresh = line_day_kpi(events, machines, runs, F.lit(since), rows_per_slice)
+    log = _log_of_days(events, since, last_day)
+    output = runs.where(on_or_after("actual_end_ts", F.lit(since)))
+    fresh = line_day_kpi(log, machines, output, rows_per_slice=rows_per_slice)
     write_line_day_kpi(fresh.join(days, "day", "left_semi"), path, only_days_present=True)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linetally.sources.schemas import REASONS, TABLES, Table
+from linetally.operators.intervals import machine_logs
+from linetally.operators.slices import ROWS_PER_SLICE
+from linetally.sources.schemas import EVENTS, REASONS, TABLES, Table
 
 # Reason codes with category and description.
 REASON_ROWS = [
@@ -44,6 +46,28 @@ def save_table(rows: DataFrame, root: str, table: Table, mode: str = "overwrite"
     out.write.mode(mode).parquet(f"{root}/{table.name}")
 
 
+def save_event_log(
+    events: DataFrame, name: str, path: str, buckets: int, rows_per_slice: int = ROWS_PER_SLICE
+) -> None:
+    """Store events as a catalog table bucketed by machine and sorted by time.
+
+    Queries on intervals then read each machine's log in place of shuffling it.  All short
+    logs of a bucket are written by one task; a long log is spread by time over several, and
+    queries that cut it shuffle as they would without buckets.
+    """
+    logs = machine_logs(conform(events, EVENTS), rows_per_slice)
+    bucket = F.pmod(F.hash("machine_id"), F.lit(buckets))
+    (
+        logs.rows.repartition(bucket, *logs.keys[1:])
+        .select(EVENTS.schema.names)
+        .write.mode("overwrite")
+        .option("path", path)
+        .bucketBy(buckets, "machine_id")
+        .sortBy("machine_id", "event_ts", "event_id")
+        .saveAsTable(name)
+    )
+
+
 def read_table(spark: SparkSession, root: str, table: Table) -> DataFrame:
     return spark.read.schema(table.schema).parquet(f"{root}/{table.name}")
 

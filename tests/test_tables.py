@@ -3,10 +3,11 @@ import uuid
 import micro
 import pytest
 
+from linetally.operators.intervals import state_intervals
 from linetally.session import shared_folder
 from linetally.sources import fixtures, schemas
 from linetally.sources.schemas import TABLES
-from linetally.sources.tables import load_tables, read_table, register_views, save_table
+from linetally.sources.tables import load_tables, read_table, register_views, save_event_log, save_table
 
 
 @pytest.fixture
@@ -44,6 +45,23 @@ def test_tables_answer_sql(spark, make):
     assert spark.sql("select line_id, count(*) n from dim_machines group by line_id order by 1").collect()[0].n == 2
 
 
+def test_bucketed_log_needs_no_shuffle(spark, root):
+    sf = "/root/testdata/sf0.001"
+    events, machines = fixtures.machine_events(spark, sf), fixtures.machines(spark, sf)
+    save_event_log(events, "event_log", f"{root}/event_log", 4)
+    stored = spark.table("event_log")
+    assert stored.exceptAll(events).count() == 0 and stored.count() == events.count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        intervals = state_intervals(stored, machines)
+        plan = intervals._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    log_side = plan[plan.index("Window") : plan.index("event_log")]
+    assert "Exchange" not in log_side
+    assert intervals.exceptAll(state_intervals(events, machines)).count() == 0
+
+
 def test_declared_counts():
     tables = TABLES.values()
     assert len(tables) == 10
