@@ -45,10 +45,11 @@ def test_tables_answer_sql(spark, make):
     assert spark.sql("select line_id, count(*) n from dim_machines group by line_id order by 1").collect()[0].n == 2
 
 
-def test_bucketed_log_needs_no_shuffle(spark, root):
+@pytest.mark.parametrize("rows_per_slice", [4_000_000, 10])
+def test_bucketed_log_needs_no_shuffle(spark, root, rows_per_slice):
     sf = "/root/testdata/sf0.001"
     events, machines = fixtures.machine_events(spark, sf), fixtures.machines(spark, sf)
-    save_event_log(events, "event_log", f"{root}/event_log", 4)
+    save_event_log(events, "event_log", f"{root}/event_log", 4, rows_per_slice)
     stored = spark.table("event_log")
     assert stored.exceptAll(events).count() == 0 and stored.count() == events.count()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
