@@ -12,56 +12,65 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linetally.functions import epoch_micros, micros_between
-from linetally.operators.slices import ROWS_PER_SLICE, slice_widths, with_slices
+from linetally.operators.slices import ROWS_PER_SLICE, Cut, Level, cut_long_groups
 
 SECOND_US = 1_000_000
-TIME_LADDER = (86_400 * SECOND_US, 3_600 * SECOND_US, 60 * SECOND_US)
-BURST_LADDER = (SECOND_US, 1_000)
 
-EVENT_ORDER = ("event_ts", "event_id")
+# Widths to cut logs at: time first, then among events of the same microsecond their ids.
+CALENDAR_US = (86_400 * SECOND_US, 3_600 * SECOND_US, 60 * SECOND_US)
+BURST_US = (SECOND_US, 1_000)
+ID_RANGES = (10**15, 10**12, 10**9, 10**6, 10**4)
+DENSE_ID_RANGES = (100, 1)
 
 
 @dataclass(frozen=True)
 class MachineLogs:
-    """Rows of machine logs and the columns that name a piece of a log small enough for one task.
+    """Rows of machine logs and how the logs are cut.
 
-    ``keys`` is machine_id, and slice where long logs had to be cut.  ``widths`` holds the
-    slice widths of the cut logs.
+    ``keys`` names a piece of a log small enough for one task: machine_id, and the slices
+    where long logs had to be cut.
     """
 
     rows: DataFrame
-    keys: list[str]
-    widths: DataFrame | None = None
+    cut: Cut
+
+    @property
+    def keys(self) -> list[str]:
+        return self.cut.keys
 
 
 def machine_logs(events: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> MachineLogs:
     """Events with the slice of their machine's log, if any log is long."""
-    position = epoch_micros(F.col("event_ts"))
-    widths = slice_widths(events, ["machine_id"], position, TIME_LADDER, BURST_LADDER, rows_per_slice)
-    if widths is None:
-        return MachineLogs(events, ["machine_id"])
-    sliced = with_slices(events, widths, ["machine_id"], position)
-    return MachineLogs(sliced, ["machine_id", "slice"], widths)
-
-
-def _seams(events: DataFrame, widths: DataFrame) -> DataFrame:
+    time, event = epoch_micros(F.col("event_ts")), F.col("event_id")
+    levels = [
+        Level(time, CALENDAR_US),
+        Level(time, BURST_US),
+        Level(time, (1,)),
+        Level(event, ID_RANGES),
+        Level(event, DENSE_ID_RANGES),
+    ]
+    cut = cut_long_groups(events, ["machine_id"], levels, rows_per_slice)
+    return MachineLogs(cut.apply(events), cut)
+
+
+def _seams(events: DataFrame, cut: Cut) -> DataFrame:
     """For each slice of a cut log, when the machine's next event after it happens."""
-    in_order = Window.partitionBy("machine_id").orderBy("slice")
+    in_order = Window.partitionBy("machine_id").orderBy(*cut.slices)
     return (
-        with_slices(events, widths, ["machine_id"], epoch_micros(F.col("event_ts")), only_long=True)
-        .groupBy("machine_id", "slice")
+        cut.apply(events, only_long=True)
+        .groupBy(*cut.keys)
         .agg(F.min("event_ts").alias("first_ts"))
-        .select("machine_id", "slice", F.lead("first_ts").over(in_order).alias("seam_ts"))
+        .select(*cut.keys, F.lead("first_ts").over(in_order).alias("seam_ts"))
     )
 
 
 def _with_next(events: DataFrame, logs: MachineLogs) -> DataFrame:
-    in_order = Window.partitionBy(*logs.keys).orderBy(*EVENT_ORDER)
+    in_order = Window.partitionBy(*logs.keys).orderBy("event_ts", "event_id")
     rows = logs.rows.withColumn("next_ts", F.lead("event_ts").over(in_order))
-    if logs.widths is None:
+    if not logs.cut.slices:
         return rows
     return (
-        rows.join(_seams(events, logs.widths), logs.keys, "left")
+        rows.join(_seams(events, logs.cut), logs.keys, "left")
         .withColumn("next_ts", F.coalesce("next_ts", "seam_ts"))
         .drop("seam_ts")
     )
@@ -80,17 +89,15 @@ def machine_intervals(events: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -
         .withColumn("duration_us", F.greatest(micros_between(F.col("event_ts"), until), F.lit(0)))
         .withColumn("day", F.to_date("event_ts"))
     )
-    return MachineLogs(rows, logs.keys, logs.widths)
+    return MachineLogs(rows, logs.cut)
 
 
 def _line_of(events: DataFrame, machines: DataFrame, logs: MachineLogs) -> DataFrame:
     """The line of every machine, or of every slice where logs are cut."""
     lines = machines.select("machine_id", "line_id")
-    if logs.widths is None:
+    if not logs.cut.slices:
         return lines
-    position = epoch_micros(F.col("event_ts"))
-    slices = with_slices(events, logs.widths, ["machine_id"], position).select(*logs.keys).distinct()
-    return slices.join(lines, "machine_id")
+    return logs.cut.apply(events).select(*logs.keys).distinct().join(lines, "machine_id")
 
 
 def state_intervals(

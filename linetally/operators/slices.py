@@ -1,8 +1,8 @@
-"""Splitting long groups into slices so that no group has to fit in one task.
+"""Splitting long groups into pieces so that no group has to fit in one task.
 
 An ordered window (the successor of an event, the rank of a run) needs the rows of a
 group in order.  A group may hold a large share of all rows, so a long group is cut
-along its order column into slices; the window runs per slice, and a small table with
+along its order columns into slices; the window runs per slice, and a small table with
 one row per slice carries what crosses the seams.  Short groups stay whole.
 """
 
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,84 +24,108 @@ ROWS_PER_SLICE = 4_000_000
 LONG_GROUP_SHARE = 1 / 50_000
 
 
+@dataclass(frozen=True)
+class Level:
+    """A bigint order column and the slice widths to try on it, widest first.
+
+    All widths are multiples of the last.  Where a slice of the last width is still long, the
+    next level cuts that slice, so the levels together must follow the order of the rows.
+    """
+
+    position: Column
+    ladder: tuple[int, ...]
+
+
+@dataclass(frozen=True)
+class Cut:
+    """How groups are cut: ``keys`` name a piece, the group's own keys first.
+
+    ``widths`` has one table per level used, with a row (keys so far, slice_width) for each
+    group or slice that the level cuts.  It is empty if all groups are short.
+    """
+
+    keys: list[str]
+    levels: list[Level] = field(default_factory=list)
+    widths: list[DataFrame] = field(default_factory=list)
+
+    @property
+    def slices(self) -> list[str]:
+        return self.keys[len(self.keys) - len(self.widths) :]
+
+    def apply(self, rows: DataFrame, only_long: bool = False) -> DataFrame:
+        """rows plus their slice columns, 0 where not cut; optionally of long groups only."""
+        group = self.keys[: len(self.keys) - len(self.widths)]
+        for depth, (level, widths, name) in enumerate(zip(self.levels, self.widths, self.slices)):
+            how = "inner" if only_long and depth == 0 else "left"
+            rows = _with_slice(rows, group, level, widths, name, how)
+            group = [*group, name]
+        return rows
+
+
 def _bucket(position: Column, width: Column) -> Column:
     return F.call_function("div", position, width)
 
 
-def _fit(
-    rows: DataFrame,
-    groups: DataFrame,
-    keys: Sequence[str],
-    position: Column,
-    ladder: Sequence[int],
-    limit: int,
+def _with_slice(
+    rows: DataFrame, keys: list[str], level: Level, widths: DataFrame, name: str, how: str = "left"
 ) -> DataFrame:
-    """The given groups with the widest ladder step whose slices all stay within the limit.
+    place = F.coalesce(_bucket(level.position, F.col("slice_width")), F.lit(0).cast("bigint"))
+    return rows.join(F.broadcast(widths), keys, how).withColumn(name, place).drop("slice_width")
+
 
-    ``step`` is null where none does; ``peak`` is the longest slice at the last step.  Rows
-    are counted once, at the last step, and those counts are rolled up to the others, which
-    must be multiples of it.
+def _fit(rows: DataFrame, keys: list[str], long_groups: DataFrame, level: Level, limit: int) -> DataFrame:
+    """The long groups with the widest step whose slices all stay within the limit, or null.
+
+    Rows are counted once, per slice of the last width and combined map-side; the counts are
+    then rolled up to the wider steps.
     """
-    unit = F.lit(ladder[-1]).cast("bigint")
-    steps = F.explode(F.array(*[F.lit(width).cast("bigint") for width in ladder]))
+    unit = F.lit(level.ladder[-1]).cast("bigint")
+    steps = F.explode(F.array(*[F.lit(width).cast("bigint") for width in level.ladder]))
     return (
-        rows.select(*keys, _bucket(position, unit).alias("unit"))
-        .join(F.broadcast(groups), list(keys))
+        rows.select(*keys, _bucket(level.position, unit).alias("unit"))
+        .join(F.broadcast(long_groups), keys)
         .groupBy(*keys, "unit")
         .agg(F.count(F.lit(1)).alias("n"))
         .select(*keys, "n", (F.col("unit") * unit).alias("start"), steps.alias("step"))
         .groupBy(*keys, "step", _bucket(F.col("start"), F.col("step")).alias("bucket"))
         .agg(F.sum("n").alias("n"))
         .groupBy(*keys, "step")
-        .agg(F.max("n").alias("n"))
+        .agg(F.max("n").alias("peak"))
         .groupBy(*keys)
-        .agg(F.max(F.when(F.col("n") <= limit, F.col("step"))).alias("step"), F.min("n").alias("peak"))
+        .agg(F.max(F.when(F.col("peak") <= limit, F.col("step"))).alias("step"))
     )
 
 
-def slice_widths(
-    rows: DataFrame,
-    keys: Sequence[str],
-    position: Column,
-    ladder: Sequence[int],
-    fine_ladder: Sequence[int],
-    rows_per_slice: int = ROWS_PER_SLICE,
-) -> DataFrame | None:
-    """One row (keys, slice_width) per long group; None if all groups are short.
-
-    Runs at once, because plans differ between the two cases.  Counting the groups reads the
-    key columns only and combines map-side, and most data needs no more than that.
+def cut_long_groups(
+    rows: DataFrame, keys: Sequence[str], levels: Sequence[Level], rows_per_slice: int = ROWS_PER_SLICE
+) -> Cut:
+    """Decide where groups have to be cut.
 
-    The width is the widest step of the ladder at which no slice exceeds the row limit.
-    Groups with bursts too dense for it are tried on the fine ladder, and get an even share
-    of its last step if that does not suffice.
+    Runs at once, because plans differ with the answer.  Most data has no long group and
+    needs only the first count, which reads the key columns and combines map-side.
     """
+    keys = list(keys)
     total = rows.count()
     limit = max(rows_per_slice, math.ceil(total * LONG_GROUP_SHARE))
+    cut = Cut(keys)
     if total <= limit:
-        return None
-    long_groups = checkpointed(
-        rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).select(*keys)
-    )
-    if long_groups.isEmpty():
-        return None
-    coarse = checkpointed(_fit(rows, long_groups, keys, position, ladder, limit))
-    dense = coarse.where(F.col("step").isNull()).select(*keys)
-    widths = coarse.where(F.col("step").isNotNull()).select(*keys, F.col("step").alias("slice_width"))
-    if dense.isEmpty():
-        return widths
-    fine = _fit(rows, dense, keys, position, fine_ladder, limit)
-    share = F.floor(F.lit(fine_ladder[-1] * limit) / F.col("peak"))
-    cut = F.coalesce("step", F.greatest(F.lit(1), share)).cast("bigint")
-    return checkpointed(widths.union(fine.select(*keys, cut.alias("slice_width"))))
-
-
-def with_slices(
-    rows: DataFrame, widths: DataFrame, keys: Sequence[str], position: Column, only_long: bool = False
-) -> DataFrame:
-    """rows plus ``slice``, 0 in short groups; optionally only the rows of long groups."""
-    return (
-        rows.join(F.broadcast(widths), list(keys), "inner" if only_long else "left")
-        .withColumn("slice", F.coalesce(_bucket(position, F.col("slice_width")), F.lit(0).cast("bigint")))
-        .drop("slice_width")
-    )
+        return cut
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    long_groups = checkpointed(sizes.where(F.col("n") > limit).select(*keys))
+    for depth, level in enumerate(levels, 1):
+        if long_groups.isEmpty():
+            break
+        steps = checkpointed(_fit(rows, keys, long_groups, level, limit))
+        width = F.coalesce("step", F.lit(level.ladder[-1]).cast("bigint"))
+        widths = steps.select(*keys, width.alias("slice_width"))
+        name = f"slice_{depth}"
+        cut = Cut([*keys, name], [*cut.levels, level], [*cut.widths, widths])
+        # What is still long lies in groups no step fitted; only their rows are looked at again.
+        unfit = steps.where(F.col("step").isNull()).select(*keys)
+        if unfit.isEmpty():
+            break
+        rows = _with_slice(rows.join(F.broadcast(unfit), keys, "left_semi"), keys, level, widths, name)
+        keys = [*keys, name]
+        sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        long_groups = checkpointed(sizes.where(F.col("n") > limit).select(*keys))
+    return cut

@@ -5,11 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linetally.operators.intervals import machine_logs
-from linetally.operators.slices import ROWS_PER_SLICE, slice_widths, with_slices
-
-ORDER_LADDER = (10**12, 10**9, 10**6, 10**4)
-DENSE_ORDER_LADDER = (100,)
+from linetally.operators.intervals import DENSE_ID_RANGES, ID_RANGES, machine_logs
+from linetally.operators.slices import ROWS_PER_SLICE, Level, cut_long_groups
 
 LINE_DAY = ["line_id", "day"]
 
@@ -19,27 +16,22 @@ def _numbered(starts: DataFrame, copies: DataFrame, rows_per_slice: int) -> Data
 
     A long line-day is numbered slice by slice; the slice sizes give each its first number.
     """
-    position = F.col("work_order_id")
-    widths = slice_widths(starts, LINE_DAY, position, ORDER_LADDER, DENSE_ORDER_LADDER, rows_per_slice)
-    if widths is None:
-        in_order = Window.partitionBy(*LINE_DAY).orderBy("work_order_id")
-        place = F.row_number().over(in_order).cast("bigint")
-        return starts.withColumn("pick", place - 1).join(copies, LINE_DAY)
-    sliced = with_slices(starts, widths, LINE_DAY, position)
-    before = Window.partitionBy(*LINE_DAY).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    levels = [Level(F.col("work_order_id"), ladder) for ladder in (ID_RANGES, DENSE_ID_RANGES)]
+    cut = cut_long_groups(starts, LINE_DAY, levels, rows_per_slice)
+    in_order = Window.partitionBy(*cut.keys).orderBy("work_order_id")
+    numbered = cut.apply(starts).withColumn("place", F.row_number().over(in_order).cast("bigint"))
+    if not cut.slices:
+        return numbered.withColumn("pick", F.col("place") - 1).join(copies, LINE_DAY)
+    before = Window.partitionBy(*LINE_DAY).orderBy(*cut.slices).rowsBetween(Window.unboundedPreceding, -1)
     slices = (
-        sliced.groupBy(*LINE_DAY, "slice")
+        cut.apply(starts)
+        .groupBy(*cut.keys)
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("first_pick", F.coalesce(F.sum("n").over(before), F.lit(0)))
         .join(copies, LINE_DAY)
         .drop("n")
     )
-    in_slice = Window.partitionBy(*LINE_DAY, "slice").orderBy("work_order_id")
-    return (
-        sliced.withColumn("place", F.row_number().over(in_slice))
-        .join(slices, [*LINE_DAY, "slice"])
-        .withColumn("pick", F.col("first_pick") + F.col("place") - 1)
-    )
+    return numbered.join(slices, cut.keys).withColumn("pick", F.col("first_pick") + F.col("place") - 1)
 
 
 def assign_work_order(

@@ -58,7 +58,7 @@ def save_event_log(
     logs = machine_logs(conform(events, EVENTS), rows_per_slice)
     bucket = F.pmod(F.hash("machine_id"), F.lit(buckets))
     (
-        logs.rows.repartition(bucket, *logs.keys[1:])
+        logs.rows.repartition(bucket, *logs.cut.slices)
         .select(EVENTS.schema.names)
         .write.mode("overwrite")
         .option("path", path)

@@ -65,7 +65,7 @@ def test_cut_logs_shuffle_events_once(spark, sf_dir, no_static_broadcast):
     plan = plan_of(line_day_kpi(*facts(spark, sf_dir), rows_per_slice=20))
     assert event_scans(plan) == 1
     # Events, slice starts, and these back to their slices.
-    assert exchanges(plan, r"machine_id#\d+, slice#\d+L") == 3
+    assert exchanges(plan, r"machine_id#\d+, slice_1#\d+L") == 3
 
 
 def test_intervals_meet_their_line_in_place(spark, sf_dir, no_static_broadcast):

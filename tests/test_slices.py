@@ -8,14 +8,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from linetally.operators.intervals import (
-    BURST_LADDER,
-    TIME_LADDER,
+    BURST_US,
+    CALENDAR_US,
+    DENSE_ID_RANGES,
+    ID_RANGES,
     machine_intervals,
     machine_logs,
     state_intervals,
 )
-from linetally.operators.slices import slice_widths, with_slices
-from linetally.operators.work_orders import DENSE_ORDER_LADDER, ORDER_LADDER
+from linetally.operators.slices import Level, cut_long_groups
 from linetally.sources import fixtures, schemas
 
 START = datetime.datetime(2024, 1, 1)
@@ -61,37 +62,54 @@ def test_cut_logs_match_brute_force(make, seed, rows_per_slice):
     assert {r.event_id: (r.next_ts, r.duration_us) for r in got.collect()} == brute_force(log)
 
 
-def test_slices_stay_within_the_limit(make):
-    """Without ties, a log cut for 20 rows has no slice of more than 20."""
-    log = [
-        (i, i % 3 // 2, START + datetime.timedelta(minutes=i * i % 5000, seconds=i), "RUN", None, None)
-        for i in range(3000)
-    ]
+@pytest.mark.parametrize("limit", [1, 7, 20])
+def test_no_piece_exceeds_the_limit(make, limit):
+    """Bursts are cut by time down to the microsecond, equal times by event id."""
+    log = random_log(3)
     events = make(schemas.EVENTS, log)
-    logs = machine_logs(events, 20)
+    logs = machine_logs(events, limit)
     sizes = logs.rows.groupBy(*logs.keys).count()
-    assert sizes.agg(F.max("count")).first()[0] <= 20
+    assert sizes.agg(F.max("count")).first()[0] <= limit
+    assert sizes.agg(F.sum("count")).first()[0] == len(log)
+
+
+def test_a_burst_leaves_the_rest_of_the_log_in_wide_slices(make):
+    """One event a day for a year, and 500 within a second: about a slice a day, plus the burst."""
+    quiet = [(i, 1, START + datetime.timedelta(days=i), "RUN", None, None) for i in range(366)]
+    burst = [
+        (1000 + i, 1, START + datetime.timedelta(days=9, milliseconds=2 * i), "RUN", None, None)
+        for i in range(500)
+    ]
+    logs = machine_logs(make(schemas.EVENTS, quiet + burst), 50)
+    assert logs.cut.slices == ["slice_1", "slice_2"]
+    assert logs.rows.select(*logs.keys).distinct().count() < 366 + 500
+    assert {r.event_id: (r.next_ts, r.duration_us) for r in
+            machine_intervals(make(schemas.EVENTS, quiet + burst), 50).rows.collect()} == brute_force(
+        quiet + burst
+    )
 
 
 def test_short_logs_are_not_cut(spark, sf_dir):
     events = fixtures.machine_events(spark, sf_dir)
     logs = machine_logs(events)
-    assert logs.widths is None and logs.keys == ["machine_id"] and logs.rows is events
+    assert logs.keys == ["machine_id"] and not logs.cut.widths and logs.rows is events
 
 
 def test_few_groups_can_be_long(spark):
     """However low the row limit, only groups above a fixed share of all rows are cut."""
     rows = spark.range(400_000).select(F.col("id"), (F.col("id") % 100_000).alias("g"))
     skewed = rows.union(spark.range(50).select(F.col("id"), F.lit(7).alias("g")))
-    widths = slice_widths(skewed, ["g"], F.col("id"), (10**6,), (10,), 1)
-    assert [r.g for r in widths.where("g = 7").collect()] == [7]
-    assert skewed.groupBy("g").count().where("count > 8").count() == widths.count() == 1
+    cut = cut_long_groups(skewed, ["g"], [Level(F.col("id"), (10**6, 10))], 1)
+    assert [r.g for r in cut.widths[0].collect()] == [7]
+    assert skewed.groupBy("g").count().where("count > 8").count() == 1
 
 
-def test_overfull_last_step_is_cut_further(spark):
+def test_each_level_cuts_what_the_one_before_left(spark):
     rows = spark.range(10_000).select(F.lit(1).alias("g"), "id")
-    widths = slice_widths(rows, ["g"], F.col("id"), (10**6,), (10**5, 10**4), 100)
-    sizes = with_slices(rows, widths, ["g"], F.col("id")).groupBy("slice").count()
+    levels = [Level(F.col("id"), (10**6, 10**4)), Level(F.col("id"), (1000, 100))]
+    cut = cut_long_groups(rows, ["g"], levels, 100)
+    assert cut.keys == ["g", "slice_1", "slice_2"]
+    sizes = cut.apply(rows).groupBy(*cut.keys).count()
     assert sizes.agg(F.max("count")).first()[0] == 100 and sizes.count() == 100
 
 
@@ -104,7 +122,7 @@ def test_hot_machine_spreads_over_tasks(spark, sf_dir):
     whole = machine_intervals(hot).rows
     columns = ["event_id", "next_ts", "duration_us", "day"]
     assert cut.select(columns).exceptAll(whole.select(columns)).count() == 0
-    sizes = cut.groupBy("machine_id", "slice").count()
+    sizes = cut.groupBy("machine_id", *[c for c in cut.columns if c.startswith("slice_")]).count()
     assert sizes.agg(F.max("count")).first()[0] <= 100
     assert sizes.where("machine_id = 0").count() >= 50
 
@@ -120,7 +138,7 @@ def test_durations_add_up(spark, sf_dir):
     assert sums.count() == spans.count()
 
 
-def test_ladder_descends():
-    for ladder in (TIME_LADDER, BURST_LADDER, ORDER_LADDER, DENSE_ORDER_LADDER):
+def test_ladders_descend_in_multiples():
+    for ladder in (CALENDAR_US, BURST_US, ID_RANGES, DENSE_ID_RANGES):
         assert list(ladder) == sorted(ladder, reverse=True)
         assert all(step % ladder[-1] == 0 for step in ladder)
