@@ -16,8 +16,8 @@ from linetally.plans import crosschecks, downtime, mart, production, quality, sh
 from linetally.session import shared_folder
 from linetally.sources import fixtures
 from linetally.sources.fixtures import AS_OF
-from linetally.sources.schemas import RUNS, TABLES, Reference
-from linetally.sources.tables import fill_defaults, reason_codes
+from linetally.sources.schemas import EVENTS, RUNS, TABLES, Reference
+from linetally.sources.tables import fill_defaults, read_table, reason_codes, save_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,9 +36,24 @@ def _facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Data
     return (*_log(spark, sf_dir), fixtures.production_runs(spark, sf_dir))
 
 
+def _time(spark: SparkSession, sf_dir: str, days: int | None = None) -> DataFrame:
+    since = None if days is None else days_back(AS_OF, days)
+    return line_day.machine_time_daily(fixtures.machine_events(spark, sf_dir), since)
+
+
+def _time_facts(
+    spark: SparkSession, sf_dir: str, days: int | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return (
+        _time(spark, sf_dir, days),
+        fixtures.machines(spark, sf_dir),
+        fixtures.production_runs(spark, sf_dir),
+    )
+
+
 def _kpi(spark: SparkSession, sf_dir: str, days: int | None = None) -> DataFrame:
     since = None if days is None else days_back(AS_OF, days)
-    return line_day.line_day_kpi(*_facts(spark, sf_dir), since=since)
+    return line_day.line_day_kpi(*_time_facts(spark, sf_dir, days), since=since)
 
 
 def _stored_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,13 +69,24 @@ def _refreshed_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, last = datetime.date(2024, 1, 20), datetime.date(2024, 2, 29)
     start = F.lit(first).cast("timestamp_ntz")
     known = line_day.line_day_kpi(
-        events.where(F.col("event_ts") < start), machines, runs.where(F.col("actual_end_ts") < start)
+        line_day.machine_time_daily(events.where(F.col("event_ts") < start)),
+        machines,
+        runs.where(F.col("actual_end_ts") < start),
     )
     mart.write_line_day_kpi(known, path)
     mart.refresh_line_day_kpi(path, events, machines, runs, first, last)
     return mart.read_line_day_kpi(spark, path)
 
 
+def _inserted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored event table after writing the stops and then inserting the runs."""
+    root = f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
+    events = fixtures.machine_events(spark, sf_dir)
+    save_table(events.where(F.col("state") == "STOP"), root, EVENTS)
+    save_table(events.where(F.col("state") != "STOP"), root, EVENTS, mode="append")
+    return read_table(spark, root, EVENTS)
+
+
 def _pk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten tables, and lineitem, whose order line numbers are known to repeat."""
     declared = audits.pk_violations(fixtures.all_tables(spark, sf_dir), TABLES.values())
@@ -125,8 +151,10 @@ def queries() -> dict[str, Query]:
         "production_runs": fixtures.production_runs,
         "qc_results": lambda s, d: _plain(fixtures.qc_results(s, d)),
         "shipments": fixtures.shipments,
+        "insert_machine_events": _inserted_events,
         "state_intervals": lambda s, d: intervals.state_intervals(*_log(s, d)),
-        "line_time_daily": lambda s, d: line_day.line_time_daily(*_log(s, d)),
+        "machine_time_daily": _time,
+        "line_time_daily": lambda s, d: line_day.line_time_daily(_time(s, d), fixtures.machines(s, d)),
         "line_output_daily": lambda s, d: line_day.line_output_daily(fixtures.production_runs(s, d)),
         "line_day_kpi": lambda s, d: _plain(_kpi(s, d)),
         "write_line_day_kpi": lambda s, d: _plain(_stored_kpi(s, d)),
@@ -135,10 +163,12 @@ def queries() -> dict[str, Query]:
         "best_throughput_days": _best,
         "worst_throughput_days": _worst,
         "downtime_pareto": lambda s, d: _plain(
-            downtime.downtime_pareto(fixtures.machine_events(s, d), reason_codes(s), AS_OF)
+            downtime.downtime_pareto(_time(s, d, 30), reason_codes(s), AS_OF)
         ),
         "downtime_by_line_reason": lambda s, d: _plain(
-            downtime.downtime_by_line_reason(*_log(s, d), reason_codes(s), AS_OF)
+            downtime.downtime_by_line_reason(
+                _time(s, d, 30), fixtures.machines(s, d), reason_codes(s), AS_OF
+            )
         ),
         "output_by_family_day": lambda s, d: production.output_by_family_day(*_runs_products(s, d), AS_OF),
         "line_product_mix": lambda s, d: production.line_product_mix(*_runs_products(s, d), AS_OF),
@@ -163,7 +193,7 @@ def queries() -> dict[str, Query]:
             fixtures.machines(s, d), datetime.date(2024, 1, 1), AS_OF
         ),
         "assign_work_order": lambda s, d: work_orders.assign_work_order(*_facts(s, d)),
-        "log_vs_output_check": lambda s, d: crosschecks.log_vs_output_check(*_facts(s, d)),
+        "log_vs_output_check": lambda s, d: crosschecks.log_vs_output_check(*_time_facts(s, d)),
     }
 
 

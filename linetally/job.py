@@ -2,8 +2,9 @@
 
 spark-submit linetally/job.py --tables ROOT --out FOLDER [--as-of YYYY-MM-DD]
 
-ROOT holds one Parquet folder per table.  FOLDER receives mart_daily_line_kpi and
-reports/<name>; both must be reachable from every executor.
+ROOT holds one Parquet folder per table.  FOLDER receives machine_time_daily,
+mart_daily_line_kpi and reports/<name>; both must be reachable from every executor.  The
+event log is read once.
 """
 
 from __future__ import annotations
@@ -13,23 +14,28 @@ import datetime
 
 from pyspark.sql import SparkSession
 
-from linetally.operators.line_day import line_day_kpi
-from linetally.plans.mart import read_line_day_kpi, write_line_day_kpi
+from linetally.operators.line_day import line_day_kpi, machine_time_daily
+from linetally.plans.mart import (
+    read_line_day_kpi,
+    read_machine_time,
+    write_line_day_kpi,
+    write_machine_time,
+)
 from linetally.plans.reports import all_reports
-from linetally.sources.schemas import LINE_DAY_KPI
+from linetally.sources.schemas import LINE_DAY_KPI, MACHINE_TIME
 from linetally.sources.tables import load_tables
 
 
 def run(spark: SparkSession, root: str, out: str, as_of: datetime.date | None = None) -> list[str]:
     """Returns the paths written."""
     tables = load_tables(spark, root)
-    mart_path = f"{out}/{LINE_DAY_KPI.name}"
-    mart = line_day_kpi(
-        tables["fct_machine_events"], tables["dim_machines"], tables["fct_production_runs"]
-    )
+    time_path, mart_path = f"{out}/{MACHINE_TIME.name}", f"{out}/{LINE_DAY_KPI.name}"
+    write_machine_time(machine_time_daily(tables["fct_machine_events"]), time_path)
+    time = read_machine_time(spark, time_path)
+    mart = line_day_kpi(time, tables["dim_machines"], tables["fct_production_runs"])
     write_line_day_kpi(mart, mart_path)
-    written = [mart_path]
-    for name, report in all_reports(tables, read_line_day_kpi(spark, mart_path), as_of).items():
+    written = [time_path, mart_path]
+    for name, report in all_reports(tables, time, read_line_day_kpi(spark, mart_path), as_of).items():
         written.append(f"{out}/reports/{name}")
         report.write.mode("overwrite").parquet(written[-1])
     return written

@@ -11,21 +11,40 @@ from linetally.operators.intervals import machine_intervals, time_in
 from linetally.operators.slices import ROWS_PER_SLICE
 
 
-def line_time_daily(
-    events: DataFrame, machines: DataFrame, rows_per_slice: int = ROWS_PER_SLICE
+def machine_time_daily(
+    events: DataFrame, since: Column | None = None, rows_per_slice: int = ROWS_PER_SLICE
 ) -> DataFrame:
-    """Running and stopped microseconds per line and day, summed over the line's machines.
+    """Running and stopped microseconds per machine, day and reason code.
+
+    All reports on machine time start here, so one pass over the log serves them all.  The
+    sums run on the partitioning of the window, without a shuffle of their own unless a long
+    log was cut.
 
-    Intervals are first summed per machine and day on the partitioning of the window; only
-    those sums meet the dimension and are shuffled to their line.  Machines without a
-    dimension row drop out.
+    ``since`` keeps days from that date on and prunes the scan: an event's successor is never
+    earlier than the event, so a lower bound may go below the window.
     """
+    if since is not None:
+        events = events.where(on_or_after("event_ts", since))
     logs = machine_intervals(events, rows_per_slice)
-    per_machine = logs.rows.groupBy(*logs.keys, "day").agg(
+    per_piece = logs.rows.groupBy(*logs.keys, "day", "reason_code").agg(
         time_in("RUN").alias("run_us"), time_in("STOP").alias("stop_us")
     )
+    if not logs.cut.slices:
+        return per_piece
+    return per_piece.groupBy("machine_id", "day", "reason_code").agg(
+        F.sum("run_us").alias("run_us"), F.sum("stop_us").alias("stop_us")
+    )
+
+
+def line_time_daily(machine_time: DataFrame, machines: DataFrame) -> DataFrame:
+    """Running and stopped microseconds per line and day, summed over the line's machines.
+
+    Machines without a dimension row drop out.
+    """
     return (
-        per_machine.join(machines.select("machine_id", "line_id"), "machine_id")
+        machine_time.groupBy("machine_id", "day")
+        .agg(F.sum("run_us").alias("run_us"), F.sum("stop_us").alias("stop_us"))
+        .join(machines.select("machine_id", "line_id"), "machine_id")
         .groupBy("line_id", "day")
         .agg(F.sum("run_us").alias("run_us"), F.sum("stop_us").alias("stop_us"))
     )
@@ -43,22 +62,18 @@ def _or_zero(name: str) -> Column:
 
 
 def line_day_kpi(
-    events: DataFrame,
-    machines: DataFrame,
-    runs: DataFrame,
-    since: Column | None = None,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    machine_time: DataFrame, machines: DataFrame, runs: DataFrame, since: Column | None = None
 ) -> DataFrame:
     """One row per line and day seen in the event log or in production.
 
-    ``since`` keeps days from that date on.  It prunes both scans: an event's successor is
-    never earlier than the event, so a lower bound may go below the window.
+    ``since`` keeps days from that date on; ``machine_time`` computed for this one call should
+    be given the same bound.
     """
     if since is not None:
-        events = events.where(on_or_after("event_ts", since))
+        machine_time = machine_time.where(F.col("day") >= since)
         runs = runs.where(on_or_after("actual_end_ts", since))
     cells = (
-        line_time_daily(events, machines, rows_per_slice)
+        line_time_daily(machine_time, machines)
         .join(line_output_daily(runs), ["line_id", "day"], "full")
         .select(
             "line_id",

@@ -230,6 +230,11 @@ STATEMENTS = {
     "shipments": "select * from s",
     "state_intervals": """select event_id, machine_id, line_id, day, state, reason_code, event_ts, next_ts,
                           us as duration_us from iv where line_id is not null""",
+    "insert_machine_events": "select *, null::bigint as work_order_id from e",
+    "machine_time_daily": """select machine_id, day, reason_code,
+                             sum(if(state = 'RUN', us, 0))::bigint as run_us,
+                             sum(if(state = 'STOP', us, 0))::bigint as stop_us
+                             from iv group by all""",
     "line_time_daily": "select * from lt",
     "line_output_daily": "select * from lo",
     "line_day_kpi": "select * from kpi",

@@ -6,21 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linetally.operators.line_day import line_output_daily, line_time_daily
-from linetally.operators.slices import ROWS_PER_SLICE
 
 
-def log_vs_output_check(
-    events: DataFrame,
-    machines: DataFrame,
-    runs: DataFrame,
-    rows_per_slice: int = ROWS_PER_SLICE,
-) -> DataFrame:
+def log_vs_output_check(machine_time: DataFrame, machines: DataFrame, runs: DataFrame) -> DataFrame:
     """Number of line-days per class.
 
     NO_OUTPUT has events but no run, NO_EVENTS a run but no event, RUNTIME_ZERO_WITH_OUTPUT
     both but output without running time; all others are OK.
     """
-    time = line_time_daily(events, machines, rows_per_slice).withColumn("has_events", F.lit(True))
+    time = line_time_daily(machine_time, machines).withColumn("has_events", F.lit(True))
     output = line_output_daily(runs).withColumn("has_output", F.lit(True))
     made = F.col("good_qty") + F.col("scrap_qty")
     status = (

@@ -1,8 +1,7 @@
-"""Downtime by reason.
+"""Downtime by reason, from machine time per day and reason code.
 
 Running events take part with 0 minutes and no reason, so the UNKNOWN category is
-present whenever there are events.  The date filter goes below the window: the
-successor of a kept event is kept too.
+present whenever there are events.
 """
 
 from __future__ import annotations
@@ -10,23 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linetally.functions import days_back, minutes, on_or_after, rounded_ratio
+from linetally.functions import days_back, minutes, rounded_ratio
 from linetally.functions.times import AsOf
-from linetally.operators.intervals import machine_intervals, time_in
-from linetally.operators.slices import ROWS_PER_SLICE
 
 NO_REASON = "UNKNOWN"
 
 
-def _stops_per_machine(events: DataFrame, as_of: AsOf, days: int, rows_per_slice: int) -> DataFrame:
-    """Stopped microseconds per machine and reason, summed before anything is shuffled again.
-
-    Sums turn decimal here: over a whole fleet they may pass the range of bigint.
-    """
-    recent = events.where(on_or_after("event_ts", days_back(as_of, days)))
-    logs = machine_intervals(recent, rows_per_slice)
-    return logs.rows.groupBy(*logs.keys, "reason_code").agg(
-        time_in("STOP").cast("decimal(20,0)").alias("stop_us")
+def _recent(machine_time: DataFrame, as_of: AsOf, days: int) -> DataFrame:
+    """Sums turn decimal here: over a whole fleet they may pass the range of bigint."""
+    return machine_time.where(F.col("day") >= days_back(as_of, days)).withColumn(
+        "stop_us", F.col("stop_us").cast("decimal(20,0)")
     )
 
 
@@ -43,18 +35,14 @@ def _by_category(stops: DataFrame, reasons: DataFrame, *keys: str) -> DataFrame:
 
 
 def downtime_pareto(
-    events: DataFrame,
-    reasons: DataFrame,
-    as_of: AsOf = None,
-    days: int = 30,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    machine_time: DataFrame, reasons: DataFrame, as_of: AsOf = None, days: int = 30
 ) -> DataFrame:
     """Stop minutes by reason category with share and cumulative share of the total.
 
     Categories with equal downtime share one cumulative value.  The two windows see one row
     per reason category, so a single partition is enough.
     """
-    stops = _by_category(_stops_per_machine(events, as_of, days, rows_per_slice), reasons)
+    stops = _by_category(_recent(machine_time, as_of, days), reasons)
     total = F.sum("stop_us").over(Window.partitionBy())
     so_far = F.sum("stop_us").over(Window.orderBy(F.desc("stop_us")))
     return (
@@ -70,16 +58,18 @@ def downtime_pareto(
 
 
 def downtime_by_line_reason(
-    events: DataFrame,
+    machine_time: DataFrame,
     machines: DataFrame,
     reasons: DataFrame,
     as_of: AsOf = None,
     days: int = 30,
-    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Stop minutes by line and reason category; machines without a dimension row drop out."""
-    per_line = _stops_per_machine(events, as_of, days, rows_per_slice).join(
-        machines.select("machine_id", "line_id"), "machine_id"
+    per_line = (
+        _recent(machine_time, as_of, days)
+        .groupBy("machine_id", "reason_code")
+        .agg(F.sum("stop_us").cast("decimal(20,0)").alias("stop_us"))
+        .join(machines.select("machine_id", "line_id"), "machine_id")
     )
     return (
         _by_category(per_line, reasons, "line_id")

@@ -1,4 +1,4 @@
-"""Storing the daily line KPI and keeping it up to date."""
+"""Storing the daily line KPI and the machine time under it, and keeping them up to date."""
 
 from __future__ import annotations
 
@@ -7,14 +7,29 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linetally.functions import on_or_after
-from linetally.operators.line_day import line_day_kpi
+from linetally.operators.line_day import line_day_kpi, machine_time_daily
 from linetally.operators.slices import ROWS_PER_SLICE
 from linetally.session import checkpointed
-from linetally.sources.schemas import LINE_DAY_KPI
+from linetally.sources.schemas import LINE_DAY_KPI, MACHINE_TIME, Table
 from linetally.sources.tables import conform
 
 
+def _write_by_day(rows: DataFrame, table: Table, path: str, only_days_present: bool) -> None:
+    (
+        conform(rows, table)
+        .repartitionByRange(*table.layout)
+        .sortWithinPartitions(*table.layout)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic" if only_days_present else "static")
+        .partitionBy("day")
+        .parquet(path)
+    )
+
+
+def _read_by_day(spark: SparkSession, table: Table, path: str) -> DataFrame:
+    return spark.read.schema(table.schema).parquet(path).select(table.schema.names)
+
+
 def write_line_day_kpi(mart: DataFrame, path: str, only_days_present: bool = False) -> None:
     """Store the mart by day, sorted by line within a day.
 
@@ -22,20 +37,20 @@ def write_line_day_kpi(mart: DataFrame, path: str, only_days_present: bool = Fal
     given rows.  A filter on ``day`` reads only its folders; the line column has tight
     statistics within a file.
     """
-    (
-        conform(mart, LINE_DAY_KPI)
-        .repartitionByRange("day", "line_id")
-        .sortWithinPartitions("day", "line_id")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic" if only_days_present else "static")
-        .partitionBy("day")
-        .parquet(path)
-    )
+    _write_by_day(mart, LINE_DAY_KPI, path, only_days_present)
 
 
 def read_line_day_kpi(spark: SparkSession, path: str) -> DataFrame:
-    names = LINE_DAY_KPI.schema.names
-    return spark.read.schema(LINE_DAY_KPI.schema).parquet(path).select(*names)
+    return _read_by_day(spark, LINE_DAY_KPI, path)
+
+
+def write_machine_time(machine_time: DataFrame, path: str, only_days_present: bool = False) -> None:
+    """Store machine time by day, so that the log is read once for all reports."""
+    _write_by_day(machine_time, MACHINE_TIME, path, only_days_present)
+
+
+def read_machine_time(spark: SparkSession, path: str) -> DataFrame:
+    return _read_by_day(spark, MACHINE_TIME, path)
 
 
 def days_to_rebuild(
@@ -86,15 +101,21 @@ def refresh_line_day_kpi(
     runs: DataFrame,
     first_day: datetime.date,
     last_day: datetime.date,
+    machine_time_path: str | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> None:
     """Rebuild only the stored days that rows added on first_day..last_day can change.
 
-    Rows must only have been added: a day that lost all its rows would keep its stored KPI.
+    With ``machine_time_path`` the stored machine time is brought up to date as well.  Rows
+    must only have been added: a day that lost all its rows would keep what is stored.
     """
     days = checkpointed(days_to_rebuild(events, first_day, last_day))
     since = days.agg(F.min("day")).first()[0]
     log = _log_of_days(events, since, last_day)
-    output = runs.where(on_or_after("actual_end_ts", F.lit(since)))
-    fresh = line_day_kpi(log, machines, output, rows_per_slice=rows_per_slice)
+    time = machine_time_daily(log, rows_per_slice=rows_per_slice).join(days, "day", "left_semi")
+    if machine_time_path is not None:
+        write_machine_time(time, machine_time_path, only_days_present=True)
+        stored = read_machine_time(events.sparkSession, machine_time_path)
+        time = stored.where(F.col("day") >= F.lit(since)).join(days, "day", "left_semi")
+    fresh = line_day_kpi(time, machines, runs, F.lit(since))
     write_line_day_kpi(fresh.join(days, "day", "left_semi"), path, only_days_present=True)

@@ -9,19 +9,22 @@ from linetally.plans import crosschecks, downtime, production, quality, shipping
 
 
 def all_reports(
-    tables: dict[str, DataFrame], mart: DataFrame, as_of: AsOf = None
+    tables: dict[str, DataFrame], machine_time: DataFrame, mart: DataFrame, as_of: AsOf = None
 ) -> dict[str, DataFrame]:
-    """Report name to DataFrame; ``mart`` is the stored daily line KPI."""
-    events, runs = tables["fct_machine_events"], tables["fct_production_runs"]
-    qc, shipments = tables["fct_qc_results"], tables["fct_shipments"]
+    """Report name to DataFrame, from the tables, the stored machine time and the stored mart."""
+    runs, qc, shipments = (
+        tables[name] for name in ("fct_production_runs", "fct_qc_results", "fct_shipments")
+    )
     machines, products = tables["dim_machines"], tables["dim_products"]
     reasons, customers = tables["dim_reason_codes"], tables["dim_customers"]
     return {
         "kpi_snapshot": snapshot.kpi_snapshot(mart, as_of),
         "best_throughput_days": snapshot.throughput_rank(mart, as_of),
         "worst_throughput_days": snapshot.throughput_rank(mart, as_of, best=False),
-        "downtime_pareto": downtime.downtime_pareto(events, reasons, as_of),
-        "downtime_by_line_reason": downtime.downtime_by_line_reason(events, machines, reasons, as_of),
+        "downtime_pareto": downtime.downtime_pareto(machine_time, reasons, as_of),
+        "downtime_by_line_reason": downtime.downtime_by_line_reason(
+            machine_time, machines, reasons, as_of
+        ),
         "output_by_family_day": production.output_by_family_day(runs, products, as_of),
         "line_product_mix": production.line_product_mix(runs, products, as_of),
         "schedule_adherence": production.schedule_adherence(runs, as_of),
@@ -30,5 +33,5 @@ def all_reports(
         "qc_vs_yield": quality.qc_vs_yield(qc, runs, mart, as_of),
         "on_time_overall": shipping.on_time_overall(shipments, as_of),
         "on_time_by_customer": shipping.on_time_by_customer(shipments, customers, as_of),
-        "log_vs_output_check": crosschecks.log_vs_output_check(events, machines, runs),
+        "log_vs_output_check": crosschecks.log_vs_output_check(machine_time, machines, runs),
     }

@@ -180,6 +180,13 @@ TABLES = {
     )
 }
 
+MACHINE_TIME = Table(
+    "machine_time_daily",
+    _columns({"machine_id": INT, "day": DATE, "run_us": LONG, "stop_us": LONG}, {"reason_code": TEXT}),
+    ("machine_id", "day", "reason_code"),
+    layout=("day", "machine_id"),
+)
+
 LINE_DAY_KPI = Table(
     "mart_daily_line_kpi",
     _columns(

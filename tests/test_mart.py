@@ -5,12 +5,14 @@ import micro
 import pytest
 from pyspark.sql import functions as F
 
-from linetally.operators.line_day import line_day_kpi
+from linetally.operators.line_day import line_day_kpi, machine_time_daily
 from linetally.plans.mart import (
     days_to_rebuild,
     read_line_day_kpi,
+    read_machine_time,
     refresh_line_day_kpi,
     write_line_day_kpi,
+    write_machine_time,
 )
 from linetally.session import shared_folder
 from linetally.sources import fixtures, schemas
@@ -25,13 +27,17 @@ def rows(df):
     return sorted(tuple(r) for r in df.select(*schemas.LINE_DAY_KPI.schema.names).fillna(-1.0).collect())
 
 
+def kpi(events, machines, runs):
+    return line_day_kpi(machine_time_daily(events), machines, runs)
+
+
 def files(df):
     return {r[0] for r in df.select(F.input_file_name()).distinct().collect()}
 
 
 def test_written_mart_reads_back(spark, sf_dir, path):
     mart = line_day_kpi(
-        fixtures.machine_events(spark, sf_dir),
+        machine_time_daily(fixtures.machine_events(spark, sf_dir)),
         fixtures.machines(spark, sf_dir),
         fixtures.production_runs(spark, sf_dir),
     )
@@ -45,7 +51,7 @@ def test_written_mart_reads_back(spark, sf_dir, path):
 
 def test_day_filter_reads_only_its_folders(spark, sf_dir, path):
     mart = line_day_kpi(
-        fixtures.machine_events(spark, sf_dir),
+        machine_time_daily(fixtures.machine_events(spark, sf_dir)),
         fixtures.machines(spark, sf_dir),
         fixtures.production_runs(spark, sf_dir),
     )
@@ -89,12 +95,18 @@ def test_refresh_equals_full_rebuild_after_late_events(spark, make, path, rows_p
     before = make(schemas.EVENTS, micro.EVENTS + later)
     after = make(schemas.EVENTS, micro.EVENTS + later + late)
 
-    write_line_day_kpi(line_day_kpi(before, machines, runs), path)
+    write_line_day_kpi(kpi(before, machines, runs), path)
     refresh_line_day_kpi(
-        path, after, machines, more_runs, datetime.date(2024, 1, 5), datetime.date(2024, 1, 6), rows_per_slice
+        path,
+        after,
+        machines,
+        more_runs,
+        datetime.date(2024, 1, 5),
+        datetime.date(2024, 1, 6),
+        rows_per_slice=rows_per_slice,
     )
-    assert rows(read_line_day_kpi(spark, path)) == rows(line_day_kpi(after, machines, more_runs))
-    assert rows(read_line_day_kpi(spark, path)) != rows(line_day_kpi(before, machines, runs))
+    assert rows(read_line_day_kpi(spark, path)) == rows(kpi(after, machines, more_runs))
+    assert rows(read_line_day_kpi(spark, path)) != rows(kpi(before, machines, runs))
 
 
 def test_refresh_of_days_within_the_log(spark, path):
@@ -104,8 +116,12 @@ def test_refresh_of_days_within_the_log(spark, path):
     runs = fixtures.production_runs(spark, sf)
     first, last = datetime.date(2024, 1, 10), datetime.date(2024, 1, 12)
     late = F.to_date("event_ts").between(first, last) & (F.col("event_id") % 2 == 0)
-    write_line_day_kpi(line_day_kpi(events.where(~late), machines, runs), path)
+    time_path = f"{path}-time"
+    write_machine_time(machine_time_daily(events.where(~late)), time_path)
+    write_line_day_kpi(kpi(events.where(~late), machines, runs), path)
     old_files = files(read_line_day_kpi(spark, path).where(F.col("day") > last))
-    refresh_line_day_kpi(path, events, machines, runs, first, last)
-    assert rows(read_line_day_kpi(spark, path)) == rows(line_day_kpi(events, machines, runs))
+    refresh_line_day_kpi(path, events, machines, runs, first, last, time_path)
+    time, whole = read_machine_time(spark, time_path), machine_time_daily(events)
+    assert time.exceptAll(whole.select(time.columns)).count() == 0 and time.count() == whole.count()
+    assert rows(read_line_day_kpi(spark, path)) == rows(kpi(events, machines, runs))
     assert old_files == files(read_line_day_kpi(spark, path).where(F.col("day") > last))

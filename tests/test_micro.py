@@ -3,9 +3,10 @@ from decimal import Decimal
 
 import micro
 import pytest
+from pyspark.sql import functions as F
 
 from linetally.operators.intervals import state_intervals
-from linetally.operators.line_day import line_day_kpi
+from linetally.operators.line_day import line_day_kpi, machine_time_daily
 from linetally.plans import crosschecks, downtime, quality, shipping, snapshot
 from linetally.sources import schemas
 from linetally.sources.tables import reason_codes
@@ -13,14 +14,15 @@ from linetally.sources.tables import reason_codes
 AS_OF = "2024-01-30"
 D1, D2, D3 = (datetime.date(2024, 1, day) for day in (1, 2, 3))
 
-# None keeps logs whole; 2 cuts every log into slices.
+# The first keeps logs whole, the second cuts them into slices.
 SLICINGS = [4_000_000, 2]
 
 
 @pytest.fixture
 def plant(make):
+    """Machine time, machines and runs."""
     return (
-        make(schemas.EVENTS, micro.EVENTS),
+        machine_time_daily(make(schemas.EVENTS, micro.EVENTS)),
         make(schemas.MACHINES, micro.MACHINES),
         make(schemas.RUNS, micro.RUNS),
     )
@@ -31,8 +33,8 @@ def rows(df):
 
 
 @pytest.mark.parametrize("rows_per_slice", SLICINGS)
-def test_intervals(plant, rows_per_slice):
-    events, machines, _ = plant
+def test_intervals(make, plant, rows_per_slice):
+    events, machines = make(schemas.EVENTS, micro.EVENTS), plant[1]
     got = {r.event_id: r for r in state_intervals(events, machines, rows_per_slice).collect()}
     known = {e[0] for e in micro.EVENTS if e[1] != 9}
     assert {k: r.duration_us for k, r in got.items()} == {k: micro.DURATION_US[k] for k in known}
@@ -42,8 +44,9 @@ def test_intervals(plant, rows_per_slice):
 
 
 @pytest.mark.parametrize("rows_per_slice", SLICINGS)
-def test_line_day_kpi(plant, rows_per_slice):
-    got = {(r.line_id, r.day): r for r in line_day_kpi(*plant, rows_per_slice=rows_per_slice).collect()}
+def test_line_day_kpi(make, plant, rows_per_slice):
+    time = machine_time_daily(make(schemas.EVENTS, micro.EVENTS), rows_per_slice=rows_per_slice)
+    got = {(r.line_id, r.day): r for r in line_day_kpi(time, *plant[1:]).collect()}
     assert set(got) == {(10, D1), (10, D2), (10, D3), (11, D1), (11, D2)}
 
     def check(key, run, stop, good, scrap, rate, per_hour):
@@ -59,12 +62,13 @@ def test_line_day_kpi(plant, rows_per_slice):
     check((11, D2), "0.00", "30.00", 0, 0, None, None)
 
 
-def test_kpi_since_keeps_later_days_unchanged(plant):
-    from pyspark.sql import functions as F
-
+def test_kpi_since_keeps_later_days_unchanged(make, plant):
     full = {(r.line_id, r.day): r for r in line_day_kpi(*plant).collect()}
-    since = {(r.line_id, r.day): r for r in line_day_kpi(*plant, since=F.lit(D2)).collect()}
-    assert since == {k: v for k, v in full.items() if k[1] >= D2}
+    expected = {k: v for k, v in full.items() if k[1] >= D2}
+    pruned = machine_time_daily(make(schemas.EVENTS, micro.EVENTS), F.lit(D2))
+    for time in (plant[0], pruned):
+        rows = line_day_kpi(time, *plant[1:], since=F.lit(D2)).collect()
+        assert {(r.line_id, r.day): r for r in rows} == expected
 
 
 def test_rankings_and_snapshot(plant):
@@ -85,8 +89,9 @@ def test_rankings_and_snapshot(plant):
 
 
 @pytest.mark.parametrize("rows_per_slice", SLICINGS)
-def test_pareto(spark, plant, rows_per_slice):
-    got = rows(downtime.downtime_pareto(plant[0], reason_codes(spark), AS_OF, 30, rows_per_slice))
+def test_pareto(spark, make, rows_per_slice):
+    time = machine_time_daily(make(schemas.EVENTS, micro.EVENTS), rows_per_slice=rows_per_slice)
+    got = rows(downtime.downtime_pareto(time, reason_codes(spark), AS_OF))
     assert got == [
         ("UNKNOWN", Decimal("60.00"), 0.4, 0.4),
         ("CHANGEOVER", Decimal("30.00"), 0.2, 1.0),
@@ -97,8 +102,8 @@ def test_pareto(spark, plant, rows_per_slice):
 
 
 def test_pareto_of_running_events_only(spark, make):
-    events = make(schemas.EVENTS, [e for e in micro.EVENTS if e[3] == "RUN"])
-    got = rows(downtime.downtime_pareto(events, reason_codes(spark), AS_OF))
+    time = machine_time_daily(make(schemas.EVENTS, [e for e in micro.EVENTS if e[3] == "RUN"]))
+    got = rows(downtime.downtime_pareto(time, reason_codes(spark), AS_OF))
     assert got == [("UNKNOWN", Decimal("0.00"), None, None)]
 
 
@@ -108,12 +113,9 @@ def test_pareto_cuts_by_start_day_only(spark, plant):
     assert [r[:2] for r in got] == [("UNKNOWN", Decimal("60.00")), ("CHANGEOVER", Decimal("30.00"))]
 
 
-@pytest.mark.parametrize("rows_per_slice", SLICINGS)
-def test_downtime_by_line(spark, plant, rows_per_slice):
-    events, machines, _ = plant
-    got = rows(
-        downtime.downtime_by_line_reason(events, machines, reason_codes(spark), AS_OF, 30, rows_per_slice)
-    )
+def test_downtime_by_line(spark, plant):
+    time, machines, _ = plant
+    got = rows(downtime.downtime_by_line_reason(time, machines, reason_codes(spark), AS_OF))
     assert got == [
         (10, "UNKNOWN", Decimal("60.00")),
         (10, "MECH", Decimal("30.00")),
@@ -158,13 +160,11 @@ def test_quality_rounds_halves_up(make):
 
 
 def test_log_vs_output_classes(make, plant):
-    events, machines, runs = plant
-    assert rows(crosschecks.log_vs_output_check(events, machines, runs)) == [
+    time, machines, runs = plant
+    assert rows(crosschecks.log_vs_output_check(time, machines, runs)) == [
         ("NO_EVENTS", 1),
         ("NO_OUTPUT", 1),
         ("OK", 3),
     ]
     more = runs.union(make(schemas.RUNS, [micro.run(9, 11, "2024-01-02 13:00:00", 3, 0)]))
-    assert ("RUNTIME_ZERO_WITH_OUTPUT", 1) in rows(
-        crosschecks.log_vs_output_check(events, machines, more)
-    )
+    assert ("RUNTIME_ZERO_WITH_OUTPUT", 1) in rows(crosschecks.log_vs_output_check(time, machines, more))

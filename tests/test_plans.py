@@ -6,10 +6,9 @@ import pytest
 
 import __spark_entry__ as entry
 from linetally.operators.intervals import state_intervals
-from linetally.operators.line_day import line_day_kpi, line_output_daily
-from linetally.plans import downtime, production
+from linetally.operators.line_day import line_day_kpi, line_output_daily, machine_time_daily
+from linetally.plans import production
 from linetally.sources import fixtures
-from linetally.sources.tables import reason_codes
 
 
 def plan_of(df):
@@ -28,9 +27,9 @@ def exchanges(plan, keys):
     return len(re.findall(rf"Exchange hashpartitioning\({keys}, \d+\)", plan))
 
 
-def facts(spark, sf_dir):
+def time_facts(spark, sf_dir, **options):
     return (
-        fixtures.machine_events(spark, sf_dir),
+        machine_time_daily(fixtures.machine_events(spark, sf_dir), **options),
         fixtures.machines(spark, sf_dir),
         fixtures.production_runs(spark, sf_dir),
     )
@@ -48,7 +47,7 @@ def test_no_python_and_no_cross_join(spark, sf_dir, name, no_static_broadcast):
 
 
 def test_mart_shuffles_events_once_and_joins_in_place(spark, sf_dir, no_static_broadcast):
-    plan = plan_of(line_day_kpi(*facts(spark, sf_dir)))
+    plan = plan_of(line_day_kpi(*time_facts(spark, sf_dir)))
     # Below the full join: a sort and the final aggregate, no exchange before them.
     join = plan[plan.index("FullOuter") :]
     left = join[: join.index("Exchange")]
@@ -62,14 +61,14 @@ def test_mart_shuffles_events_once_and_joins_in_place(spark, sf_dir, no_static_b
 
 
 def test_cut_logs_shuffle_events_once(spark, sf_dir, no_static_broadcast):
-    plan = plan_of(line_day_kpi(*facts(spark, sf_dir), rows_per_slice=20))
+    plan = plan_of(line_day_kpi(*time_facts(spark, sf_dir, rows_per_slice=20)))
     assert event_scans(plan) == 1
     # Events, slice starts, and these back to their slices.
     assert exchanges(plan, r"machine_id#\d+, slice_1#\d+L") == 3
 
 
 def test_intervals_meet_their_line_in_place(spark, sf_dir, no_static_broadcast):
-    events, machines, _ = facts(spark, sf_dir)
+    events, machines = fixtures.machine_events(spark, sf_dir), fixtures.machines(spark, sf_dir)
     for rows_per_slice in (4_000_000, 20):
         plan = plan_of(state_intervals(events, machines, rows_per_slice))
         top = plan[: plan.index("Window")]
@@ -78,10 +77,8 @@ def test_intervals_meet_their_line_in_place(spark, sf_dir, no_static_broadcast):
 
 
 def test_date_filters_reach_the_scans(spark, sf_dir, no_static_broadcast):
-    pareto = plan_of(
-        downtime.downtime_pareto(fixtures.machine_events(spark, sf_dir), reason_codes(spark), fixtures.AS_OF)
-    )
-    scans = [line for line in pareto.splitlines() if "FileScan" in line and "ReadSchema: struct<>" not in line]
+    pareto = plan_of(entry.queries()["downtime_pareto"](spark, sf_dir))
+    scans = [line for line in pareto.splitlines() if "FileScan" in line]
     assert scans and all("GreaterThanOrEqual(ts,2023-12-31T00:00" in scan for scan in scans)
 
 

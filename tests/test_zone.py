@@ -4,7 +4,7 @@ import micro
 import pytest
 
 from linetally.operators.intervals import state_intervals
-from linetally.operators.line_day import line_day_kpi
+from linetally.operators.line_day import line_day_kpi, machine_time_daily
 from linetally.sources import fixtures, schemas
 
 
@@ -33,7 +33,7 @@ def test_no_hour_is_lost_when_clocks_change(make, zone):
 def test_mart_is_the_same_in_every_zone(spark, sf_dir, zone):
     def mart():
         return line_day_kpi(
-            fixtures.machine_events(spark, sf_dir),
+            machine_time_daily(fixtures.machine_events(spark, sf_dir)),
             fixtures.machines(spark, sf_dir),
             fixtures.production_runs(spark, sf_dir),
         ).fillna(-1.0)
