@@ -42,9 +42,7 @@ def line_time_daily(machine_time: DataFrame, machines: DataFrame) -> DataFrame:
     Machines without a dimension row drop out.
     """
     return (
-        machine_time.groupBy("machine_id", "day")
-        .agg(F.sum("run_us").alias("run_us"), F.sum("stop_us").alias("stop_us"))
-        .join(machines.select("machine_id", "line_id"), "machine_id")
+        machine_time.join(machines.select("machine_id", "line_id"), "machine_id")
         .groupBy("line_id", "day")
         .agg(F.sum("run_us").alias("run_us"), F.sum("stop_us").alias("stop_us"))
     )

@@ -6,20 +6,19 @@ arithmetic, running totals are self-joins, reports start from shared views.
 
 from __future__ import annotations
 
-from linetally.sources.fixtures import AS_OF
+from linetally.sources.fixtures import AS_OF, REASON_CYCLE, TEST_TYPES
+from linetally.sources.tables import REASON_ROWS
 
 VIEWS = {
     "m": """select distinct user_id::int as machine_id, (user_id % 25)::int as line_id
             from events""",
-    "e": """select event_id, user_id::int as machine_id, ts as event_ts,
-                   if(event_type = 'error', 'STOP', 'RUN') as state,
-                   if(event_type = 'error',
-                      (['MECH', 'ELEC', 'CHNG', 'MTRL', 'QUAL', 'PLAN'])[(event_id % 7 + 1)::int],
-                      null) as reason_code
-            from events""",
-    "rc": """select * from (values ('MECH', 'MECH'), ('ELEC', 'ELEC'), ('CHNG', 'CHANGEOVER'),
-                    ('MTRL', 'MATERIAL'), ('QUAL', 'QUALITY'), ('PLAN', 'PLANNING'))
-                    as t(reason_code, reason_category)""",
+    "e": f"""select event_id, user_id::int as machine_id, ts as event_ts,
+                    if(event_type = 'error', 'STOP', 'RUN') as state,
+                    if(event_type = 'error', ({list(REASON_CYCLE)})[(event_id % 7 + 1)::int], null)
+                        as reason_code
+             from events""",
+    "rc": f"""select * from (values {", ".join(map(str, REASON_ROWS))})
+                     as t(reason_code, reason_category, reason_desc)""",
     "r0": """select o_orderkey as k, o_custkey % 25 as ln,
                     if((o_custkey % 25 + o_orderkey % 45) % 7 = 0, 1, 0) + o_orderkey % 45 as off
              from orders""",
@@ -32,9 +31,9 @@ VIEWS = {
                    (if((ln + off) % 11 = 0, 0, 800 + (k * 7) % 401))::int as good_qty,
                    (if((ln + off) % 11 = 0, 0, k % 81))::int as scrap_qty
             from r0""",
-    "q": """select work_order_id * 2 + x.k as qc_id, work_order_id,
+    "q": f"""select work_order_id * 2 + x.k as qc_id, work_order_id,
                    actual_start_ts + to_minutes(((work_order_id * 37 + x.k * 101) % 301)::int) as sample_ts,
-                   (['viscosity', 'thickness', 'adhesion'])[((work_order_id + x.k) % 3 + 1)::int] as test_type,
+                   ({list(TEST_TYPES)})[((work_order_id + x.k) % 3 + 1)::int] as test_type,
                    (work_order_id * 17 + x.k) % 100 as value,
                    (work_order_id * 13 + x.k * 7) % 100 >= 12 as in_spec
             from r, (values (0), (1)) as x(k)""",
@@ -159,7 +158,7 @@ def _references() -> str:
 
 
 def _required() -> str:
-    reasons = _same("reason_code", "reason_category") | {"reason_desc": "reason_category"}
+    reasons = _same("reason_code", "reason_category", "reason_desc")
     runs = _same(
         "work_order_id",
         "line_id",

@@ -65,11 +65,8 @@ def downtime_by_line_reason(
     days: int = 30,
 ) -> DataFrame:
     """Stop minutes by line and reason category; machines without a dimension row drop out."""
-    per_line = (
-        _recent(machine_time, as_of, days)
-        .groupBy("machine_id", "reason_code")
-        .agg(F.sum("stop_us").cast("decimal(20,0)").alias("stop_us"))
-        .join(machines.select("machine_id", "line_id"), "machine_id")
+    per_line = _recent(machine_time, as_of, days).join(
+        machines.select("machine_id", "line_id"), "machine_id"
     )
     return (
         _by_category(per_line, reasons, "line_id")

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linetally.functions import on_or_after
 from linetally.operators.line_day import line_day_kpi, machine_time_daily
 from linetally.operators.slices import ROWS_PER_SLICE
 from linetally.session import checkpointed
@@ -53,27 +54,31 @@ def read_machine_time(spark: SparkSession, path: str) -> DataFrame:
     return _read_by_day(spark, MACHINE_TIME, path)
 
 
+def _between(first_day: datetime.date, last_day: datetime.date) -> Column:
+    """Events of these days, as bounds the Parquet reader can use."""
+    start, end = (F.lit(d).cast("timestamp_ntz") for d in (first_day, last_day + datetime.timedelta(days=1)))
+    return (F.col("event_ts") >= start) & (F.col("event_ts") < end)
+
+
 def days_to_rebuild(
-    events: DataFrame, first_day: datetime.date, last_day: datetime.date
+    events: DataFrame,
+    first_day: datetime.date,
+    last_day: datetime.date,
+    machine_time: DataFrame | None = None,
 ) -> DataFrame:
     """The days whose KPI can change when events or runs of first_day..last_day arrive.
 
     Besides these days themselves that is, for every machine with an event among them, the
-    day of its last event before: that interval now ends at the new event.
+    day of its last event before: that interval now ends at the new event.  Stored machine
+    time, if given, tells that day without reading the log's past.
     """
-    day = F.to_date("event_ts")
-    end = F.lit(last_day + datetime.timedelta(days=1)).cast("timestamp_ntz")
-    before = day < F.lit(first_day)
-    earlier = (
-        events.where(F.col("event_ts") < end)
-        .groupBy("machine_id")
-        .agg(F.max(F.when(before, day)).alias("day"), F.count_if(~before).alias("n_new"))
-        .where((F.col("n_new") > 0) & F.col("day").isNotNull())
-        .select("day")
-    )
+    seen = events.withColumn("day", F.to_date("event_ts")) if machine_time is None else machine_time
+    last_seen = seen.where(F.col("day") < F.lit(first_day)).groupBy("machine_id").agg(F.max("day").alias("day"))
+    changed = events.where(_between(first_day, last_day)).select("machine_id").distinct()
     given = events.sparkSession.range(1).select(
         F.explode(F.sequence(F.lit(first_day), F.lit(last_day), F.expr("interval 1 day"))).alias("day")
     )
+    earlier = last_seen.join(changed, "machine_id", "left_semi").select("day")
     return earlier.union(given).distinct()
 
 
@@ -83,15 +88,13 @@ def _log_of_days(events: DataFrame, since: datetime.date, last_day: datetime.dat
     That time is the machine's next event, found by a map-side combined minimum, so later
     events are neither shuffled nor sorted.
     """
-    end = F.lit(last_day + datetime.timedelta(days=1)).cast("timestamp_ntz")
-    start = F.lit(since).cast("timestamp_ntz")
-    wanted = events.where((F.col("event_ts") >= start) & (F.col("event_ts") < end))
+    after = F.lit(last_day + datetime.timedelta(days=1))
     closing = (
-        events.where(F.col("event_ts") >= end)
+        events.where(on_or_after("event_ts", after))
         .groupBy("machine_id")
         .agg(F.min("event_ts").alias("event_ts"))
     )
-    return wanted.unionByName(closing, allowMissingColumns=True)
+    return events.where(_between(since, last_day)).unionByName(closing, allowMissingColumns=True)
 
 
 def refresh_line_day_kpi(
@@ -106,16 +109,18 @@ def refresh_line_day_kpi(
 ) -> None:
     """Rebuild only the stored days that rows added on first_day..last_day can change.
 
-    With ``machine_time_path`` the stored machine time is brought up to date as well.  Rows
-    must only have been added: a day that lost all its rows would keep what is stored.
+    With ``machine_time_path`` the stored machine time is used and brought up to date as well.
+    Rows must only have been added: a day that lost all its rows would keep what is stored.
     """
-    days = checkpointed(days_to_rebuild(events, first_day, last_day))
+    spark = events.sparkSession
+    known = None if machine_time_path is None else read_machine_time(spark, machine_time_path)
+    days = checkpointed(days_to_rebuild(events, first_day, last_day, known))
     since = days.agg(F.min("day")).first()[0]
     log = _log_of_days(events, since, last_day)
     time = machine_time_daily(log, rows_per_slice=rows_per_slice).join(days, "day", "left_semi")
     if machine_time_path is not None:
         write_machine_time(time, machine_time_path, only_days_present=True)
-        stored = read_machine_time(events.sparkSession, machine_time_path)
+        stored = read_machine_time(spark, machine_time_path)
         time = stored.where(F.col("day") >= F.lit(since)).join(days, "day", "left_semi")
     fresh = line_day_kpi(time, machines, runs, F.lit(since))
     write_line_day_kpi(fresh.join(days, "day", "left_semi"), path, only_days_present=True)

@@ -11,6 +11,7 @@ from linetally.sources.tables import reason_codes
 
 AS_OF = datetime.date(2024, 1, 30)
 
+# Reason codes of stops, test types.
 REASON_CYCLE = ("MECH", "ELEC", "CHNG", "MTRL", "QUAL", "PLAN")
 TEST_TYPES = ("viscosity", "thickness", "adhesion")
 

@@ -76,8 +76,9 @@ def test_days_to_rebuild_reach_back_to_the_last_event_before(make):
         ],
     )
     first, last = datetime.date(2024, 1, 20), datetime.date(2024, 1, 21)
-    got = {r.day.day for r in days_to_rebuild(events, first, last).collect()}
-    assert got == {5, 20, 21}
+    for machine_time in (None, machine_time_daily(events)):
+        got = days_to_rebuild(events, first, last, machine_time).collect()
+        assert {r.day.day for r in got} == {5, 20, 21} and len(got) == 3
 
 
 @pytest.mark.parametrize("rows_per_slice", [4_000_000, 2])
