@@ -41,7 +41,10 @@ class Table:
     domains: dict[str, tuple[str, ...]] = field(default_factory=dict)
     defaults: dict[str, str] = field(default_factory=dict)
     layout: tuple[str, ...] = ()
-    """Columns the stored files are range-partitioned and sorted by."""
+    """Columns the stored files are range-partitioned and sorted by.
+
+    They end in the key, so that a date with very many rows still spreads over files.
+    """
 
     @property
     def required(self) -> list[str]:
@@ -107,7 +110,7 @@ RUNS = Table(
         Reference("product_id", "dim_products", "product_id"),
     ),
     defaults={"uom": "unit"},
-    layout=("actual_end_ts",),
+    layout=("actual_end_ts", "work_order_id"),
 )
 
 EVENTS = Table(
@@ -123,7 +126,7 @@ EVENTS = Table(
         Reference("work_order_id", "fct_production_runs", "work_order_id"),
     ),
     domains={"state": ("RUN", "STOP")},
-    layout=("event_ts", "machine_id"),
+    layout=("event_ts", "event_id"),
 )
 
 QC_RESULTS = Table(
@@ -140,7 +143,7 @@ QC_RESULTS = Table(
     ),
     ("qc_id",),
     (Reference("work_order_id", "fct_production_runs", "work_order_id"),),
-    layout=("sample_ts",),
+    layout=("sample_ts", "qc_id"),
 )
 
 SHIPMENTS = Table(
@@ -161,7 +164,7 @@ SHIPMENTS = Table(
         Reference("customer_id", "dim_customers", "customer_id"),
         Reference("product_id", "dim_products", "product_id"),
     ),
-    layout=("requested_ship_date",),
+    layout=("requested_ship_date", "shipment_id"),
 )
 
 TABLES = {
@@ -184,7 +187,7 @@ MACHINE_TIME = Table(
     "machine_time_daily",
     _columns({"machine_id": INT, "day": DATE, "run_us": LONG, "stop_us": LONG}, {"reason_code": TEXT}),
     ("machine_id", "day", "reason_code"),
-    layout=("day", "machine_id"),
+    layout=("day", "machine_id", "reason_code"),
 )
 
 LINE_DAY_KPI = Table(

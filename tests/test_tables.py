@@ -1,7 +1,9 @@
+import datetime
 import uuid
 
 import micro
 import pytest
+from pyspark.sql import functions as F
 
 from linetally.operators.intervals import state_intervals
 from linetally.session import shared_folder
@@ -63,6 +65,22 @@ def test_bucketed_log_needs_no_shuffle(spark, root, rows_per_slice):
     assert intervals.exceptAll(state_intervals(events, machines)).count() == 0
 
 
+def test_one_date_with_most_rows_spreads_over_files(spark, root):
+    """Range partitioning splits equal dates by the key."""
+    rows = fixtures.shipments(spark, "/root/testdata/sf0.1").withColumn(
+        "requested_ship_date", F.lit(datetime.date(2024, 1, 1))
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        save_table(rows, root, schemas.SHIPMENTS)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    stored = read_table(spark, root, schemas.SHIPMENTS)
+    per_file = stored.groupBy(F.input_file_name().alias("file")).count().agg(F.max("count"), F.count("*"))
+    largest, files = per_file.first()
+    assert files == 8 and largest < 2 * stored.count() / files
+
+
 def test_declared_counts():
     tables = TABLES.values()
     assert len(tables) == 10
