@@ -84,7 +84,7 @@ def _inserted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = fixtures.machine_events(spark, sf_dir)
     save_table(events.where(F.col("state") == "STOP"), root, EVENTS)
     save_table(events.where(F.col("state") != "STOP"), root, EVENTS, mode="append")
-    return read_table(spark, root, EVENTS)
+    return read_table(spark, root, EVENTS).drop("work_order_id")
 
 
 def _pk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,7 +147,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
-        "machine_events": fixtures.machine_events,
+        "machine_events": lambda s, d: fixtures.machine_events(s, d).drop("work_order_id"),
         "production_runs": fixtures.production_runs,
         "qc_results": lambda s, d: _plain(fixtures.qc_results(s, d)),
         "shipments": fixtures.shipments,

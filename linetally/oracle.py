@@ -223,13 +223,13 @@ def _family(keys: str, extra: str) -> str:
 
 
 STATEMENTS = {
-    "machine_events": "select *, null::bigint as work_order_id from e",
+    "machine_events": "select * from e",
     "production_runs": "select *, 'unit' as uom from r",
     "qc_results": "select * replace (value::double as value) from q",
     "shipments": "select * from s",
     "state_intervals": """select event_id, machine_id, line_id, day, state, reason_code, event_ts, next_ts,
                           us as duration_us from iv where line_id is not null""",
-    "insert_machine_events": "select *, null::bigint as work_order_id from e",
+    "insert_machine_events": "select * from e",
     "machine_time_daily": """select machine_id, day, reason_code,
                              sum(if(state = 'RUN', us, 0))::bigint as run_us,
                              sum(if(state = 'STOP', us, 0))::bigint as stop_us
@@ -320,8 +320,4 @@ STATEMENTS = {
 
 
 def statements() -> dict[str, str]:
-    full = {}
-    for name, body in STATEMENTS.items():
-        text = body.strip()
-        full[name] = _with_views(text if text.startswith(",") else text)
-    return full
+    return {name: _with_views(body.strip()) for name, body in STATEMENTS.items()}

@@ -54,10 +54,8 @@ def read_machine_time(spark: SparkSession, path: str) -> DataFrame:
     return _read_by_day(spark, MACHINE_TIME, path)
 
 
-def _between(first_day: datetime.date, last_day: datetime.date) -> Column:
-    """Events of these days, as bounds the Parquet reader can use."""
-    start, end = (F.lit(d).cast("timestamp_ntz") for d in (first_day, last_day + datetime.timedelta(days=1)))
-    return (F.col("event_ts") >= start) & (F.col("event_ts") < end)
+def _day_after(day: datetime.date) -> Column:
+    return F.lit(day + datetime.timedelta(days=1))
 
 
 def days_to_rebuild(
@@ -74,7 +72,8 @@ def days_to_rebuild(
     """
     seen = events.withColumn("day", F.to_date("event_ts")) if machine_time is None else machine_time
     last_seen = seen.where(F.col("day") < F.lit(first_day)).groupBy("machine_id").agg(F.max("day").alias("day"))
-    changed = events.where(_between(first_day, last_day)).select("machine_id").distinct()
+    new = on_or_after("event_ts", F.lit(first_day)) & ~on_or_after("event_ts", _day_after(last_day))
+    changed = events.where(new).select("machine_id").distinct()
     given = events.sparkSession.range(1).select(
         F.explode(F.sequence(F.lit(first_day), F.lit(last_day), F.expr("interval 1 day"))).alias("day")
     )
@@ -82,19 +81,25 @@ def days_to_rebuild(
     return earlier.union(given).distinct()
 
 
-def _log_of_days(events: DataFrame, since: datetime.date, last_day: datetime.date) -> DataFrame:
-    """Events of since..last_day, and per machine the time its last interval of these ends.
+def _log_of_days(
+    events: DataFrame, days: DataFrame, since: datetime.date, last_day: datetime.date
+) -> DataFrame:
+    """The events of the given days, and whatever ends their intervals.
 
-    That time is the machine's next event, found by a map-side combined minimum, so later
-    events are neither shuffled nor sorted.
+    An interval that leaves its day ends at the machine's first event on some later day.  Of
+    days that are not rebuilt only that time is kept, one row per machine and day (one for
+    all days after the last), by a minimum that combines map-side.
     """
-    after = F.lit(last_day + datetime.timedelta(days=1))
-    closing = (
-        events.where(on_or_after("event_ts", after))
-        .groupBy("machine_id")
+    day = F.to_date("event_ts")
+    log = events.where(on_or_after("event_ts", F.lit(since))).withColumn("day", day)
+    wanted = log.join(F.broadcast(days), "day", "left_semi").drop("day")
+    ends = (
+        log.join(F.broadcast(days), "day", "left_anti")
+        .groupBy("machine_id", F.least("day", _day_after(last_day)).alias("day"))
         .agg(F.min("event_ts").alias("event_ts"))
+        .drop("day")
     )
-    return events.where(_between(since, last_day)).unionByName(closing, allowMissingColumns=True)
+    return wanted.unionByName(ends, allowMissingColumns=True)
 
 
 def refresh_line_day_kpi(
@@ -111,16 +116,21 @@ def refresh_line_day_kpi(
 
     With ``machine_time_path`` the stored machine time is used and brought up to date as well.
     Rows must only have been added: a day that lost all its rows would keep what is stored.
+
+    The list of days is broadcast; it is no longer than the calendar.
     """
     spark = events.sparkSession
     known = None if machine_time_path is None else read_machine_time(spark, machine_time_path)
     days = checkpointed(days_to_rebuild(events, first_day, last_day, known))
     since = days.agg(F.min("day")).first()[0]
-    log = _log_of_days(events, since, last_day)
-    time = machine_time_daily(log, rows_per_slice=rows_per_slice).join(days, "day", "left_semi")
+
+    def only_these(rows: DataFrame) -> DataFrame:
+        return rows.where(F.col("day") >= F.lit(since)).join(F.broadcast(days), "day", "left_semi")
+
+    log = _log_of_days(events, days, since, last_day)
+    time = only_these(machine_time_daily(log, rows_per_slice=rows_per_slice))
     if machine_time_path is not None:
         write_machine_time(time, machine_time_path, only_days_present=True)
-        stored = read_machine_time(spark, machine_time_path)
-        time = stored.where(F.col("day") >= F.lit(since)).join(days, "day", "left_semi")
-    fresh = line_day_kpi(time, machines, runs, F.lit(since))
-    write_line_day_kpi(fresh.join(days, "day", "left_semi"), path, only_days_present=True)
+        time = only_these(read_machine_time(spark, machine_time_path))
+    fresh = only_these(line_day_kpi(time, machines, runs, F.lit(since)))
+    write_line_day_kpi(fresh, path, only_days_present=True)

@@ -92,7 +92,8 @@ def test_domain_lets_null_pass(tables):
 
 def test_default_unit(spark):
     rows = spark.createDataFrame([(1, "kg"), (2, None)], "work_order_id long, uom string")
-    assert [r.uom for r in fill_defaults(rows, schemas.RUNS).orderBy("work_order_id").collect()] == ["kg", "unit"]
+    filled = fill_defaults(rows, schemas.RUNS).orderBy("work_order_id")
+    assert [r.uom for r in filled.collect()] == ["kg", "unit"]
     assert {r.uom for r in fill_defaults(rows.drop("uom"), schemas.RUNS).collect()} == {"unit"}
 
 

@@ -89,7 +89,13 @@ def test_refresh_equals_full_rebuild_after_late_events(spark, make, path, rows_p
         (51, 3, "2024-01-05 04:00:00", "RUN", None, None),
         (52, 2, "2024-01-06 00:00:00", "RUN", None, None),
     ]
-    later = [(60, 1, "2024-01-10 00:00:00", "RUN", None, None), (61, 3, "2024-01-11 00:00:00", "RUN", None, None)]
+    later = [
+        (60, 1, "2024-01-10 00:00:00", "RUN", None, None),
+        (61, 3, "2024-01-11 00:00:00", "RUN", None, None),
+        # Jan 3 is not rebuilt, but ends the last interval of machine 1 on Jan 2, which is.
+        (62, 1, "2024-01-03 05:00:00", "STOP", "MECH", None),
+        (63, 1, "2024-01-03 06:00:00", "RUN", None, None),
+    ]
     machines = make(schemas.MACHINES, micro.MACHINES)
     runs = make(schemas.RUNS, micro.RUNS)
     more_runs = make(schemas.RUNS, [*micro.RUNS, micro.run(6, 11, "2024-01-05 10:00:00", 70, 3)])
