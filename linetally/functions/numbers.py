@@ -14,9 +14,9 @@ MICROS_PER_HOUR = 60 * MICROS_PER_MINUTE
 
 
 def ratio(part: Column, whole: Column) -> Column:
-    """part / whole with 18 decimals; null when whole is 0."""
-    divisor = F.nullif(whole.cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
-    return part.cast("decimal(20,0)") / divisor
+    """part / whole with 14 decimals; null when whole is 0."""
+    divisor = F.nullif(whole.cast("decimal(24,0)"), F.lit(0).cast("decimal(24,0)"))
+    return part.cast("decimal(24,0)") / divisor
 
 
 def rounded_ratio(part: Column, whole: Column, digits: int) -> Column:

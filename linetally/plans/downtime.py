@@ -18,7 +18,7 @@ NO_REASON = "UNKNOWN"
 def _recent(machine_time: DataFrame, as_of: AsOf, days: int) -> DataFrame:
     """Sums turn decimal here: over a whole fleet they may pass the range of bigint."""
     return machine_time.where(F.col("day") >= days_back(as_of, days)).withColumn(
-        "stop_us", F.col("stop_us").cast("decimal(20,0)")
+        "stop_us", F.col("stop_us").cast("decimal(24,0)")
     )
 
 
@@ -27,7 +27,7 @@ def _by_category(stops: DataFrame, reasons: DataFrame, *keys: str) -> DataFrame:
     category = F.coalesce("reason_category", F.lit(NO_REASON)).alias("reason_category")
     return (
         stops.groupBy(*keys, "reason_code")
-        .agg(F.sum("stop_us").cast("decimal(20,0)").alias("stop_us"))
+        .agg(F.sum("stop_us").cast("decimal(24,0)").alias("stop_us"))
         .join(reasons.select("reason_code", "reason_category"), "reason_code", "left")
         .groupBy(*keys, category)
         .agg(F.sum("stop_us").alias("stop_us"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +46,21 @@ def read_line_day_kpi(spark: SparkSession, path: str) -> DataFrame:
     return _read_by_day(spark, LINE_DAY_KPI, path)
 
 
+def publish_line_day_kpi(mart: DataFrame, name: str, root: str) -> str:
+    """Replace the mart readers see under ``name`` in one step; returns its folder.
+
+    The new mart is written beside the old one, and the view moves to it only when it is
+    complete.  Readers keep the old one until then, also if writing fails.
+    """
+    folder = f"{root}/{LINE_DAY_KPI.name}-{uuid.uuid4().hex}"
+    write_line_day_kpi(mart, folder)
+    columns = ", ".join(
+        f"cast(`{f.name}` as {f.dataType.simpleString()}) as `{f.name}`" for f in LINE_DAY_KPI.schema.fields
+    )
+    mart.sparkSession.sql(f"create or replace view {name} as select {columns} from parquet.`{folder}`")
+    return folder
+
+
 def write_machine_time(machine_time: DataFrame, path: str, only_days_present: bool = False) -> None:
     """Store machine time by day, so that the log is read once for all reports."""
     _write_by_day(machine_time, MACHINE_TIME, path, only_days_present)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from linetally.operators.line_day import line_day_kpi, machine_time_daily
 from linetally.plans.mart import (
     days_to_rebuild,
+    publish_line_day_kpi,
     read_line_day_kpi,
     read_machine_time,
     refresh_line_day_kpi,
@@ -49,6 +50,23 @@ def test_written_mart_reads_back(spark, sf_dir, path):
     assert stored.groupBy("line_id", "day").count().where("count > 1").count() == 0
 
 
+def test_publishing_switches_when_complete(spark, make, path):
+    events, machines = make(schemas.EVENTS, micro.EVENTS), make(schemas.MACHINES, micro.MACHINES)
+    runs = make(schemas.RUNS, micro.RUNS)
+    first = kpi(events, machines, runs.limit(1))
+    publish_line_day_kpi(first, "published", path)
+    before = spark.table("published")
+    assert rows(before) == rows(first)
+    assert before.schema.simpleString() == schemas.LINE_DAY_KPI.schema.simpleString()
+    broken = first.withColumn("good_qty", F.raise_error(F.lit("lost")).cast("bigint"))
+    with pytest.raises(Exception, match="lost"):
+        publish_line_day_kpi(broken, "published", path)
+    assert rows(spark.table("published")) == rows(first)
+    publish_line_day_kpi(kpi(events, machines, runs), "published", path)
+    assert rows(spark.table("published")) == rows(kpi(events, machines, runs))
+    assert rows(before) == rows(first)  # a reader that started earlier keeps its files
+
+
 def test_day_filter_reads_only_its_folders(spark, sf_dir, path):
     mart = line_day_kpi(
         machine_time_daily(fixtures.machine_events(spark, sf_dir)),
