@@ -24,5 +24,5 @@ def rounded_ratio(part: Column, whole: Column, digits: int) -> Column:
 
 
 def minutes(micros: Column) -> Column:
-    """Microseconds as minutes with two decimals."""
-    return F.round(ratio(micros, F.lit(MICROS_PER_MINUTE)), 2).cast("decimal(12,2)")
+    """Microseconds as minutes with two decimals, wide enough for a whole fleet."""
+    return F.round(ratio(micros, F.lit(MICROS_PER_MINUTE)), 2).cast("decimal(24,2)")

@@ -84,8 +84,8 @@ def line_day_kpi(
     return cells.select(
         "line_id",
         "day",
-        minutes(F.col("run_us")).alias("runtime_min"),
-        minutes(F.col("stop_us")).alias("downtime_min"),
+        minutes(F.col("run_us")).cast("decimal(12,2)").alias("runtime_min"),
+        minutes(F.col("stop_us")).cast("decimal(12,2)").alias("downtime_min"),
         "good_qty",
         "scrap_qty",
         F.when(made != 0, good / made.cast("double")).alias("yield"),
