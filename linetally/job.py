@@ -1,10 +1,12 @@
 """Builds the mart from stored tables and writes every report.
 
-spark-submit linetally/job.py --tables ROOT --out FOLDER [--as-of YYYY-MM-DD]
+spark-submit --py-files linetally.zip linetally/job.py --tables ROOT --out FOLDER
+             [--as-of YYYY-MM-DD] [--refresh FIRST LAST]
 
 ROOT holds one Parquet folder per table.  FOLDER receives machine_time_daily,
 mart_daily_line_kpi and reports/<name>; both must be reachable from every executor.  The
-event log is read once.
+event log is read once.  With --refresh the stored machine time and mart are only brought
+up to date for rows added on the days FIRST to LAST.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from linetally.operators.line_day import line_day_kpi, machine_time_daily
 from linetally.plans.mart import (
     read_line_day_kpi,
     read_machine_time,
+    refresh_line_day_kpi,
     write_line_day_kpi,
     write_machine_time,
 )
@@ -26,14 +29,25 @@ from linetally.sources.schemas import LINE_DAY_KPI, MACHINE_TIME
 from linetally.sources.tables import load_tables
 
 
-def run(spark: SparkSession, root: str, out: str, as_of: datetime.date | None = None) -> list[str]:
+def run(
+    spark: SparkSession,
+    root: str,
+    out: str,
+    as_of: datetime.date | None = None,
+    refresh: tuple[datetime.date, datetime.date] | None = None,
+) -> list[str]:
     """Returns the paths written."""
     tables = load_tables(spark, root)
+    events, machines = tables["fct_machine_events"], tables["dim_machines"]
+    runs = tables["fct_production_runs"]
     time_path, mart_path = f"{out}/{MACHINE_TIME.name}", f"{out}/{LINE_DAY_KPI.name}"
-    write_machine_time(machine_time_daily(tables["fct_machine_events"]), time_path)
+    if refresh is None:
+        write_machine_time(machine_time_daily(events), time_path)
+        mart = line_day_kpi(read_machine_time(spark, time_path), machines, runs)
+        write_line_day_kpi(mart, mart_path)
+    else:
+        refresh_line_day_kpi(mart_path, events, machines, runs, *refresh, machine_time_path=time_path)
     time = read_machine_time(spark, time_path)
-    mart = line_day_kpi(time, tables["dim_machines"], tables["fct_production_runs"])
-    write_line_day_kpi(mart, mart_path)
     written = [time_path, mart_path]
     for name, report in all_reports(tables, time, read_line_day_kpi(spark, mart_path), as_of).items():
         written.append(f"{out}/reports/{name}")
@@ -46,9 +60,10 @@ def main() -> None:
     parser.add_argument("--tables", required=True)
     parser.add_argument("--out", required=True)
     parser.add_argument("--as-of", type=datetime.date.fromisoformat)
+    parser.add_argument("--refresh", type=datetime.date.fromisoformat, nargs=2, metavar=("FIRST", "LAST"))
     arguments = parser.parse_args()
     spark = SparkSession.builder.appName("linetally").getOrCreate()
-    for path in run(spark, arguments.tables, arguments.out, arguments.as_of):
+    for path in run(spark, arguments.tables, arguments.out, arguments.as_of, arguments.refresh):
         print(path)
     spark.stop()
 

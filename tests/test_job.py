@@ -1,31 +1,45 @@
+import datetime
 import uuid
 
 import compare
-import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from linetally import job
 from linetally.session import shared_folder
 from linetally.sources import fixtures
-from linetally.sources.schemas import TABLES
+from linetally.sources.schemas import EVENTS, RUNS, TABLES
 from linetally.sources.tables import save_table
 
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.fixture(scope="module")
-def written(spark):
-    root = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-    for name, rows in fixtures.all_tables(spark, SF).items():
-        save_table(rows, f"{root}/tables", TABLES[name])
-    return {path.rsplit("/", 1)[1]: path for path in job.run(spark, f"{root}/tables", root, fixtures.AS_OF)}
-
-
-def test_stored_reports_equal_the_oracle(spark, written):
+def check(spark, written):
     """From stored tables, over the stored mart, to stored reports."""
-    con = compare.connect(SF)
-    oracle = entry.oracle_sql()
+    con, oracle = compare.connect(SF), entry.oracle_sql()
     assert len(written) == 16
-    for name, path in written.items():
+    for path in written:
+        name = path.rsplit("/", 1)[1]
         key = "line_day_kpi" if name == "mart_daily_line_kpi" else name
         compare.assert_same(entry._plain(spark.read.parquet(path)), con, oracle[key])
+
+
+def test_stored_reports_equal_the_oracle_after_build_and_refresh(spark):
+    root = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    tables, out = f"{root}/tables", f"{root}/out"
+    views = fixtures.all_tables(spark, SF)
+    for name, rows in views.items():
+        save_table(rows, tables, TABLES[name])
+    check(spark, job.run(spark, tables, out, fixtures.AS_OF))
+
+    # The same tables, of which three days come later.
+    first, last = datetime.date(2024, 1, 14), datetime.date(2024, 1, 16)
+    events, runs = views["fct_machine_events"], views["fct_production_runs"]
+    new_events = F.to_date("event_ts").between(first, last)
+    new_runs = F.to_date("actual_end_ts").between(first, last)
+    save_table(events.where(~new_events), tables, EVENTS)
+    save_table(runs.where(~new_runs), tables, RUNS)
+    job.run(spark, tables, out, fixtures.AS_OF)
+    save_table(events.where(new_events), tables, EVENTS, mode="append")
+    save_table(runs.where(new_runs), tables, RUNS, mode="append")
+    check(spark, job.run(spark, tables, out, fixtures.AS_OF, (first, last)))
