@@ -16,9 +16,11 @@ from linetally.operators.slices import ROWS_PER_SLICE, Cut, Level, cut_long_grou
 
 SECOND_US = 1_000_000
 
-# Widths to cut logs at: time first, then among events of the same microsecond their ids.
+# Widths to cut logs at.  One calendar width serves a whole log; the finer ones each cut only
+# what the width before left too long, so a burst does not shred the rest of its log.  Events
+# of the same microsecond are cut by id.
 CALENDAR_US = (86_400 * SECOND_US, 3_600 * SECOND_US, 60 * SECOND_US)
-BURST_US = (SECOND_US, 1_000)
+BURST_US = (SECOND_US, 1_000, 1)
 ID_RANGES = (10**15, 10**12, 10**9, 10**6, 10**4)
 DENSE_ID_RANGES = (100, 1)
 
@@ -44,8 +46,7 @@ def machine_logs(events: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> Mac
     time, event = epoch_micros(F.col("event_ts")), F.col("event_id")
     levels = [
         Level(time, CALENDAR_US),
-        Level(time, BURST_US),
-        Level(time, (1,)),
+        *[Level(time, (width,)) for width in BURST_US],
         Level(event, ID_RANGES),
         Level(event, DENSE_ID_RANGES),
     ]

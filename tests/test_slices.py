@@ -81,7 +81,7 @@ def test_a_burst_leaves_the_rest_of_the_log_in_wide_slices(make):
         for i in range(500)
     ]
     logs = machine_logs(make(schemas.EVENTS, quiet + burst), 50)
-    assert logs.cut.slices == ["slice_1", "slice_2"]
+    assert logs.cut.slices == ["slice_1", "slice_2", "slice_3"]
     assert logs.rows.select(*logs.keys).distinct().count() < 366 + 500
     assert {r.event_id: (r.next_ts, r.duration_us) for r in
             machine_intervals(make(schemas.EVENTS, quiet + burst), 50).rows.collect()} == brute_force(
