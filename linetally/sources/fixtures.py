@@ -6,6 +6,7 @@ import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from linetally.sources.tables import reason_codes
 
@@ -16,8 +17,15 @@ REASON_CYCLE = ("MECH", "ELEC", "CHNG", "MTRL", "QUAL", "PLAN")
 TEST_TYPES = ("viscosity", "thickness", "adhesion")
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its schema is taken from the files once, as inferring it starts a job."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _pick(values: tuple[str, ...], index: Column) -> Column:
