@@ -5,7 +5,7 @@ spark-submit --py-files linetally.zip linetally/job.py --tables ROOT --out FOLDE
 
 ROOT holds one Parquet folder per table.  FOLDER receives machine_time_daily,
 mart_daily_line_kpi and reports/<name>; both must be reachable from every executor.  The
-event log is read once.  With --refresh the stored machine time and mart are only brought
+event log is shuffled once.  With --refresh the stored machine time and mart are only brought
 up to date for rows added on the days FIRST to LAST.
 """
 

@@ -16,7 +16,7 @@ def machine_time_daily(
 ) -> DataFrame:
     """Running and stopped microseconds per machine, day and reason code.
 
-    All reports on machine time start here, so one pass over the log serves them all.  The
+    All reports on machine time start here, so one shuffle of the log serves them all.  The
     sums run on the partitioning of the window, without a shuffle of their own unless a long
     log was cut.
 

@@ -66,7 +66,7 @@ def publish_line_day_kpi(mart: DataFrame, name: str, root: str) -> str:
 
 
 def write_machine_time(machine_time: DataFrame, path: str, only_days_present: bool = False) -> None:
-    """Store machine time by day, so that the log is read once for all reports."""
+    """Store machine time by day, so that the log is shuffled once for all reports."""
     _write_by_day(machine_time, MACHINE_TIME, path, only_days_present)
 
 
