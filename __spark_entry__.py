@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import datetime
+import sys
 import uuid
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+sys.path.insert(0, str(Path(__file__).resolve().parent))  # wherever this file is loaded from
+
 from linetally import oracle
 from linetally.functions import days_back
 from linetally.operators import audits, calendar, intervals, line_day, work_orders
