@@ -23,6 +23,12 @@ from linetally.sources.fixtures import AS_OF
 from linetally.sources.schemas import EVENTS, RUNS, TABLES, Reference
 from linetally.sources.tables import fill_defaults, read_table, reason_codes, save_table
 
+try:  # the operators on training data are an optional part
+    import corpus_pipeline
+    from linetally.llm import queries as llm_queries
+except ImportError:
+    corpus_pipeline = llm_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -149,8 +155,22 @@ def entry(spark: SparkSession) -> DataFrame:
     return _plain(_kpi(spark, "/root/testdata/sf0.001"))
 
 
+def _llm_queries() -> dict[str, Query]:
+    if llm_queries is None:
+        return {}
+    return {**llm_queries.queries(), "pipeline": corpus_pipeline.run}
+
+
+def _llm_oracle_sql() -> dict[str, str]:
+    if llm_queries is None:
+        return {}
+    pipeline = corpus_pipeline.ORACLE_SQL
+    return {**llm_queries.oracle_sql(), **({"pipeline": pipeline} if pipeline else {})}
+
+
 def queries() -> dict[str, Query]:
     return {
+        **_llm_queries(),
         "machine_events": lambda s, d: fixtures.machine_events(s, d).drop("work_order_id"),
         "production_runs": fixtures.production_runs,
         "qc_results": lambda s, d: _plain(fixtures.qc_results(s, d)),
@@ -202,4 +222,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    return {**oracle.statements(), **_llm_oracle_sql()}
