@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linetally.llm import quality
+from linetally.llm import byte_bpe, quality, token_counts, token_files
+from linetally.llm.store import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,13 +16,46 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """Where every machine has a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def split_pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(table(spark, sf_dir, "documents"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = tokenizer_file("piece_bpe_32k.model")
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), model, limit=4096)
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = tokenizer_file("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.encode_and_decode(table(spark, sf_dir, "documents"), ranks, split_pattern())
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "token-files")
+    tokenizer = tokenizer_file("byte_bpe_50k.json")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer, end_id=2)
+    return token_files.document_digests(spark, path)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op3_token_counts": op3_token_counts,
+        "op6_byte_bpe": op6_byte_bpe,
+        "op7_token_files": op7_token_files,
     }
 
 
