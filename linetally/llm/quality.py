@@ -226,21 +226,20 @@ def adaptive_fences(measured: DataFrame, fences: Fences = Fences()) -> DataFrame
     by_lang = merge_sketches(sketches, ["lang"])
     own = sketch_fences(sketches, GROUP, fences).withColumnsRenamed({k: f"of_{k}" for k in GROUP})
     lang = sketch_fences(by_lang, ["lang"], fences)
-    # One row, from a few hundred bins: the only global aggregate.
-    whole = sketch_fences(merge_sketches(by_lang, []), [], fences)
+    # One row of a few numbers, from a few hundred bins.
+    whole = sketch_fences(merge_sketches(by_lang, []), [], fences).first()
 
     def pick(name: str) -> Column:
         return (
             F.when(F.col("own.n_docs") >= fences.min_group, F.col(f"own.{name}"))
             .when(F.col("lang.n_docs") >= fences.min_group, F.col(f"lang.{name}"))
-            .otherwise(F.col(f"whole.{name}"))
+            .otherwise(F.lit(whole[name]).cast("long"))
         )
 
-    joined = own.alias("own").join(
-        lang.alias("lang"), F.col("own.of_lang").eqNullSafe(F.col("lang.lang")), "left"
-    )
-    return joined.join(F.broadcast(whole.alias("whole"))).select(
-        "of_lang", "of_source", *[pick(name).alias(name) for name in FENCE_COLUMNS]
+    return (
+        own.alias("own")
+        .join(lang.alias("lang"), F.col("own.of_lang").eqNullSafe(F.col("lang.lang")), "left")
+        .select("of_lang", "of_source", *[pick(name).alias(name) for name in FENCE_COLUMNS])
     )
 
 

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linetally.llm import byte_bpe, quality, token_counts, token_files
+from linetally.llm import byte_bpe, quality, simhash, token_counts, token_files
+from linetally.llm.covering import Covering
 from linetally.llm.store import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +39,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), model, limit=4096)
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    covering = Covering(parts=3, distance=4)
+    return simhash.simhash_components(table(spark, sf_dir, "documents"), covering, shingle=4)
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = tokenizer_file("byte_bpe_multi_50k.tiktoken")
     return byte_bpe.encode_and_decode(table(spark, sf_dir, "documents"), ranks, split_pattern())
@@ -54,6 +60,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op3_token_counts": op3_token_counts,
+        "op4_simhash": op4_simhash,
         "op6_byte_bpe": op6_byte_bpe,
         "op7_token_files": op7_token_files,
     }
