@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linetally.llm import byte_bpe, quality, simhash, token_counts, token_files
+from linetally.llm import byte_bpe, fingerprints, quality, simhash, substrings, token_counts, token_files
 from linetally.llm.covering import Covering
 from linetally.llm.store import fresh_path
 
@@ -34,6 +34,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(table(spark, sf_dir, "documents"))
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.version_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = tokenizer_file("piece_bpe_32k.model")
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), model, limit=4096)
@@ -56,13 +60,19 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.document_digests(spark, path)
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removals(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op2_fingerprints": op2_fingerprints,
         "op3_token_counts": op3_token_counts,
         "op4_simhash": op4_simhash,
         "op6_byte_bpe": op6_byte_bpe,
         "op7_token_files": op7_token_files,
+        "op10_substring_dedup": op10_substring_dedup,
     }
 
 
