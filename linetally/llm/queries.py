@@ -5,11 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from linetally.llm import byte_bpe, fingerprints, quality, simhash, substrings, token_counts, token_files
+from linetally.llm import byte_bpe, chat, fingerprints, mixing, quality, simhash, substrings, token_counts, token_files, toxicity
 from linetally.llm.covering import Covering
 from linetally.llm.store import fresh_path
 
+# Shares of the training corpus, in percent of its bytes but for what other sources get.
+SOURCE_WEIGHTS = {"src0": 20.0, **{f"src{i}": 4.0 for i in range(1, 20)}}
+REST_WEIGHT = 4.0
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -48,6 +53,19 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), covering, shingle=4)
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and conversation -1, whose texts look like control strings."""
+    conversations = table(spark, sf_dir, "conversations")
+    roles = F.array(F.lit("user"), F.lit("assistant"))
+    hostile = spark.range(1).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.posexplode(roles).alias("turn", "role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    columns = ["conv_id", "turn", "role", "text"]
+    return chat.conversation_digests(conversations.select(columns).unionByName(hostile))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = tokenizer_file("byte_bpe_multi_50k.tiktoken")
     return byte_bpe.encode_and_decode(table(spark, sf_dir, "documents"), ranks, split_pattern())
@@ -60,6 +78,18 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.document_digests(spark, path)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity, then toxicity of fluent and of junk texts, from the given labels."""
+    toxic, fluent = F.col("toxic") == 1, F.col("quality") == 1
+    categories = {"toxic": toxic, "toxic_fluent": toxic & fluent, "toxic_junk": toxic & ~fluent}
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit_chain(docs, table(spark, sf_dir, "labels"), categories))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_copies(table(spark, sf_dir, "documents"), SOURCE_WEIGHTS, REST_WEIGHT)
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removals(table(spark, sf_dir, "documents"))
 
@@ -70,8 +100,11 @@ def queries() -> dict[str, Query]:
         "op2_fingerprints": op2_fingerprints,
         "op3_token_counts": op3_token_counts,
         "op4_simhash": op4_simhash,
+        "op5_chat": op5_chat,
         "op6_byte_bpe": op6_byte_bpe,
         "op7_token_files": op7_token_files,
+        "op8_toxicity": op8_toxicity,
+        "op9_mixing": op9_mixing,
         "op10_substring_dedup": op10_substring_dedup,
     }
 
