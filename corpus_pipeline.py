@@ -1,24 +1,54 @@
 """The training corpus: documents through quality rules, near and substring dedup, mixing, encoding.
 
-Each stage takes (spark, docs, sf_dir) and returns the documents it keeps; ``run`` writes the
-result of each stage as Parquet to the shared folder and reads it back for the next.
+Each stage takes (spark, docs, sf_dir) and returns the documents it keeps, all but the last with
+the columns of docs; ``run`` writes the result of each stage as Parquet to the shared folder and
+reads it back for the next.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linetally.llm import quality
+from linetally.llm import byte_bpe, mixing, quality, queries, simhash, substrings
+from linetally.llm.covering import Covering
 from linetally.llm.store import stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rule and the fences of their language and source."""
     return quality.keep_good(docs)
 
 
-STAGES = [("quality rules", quality_rules)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near duplicates."""
+    return simhash.keep_first(docs, Covering(parts=3, distance=4), shingle=4)
 
-# Fingerprints, encoding and sketches have no SQL form; tests compare with brute force.
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the passages that an earlier one has."""
+    return substrings.cut_repeats(docs)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """As many copies of each document as its source's weight asks for, in random order."""
+    return mixing.mix(docs, queries.SOURCE_WEIGHTS, rest_weight=queries.REST_WEIGHT)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the ids of every copy."""
+    ranks = queries.tokenizer_file("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.encode_and_decode(docs, ranks, queries.split_pattern())
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("SimHash near-dedup", near_dedup),
+    ("substring dedup", substring_dedup),
+    ("mixing sources to target weights", source_mixing),
+    ("byte-level BPE encoding and decoding", encoding),
+]
+
+# Fingerprint bits and merges have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
 
 
