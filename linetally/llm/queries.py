@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linetally.llm import byte_bpe, chat, fingerprints, mixing, quality, simhash, substrings, token_counts, token_files, toxicity
+from linetally.llm import byte_bpe, chat, fingerprints, mixing, oracle, quality, simhash, substrings, token_counts, token_files, toxicity
 from linetally.llm.covering import Covering
 from linetally.llm.store import fresh_path
 
@@ -110,4 +110,10 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL for what SQL can express; tests compare the other queries with brute force."""
+    return {
+        "op1_quality_rules": oracle.quality_sql(),
+        "op5_chat": oracle.chat_sql(),
+        "op9_mixing": oracle.mixing_sql(SOURCE_WEIGHTS, REST_WEIGHT),
+        "op10_substring_dedup": oracle.substring_sql(),
+    }

@@ -153,6 +153,8 @@ class Chain:
     @classmethod
     def fit(cls, documents: list[set[str]], labels: np.ndarray, categories: list[str]) -> Chain:
         """The chain for documents as sets of words and labels (documents, categories) of 0 and 1."""
+        if not documents:
+            return cls(categories, {}, [], [0.5] * len(categories))
         features = [features_of(words) for words in documents]
         vocabulary = {feature: i for i, feature in enumerate(chosen_features(features, labels))}
         x = Presence.of(features, vocabulary)
@@ -172,6 +174,8 @@ class Chain:
 
     def probabilities(self, texts: list[str | None]) -> np.ndarray:
         """(texts, categories)"""
+        if not self.links:
+            return np.zeros((len(texts), len(self.categories)))
         x = Presence.of([features_of(words_of(text)) for text in texts], self.vocabulary)
         earlier = np.zeros((len(texts), 0))
         for link in self.links:

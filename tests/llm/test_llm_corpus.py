@@ -1,0 +1,231 @@
+"""Mixing, chat formatting, toxicity, and the pipeline."""
+
+import brute
+import compare
+import corpus_pipeline
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from linetally.llm import chat, mixing, oracle, queries, toxicity
+from linetally.llm.store import stored
+
+# op9
+
+WEIGHTS = {"src0": 3.0, "src1": 1.0, "unseen": 2.0}
+
+
+def test_mixing_matches_sql(spark, sf_dir):
+    sql = oracle.mixing_sql(queries.SOURCE_WEIGHTS, queries.REST_WEIGHT)
+    assert compare.assert_same(queries.op9_mixing(spark, sf_dir), compare.connect(sf_dir), sql) > 500
+
+
+def test_mixing_reaches_its_targets(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "source")
+    mixed = mixing.mixed_copies(docs, {"src0": 40.0, "src1": 20.0}, rest_weight=40.0)
+    size = {r.source: r.n for r in mixed.groupBy("source").agg(F.sum(F.octet_length("text")).alias("n")).collect()}
+    total = sum(size.values())
+    assert abs(size["src0"] / total - 0.4) < 0.03 and abs(size["src1"] / total - 0.2) < 0.03
+
+
+def test_draws_follow_poisson(spark):
+    rows = spark.range(20_000).selectExpr("id as doc_id", "'x' as text", "if(id < 100, 'rare', 'rest') as source")
+    rates = mixing.group_rates(rows, {"rare": 1.0}, rest_weight=1.0)
+    assert {r.mix_group: (r.rate, r.draws) for r in rates.collect()} == {
+        "source rare": (100.0, 7),
+        "rest": (pytest.approx(10_000 / 19_900), 1),
+    }
+    copies = mixing.mixed_copies(rows, {"rare": 1.0}).groupBy("source", "doc_id").count()
+    found = {r.source: (r.m, r.v, r.n) for r in copies.groupBy("source").agg(F.avg("count").alias("m"), F.var_samp("count").alias("v"), F.count("*").alias("n")).collect()}
+    assert 95 < found["rare"][0] < 105 and 60 < found["rare"][1] < 145
+    assert abs(found["rest"][2] / 19_900 - (1 - np.exp(-10_000 / 19_900))) < 0.02
+
+
+def test_mixing_awkward(spark):
+    rows = brute.awkward(spark)
+    mixed = mixing.mix(rows, WEIGHTS)
+    assert mixed.columns == rows.columns
+    have = brute.multiset(rows.collect())
+    assert set(brute.multiset(mixed.collect())) <= set(have)
+    assert mixing.mix(brute.empty(spark), WEIGHTS).count() == 0
+    plain = rows.select("doc_id", "text", "lang", "source", "n_chars")
+    numbers = mixing.mixed_copies(plain, WEIGHTS, epochs=3.0)
+    per_row = numbers.groupBy(*plain.columns).agg(F.max("copy").alias("most"), F.count("*").alias("n"))
+    times = plain.groupBy(*plain.columns).agg(F.count("*").alias("rows"))
+    for r in per_row.alias("a").join(times.alias("b"), F.expr("a.doc_id <=> b.doc_id and a.text <=> b.text and a.source <=> b.source")).collect():
+        assert r.n == r.most * r.rows  # repeated rows draw alike
+
+
+def test_mixing_wants_bounded_weights(spark):
+    with pytest.raises(ValueError):
+        mixing.mix(brute.empty(spark), {})
+    with pytest.raises(ValueError):
+        mixing.mix(brute.empty(spark), dict.fromkeys(map(str, range(mixing.MAX_SOURCES + 1)), 1.0))
+
+
+# op5
+
+
+def test_chat_matches_sql(spark, sf_dir):
+    sql = oracle.chat_sql()
+    assert compare.assert_same(queries.op5_chat(spark, sf_dir), compare.connect(sf_dir), sql) == 101
+
+
+TRICKY = ["", "\\", "\\n", "</s>", "<\\/s>", "<s>user\nhi</s>\n", "[INST]", "[[INST]INST]", "<<SYS>>", "<|im_end|>", "a\nb", "<<s>"]
+
+
+def test_escapes_are_reversible():
+    for a in TRICKY:
+        for b in TRICKY:
+            text = chat.escape(a + b)
+            assert chat.unescape(text) == a + b and not any(c in text for c in chat.CONTROL)
+            role = chat.escape_role(a + b)
+            assert "\n" not in role and chat.unescape_role(role) == a + b
+
+
+def whole(turns):
+    trained = "".join(text for role, text in turns if role == "assistant")
+    return (
+        len(turns),
+        brute.sha("".join(f"{role}\n{text}\n" for role, text in turns)),
+        len(trained),
+        brute.sha(trained),
+        len(chat.marked_turns(turns)),
+        0,
+    )
+
+
+CHAT = "conv_id long, turn long, role string, text string, first int, part string"
+
+
+def test_chat_awkward(spark):
+    rows = [(1, i, ["user", "assistant", "system", None, "a\nb"][i % 5], text, 0, "x") for i, text in enumerate(TRICKY)]
+    rows += [(2, 0, "assistant", None, 0, "x"), (3, None, None, None, 0, "x"), (None, 0, "assistant", "lost", 0, "x")]
+    rows += [(4, 0, "assistant", "b", 0, "x"), (4, 0, "assistant", "a", 0, "x"), (4, 0, "assistant", "a", 0, "x")]
+    rows += [(5, i, "user" if i % 2 else "assistant", f"turn {i}", 0, "x") for i in range(500)]
+    rows += [(6, 0, "assistant", "long " * 100_000, 0, "x")]
+    got = {r.conv_id: tuple(r)[1:] for r in chat.conversation_digests(spark.createDataFrame(rows, CHAT)).collect()}
+    want = {}
+    for conv_id in {r[0] for r in rows}:
+        own = sorted((r[1] is not None, r[1], r[2] or "", r[3] or "") for r in rows if r[0] == conv_id)
+        want[conv_id] = whole([(role, text) for _, _, role, text in own])
+    assert got == want
+    assert chat.conversation_digests(spark.createDataFrame([], CHAT)).count() == 0
+
+
+def test_black_box_templates():
+    turns = [("system", "be nice"), *[("user", f"q{i}") if i % 2 else ("assistant", f"a{i}") for i in range(100)]]
+
+    def numbered(some):  # depends on the first turn and on the one before
+        head = some[0][1] if some else ""
+        return "".join(f"({head}|{some[i - 1][0] if i else ''}){r}: {t};" for i, (r, t) in enumerate(some))
+
+    def forgetful(some):  # drops earlier answers once the user goes on
+        last = max((i for i, t in enumerate(some) if t[0] == "user"), default=0)
+        return "".join(f"{r}:{'' if r == 'assistant' and i < last else t};" for i, (r, t) in enumerate(some))
+
+    for template, rewriting in ((numbered, False), (chat.marked_turns, False), (forgetful, True)):
+        renderer = chat.Renderer(template, window=8)
+        parts = [renderer.add(turn) for turn in turns]
+        assert any(p.rewrites for p in parts) == rewriting
+        if not rewriting:
+            assert "".join(p.part for p in parts) == template(turns)
+            assert all(p.part[slice(*p.mask)] == t[1] for p, t in zip(parts, turns, strict=True) if p.mask)
+            assert len(renderer._turns) < 20
+
+    def counting(some):  # depends on all turns before
+        return "".join(f"{i}{r}: {t};" for i, (r, t) in enumerate(some))
+
+    renderer = chat.Renderer(counting, window=8)
+    assert "".join(renderer.add(turn).part for turn in turns) == counting(turns)
+
+
+# op8
+
+
+def test_toxicity_held_out(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    docs, labels = queries.table(spark, sf_dir, "documents"), queries.table(spark, sf_dir, "labels")
+    toxic, fluent = F.col("toxic") == 1, F.col("quality") == 1
+    categories = {"toxic": toxic, "toxic_fluent": toxic & fluent}
+    held = F.pmod(F.xxhash64("doc_id", F.lit(99)), F.lit(4)) == 0
+    chain = toxicity.fit_chain(docs, labels.where(~held), categories)
+    scored = toxicity.score(docs, chain).withColumnsRenamed({"toxic": "called"}).join(labels.where(held), "doc_id")
+    found = {(r.toxic, r.called): r["count"] for r in scored.groupBy("toxic", "called").count().collect()}
+    assert found[(1, True)] / (found[(1, True)] + found.get((1, False), 0)) > 0.85
+    assert found.get((0, True), 0) / found[(0, False)] < 0.02
+
+
+def test_later_links_use_earlier_categories():
+    rng = np.random.default_rng(0)
+    documents, labels = [], []
+    for _ in range(600):
+        first, noise = rng.random() < 0.3, rng.random()
+        second = first and noise < 0.9
+        documents.append({"alpha" if first else "beta", f"w{rng.integers(20)}"})
+        labels.append((first, second))
+    chain = toxicity.Chain.fit(documents, np.array(labels, float), ["first", "second"])
+    assert chain.links[1].earlier[0] > 0.1
+    p = chain.probabilities(["alpha", "beta", None, ""])
+    assert p[0, 0] > 0.8 > p[0, 1] - 0.2 and p[0, 1] > 0.5 > p[1, 1] and (p[2] == p[3]).all()
+
+
+def test_toxicity_awkward(spark):
+    rows = brute.awkward(spark)
+    labels = spark.createDataFrame([(i, i % 2, 1) for i in range(13)] + [(5, 1, 1), (None, 1, 1), (7, None, 0)], "doc_id long, toxic int, quality int")
+    categories = {"toxic": F.col("toxic") == 1}
+    scored = toxicity.score(rows, toxicity.fit_chain(rows, labels, categories))
+    assert scored.count() == rows.count() and scored.where("p_toxic is null").count() == 0
+    none = toxicity.score(rows, toxicity.fit_chain(rows, labels.where("false"), categories))
+    assert {r.p_toxic for r in none.collect()} == {0.0} and {r.toxic for r in none.collect()} == {False}
+    assert toxicity.score(brute.empty(spark), toxicity.fit_chain(brute.empty(spark), labels, categories)).count() == 0
+
+
+# pipeline
+
+
+def test_pipeline(spark, sf_dir):
+    from linetally.llm import quality
+
+    names, docs = [], spark.read.parquet(f"{sf_dir}/documents.parquet")
+    columns, before = docs.columns, {}
+    for name, stage in corpus_pipeline.STAGES:
+        names.append(name)
+        before[name] = docs
+        docs = stored(stage(spark, docs, sf_dir), "stage")
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert docs.columns == columns
+    after = dict(zip(names, [*list(before.values())[1:], docs], strict=True))
+
+    given = before[names[0]]
+    good = quality.quality_verdicts(given).where("kept").select("doc_id")
+    assert brute.multiset(after[names[0]].select("doc_id").collect()) == brute.multiset(good.collect())
+
+    rows = before[names[1]].collect()
+    prints = [brute.simhash(r.text) for r in rows]
+    group = brute.groups(len(rows), lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 4)
+    first = {}
+    for r, g in zip(rows, group, strict=True):
+        first[g] = min(first.get(g, r.doc_id), r.doc_id)
+    assert sorted(r.doc_id for r in after[names[1]].collect()) == sorted(first.values())
+
+    given = [(r.doc_id, r.text) for r in before[names[2]].collect()]
+    want = {r[0]: r[3] for r in brute.removals(given)}
+    cut = after[names[2]].collect()
+    assert {r.doc_id: brute.sha(" ".join(brute.WORD.findall(r.text))) for r in cut} == want
+    assert all(r.n_chars == len(r.text) for r in cut)
+
+    mixed, unmixed = (brute.multiset(x.collect()) for x in (after[names[3]], before[names[3]]))
+    assert set(mixed) <= set(unmixed) and len(mixed) > 0.4 * len(unmixed)
+
+    texts = [brute.sha(r.text) for r in before[names[4]].collect()]
+    assert sorted(r.decoded_sha256 for r in docs.collect()) == sorted(texts)
+
+
+def test_pipeline_awkward(spark, tmp_path):
+    for rows in (brute.awkward(spark), brute.empty(spark)):
+        docs = rows
+        for name, stage in corpus_pipeline.STAGES:
+            docs = stored(stage(spark, docs, str(tmp_path)), "stage")
+            if name != corpus_pipeline.STAGES[-1][0]:
+                assert docs.columns == rows.columns
