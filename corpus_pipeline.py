@@ -8,6 +8,7 @@ reads it back for the next.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from linetally.llm import byte_bpe, mixing, quality, queries, simhash, substrings
 from linetally.llm.covering import Covering
@@ -26,7 +27,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the passages that an earlier one has."""
-    return substrings.cut_repeats(docs)
+    return substrings.cut_repeats(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
