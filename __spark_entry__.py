@@ -15,6 +15,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))  # wherever this file i
 
 from linetally import oracle
 from linetally.functions import days_back
+from linetally.functions.times import STORED_DAY
 from linetally.operators import audits, calendar, intervals, line_day, work_orders
 from linetally.plans import crosschecks, downtime, mart, production, quality, shipping, snapshot
 from linetally.session import shared_folder
@@ -30,6 +31,7 @@ except ImportError:
     corpus_pipeline = llm_queries = None
 
 Query = Callable[[SparkSession, str], DataFrame]
+HOUR_US = 3_600_000_000
 
 
 def _plain(rows: DataFrame) -> DataFrame:
@@ -66,35 +68,58 @@ def _kpi(spark: SparkSession, sf_dir: str, days: int | None = None) -> DataFrame
     return line_day.line_day_kpi(*_time_facts(spark, sf_dir, days), since=since)
 
 
+def _fresh_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def _stored_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_folder(spark)}/line_day_kpi-{uuid.uuid4().hex}"
+    path = _fresh_path(spark, "line_day_kpi")
     mart.write_line_day_kpi(_kpi(spark, sf_dir), path)
     return mart.read_line_day_kpi(spark, path)
 
 
-def _refreshed_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Store the KPI as known before the last days, then refresh it for those days."""
-    path = f"{shared_folder(spark)}/line_day_kpi-{uuid.uuid4().hex}"
+def _overwritten_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart of half of the lines, replaced by the whole one at the same path."""
+    path = _fresh_path(spark, "line_day_kpi")
+    kpi = _kpi(spark, sf_dir)
+    mart.write_line_day_kpi(kpi.where(F.col("line_id") < 12), path)
+    mart.write_line_day_kpi(kpi, path)
+    return mart.read_line_day_kpi(spark, path)
+
+
+def _refreshed(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Store time and KPI as known before some days, with too many events on one, then refresh."""
+    path, time_path = _fresh_path(spark, "line_day_kpi"), _fresh_path(spark, "machine_time")
     events, machines, runs = _facts(spark, sf_dir)
     first, last = datetime.date(2024, 1, 20), datetime.date(2024, 2, 29)
     start = F.lit(first).cast("timestamp_ntz")
-    known = line_day.line_day_kpi(
-        line_day.machine_time_daily(events.where(F.col("event_ts") < start)),
-        machines,
-        runs.where(F.col("actual_end_ts") < start),
+    moved = events.where(F.col("event_ts") >= start).withColumn(
+        "event_ts", F.lit(last).cast("timestamp_ntz")
     )
-    mart.write_line_day_kpi(known, path)
-    mart.refresh_line_day_kpi(path, events, machines, runs, first, last)
-    return mart.read_line_day_kpi(spark, path)
+    known = events.where(F.col("event_ts") < start).unionByName(moved.where(F.col("event_id") % 3 == 0))
+    mart.write_machine_time(line_day.machine_day_parts(known), time_path)
+    known_runs = runs.where(F.col("actual_end_ts") < start)
+    known_time = mart.read_machine_time(spark, time_path)
+    mart.write_line_day_kpi(line_day.line_day_kpi(known_time, machines, known_runs), path)
+    mart.refresh_line_day_kpi(path, time_path, events, machines, runs, first, last)
+    return path, time_path
+
+
+def _refreshed_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mart.read_line_day_kpi(spark, _refreshed(spark, sf_dir)[0])
+
+
+def _refreshed_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mart.read_machine_time(spark, _refreshed(spark, sf_dir)[1])
 
 
 def _inserted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored event table after writing the stops and then inserting the runs."""
-    root = f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
+    root = _fresh_path(spark, "tables")
     events = fixtures.machine_events(spark, sf_dir)
     save_table(events.where(F.col("state") == "STOP"), root, EVENTS)
     save_table(events.where(F.col("state") != "STOP"), root, EVENTS, mode="append")
-    return read_table(spark, root, EVENTS).drop("work_order_id")
+    return read_table(spark, root, EVENTS).drop("work_order_id", STORED_DAY)
 
 
 def _pk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,15 +132,32 @@ def _pk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ten references, and orders, whose customers mostly are no machine numbers."""
+    """The ten references, with events linked to runs, and two whose parents are incomplete.
+
+    Those are the linked events against runs without every fifth, and orders, whose customers
+    mostly are no machine numbers.
+    """
     tables = fixtures.all_tables(spark, sf_dir)
-    orders = fixtures.raw(spark, sf_dir, "orders")
-    control = Reference("o_custkey", "dim_machines", "machine_id")
-    return audits.fk_orphans(tables, TABLES.values()).unionByName(
-        audits.orphans(orders, "orders", control, tables["dim_machines"])
+    linked = work_orders.assign_work_order(*_facts(spark, sf_dir))
+    runs = tables[RUNS.name]
+    fewer = {RUNS.name: runs.where(F.col("work_order_id") % 5 != 0)}
+    order = Reference("work_order_id", RUNS.name, "work_order_id")
+    customer = Reference("o_custkey", "dim_machines", "machine_id")
+    return (
+        audits.fk_orphans({**tables, EVENTS.name: linked}, TABLES.values())
+        .unionByName(audits.orphans(linked, "linked events", [order], fewer))
+        .unionByName(audits.orphans(fixtures.raw(spark, sf_dir, "orders"), "orders", [customer], tables))
     )
 
 
+def _not_null_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All required columns, and two of the event log that are not and do have nulls."""
+    tables = fixtures.all_tables(spark, sf_dir)
+    declared = audits.not_null_violations(tables, TABLES.values())
+    linked = work_orders.assign_work_order(*_facts(spark, sf_dir))
+    return declared.unionByName(audits.null_counts(linked, "linked events", ["reason_code", "work_order_id"]))
+
+
 def _state_domain_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event log, and the raw event types, none of which is a state."""
     tables = {EVENTS.name: fixtures.machine_events(spark, sf_dir)}
@@ -126,12 +168,11 @@ def _state_domain_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _uom_default(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as runs whose unit is missing for status P."""
-    given = F.when(F.col("o_orderstatus") != "P", "kg")
-    rows = fixtures.raw(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("work_order_id"), given.alias("uom")
-    )
-    return fill_defaults(rows, RUNS)
+    """Orders as runs; those of status P come without a unit."""
+    orders = fixtures.raw(spark, sf_dir, "orders")
+    key, pending = F.col("o_orderkey").alias("work_order_id"), F.col("o_orderstatus") == "P"
+    given = orders.where(~pending).select(key, F.lit("kg").alias("uom"))
+    return fill_defaults(given, RUNS).unionByName(fill_defaults(orders.where(pending).select(key), RUNS))
 
 
 def _best(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,8 +187,9 @@ def _runs_products(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     return fixtures.production_runs(spark, sf_dir), fixtures.products(spark, sf_dir)
 
 
-def _qc_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return fixtures.qc_results(spark, sf_dir), fixtures.production_runs(spark, sf_dir)
+def _qc_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
+    qc, runs = fixtures.qc_results(spark, sf_dir), fixtures.production_runs(spark, sf_dir)
+    return quality.qc_line_day_tally(qc, runs, AS_OF)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -168,21 +210,26 @@ def _llm_oracle_sql() -> dict[str, str]:
     return {**llm_queries.oracle_sql(), **({"pipeline": pipeline} if pipeline else {})}
 
 
-def queries() -> dict[str, Query]:
+def line_queries() -> dict[str, Query]:
     return {
-        **_llm_queries(),
         "machine_events": lambda s, d: fixtures.machine_events(s, d).drop("work_order_id"),
         "production_runs": fixtures.production_runs,
         "qc_results": lambda s, d: _plain(fixtures.qc_results(s, d)),
         "shipments": fixtures.shipments,
         "insert_machine_events": _inserted_events,
         "state_intervals": lambda s, d: intervals.state_intervals(*_log(s, d)),
+        "state_intervals_hourly_pieces": lambda s, d: intervals.state_intervals(*_log(s, d), slice_us=HOUR_US),
         "machine_time_daily": _time,
+        "machine_time_hourly_pieces": lambda s, d: line_day.machine_time_daily(
+            fixtures.machine_events(s, d), slice_us=HOUR_US
+        ),
         "line_time_daily": lambda s, d: line_day.line_time_daily(_time(s, d), fixtures.machines(s, d)),
         "line_output_daily": lambda s, d: line_day.line_output_daily(fixtures.production_runs(s, d)),
         "line_day_kpi": lambda s, d: _plain(_kpi(s, d)),
         "write_line_day_kpi": lambda s, d: _plain(_stored_kpi(s, d)),
+        "overwrite_line_day_kpi": lambda s, d: _plain(_overwritten_kpi(s, d)),
         "refresh_line_day_kpi": lambda s, d: _plain(_refreshed_kpi(s, d)),
+        "refresh_machine_time": _refreshed_time,
         "kpi_snapshot": lambda s, d: _plain(snapshot.kpi_snapshot(_kpi(s, d, 14), AS_OF)),
         "best_throughput_days": _best,
         "worst_throughput_days": _worst,
@@ -200,17 +247,15 @@ def queries() -> dict[str, Query]:
             fixtures.production_runs(s, d), AS_OF
         ),
         "qc_fail_by_test": lambda s, d: quality.qc_fail_by_test(fixtures.qc_results(s, d), AS_OF),
-        "qc_fail_by_line_day": lambda s, d: quality.qc_fail_by_line_day(*_qc_runs(s, d), AS_OF),
-        "qc_vs_yield": lambda s, d: quality.qc_vs_yield(*_qc_runs(s, d), _kpi(s, d, 30), AS_OF),
+        "qc_fail_by_line_day": lambda s, d: quality.qc_fail_by_line_day(_qc_tally(s, d)),
+        "qc_vs_yield": lambda s, d: quality.qc_vs_yield(_qc_tally(s, d), _kpi(s, d, 30)),
         "on_time_overall": lambda s, d: shipping.on_time_overall(fixtures.shipments(s, d), AS_OF),
         "on_time_by_customer": lambda s, d: shipping.on_time_by_customer(
             fixtures.shipments(s, d), fixtures.customers(s, d), AS_OF
         ),
         "pk_violations": _pk_violations,
         "fk_orphans": _fk_orphans,
-        "not_null_violations": lambda s, d: audits.not_null_violations(
-            fixtures.all_tables(s, d), TABLES.values()
-        ),
+        "not_null_violations": _not_null_violations,
         "state_domain_violations": _state_domain_violations,
         "uom_default": _uom_default,
         "machine_day_grid": lambda s, d: calendar.machine_day_grid(
@@ -221,5 +266,9 @@ def queries() -> dict[str, Query]:
     }
 
 
+def queries() -> dict[str, Query]:
+    return {**line_queries(), **_llm_queries()}
+
+
 def oracle_sql() -> dict[str, str]:
     return {**oracle.statements(), **_llm_oracle_sql()}

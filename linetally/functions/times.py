@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 AsOf = datetime.date | str | None
 
+# The folder column of stored tables.
+STORED_DAY = "stored_day"
+
 
 def micros_between(start: Column, end: Column) -> Column:
     """Whole microseconds from start to end, as bigint.
@@ -36,3 +39,9 @@ def days_back(as_of: AsOf, days: int) -> Column:
 def on_or_after(ts: str, first_day: Column) -> Column:
     """Timestamp filter in the form the Parquet reader can use on its statistics."""
     return F.col(ts) >= first_day.cast("timestamp_ntz")
+
+
+def rows_since(rows: DataFrame, ts: str, first_day: Column) -> DataFrame:
+    """Rows from that day on.  Stored tables are also filtered by folder."""
+    recent = rows.where(on_or_after(ts, first_day))
+    return recent.where(F.col(STORED_DAY) >= first_day) if STORED_DAY in rows.columns else recent

@@ -1,12 +1,14 @@
-"""Builds the mart from stored tables and writes every report.
+"""Builds the mart from stored tables and writes every report and audit.
 
 spark-submit --py-files linetally.zip linetally/job.py --tables ROOT --out FOLDER
-             [--as-of YYYY-MM-DD] [--refresh FIRST LAST]
+             [--as-of YYYY-MM-DD] [--refresh FIRST LAST] [--event-log NAME] [--assign]
 
 ROOT holds one Parquet folder per table.  FOLDER receives machine_time_daily,
-mart_daily_line_kpi and reports/<name>; both must be reachable from every executor.  The
-event log is shuffled once.  With --refresh the stored machine time and mart are only brought
-up to date for rows added on the days FIRST to LAST.
+mart_daily_line_kpi, qc_line_day_tally, reports/<name> and audits/<name>; both must be
+reachable from every executor.  The event log is shuffled once.  With --refresh the stored
+machine time and mart are only brought up to date for rows changed on the days FIRST to LAST.
+--event-log names a bucketed catalog table to read events from.  --assign links events to work
+orders first, stores them as assigned_events, and audits that link.
 """
 
 from __future__ import annotations
@@ -16,7 +18,9 @@ import datetime
 
 from pyspark.sql import SparkSession
 
-from linetally.operators.line_day import line_day_kpi, machine_time_daily
+from linetally.operators.audits import all_audits
+from linetally.operators.line_day import line_day_kpi, machine_day_parts
+from linetally.operators.work_orders import assign_work_order
 from linetally.plans.mart import (
     read_line_day_kpi,
     read_machine_time,
@@ -24,9 +28,11 @@ from linetally.plans.mart import (
     write_line_day_kpi,
     write_machine_time,
 )
+from linetally.plans.quality import qc_line_day_tally
 from linetally.plans.reports import all_reports
-from linetally.sources.schemas import LINE_DAY_KPI, MACHINE_TIME
-from linetally.sources.tables import load_tables
+from linetally.session import SETTINGS, checkpoint_folder
+from linetally.sources.schemas import EVENTS, LINE_DAY_KPI, MACHINE_TIME, TABLES
+from linetally.sources.tables import load_tables, read_table, save_table
 
 
 def run(
@@ -35,23 +41,36 @@ def run(
     out: str,
     as_of: datetime.date | None = None,
     refresh: tuple[datetime.date, datetime.date] | None = None,
+    event_log: str | None = None,
+    assign: bool = False,
 ) -> list[str]:
-    """Returns the paths written."""
-    tables = load_tables(spark, root)
+    """Returns the paths written.  All reports share one date, today if none is given."""
+    if as_of is None:
+        as_of = spark.sql("select current_date()").first()[0]
+    tables = load_tables(spark, root, event_log)
     events, machines = tables["fct_machine_events"], tables["dim_machines"]
     runs = tables["fct_production_runs"]
     time_path, mart_path = f"{out}/{MACHINE_TIME.name}", f"{out}/{LINE_DAY_KPI.name}"
-    if refresh is None:
-        write_machine_time(machine_time_daily(events), time_path)
-        mart = line_day_kpi(read_machine_time(spark, time_path), machines, runs)
-        write_line_day_kpi(mart, mart_path)
-    else:
-        refresh_line_day_kpi(mart_path, events, machines, runs, *refresh, machine_time_path=time_path)
-    time = read_machine_time(spark, time_path)
+    with checkpoint_folder(spark):
+        if refresh is None:
+            write_machine_time(machine_day_parts(events), time_path)
+            write_line_day_kpi(line_day_kpi(read_machine_time(spark, time_path), machines, runs), mart_path)
+        else:
+            refresh_line_day_kpi(mart_path, time_path, events, machines, runs, *refresh)
     written = [time_path, mart_path]
-    for name, report in all_reports(tables, time, read_line_day_kpi(spark, mart_path), as_of).items():
-        written.append(f"{out}/reports/{name}")
-        report.write.mode("overwrite").parquet(written[-1])
+    if assign:
+        save_table(assign_work_order(events, machines, runs), f"{out}/assigned_events", EVENTS)
+        tables[EVENTS.name] = read_table(spark, f"{out}/assigned_events", EVENTS)
+        written.append(f"{out}/assigned_events")
+    tally_path = f"{out}/qc_line_day_tally"
+    qc_line_day_tally(tables["fct_qc_results"], runs, as_of).write.mode("overwrite").parquet(tally_path)
+    written.append(tally_path)
+    time, mart = read_machine_time(spark, time_path), read_line_day_kpi(spark, mart_path)
+    reports = all_reports(tables, time, mart, spark.read.parquet(tally_path), as_of)
+    for folder, results in (("reports", reports), ("audits", all_audits(tables, TABLES.values()))):
+        for name, result in results.items():
+            written.append(f"{out}/{folder}/{name}")
+            result.write.mode("overwrite").parquet(written[-1])
     return written
 
 
@@ -61,9 +80,11 @@ def main() -> None:
     parser.add_argument("--out", required=True)
     parser.add_argument("--as-of", type=datetime.date.fromisoformat)
     parser.add_argument("--refresh", type=datetime.date.fromisoformat, nargs=2, metavar=("FIRST", "LAST"))
-    arguments = parser.parse_args()
-    spark = SparkSession.builder.appName("linetally").getOrCreate()
-    for path in run(spark, arguments.tables, arguments.out, arguments.as_of, arguments.refresh):
+    parser.add_argument("--event-log")
+    parser.add_argument("--assign", action="store_true")
+    given = parser.parse_args()
+    spark = SparkSession.builder.appName("linetally").config(map=SETTINGS).getOrCreate()
+    for path in run(spark, given.tables, given.out, given.as_of, given.refresh, given.event_log, given.assign):
         print(path)
     spark.stop()
 

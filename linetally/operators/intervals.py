@@ -2,115 +2,93 @@
 
 An event holds until the next event of the same machine, whatever its state.  The last
 event of a machine lasts 0.  An interval belongs to the day on which it starts.
+
+A log is worked on in pieces, one per machine and day.  Within a piece a window finds each
+event's successor; across pieces a table with one row per piece carries the first event of
+the machine's next piece.  However long a machine's log is, no task needs more than a day of
+it, and the plan is the same for all sizes.  Where single days are too long, ``slice_us``
+makes the pieces shorter; the result does not depend on it.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linetally.functions import epoch_micros, micros_between
-from linetally.operators.slices import ROWS_PER_SLICE, Cut, Level, cut_long_groups
 
-SECOND_US = 1_000_000
+DAY_US = 86_400_000_000
+DAY_PIECE = ["machine_id", "day"]
 
-# Widths to cut logs at.  One calendar width serves a whole log; the finer ones each cut only
-# what the width before left too long, so a burst does not shred the rest of its log.  Events
-# of the same microsecond are cut by id.
-CALENDAR_US = (86_400 * SECOND_US, 3_600 * SECOND_US, 60 * SECOND_US)
-BURST_US = (SECOND_US, 1_000, 1)
-ID_RANGES = (10**15, 10**12, 10**9, 10**6, 10**4)
-DENSE_ID_RANGES = (100, 1)
 
+def piece_keys(slice_us: int = DAY_US) -> list[str]:
+    """The columns that name a piece of a log, in its order within a machine."""
+    if slice_us > DAY_US or DAY_US % slice_us:
+        raise ValueError("a slice must divide the day")
+    return DAY_PIECE if slice_us == DAY_US else [*DAY_PIECE, "slice"]
 
-@dataclass(frozen=True)
-class MachineLogs:
-    """Rows of machine logs and how the logs are cut.
 
-    ``keys`` names a piece of a log small enough for one task: machine_id, and the slices
-    where long logs had to be cut.
-    """
+def in_pieces(events: DataFrame, slice_us: int = DAY_US) -> DataFrame:
+    """Events with the columns that name their piece."""
+    rows = events.withColumn("day", F.to_date("event_ts"))
+    if piece_keys(slice_us) == DAY_PIECE:
+        return rows
+    width, micros = F.lit(slice_us).cast("bigint"), epoch_micros(F.col("event_ts"))
+    return rows.withColumn("slice", F.call_function("div", micros - F.pmod(micros, width), width))
 
-    rows: DataFrame
-    cut: Cut
 
-    @property
-    def keys(self) -> list[str]:
-        return self.cut.keys
+def piece_ends(events: DataFrame, slice_us: int = DAY_US) -> DataFrame:
+    """For each piece, when the machine's first event after it happens (``seam_ts``).
 
+    First events combine map-side, so a task sends one row per piece.  The rows stay
+    partitioned by machine.
+    """
+    keys = piece_keys(slice_us)
+    in_order = Window.partitionBy("machine_id").orderBy(*keys[1:])
+    first = in_pieces(events, slice_us).groupBy(*keys).agg(F.min("event_ts").alias("first_ts"))
+    return first.select(*keys, F.lead("first_ts").over(in_order).alias("seam_ts"))
 
-def machine_logs(events: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> MachineLogs:
-    """Events with the slice of their machine's log, if any log is long."""
-    time, event = epoch_micros(F.col("event_ts")), F.col("event_id")
-    levels = [
-        Level(time, CALENDAR_US),
-        *[Level(time, (width,)) for width in BURST_US],
-        Level(event, ID_RANGES),
-        Level(event, DENSE_ID_RANGES),
-    ]
-    cut = cut_long_groups(events, ["machine_id"], levels, rows_per_slice)
-    return MachineLogs(cut.apply(events), cut)
 
+def with_successor(events: DataFrame, slice_us: int = DAY_US) -> DataFrame:
+    """Events with ``next_ts``, the time of the machine's next event within the piece, or null."""
+    in_order = Window.partitionBy(*piece_keys(slice_us)).orderBy("event_ts", "event_id")
+    return in_pieces(events, slice_us).withColumn("next_ts", F.lead("event_ts").over(in_order))
 
-def _seams(events: DataFrame, cut: Cut) -> DataFrame:
-    """For each slice of a cut log, when the machine's next event after it happens."""
-    in_order = Window.partitionBy("machine_id").orderBy(*cut.slices)
-    return (
-        cut.apply(events, only_long=True)
-        .groupBy(*cut.keys)
-        .agg(F.min("event_ts").alias("first_ts"))
-        .select(*cut.keys, F.lead("first_ts").over(in_order).alias("seam_ts"))
-    )
 
+def duration_us() -> Column:
+    """Microseconds from event_ts to next_ts, 0 without it."""
+    until = F.coalesce("next_ts", "event_ts")
+    return F.greatest(micros_between(F.col("event_ts"), until), F.lit(0))
 
-def _with_next(events: DataFrame, logs: MachineLogs) -> DataFrame:
-    in_order = Window.partitionBy(*logs.keys).orderBy("event_ts", "event_id")
-    rows = logs.rows.withColumn("next_ts", F.lead("event_ts").over(in_order))
-    if not logs.cut.slices:
-        return rows
+
+def _with_durations(events: DataFrame, pieces: DataFrame, how: str, slice_us: int) -> DataFrame:
     return (
-        rows.join(_seams(events, logs.cut), logs.keys, "left")
+        with_successor(events, slice_us)
+        .join(pieces, piece_keys(slice_us), how)
         .withColumn("next_ts", F.coalesce("next_ts", "seam_ts"))
+        .withColumn("duration_us", duration_us())
         .drop("seam_ts")
     )
 
 
-def machine_intervals(events: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> MachineLogs:
+def machine_intervals(events: DataFrame, slice_us: int = DAY_US) -> DataFrame:
     """Events with next_ts, duration_us and day.
 
-    The rows are hash-partitioned by ``keys``: aggregates keyed by these columns and any
-    others run without another shuffle.
+    The rows are hash-partitioned by their piece: aggregates keyed by machine, day and any
+    other columns run without another shuffle.
     """
-    logs = machine_logs(events, rows_per_slice)
-    until = F.coalesce(F.col("next_ts"), F.col("event_ts"))
-    rows = (
-        _with_next(events, logs)
-        .withColumn("duration_us", F.greatest(micros_between(F.col("event_ts"), until), F.lit(0)))
-        .withColumn("day", F.to_date("event_ts"))
-    )
-    return MachineLogs(rows, logs.cut)
+    return _with_durations(events, piece_ends(events, slice_us), "left", slice_us)
 
 
-def _line_of(events: DataFrame, machines: DataFrame, logs: MachineLogs) -> DataFrame:
-    """The line of every machine, or of every slice where logs are cut."""
-    lines = machines.select("machine_id", "line_id")
-    if not logs.cut.slices:
-        return lines
-    return logs.cut.apply(events).select(*logs.keys).distinct().join(lines, "machine_id")
-
-
-def state_intervals(
-    events: DataFrame, machines: DataFrame, rows_per_slice: int = ROWS_PER_SLICE
-) -> DataFrame:
+def state_intervals(events: DataFrame, machines: DataFrame, slice_us: int = DAY_US) -> DataFrame:
     """One row per event of a known machine, with its line, day and duration in microseconds.
 
-    The line joins on the partitioning the intervals already have, so the events are shuffled
-    once however large the dimension is, and a long log stays spread over its slices.
+    The line joins the pieces, which are partitioned by machine already, and comes to the
+    events with the seams: the events are shuffled once however large the dimension is.
     """
-    logs = machine_intervals(events, rows_per_slice)
-    return logs.rows.join(_line_of(events, machines, logs), logs.keys).select(
+    lines = machines.select("machine_id", "line_id")
+    pieces = piece_ends(events, slice_us).join(lines, "machine_id")
+    return _with_durations(events, pieces, "inner", slice_us).select(
         "event_id",
         "machine_id",
         "line_id",

@@ -5,85 +5,64 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linetally.operators.intervals import DENSE_ID_RANGES, ID_RANGES, machine_logs
-from linetally.operators.slices import ROWS_PER_SLICE, Level, cut_long_groups
-
 LINE_DAY = ["line_id", "day"]
+# Runs of a line-day are numbered in slices of this many ids, so no task needs all of them.
+IDS_PER_SLICE = 1_000_000
 
 
-def _numbered(starts: DataFrame, copies: DataFrame, rows_per_slice: int) -> DataFrame:
-    """Runs with the copies of their line-day and their ``pick``, the place in it from 0.
+def numbered_runs(runs: DataFrame, ids_per_slice: int = IDS_PER_SLICE) -> DataFrame:
+    """(line_id, day, pick, assigned): the runs starting on a line and day, numbered by id from 0.
 
-    A long line-day is numbered slice by slice; the slice sizes give each its first number.
+    Numbers start anew in each slice of ids; a table with one row per slice gives the number
+    at which a slice begins.
     """
-    levels = [Level(F.col("work_order_id"), ladder) for ladder in (ID_RANGES, DENSE_ID_RANGES)]
-    cut = cut_long_groups(starts, LINE_DAY, levels, rows_per_slice)
-    in_order = Window.partitionBy(*cut.keys).orderBy("work_order_id")
-    numbered = cut.apply(starts).withColumn("place", F.row_number().over(in_order).cast("bigint"))
-    if not cut.slices:
-        return numbered.withColumn("pick", F.col("place") - 1).join(copies, LINE_DAY)
-    before = Window.partitionBy(*LINE_DAY).orderBy(*cut.slices).rowsBetween(Window.unboundedPreceding, -1)
+    piece = [*LINE_DAY, "slice"]
+    starts = runs.select(
+        "line_id",
+        F.to_date("actual_start_ts").alias("day"),
+        F.call_function("div", "work_order_id", F.lit(ids_per_slice).cast("bigint")).alias("slice"),
+        F.col("work_order_id").alias("assigned"),
+    ).where("line_id is not null and day is not null")
+    before = Window.partitionBy(*LINE_DAY).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = (
-        cut.apply(starts)
-        .groupBy(*cut.keys)
+        starts.groupBy(*piece)
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("first_pick", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        .join(copies, LINE_DAY)
-        .drop("n")
+        .select(*piece, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first_pick"))
+    )
+    place = F.row_number().over(Window.partitionBy(*piece).orderBy("assigned"))
+    return (
+        starts.withColumn("place", place)
+        .join(slices, piece)
+        .select(*LINE_DAY, (F.col("first_pick") + F.col("place") - 1).cast("bigint").alias("pick"), "assigned")
     )
-    return numbered.join(slices, cut.keys).withColumn("pick", F.col("first_pick") + F.col("place") - 1)
 
 
 def assign_work_order(
-    events: DataFrame,
-    machines: DataFrame,
-    runs: DataFrame,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    events: DataFrame, machines: DataFrame, runs: DataFrame, ids_per_slice: int = IDS_PER_SLICE
 ) -> DataFrame:
     """Events with work_order_id set to one run that starts on the event's line and day.
 
     With the candidates numbered by work order from 0, event e takes number
     e mod (number of candidates); null if there is none.
 
-    Events meet their line-day through one row per machine (or slice of its log) and day,
-    which never stands for more events than fit in a task.  A line-day's runs are copied in
-    proportion to the events per run and the events spread over the copies, so the last join
-    has no heavy key either; there is at most one extra copy per ``rows_per_slice`` events.
+    Machines, and the number of candidates per line and day, are small next to the log; Spark
+    broadcasts them if they measure so.  Then events move once, to the candidates.  That is a
+    plain join on line, day and number: where few runs stand against very many events,
+    adaptive execution splits the events of a number over several tasks.
     """
-    logs = machine_logs(events, rows_per_slice)
-    rows = logs.rows.withColumn("day", F.to_date("event_ts"))
-    piece = [*logs.keys, "day"]
-    starts = runs.select("line_id", F.to_date("actual_start_ts").alias("day"), "work_order_id")
-
-    # Stating the join's null filter here keeps both uses of this table one shuffle.
-    machine_days = (
-        rows.where(F.col("machine_id").isNotNull() & F.col("day").isNotNull())
-        .groupBy(*piece)
-        .agg(F.count(F.lit(1)).alias("n_events"))
-        .join(machines.select("machine_id", "line_id"), "machine_id", "left")
-    )
-    n_runs = starts.groupBy(*LINE_DAY).agg(F.count(F.lit(1)).alias("n_runs"))
-    events_per_copy = F.col("n_runs") * F.lit(rows_per_slice)
-    line_days = (
-        machine_days.groupBy(*LINE_DAY)
-        .agg(F.sum("n_events").alias("n_events"))
-        .join(n_runs, LINE_DAY)
-        .select(*LINE_DAY, "n_runs", F.ceil(F.col("n_events") / events_per_copy).alias("copies"))
-    )
-    # Events without candidates match nothing; they spread as far as their number allows.
-    lookup = machine_days.join(line_days, LINE_DAY, "left").select(
-        *piece, "line_id", "n_runs", F.coalesce("copies", "n_events").alias("spread")
-    )
-    each_copy = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1))
-    candidates = _numbered(starts, line_days.select(*LINE_DAY, "copies"), rows_per_slice).select(
-        *LINE_DAY, "pick", each_copy.alias("copy"), F.col("work_order_id").alias("assigned")
+    candidates = numbered_runs(runs, ids_per_slice)
+    n_runs = (
+        runs.groupBy("line_id", F.to_date("actual_start_ts").alias("day"))
+        .agg(F.count("work_order_id").alias("n_runs"))
+        .where("n_runs > 0")
     )
     return (
-        rows.drop("work_order_id")
-        .join(lookup, piece, "left")
-        .withColumn("pick", F.pmod(F.col("event_id"), F.col("n_runs")))
-        .withColumn("copy", F.pmod(F.xxhash64("event_id"), F.col("spread")))
-        .join(candidates, [*LINE_DAY, "pick", "copy"], "left")
+        events.drop("work_order_id")
+        .withColumn("day", F.to_date("event_ts"))
+        .join(machines.select("machine_id", "line_id"), "machine_id", "left")
+        .join(n_runs, LINE_DAY, "left")
+        .withColumn("pick", F.pmod("event_id", "n_runs"))
+        .join(candidates, [*LINE_DAY, "pick"], "left")
         .select(
             "event_id",
             "machine_id",

@@ -98,8 +98,9 @@ def _ranked(order: str) -> str:
                where place <= 15"""
 
 
-def _duplicates(source: str, table: str, key: str) -> str:
-    return f"""select '{table}' as table_name, {key} as key, count(*) as n
+def _duplicates(source: str, table: str, **key: str) -> str:
+    shown = " || ',' || ".join(f"""'"{name}":' || {column}::varchar""" for name, column in key.items())
+    return f"""select '{table}' as table_name, '{{' || {shown} || '}}' as key, count(*) as n
                from {source} group by all having count(*) > 1"""
 
 
@@ -124,17 +125,17 @@ def _same(*names: str) -> dict[str, str]:
 def _keys() -> str:
     return " union all ".join(
         [
-            _duplicates("region", "dim_plants", "r_regionkey::varchar"),
-            _duplicates("nation", "dim_lines", "n_nationkey::varchar"),
-            _duplicates("m", "dim_machines", "machine_id::varchar"),
-            _duplicates("part", "dim_products", "p_partkey::varchar"),
-            _duplicates("customer", "dim_customers", "c_custkey::varchar"),
-            _duplicates("rc", "dim_reason_codes", "reason_code"),
-            _duplicates("r", "fct_production_runs", "work_order_id::varchar"),
-            _duplicates("e", "fct_machine_events", "event_id::varchar"),
-            _duplicates("q", "fct_qc_results", "qc_id::varchar"),
-            _duplicates("s", "fct_shipments", "shipment_id::varchar"),
-            _duplicates("lineitem", "lineitem", "l_orderkey::varchar || '|' || l_linenumber::varchar"),
+            _duplicates("region", "dim_plants", plant_id="r_regionkey"),
+            _duplicates("nation", "dim_lines", line_id="n_nationkey"),
+            _duplicates("m", "dim_machines", machine_id="machine_id"),
+            _duplicates("part", "dim_products", product_id="p_partkey"),
+            _duplicates("customer", "dim_customers", customer_id="c_custkey"),
+            _duplicates("rc", "dim_reason_codes", reason_code="reason_code"),
+            _duplicates("r", "fct_production_runs", work_order_id="work_order_id"),
+            _duplicates("e", "fct_machine_events", event_id="event_id"),
+            _duplicates("q", "fct_qc_results", qc_id="qc_id"),
+            _duplicates("s", "fct_shipments", shipment_id="shipment_id"),
+            _duplicates("lineitem", "lineitem", l_orderkey="l_orderkey", l_linenumber="l_linenumber"),
         ]
     )
 
@@ -148,10 +149,11 @@ def _references() -> str:
             _orphans("r", "fct_production_runs", "product_id", "part", "p_partkey"),
             _orphans("e", "fct_machine_events", "machine_id", "m", "machine_id"),
             _orphans("e", "fct_machine_events", "reason_code", "rc", "reason_code"),
-            "select 'fct_machine_events' as child, 'work_order_id' as column_name, 0 as n",
+            _orphans("linked", "fct_machine_events", "work_order_id", "r", "work_order_id"),
             _orphans("q", "fct_qc_results", "work_order_id", "r", "work_order_id"),
             _orphans("s", "fct_shipments", "customer_id", "customer", "c_custkey"),
             _orphans("s", "fct_shipments", "product_id", "part", "p_partkey"),
+            _orphans("linked", "linked events", "work_order_id", "(from r where work_order_id % 5 <> 0)", "work_order_id"),
             _orphans("orders", "orders", "o_custkey", "m", "machine_id"),
         ]
     )
@@ -222,22 +224,37 @@ def _family(keys: str, extra: str) -> str:
                from r, part p where p.p_partkey = r.product_id and actual_end_ts >= {CUT_30} group by all"""
 
 
+STATE_INTERVALS = """select event_id, machine_id, line_id, day, state, reason_code, event_ts, next_ts,
+                          us as duration_us from iv where line_id is not null"""
+
+MACHINE_TIME = """select machine_id, day, reason_code,
+                             sum(if(state = 'RUN', us, 0))::bigint as run_us,
+                             sum(if(state = 'STOP', us, 0))::bigint as stop_us
+                             from iv group by all"""
+
+LINKED = """
+        , n as (select line_id, actual_start_ts::date as day, work_order_id,
+                       row_number() over (partition by line_id, day order by work_order_id) - 1 as place,
+                       count(*) over (partition by line_id, day) as of_n
+                from r)
+        , c as (select distinct line_id, day, of_n from n)
+        select iv.event_id, iv.machine_id, iv.event_ts, iv.state, iv.reason_code, n.work_order_id
+        from iv left join c on c.line_id = iv.line_id and c.day = iv.day
+             left join n on n.line_id = iv.line_id and n.day = iv.day and n.place = iv.event_id % c.of_n"""
+
 STATEMENTS = {
     "machine_events": "select * from e",
     "production_runs": "select *, 'unit' as uom from r",
     "qc_results": "select * replace (value::double as value) from q",
     "shipments": "select * from s",
-    "state_intervals": """select event_id, machine_id, line_id, day, state, reason_code, event_ts, next_ts,
-                          us as duration_us from iv where line_id is not null""",
+    **dict.fromkeys(("state_intervals", "state_intervals_hourly_pieces"), STATE_INTERVALS),
     "insert_machine_events": "select * from e",
-    "machine_time_daily": """select machine_id, day, reason_code,
-                             sum(if(state = 'RUN', us, 0))::bigint as run_us,
-                             sum(if(state = 'STOP', us, 0))::bigint as stop_us
-                             from iv group by all""",
+    **dict.fromkeys(("machine_time_daily", "machine_time_hourly_pieces", "refresh_machine_time"), MACHINE_TIME),
     "line_time_daily": "select * from lt",
     "line_output_daily": "select * from lo",
     "line_day_kpi": "select * from kpi",
     "write_line_day_kpi": "select * from kpi",
+    "overwrite_line_day_kpi": "select * from kpi",
     "refresh_line_day_kpi": "select * from kpi",
     "kpi_snapshot": f"select * from kpi where day >= {CUT_14}",
     "best_throughput_days": _ranked("desc"),
@@ -288,8 +305,9 @@ STATEMENTS = {
         from s, customer c where c.c_custkey = s.customer_id and requested_ship_date >= {CUT_60}
         group by c.c_name""",
     "pk_violations": _keys(),
-    "fk_orphans": _references(),
-    "not_null_violations": _required(),
+    "fk_orphans": f", linked as (with z as (select 1) {LINKED}) {_references()}",
+    "not_null_violations": f""", linked as (with z as (select 1) {LINKED}) {_required()}
+        union all {_null_counts("linked", "linked events", _same("reason_code", "work_order_id"))}""",
     "state_domain_violations": """
         select 'fct_machine_events' as table_name, 'state' as column_name, state as value, count(*) as n
         from e where state not in ('RUN', 'STOP') group by all
@@ -300,15 +318,7 @@ STATEMENTS = {
                       if(o_orderstatus = 'P', 'unit', 'kg') as uom from orders""",
     "machine_day_grid": """select machine_id, d::date as day
         from m, generate_series(timestamp '2024-01-01', timestamp '2024-01-30', interval 1 day) as g(d)""",
-    "assign_work_order": """
-        , n as (select line_id, actual_start_ts::date as day, work_order_id,
-                       row_number() over (partition by line_id, day order by work_order_id) - 1 as place,
-                       count(*) over (partition by line_id, day) as of_n
-                from r)
-        , c as (select distinct line_id, day, of_n from n)
-        select iv.event_id, iv.machine_id, iv.event_ts, iv.state, iv.reason_code, n.work_order_id
-        from iv left join c on c.line_id = iv.line_id and c.day = iv.day
-             left join n on n.line_id = iv.line_id and n.day = iv.day and n.place = iv.event_id % c.of_n""",
+    "assign_work_order": f"{LINKED}",
     "log_vs_output_check": """
         , x as (select line_id, day, run_us, good_qty + scrap_qty as made
                 from lt full join lo using (line_id, day))

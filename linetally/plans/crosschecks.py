@@ -27,5 +27,5 @@ def log_vs_output_check(machine_time: DataFrame, machines: DataFrame, runs: Data
         time.join(output, ["line_id", "day"], "full")
         .groupBy(status.alias("status"))
         .agg(F.count(F.lit(1)).alias("line_days"))
-        .orderBy("status")
+        .orderBy(F.asc_nulls_last("status"))
     )

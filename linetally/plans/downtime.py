@@ -53,7 +53,7 @@ def downtime_pareto(
             rounded_ratio(F.col("stop_us"), F.col("total_us"), 4).alias("share"),
             rounded_ratio(F.col("so_far_us"), F.col("total_us"), 4).alias("cumulative_share"),
         )
-        .orderBy(F.desc("downtime_min"), "reason_category")
+        .orderBy(F.desc_nulls_first("downtime_min"), F.asc_nulls_last("reason_category"))
     )
 
 
@@ -71,5 +71,7 @@ def downtime_by_line_reason(
     return (
         _by_category(per_line, reasons, "line_id")
         .select("line_id", "reason_category", minutes(F.col("stop_us")).alias("downtime_min"))
-        .orderBy("line_id", F.desc("downtime_min"), "reason_category")
+        .orderBy(
+            F.asc_nulls_last("line_id"), F.desc_nulls_first("downtime_min"), F.asc_nulls_last("reason_category")
+        )
     )

@@ -3,20 +3,20 @@
 from __future__ import annotations
 
 import datetime
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linetally.functions import on_or_after
-from linetally.operators.line_day import line_day_kpi, machine_time_daily
-from linetally.operators.slices import ROWS_PER_SLICE
+from linetally.functions import on_or_after, rows_since
+from linetally.functions.times import STORED_DAY
+from linetally.operators.line_day import closed_machine_time, line_day_kpi, machine_day_parts
 from linetally.session import checkpointed
+from linetally.sources import files
 from linetally.sources.schemas import LINE_DAY_KPI, MACHINE_TIME, Table
 from linetally.sources.tables import conform
 
 
-def _write_by_day(rows: DataFrame, table: Table, path: str, only_days_present: bool) -> None:
+def _write_by_day(rows: DataFrame, table: Table, path: str, only_days_present: bool = False) -> None:
     """Rebalancing gathers small days into few files and splits large ones over many tasks.
 
     Unlike range partitioning it takes no sample, for which Spark would compute the rows twice.
@@ -36,28 +36,28 @@ def _read_by_day(spark: SparkSession, table: Table, path: str) -> DataFrame:
     return spark.read.schema(table.schema).parquet(path).select(table.schema.names)
 
 
-def write_line_day_kpi(mart: DataFrame, path: str, only_days_present: bool = False) -> None:
-    """Store the mart by day, sorted by line within a day.
+def write_line_day_kpi(mart: DataFrame, path: str, grace_seconds: float = files.GRACE_SECONDS) -> str:
+    """Replace the mart stored at a path in one step; returns the folder of its new version.
 
-    Replaces the whole mart, or with ``only_days_present`` just the days that occur in the
-    given rows.  A filter on ``day`` reads only its folders; the line column has tight
-    statistics within a file.
+    The rows are stored by day, sorted by line within a day: a filter on ``day`` reads only its
+    folders.  Readers keep the version before until this one is complete, also if writing fails;
+    versions replaced more than ``grace_seconds`` ago are deleted.
     """
-    _write_by_day(mart, LINE_DAY_KPI, path, only_days_present)
+    folder = files.new_version(path)
+    _write_by_day(mart, LINE_DAY_KPI, folder)
+    files.remove_old_versions(mart.sparkSession, path, grace_seconds)
+    return folder
 
 
 def read_line_day_kpi(spark: SparkSession, path: str) -> DataFrame:
-    return _read_by_day(spark, LINE_DAY_KPI, path)
-
+    return _read_by_day(spark, LINE_DAY_KPI, files.current_version(spark, path))
 
-def publish_line_day_kpi(mart: DataFrame, name: str, root: str) -> str:
-    """Replace the mart readers see under ``name`` in one step; returns its folder.
 
-    The new mart is written beside the old one, and the view moves to it only when it is
-    complete.  Readers keep the old one until then, also if writing fails.
-    """
-    folder = f"{root}/{LINE_DAY_KPI.name}-{uuid.uuid4().hex}"
-    write_line_day_kpi(mart, folder)
+def publish_line_day_kpi(
+    mart: DataFrame, name: str, path: str, grace_seconds: float = files.GRACE_SECONDS
+) -> str:
+    """Like ``write_line_day_kpi``, and move a view to the new version."""
+    folder = write_line_day_kpi(mart, path, grace_seconds)
     columns = ", ".join(
         f"cast(`{f.name}` as {f.dataType.simpleString()}) as `{f.name}`" for f in LINE_DAY_KPI.schema.fields
     )
@@ -65,92 +65,95 @@ def publish_line_day_kpi(mart: DataFrame, name: str, root: str) -> str:
     return folder
 
 
-def write_machine_time(machine_time: DataFrame, path: str, only_days_present: bool = False) -> None:
-    """Store machine time by day, so that the log is shuffled once for all reports."""
-    _write_by_day(machine_time, MACHINE_TIME, path, only_days_present)
+def write_machine_time(parts: DataFrame, path: str) -> None:
+    """Store ``machine_day_parts`` by day, so that the log is shuffled once for all reports."""
+    _write_by_day(parts, MACHINE_TIME, path)
 
 
-def read_machine_time(spark: SparkSession, path: str) -> DataFrame:
+def read_machine_parts(spark: SparkSession, path: str) -> DataFrame:
     return _read_by_day(spark, MACHINE_TIME, path)
 
 
-def _day_after(day: datetime.date) -> Column:
-    return F.lit(day + datetime.timedelta(days=1))
+def read_machine_time(spark: SparkSession, path: str) -> DataFrame:
+    """Machine time per machine, day and reason, its last intervals closed."""
+    return closed_machine_time(read_machine_parts(spark, path))
 
 
-def days_to_rebuild(
-    events: DataFrame,
-    first_day: datetime.date,
-    last_day: datetime.date,
-    machine_time: DataFrame | None = None,
-) -> DataFrame:
-    """The days whose KPI can change when events or runs of first_day..last_day arrive.
+def _in_days(ts: str, first_day: datetime.date, last_day: datetime.date) -> Column:
+    after = F.lit(last_day + datetime.timedelta(days=1))
+    return on_or_after(ts, F.lit(first_day)) & ~on_or_after(ts, after)
+
 
-    Besides these days themselves that is, for every machine with an event among them, the
-    day of its last event before: that interval now ends at the new event.  Stored machine
-    time, if given, tells that day without reading the log's past.
+def refresh_machine_time(
+    path: str, events: DataFrame, first_day: datetime.date, last_day: datetime.date
+) -> None:
+    """Replace the stored days first_day..last_day by what the log has for them now.
+
+    Only events of these days are read, however long a machine was silent before: parts of
+    other days do not depend on them.  A day that has no events any more is removed.
     """
-    seen = events.withColumn("day", F.to_date("event_ts")) if machine_time is None else machine_time
-    last_seen = seen.where(F.col("day") < F.lit(first_day)).groupBy("machine_id").agg(F.max("day").alias("day"))
-    new = on_or_after("event_ts", F.lit(first_day)) & ~on_or_after("event_ts", _day_after(last_day))
-    changed = events.where(new).select("machine_id").distinct()
-    given = events.sparkSession.range(1).select(
-        F.explode(F.sequence(F.lit(first_day), F.lit(last_day), F.expr("interval 1 day"))).alias("day")
-    )
-    earlier = last_seen.join(changed, "machine_id", "left_semi").select("day")
-    return earlier.union(given).distinct()
+    spark = events.sparkSession
+    changed = events.where(_in_days("event_ts", first_day, last_day))
+    if STORED_DAY in events.columns:
+        changed = changed.where(F.col(STORED_DAY).between(first_day, last_day))
+    parts = checkpointed(machine_day_parts(changed))
+    _write_by_day(parts, MACHINE_TIME, path, only_days_present=True)
+    left = {row.day for row in parts.select("day").distinct().collect()}  # no more than the days given
+    for n in range((last_day - first_day).days + 1):
+        day = first_day + datetime.timedelta(days=n)
+        if day not in left:
+            files.remove(spark, f"{path}/day={day}")
 
 
-def _log_of_days(
-    events: DataFrame, days: DataFrame, since: datetime.date, last_day: datetime.date
+def days_to_rebuild(
+    before: DataFrame, after: DataFrame, first_day: datetime.date, last_day: datetime.date
 ) -> DataFrame:
-    """The events of the given days, and whatever ends their intervals.
+    """The days whose KPI can change when events or runs of first_day..last_day change.
 
-    An interval that leaves its day ends at the machine's first event on some later day.  Of
-    days that are not rebuilt only that time is kept, one row per machine and day (one for
-    all days after the last), by a minimum that combines map-side.
+    Besides these days themselves that is, for every machine that has or had events on them, the
+    day of its last event before: that interval ends anew.  ``before`` and ``after`` are
+    the machine parts around the change.
     """
-    day = F.to_date("event_ts")
-    log = events.where(on_or_after("event_ts", F.lit(since))).withColumn("day", day)
-    wanted = log.join(F.broadcast(days), "day", "left_semi").drop("day")
-    ends = (
-        log.join(F.broadcast(days), "day", "left_anti")
-        .groupBy("machine_id", F.least("day", _day_after(last_day)).alias("day"))
-        .agg(F.min("event_ts").alias("event_ts"))
-        .drop("day")
+    inside = F.col("day").between(first_day, last_day)
+    changed = before.where(inside).select("machine_id").union(after.where(inside).select("machine_id")).distinct()
+    last_seen = after.where(F.col("day") < F.lit(first_day)).groupBy("machine_id").agg(F.max("day").alias("day"))
+    given = after.sparkSession.range(1).select(
+        F.explode(F.sequence(F.lit(first_day), F.lit(last_day), F.expr("interval 1 day"))).alias("day")
     )
-    return wanted.unionByName(ends, allowMissingColumns=True)
+    earlier = last_seen.join(changed, "machine_id", "left_semi").select("day")
+    return earlier.union(given).distinct()
 
 
 def refresh_line_day_kpi(
     path: str,
+    time_path: str,
     events: DataFrame,
     machines: DataFrame,
     runs: DataFrame,
     first_day: datetime.date,
     last_day: datetime.date,
-    machine_time_path: str | None = None,
-    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> None:
-    """Rebuild only the stored days that rows added on first_day..last_day can change.
+    """Bring stored machine time and mart up to date after changes on first_day..last_day.
 
-    With ``machine_time_path`` the stored machine time is used and brought up to date as well.
-    Rows must only have been added: a day that lost all its rows would keep what is stored.
+    Of the log only these days are read.  Line-days of other days are recomputed from the stored
+    machine parts where an interval into the changed days ends anew, and taken over otherwise.
+    The new mart appears in one step.
 
     The list of days is broadcast; it is no longer than the calendar.
     """
     spark = events.sparkSession
-    known = None if machine_time_path is None else read_machine_time(spark, machine_time_path)
-    days = checkpointed(days_to_rebuild(events, first_day, last_day, known))
-    since = days.agg(F.min("day")).first()[0]
-
-    def only_these(rows: DataFrame) -> DataFrame:
-        return rows.where(F.col("day") >= F.lit(since)).join(F.broadcast(days), "day", "left_semi")
-
-    log = _log_of_days(events, days, since, last_day)
-    time = only_these(machine_time_daily(log, rows_per_slice=rows_per_slice))
-    if machine_time_path is not None:
-        write_machine_time(time, machine_time_path, only_days_present=True)
-        time = only_these(read_machine_time(spark, machine_time_path))
-    fresh = only_these(line_day_kpi(time, machines, runs, F.lit(since)))
-    write_line_day_kpi(fresh, path, only_days_present=True)
+    inside = F.col("day").between(first_day, last_day)
+    had = checkpointed(read_machine_parts(spark, time_path).where(inside).select("machine_id", "day").distinct())
+    refresh_machine_time(time_path, events, first_day, last_day)
+    parts = read_machine_parts(spark, time_path)
+    days = checkpointed(days_to_rebuild(had, parts, first_day, last_day))
+    first = days.agg(F.min("day")).first()[0]
+
+    def of_days(rows: DataFrame, how: str = "left_semi") -> DataFrame:
+        return rows.join(F.broadcast(days), "day", how)
+
+    time = of_days(closed_machine_time(parts.where(F.col("day") >= F.lit(first))))
+    ended = rows_since(runs, "actual_end_ts", F.lit(first)).withColumn("day", F.to_date("actual_end_ts"))
+    fresh = line_day_kpi(time, machines, of_days(ended).drop("day"))
+    kept = of_days(read_line_day_kpi(spark, path), "left_anti")
+    write_line_day_kpi(kept.unionByName(fresh), path)

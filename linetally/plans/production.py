@@ -9,13 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linetally.functions import days_back, micros_between, on_or_after, rounded_ratio
+from linetally.functions import days_back, micros_between, rounded_ratio, rows_since
 from linetally.functions.numbers import MICROS_PER_MINUTE
 from linetally.functions.times import AsOf
 
 
 def _recent(runs: DataFrame, as_of: AsOf, days: int) -> DataFrame:
-    return runs.where(on_or_after("actual_end_ts", days_back(as_of, days)))
+    return rows_since(runs, "actual_end_ts", days_back(as_of, days))
 
 
 def _by_family(runs: DataFrame, products: DataFrame, key: Column, name: str) -> DataFrame:
@@ -45,7 +45,7 @@ def output_by_family_day(
             "scrap_qty",
             rounded_ratio(F.col("good_qty"), made, 4).alias("yield"),
         )
-        .orderBy(F.desc("day"), "product_family")
+        .orderBy(F.desc_nulls_first("day"), F.asc_nulls_last("product_family"))
     )
 
 
@@ -56,7 +56,9 @@ def line_product_mix(
     return (
         _by_family(_recent(runs, as_of, days), products, F.col("line_id"), "line_id")
         .select("line_id", "product_family", "runs", "good_qty", "scrap_qty")
-        .orderBy("line_id", F.desc("good_qty"), "product_family")
+        .orderBy(
+            F.asc_nulls_last("line_id"), F.desc_nulls_first("good_qty"), F.asc_nulls_last("product_family")
+        )
     )
 
 
@@ -89,5 +91,5 @@ def schedule_adherence(runs: DataFrame, as_of: AsOf = None, days: int = 30) -> D
             rounded_ratio(F.col("end_us"), mean_base, 2).alias("avg_end_delay_min"),
             rounded_ratio(F.col("on_time"), F.col("runs"), 4).alias("on_time_share"),
         )
-        .orderBy(F.desc("day"), "line_id")
+        .orderBy(F.desc_nulls_first("day"), F.asc_nulls_last("line_id"))
     )

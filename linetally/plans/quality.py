@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linetally.functions import days_back, on_or_after, rounded_ratio
+from linetally.functions import days_back, rounded_ratio, rows_since
 from linetally.functions.times import AsOf
 
 
 def _recent(qc: DataFrame, as_of: AsOf, days: int) -> DataFrame:
-    return qc.where(on_or_after("sample_ts", days_back(as_of, days)))
+    return rows_since(qc, "sample_ts", days_back(as_of, days))
 
 
 def _tally() -> list[Column]:
@@ -21,17 +21,18 @@ def _fail_rate() -> Column:
     return rounded_ratio(F.col("fails"), F.col("samples"), 4).alias("fail_rate")
 
 
-def _line_day_tally(qc: DataFrame, runs: DataFrame) -> DataFrame:
+def qc_line_day_tally(qc: DataFrame, runs: DataFrame, as_of: AsOf = None, days: int = 30) -> DataFrame:
     """Samples and fails by the line of the work order and the day of the sample.
 
-    Samples are counted per work order and day before the join, so a work order with very
-    many samples arrives at it as one row per day.
+    Samples move once, three columns wide, to their work order; where one order has very many
+    samples, adaptive execution splits them over several tasks.  Both reports by line and day
+    start from this table.
     """
-    per_order = qc.groupBy("work_order_id", F.to_date("sample_ts").alias("day")).agg(*_tally())
+    samples = _recent(qc, as_of, days).select("work_order_id", F.to_date("sample_ts").alias("day"), "in_spec")
     return (
-        per_order.join(runs.select("work_order_id", "line_id"), "work_order_id")
+        samples.join(runs.select("work_order_id", "line_id"), "work_order_id")
         .groupBy("line_id", "day")
-        .agg(F.sum("samples").alias("samples"), F.sum("fails").alias("fails"))
+        .agg(*_tally())
     )
 
 
@@ -41,28 +42,23 @@ def qc_fail_by_test(qc: DataFrame, as_of: AsOf = None, days: int = 30) -> DataFr
         .groupBy("test_type")
         .agg(*_tally())
         .select("test_type", "samples", "fails", _fail_rate())
-        .orderBy(F.desc("fail_rate"), F.desc("samples"), "test_type")
+        .orderBy(
+            F.desc_nulls_first("fail_rate"), F.desc_nulls_first("samples"), F.asc_nulls_last("test_type")
+        )
     )
 
 
-def qc_fail_by_line_day(
-    qc: DataFrame, runs: DataFrame, as_of: AsOf = None, days: int = 30
-) -> DataFrame:
-    return (
-        _line_day_tally(_recent(qc, as_of, days), runs)
-        .select("line_id", "day", "samples", "fails", _fail_rate())
-        .orderBy(F.desc("day"), "line_id")
+def qc_fail_by_line_day(tally: DataFrame) -> DataFrame:
+    """The fail rate of each row of ``qc_line_day_tally``."""
+    return tally.select("line_id", "day", "samples", "fails", _fail_rate()).orderBy(
+        F.desc_nulls_first("day"), F.asc_nulls_last("line_id")
     )
 
 
-def qc_vs_yield(
-    qc: DataFrame, runs: DataFrame, mart: DataFrame, as_of: AsOf = None, days: int = 30
-) -> DataFrame:
+def qc_vs_yield(tally: DataFrame, mart: DataFrame) -> DataFrame:
     """QC fail rate next to the yield of the same line and day."""
-    recent_mart = mart.where(F.col("day") >= days_back(as_of, days))
     return (
-        _line_day_tally(_recent(qc, as_of, days), runs)
-        .join(recent_mart.select("line_id", "day", "yield"), ["line_id", "day"])
+        tally.join(mart.select("line_id", "day", "yield"), ["line_id", "day"])
         .select("line_id", "day", "samples", "fails", _fail_rate(), "yield")
-        .orderBy(F.desc("day"), "line_id")
+        .orderBy(F.desc_nulls_first("day"), F.asc_nulls_last("line_id"))
     )

@@ -9,9 +9,13 @@ from linetally.plans import crosschecks, downtime, production, quality, shipping
 
 
 def all_reports(
-    tables: dict[str, DataFrame], machine_time: DataFrame, mart: DataFrame, as_of: AsOf = None
+    tables: dict[str, DataFrame],
+    machine_time: DataFrame,
+    mart: DataFrame,
+    qc_tally: DataFrame,
+    as_of: AsOf = None,
 ) -> dict[str, DataFrame]:
-    """Report name to DataFrame, from the tables, the stored machine time and the stored mart."""
+    """Report name to DataFrame, from the tables and the stored results they share."""
     runs, qc, shipments = (
         tables[name] for name in ("fct_production_runs", "fct_qc_results", "fct_shipments")
     )
@@ -29,8 +33,8 @@ def all_reports(
         "line_product_mix": production.line_product_mix(runs, products, as_of),
         "schedule_adherence": production.schedule_adherence(runs, as_of),
         "qc_fail_by_test": quality.qc_fail_by_test(qc, as_of),
-        "qc_fail_by_line_day": quality.qc_fail_by_line_day(qc, runs, as_of),
-        "qc_vs_yield": quality.qc_vs_yield(qc, runs, mart, as_of),
+        "qc_fail_by_line_day": quality.qc_fail_by_line_day(qc_tally),
+        "qc_vs_yield": quality.qc_vs_yield(qc_tally, mart),
         "on_time_overall": shipping.on_time_overall(shipments, as_of),
         "on_time_by_customer": shipping.on_time_by_customer(shipments, customers, as_of),
         "log_vs_output_check": crosschecks.log_vs_output_check(machine_time, machines, runs),

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linetally.functions import days_back, rounded_ratio
+from linetally.functions import days_back, rounded_ratio, rows_since
 from linetally.functions.times import AsOf
 
 ON_TIME = "actual_ship_date <= requested_ship_date"
 
 
 def _recent(shipments: DataFrame, as_of: AsOf, days: int) -> DataFrame:
-    return shipments.where(F.col("requested_ship_date") >= days_back(as_of, days))
+    return rows_since(shipments, "requested_ship_date", days_back(as_of, days))
 
 
 def _tally() -> list[Column]:
@@ -53,5 +53,7 @@ def on_time_by_customer(
             rounded_ratio(F.col("on_time"), F.col("shipments"), 4).alias("on_time_rate"),
             rounded_ratio(F.col("days_late"), F.col("shipments"), 2).alias("avg_days_late"),
         )
-        .orderBy("on_time_rate", F.desc("shipments"), "customer_name")
+        .orderBy(
+            F.asc_nulls_last("on_time_rate"), F.desc_nulls_first("shipments"), F.asc_nulls_last("customer_name")
+        )
     )

@@ -11,7 +11,8 @@ from linetally.functions.times import AsOf
 
 def kpi_snapshot(mart: DataFrame, as_of: AsOf = None, days: int = 14) -> DataFrame:
     """All line-days from the last days on, newest first."""
-    return mart.where(F.col("day") >= days_back(as_of, days)).orderBy(F.desc("day"), "line_id")
+    recent = mart.where(F.col("day") >= days_back(as_of, days))
+    return recent.orderBy(F.desc_nulls_first("day"), F.asc_nulls_last("line_id"))
 
 
 def throughput_rank(
@@ -31,6 +32,10 @@ def throughput_rank(
             "scrap_qty",
             "yield",
         )
-        .orderBy(rate.desc() if best else rate.asc(), "day", "line_id")
+        .orderBy(
+            rate.desc_nulls_first() if best else rate.asc_nulls_last(),
+            F.asc_nulls_last("day"),
+            F.asc_nulls_last("line_id"),
+        )
         .limit(n)
     )

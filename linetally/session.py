@@ -1,12 +1,15 @@
 """Session settings.
 
-Results never depend on these settings: all timestamps are zone-free and every
-literal states its type.  They only make the plans behave well at scale.
+Results do not depend on these settings, as all timestamps are zone-free and every literal
+states its type, but for one: "today" is the date in the session's time zone.
 """
 
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,7 +42,8 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):  # executors of its own
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     return tempfile.mkdtemp(prefix="linetally-")
 
@@ -50,3 +54,18 @@ def checkpointed(rows: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return rows.checkpoint()
+
+
+@contextmanager
+def checkpoint_folder(spark: SparkSession) -> Iterator[str]:
+    """A checkpoint folder of its own, in the shared one, that is deleted afterwards."""
+    from linetally.sources import files
+
+    folder, context = f"{shared_folder(spark)}/checkpoints-{uuid.uuid4().hex}", spark.sparkContext
+    before = context.getCheckpointDir()
+    context.setCheckpointDir(folder)
+    try:
+        yield folder
+    finally:
+        files.remove(spark, folder)
+        context.setCheckpointDir(before or shared_folder(spark))

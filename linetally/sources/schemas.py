@@ -41,10 +41,7 @@ class Table:
     domains: dict[str, tuple[str, ...]] = field(default_factory=dict)
     defaults: dict[str, str] = field(default_factory=dict)
     layout: tuple[str, ...] = ()
-    """Columns the stored files are range-partitioned and sorted by.
-
-    They end in the key, so that a date with very many rows still spreads over files.
-    """
+    """Columns the stored files are sorted by; their day (of the first) is a folder."""
 
     @property
     def required(self) -> list[str]:
@@ -185,7 +182,10 @@ TABLES = {
 
 MACHINE_TIME = Table(
     "machine_time_daily",
-    _columns({"machine_id": INT, "day": DATE, "run_us": LONG, "stop_us": LONG}, {"reason_code": TEXT}),
+    _columns(
+        {"machine_id": INT, "day": DATE, "run_us": LONG, "stop_us": LONG, "first_ts": TIME},
+        {"reason_code": TEXT, "last_ts": TIME, "last_state": TEXT},
+    ),
     ("machine_id", "day", "reason_code"),
     layout=("day", "machine_id", "reason_code"),
 )

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
-from linetally.operators.intervals import machine_logs
-from linetally.operators.slices import ROWS_PER_SLICE
+from linetally.functions.times import STORED_DAY
 from linetally.sources.schemas import EVENTS, REASONS, TABLES, Table
 
 # Reason codes with category and description.
@@ -25,41 +25,62 @@ def reason_codes(spark: SparkSession) -> DataFrame:
 
 
 def fill_defaults(rows: DataFrame, table: Table) -> DataFrame:
-    """Give missing values their declared default; a missing column is filled whole."""
-    for name, value in table.defaults.items():
-        given = F.col(name) if name in rows.columns else F.lit(None).cast("string")
-        rows = rows.withColumn(name, F.coalesce(given, F.lit(value)))
-    return rows
+    """Add columns that rows lack and that have a declared default.
+
+    A null that is given stays; for a required column ``not_null_violations`` reports it.
+    """
+    absent = {name: F.lit(value) for name, value in table.defaults.items() if name not in rows.columns}
+    return rows.withColumns(absent) if absent else rows
 
 
 def conform(rows: DataFrame, table: Table) -> DataFrame:
-    """Declared columns in declared order and type, defaults filled."""
+    """Declared columns in declared order and type; absent ones get their default or null.
+
+    A required column without a default has to be there.
+    """
     filled = fill_defaults(rows, table)
-    return filled.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields])
+
+    def value(field: StructField) -> Column:
+        absent = field.nullable and field.name not in filled.columns
+        return F.lit(None) if absent else F.col(field.name)
+
+    return filled.select(*[value(f).cast(f.dataType).alias(f.name) for f in table.schema.fields])
+
+
+def _folder_day(table: Table) -> Column:
+    return F.to_date(table.layout[0]).alias(STORED_DAY)
 
 
 def save_table(rows: DataFrame, root: str, table: Table, mode: str = "overwrite") -> None:
-    """Write rows (``append`` inserts), clustered so that date filters can skip files."""
+    """Write rows (``append`` inserts); tables with dates get a folder per day.
+
+    Rebalancing gathers small days into few files and splits large ones over many tasks.
+    """
     out = conform(rows, table)
-    if table.layout:
-        out = out.repartitionByRange(*table.layout).sortWithinPartitions(*table.layout)
-    out.write.mode(mode).parquet(f"{root}/{table.name}")
+    if not table.layout:
+        out.write.mode(mode).parquet(f"{root}/{table.name}")
+        return
+    (
+        out.withColumn(STORED_DAY, _folder_day(table))
+        .hint("rebalance", STORED_DAY)
+        .sortWithinPartitions(STORED_DAY, *table.layout)
+        .write.mode(mode)
+        .partitionBy(STORED_DAY)
+        .parquet(f"{root}/{table.name}")
+    )
 
 
-def save_event_log(
-    events: DataFrame, name: str, path: str, buckets: int, rows_per_slice: int = ROWS_PER_SLICE
-) -> None:
+def save_event_log(events: DataFrame, name: str, path: str, buckets: int, spread: int = 4) -> None:
     """Store events as a catalog table bucketed by machine and sorted by time.
 
-    Queries on intervals then read each machine's log in place of shuffling it.  All short
-    logs of a bucket are written by one task; a long log is spread by time over several, and
-    queries that cut it shuffle as they would without buckets.
+    Queries on intervals then read each machine's log in place of shuffling it.  ``spread``
+    tasks share a bucket, each with some of its days, so one machine does not load one task.
     """
-    logs = machine_logs(conform(events, EVENTS), rows_per_slice)
     bucket = F.pmod(F.hash("machine_id"), F.lit(buckets))
+    part = F.pmod(F.unix_date(F.to_date("event_ts")), F.lit(spread))
     (
-        logs.rows.repartition(bucket, *logs.cut.slices)
-        .select(EVENTS.schema.names)
+        conform(events, EVENTS)
+        .repartition(buckets * spread, bucket, part)
         .write.mode("overwrite")
         .option("path", path)
         .bucketBy(buckets, "machine_id")
@@ -69,11 +90,20 @@ def save_event_log(
 
 
 def read_table(spark: SparkSession, root: str, table: Table) -> DataFrame:
-    return spark.read.schema(table.schema).parquet(f"{root}/{table.name}")
+    """A stored table; one with dates has its folder's day as a further column, ``stored_day``.
+
+    Reports filter on it beside the time, so that they only open the folders they need.
+    """
+    schema = table.schema
+    if table.layout:
+        schema = StructType([*schema.fields, StructField(STORED_DAY, DateType(), True)])
+    return spark.read.schema(schema).parquet(f"{root}/{table.name}")
 
 
-def load_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {name: read_table(spark, root, table) for name, table in TABLES.items()}
+def load_tables(spark: SparkSession, root: str, event_log: str | None = None) -> dict[str, DataFrame]:
+    """All tables; the events from a bucketed catalog table if one is named."""
+    tables = {name: read_table(spark, root, table) for name, table in TABLES.items()}
+    return tables if event_log is None else {**tables, EVENTS.name: spark.table(event_log)}
 
 
 def register_views(tables: dict[str, DataFrame]) -> None:

@@ -45,16 +45,32 @@ def found(df):
 
 def test_keys(tables):
     assert found(audits.pk_violations(tables, TABLES.values())) == [
-        ("dim_machines", "1", 2),
-        ("fct_machine_events", "1", 2),
-        ("fct_production_runs", "NULL", 1),
-        ("fct_shipments", "1", 3),
+        ("dim_machines", '{"machine_id":1}', 2),
+        ("fct_machine_events", '{"event_id":1}', 2),
+        ("fct_production_runs", '{"work_order_id":null}', 1),
+        ("fct_shipments", '{"shipment_id":1}', 3),
     ]
 
 
 def test_compound_key(spark):
-    rows = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (None, "b")], "x int, y string")
-    assert found(audits.key_violations(rows, "t", ("x", "y"))) == [("t", "1|a", 2), ("t", "NULL|b", 1)]
+    given = [("1", "a"), ("1", "a"), ("1", "b"), (None, "b"), ("NULL", "b"), ("NULL", "b"), ("a|b", "c"), ("a", "b|c")]
+    rows = spark.createDataFrame([*given, given[-1], given[-2]], "x string, y string")
+    assert found(audits.key_violations(rows, "t", ("x", "y"))) == [
+        ("t", '{"x":"1","y":"a"}', 2),
+        ("t", '{"x":"NULL","y":"b"}', 2),
+        ("t", '{"x":"a","y":"b|c"}', 2),
+        ("t", '{"x":"a|b","y":"c"}', 2),
+        ("t", '{"x":null,"y":"b"}', 1),
+    ]
+
+
+def test_references_read_each_table_once(tables, spark, tmp_path):
+    path = str(tmp_path / "events")
+    tables["fct_machine_events"].write.parquet(path)
+    events = spark.read.parquet(path)
+    found_orphans = audits.orphans(events, "e", schemas.EVENTS.references, tables)
+    plan = found_orphans._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan") == 1
 
 
 def test_references(tables):
@@ -93,7 +109,8 @@ def test_domain_lets_null_pass(tables):
 def test_default_unit(spark):
     rows = spark.createDataFrame([(1, "kg"), (2, None)], "work_order_id long, uom string")
     filled = fill_defaults(rows, schemas.RUNS).orderBy("work_order_id")
-    assert [r.uom for r in filled.collect()] == ["kg", "unit"]
+    assert [r.uom for r in filled.collect()] == ["kg", None]  # a violation, not a default
+    assert found(audits.null_counts(filled, "t", ["uom"])) == [("t", "uom", 1)]
     assert {r.uom for r in fill_defaults(rows.drop("uom"), schemas.RUNS).collect()} == {"unit"}
 
 

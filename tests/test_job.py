@@ -1,3 +1,4 @@
+import dataclasses
 import datetime
 import uuid
 
@@ -6,10 +7,11 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from linetally import job
+from linetally.plans.mart import read_line_day_kpi, read_machine_time
 from linetally.session import shared_folder
 from linetally.sources import fixtures
 from linetally.sources.schemas import EVENTS, RUNS, TABLES
-from linetally.sources.tables import save_table
+from linetally.sources.tables import read_table, save_event_log, save_table
 
 SF = "/root/testdata/sf0.001"
 
@@ -17,22 +19,37 @@ SF = "/root/testdata/sf0.001"
 def check(spark, written):
     """From stored tables, over the stored mart, to stored reports."""
     con, oracle = compare.connect(SF), entry.oracle_sql()
-    assert len(written) == 16
+    names = [path.rsplit("/", 1)[1] for path in written if "/reports/" in path]
+    assert len(names) == 14
     for path in written:
-        name = path.rsplit("/", 1)[1]
-        key = "line_day_kpi" if name == "mart_daily_line_kpi" else name
-        compare.assert_same(entry._plain(spark.read.parquet(path)), con, oracle[key])
+        folder, name = path.rsplit("/", 2)[1:]
+        if folder == "reports":
+            compare.assert_same(entry._plain(spark.read.parquet(path)), con, oracle[name])
+        elif name == "mart_daily_line_kpi":
+            compare.assert_same(entry._plain(read_line_day_kpi(spark, path)), con, oracle["line_day_kpi"])
+        elif name == "machine_time_daily":
+            compare.assert_same(read_machine_time(spark, path), con, oracle[name])
 
 
-def test_stored_reports_equal_the_oracle_after_build_and_refresh(spark):
+def violations(spark, written):
+    audits = {path.rsplit("/", 1)[1]: spark.read.parquet(path) for path in written if "/audits/" in path}
+    assert set(audits) == {"pk_violations", "fk_orphans", "not_null_violations", "state_domain_violations"}
+    return {name: rows.where("n > 0").count() for name, rows in audits.items()}
+
+
+def test_stored_results_equal_the_oracle_after_build_and_refresh(spark):
     root = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     tables, out = f"{root}/tables", f"{root}/out"
     views = fixtures.all_tables(spark, SF)
     for name, rows in views.items():
         save_table(rows, tables, TABLES[name])
-    check(spark, job.run(spark, tables, out, fixtures.AS_OF))
+    written = job.run(spark, tables, out, fixtures.AS_OF, assign=True)
+    check(spark, written)
+    assert violations(spark, written)["not_null_violations"] == 0
+    linked = read_table(spark, out, dataclasses.replace(EVENTS, name="assigned_events"))
+    assert linked.where("work_order_id is not null").count() > 0
 
-    # The same tables, of which three days come later.
+    # The same tables, of which three days come later, and one day had rows that go again.
     first, last = datetime.date(2024, 1, 14), datetime.date(2024, 1, 16)
     events, runs = views["fct_machine_events"], views["fct_production_runs"]
     new_events = F.to_date("event_ts").between(first, last)
@@ -43,3 +60,25 @@ def test_stored_reports_equal_the_oracle_after_build_and_refresh(spark):
     save_table(events.where(new_events), tables, EVENTS, mode="append")
     save_table(runs.where(new_runs), tables, RUNS, mode="append")
     check(spark, job.run(spark, tables, out, fixtures.AS_OF, (first, last)))
+
+
+def test_job_reports_violations_and_reads_a_bucketed_log(spark, make):
+    root = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    views = fixtures.all_tables(spark, SF)
+    nameless = F.when(F.col("event_id") % 100 == 0, F.lit(None)).otherwise(F.col("machine_id"))
+    bad = views[EVENTS.name].withColumn("machine_id", nameless.cast("int"))
+    for name, rows in views.items():
+        save_table(rows, f"{root}/tables", TABLES[name])
+    save_event_log(bad, "bad_log", f"{root}/bad_log", 4)
+    written = job.run(spark, f"{root}/tables", f"{root}/out", event_log="bad_log")
+    assert violations(spark, written)["not_null_violations"] == 1
+
+
+def test_all_reports_share_one_date(spark, monkeypatch):
+    root, dates = f"{shared_folder(spark)}/{uuid.uuid4().hex}", []
+    for name, rows in fixtures.all_tables(spark, SF).items():
+        save_table(rows, f"{root}/tables", TABLES[name])
+    original = job.all_reports
+    monkeypatch.setattr(job, "all_reports", lambda *a: dates.append(a[-1]) or original(*a))
+    job.run(spark, f"{root}/tables", f"{root}/out")
+    assert isinstance(dates[0], datetime.date)

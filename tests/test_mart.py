@@ -5,18 +5,21 @@ import micro
 import pytest
 from pyspark.sql import functions as F
 
-from linetally.operators.line_day import line_day_kpi, machine_time_daily
+from linetally.operators.line_day import line_day_kpi, machine_day_parts, machine_time_daily
+from linetally.plans import mart
 from linetally.plans.mart import (
     days_to_rebuild,
     publish_line_day_kpi,
     read_line_day_kpi,
+    read_machine_parts,
     read_machine_time,
     refresh_line_day_kpi,
     write_line_day_kpi,
     write_machine_time,
 )
 from linetally.session import shared_folder
-from linetally.sources import fixtures, schemas
+from linetally.sources import files, fixtures, schemas
+from linetally.sources.tables import read_table, save_table
 
 
 @pytest.fixture
@@ -32,21 +35,21 @@ def kpi(events, machines, runs):
     return line_day_kpi(machine_time_daily(events), machines, runs)
 
 
-def files(df):
+def files_of(df):
     return {r[0] for r in df.select(F.input_file_name()).distinct().collect()}
 
 
 def test_written_mart_reads_back(spark, sf_dir, path):
-    mart = line_day_kpi(
+    whole = line_day_kpi(
         machine_time_daily(fixtures.machine_events(spark, sf_dir)),
         fixtures.machines(spark, sf_dir),
         fixtures.production_runs(spark, sf_dir),
     )
-    write_line_day_kpi(mart, path)
-    write_line_day_kpi(mart, path)
+    write_line_day_kpi(whole, path)
+    write_line_day_kpi(whole, path)
     stored = read_line_day_kpi(spark, path)
     assert stored.schema.simpleString() == schemas.LINE_DAY_KPI.schema.simpleString()
-    assert rows(stored) == rows(mart)
+    assert rows(stored) == rows(whole)
     assert stored.groupBy("line_id", "day").count().where("count > 1").count() == 0
 
 
@@ -68,39 +71,45 @@ def test_publishing_switches_when_complete(spark, make, path):
 
 
 def test_day_filter_reads_only_its_folders(spark, sf_dir, path):
-    mart = line_day_kpi(
+    whole = line_day_kpi(
         machine_time_daily(fixtures.machine_events(spark, sf_dir)),
         fixtures.machines(spark, sf_dir),
         fixtures.production_runs(spark, sf_dir),
     )
-    write_line_day_kpi(mart, path)
+    write_line_day_kpi(whole, path)
     recent = read_line_day_kpi(spark, path).where(F.col("day") >= F.lit(datetime.date(2024, 2, 10)))
     plan = recent._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan
     assert recent.count() > 0
-    assert all("/day=2024-02-1" in name for name in files(recent))
+    assert all("/day=2024-02-1" in name for name in files_of(recent))
+
+
+def days(*numbers):
+    return [datetime.date(2024, 1, n) for n in numbers]
 
 
 def test_days_to_rebuild_reach_back_to_the_last_event_before(make):
-    events = make(
-        schemas.EVENTS,
-        [
-            (1, 1, "2024-01-01 10:00:00", "RUN", None, None),
-            (2, 1, "2024-01-05 10:00:00", "RUN", None, None),
-            (3, 1, "2024-01-20 10:00:00", "STOP", None, None),
-            (4, 2, "2024-01-09 10:00:00", "RUN", None, None),  # nothing new: unchanged
-            (5, 3, "2024-01-12 10:00:00", "RUN", None, None),
-            (6, 3, "2024-01-25 10:00:00", "RUN", None, None),  # new after the range
-        ],
-    )
-    first, last = datetime.date(2024, 1, 20), datetime.date(2024, 1, 21)
-    for machine_time in (None, machine_time_daily(events)):
-        got = days_to_rebuild(events, first, last, machine_time).collect()
-        assert {r.day.day for r in got} == {5, 20, 21} and len(got) == 3
+    log = [
+        (1, 1, "2024-01-01 10:00:00", "RUN", None, None),
+        (2, 1, "2024-01-05 10:00:00", "RUN", None, None),
+        (3, 1, "2024-01-20 10:00:00", "STOP", None, None),
+        (4, 2, "2024-01-09 10:00:00", "RUN", None, None),  # nothing new: unchanged
+        (5, 3, "2024-01-12 10:00:00", "RUN", None, None),
+        (6, 3, "2024-01-25 10:00:00", "RUN", None, None),  # new after the range
+        (7, 4, "2024-01-03 10:00:00", "RUN", None, None),  # what it had on the 21st is gone
+    ]
+    gone = (8, 4, "2024-01-21 10:00:00", "RUN", None, None)
+    before, after = (machine_day_parts(make(schemas.EVENTS, rows)) for rows in ([*log[:2], *log[3:], gone], log))
+    got = days_to_rebuild(before, after, *days(20, 21)).collect()
+    assert sorted(r.day.day for r in got) == [3, 5, 20, 21]
 
 
-@pytest.mark.parametrize("rows_per_slice", [4_000_000, 2])
-def test_refresh_equals_full_rebuild_after_late_events(spark, make, path, rows_per_slice):
+def stored(path, events, machines, runs):
+    write_machine_time(machine_day_parts(events), f"{path}-time")
+    write_line_day_kpi(kpi(events, machines, runs), path)
+
+
+def test_refresh_equals_full_rebuild_after_late_events(spark, make, path):
     """Events arrive on days in the middle of the log, one of them long after its predecessor."""
     late = [
         (50, 3, "2024-01-05 03:00:00", "STOP", "PLAN", None),
@@ -120,33 +129,64 @@ def test_refresh_equals_full_rebuild_after_late_events(spark, make, path, rows_p
     before = make(schemas.EVENTS, micro.EVENTS + later)
     after = make(schemas.EVENTS, micro.EVENTS + later + late)
 
-    write_line_day_kpi(kpi(before, machines, runs), path)
-    refresh_line_day_kpi(
-        path,
-        after,
-        machines,
-        more_runs,
-        datetime.date(2024, 1, 5),
-        datetime.date(2024, 1, 6),
-        rows_per_slice=rows_per_slice,
-    )
+    stored(path, before, machines, runs)
+    refresh_line_day_kpi(path, f"{path}-time", after, machines, more_runs, *days(5, 6))
     assert rows(read_line_day_kpi(spark, path)) == rows(kpi(after, machines, more_runs))
     assert rows(read_line_day_kpi(spark, path)) != rows(kpi(before, machines, runs))
 
+    # And back again: the days lose all the rows they got.
+    refresh_line_day_kpi(path, f"{path}-time", before, machines, runs, *days(5, 6))
+    assert rows(read_line_day_kpi(spark, path)) == rows(kpi(before, machines, runs))
+    left = read_machine_parts(spark, f"{path}-time").where(F.col("day").isin(*days(5, 6)))
+    assert left.count() == 0
+
 
 def test_refresh_of_days_within_the_log(spark, path):
     """Half of the events of a few days arrive late; all other days stay untouched files."""
     sf = "/root/testdata/sf0.001"
     events, machines = fixtures.machine_events(spark, sf), fixtures.machines(spark, sf)
     runs = fixtures.production_runs(spark, sf)
-    first, last = datetime.date(2024, 1, 10), datetime.date(2024, 1, 12)
+    first, last = days(10, 12)
     late = F.to_date("event_ts").between(first, last) & (F.col("event_id") % 2 == 0)
     time_path = f"{path}-time"
-    write_machine_time(machine_time_daily(events.where(~late)), time_path)
-    write_line_day_kpi(kpi(events.where(~late), machines, runs), path)
-    old_files = files(read_line_day_kpi(spark, path).where(F.col("day") > last))
-    refresh_line_day_kpi(path, events, machines, runs, first, last, time_path)
+    stored(path, events.where(~late), machines, runs)
+    old_files = files_of(read_machine_parts(spark, time_path).where(~F.col("day").between(first, last)))
+    refresh_line_day_kpi(path, time_path, events, machines, runs, first, last)
     time, whole = read_machine_time(spark, time_path), machine_time_daily(events)
     assert time.exceptAll(whole.select(time.columns)).count() == 0 and time.count() == whole.count()
     assert rows(read_line_day_kpi(spark, path)) == rows(kpi(events, machines, runs))
-    assert old_files == files(read_line_day_kpi(spark, path).where(F.col("day") > last))
+    assert old_files == files_of(read_machine_parts(spark, time_path).where(~F.col("day").between(first, last)))
+
+
+def test_refresh_reads_events_of_its_days_only(spark, make, path, monkeypatch):
+    """Also where a machine that was silent for years comes back."""
+    log = [(1, 1, "2020-01-01 10:00:00", "RUN", None, None), (2, 2, "2024-01-09 10:00:00", "RUN", None, None)]
+    back = [(3, 1, "2024-01-10 10:00:00", "STOP", None, None)]
+    machines, runs = make(schemas.MACHINES, micro.MACHINES), make(schemas.RUNS, micro.RUNS)
+    stored(path, make(schemas.EVENTS, log), machines, runs)
+    save_table(make(schemas.EVENTS, log + back), path + "-tables", schemas.EVENTS)
+    events = read_table(spark, path + "-tables", schemas.EVENTS)
+    seen = []
+    original = mart.machine_day_parts
+    monkeypatch.setattr(mart, "machine_day_parts", lambda given: seen.append(given) or original(given))
+    refresh_line_day_kpi(path, f"{path}-time", events, machines, runs, *days(10, 10))
+    assert [r.event_id for given in seen for r in given.collect()] == [3]
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(stored_day" in plan
+    assert rows(read_line_day_kpi(spark, path)) == rows(kpi(events, machines, runs))
+
+
+def test_old_versions_stay_for_a_while(spark, make, path):
+    events, machines = make(schemas.EVENTS, micro.EVENTS), make(schemas.MACHINES, micro.MACHINES)
+    mart_rows = kpi(events, machines, make(schemas.RUNS, micro.RUNS))
+    first = write_line_day_kpi(mart_rows, path)
+    second = write_line_day_kpi(mart_rows, path)
+    assert files.versions(spark, path) == [first, second]
+    third = write_line_day_kpi(mart_rows, path, grace_seconds=0)
+    assert files.versions(spark, path) == [third]
+    broken = mart_rows.withColumn("good_qty", F.raise_error(F.lit("lost")).cast("bigint"))
+    with pytest.raises(Exception, match="lost"):
+        write_line_day_kpi(broken, path, grace_seconds=0)
+    assert rows(read_line_day_kpi(spark, path)) == rows(mart_rows)
+    with pytest.raises(FileNotFoundError):
+        read_line_day_kpi(spark, f"{path}-never")

@@ -5,7 +5,7 @@ import micro
 import pytest
 from pyspark.sql import functions as F
 
-from linetally.operators.intervals import state_intervals
+from linetally.operators.intervals import DAY_US, state_intervals
 from linetally.operators.line_day import line_day_kpi, machine_time_daily
 from linetally.plans import crosschecks, downtime, quality, shipping, snapshot
 from linetally.sources import schemas
@@ -14,8 +14,8 @@ from linetally.sources.tables import reason_codes
 AS_OF = "2024-01-30"
 D1, D2, D3 = (datetime.date(2024, 1, day) for day in (1, 2, 3))
 
-# The first keeps logs whole, the second cuts them into slices.
-SLICINGS = [4_000_000, 2]
+# Pieces of a day, and of an hour.
+SLICINGS = [DAY_US, 3_600_000_000]
 
 
 @pytest.fixture
@@ -32,10 +32,10 @@ def rows(df):
     return [tuple(r) for r in df.collect()]
 
 
-@pytest.mark.parametrize("rows_per_slice", SLICINGS)
-def test_intervals(make, plant, rows_per_slice):
+@pytest.mark.parametrize("slice_us", SLICINGS)
+def test_intervals(make, plant, slice_us):
     events, machines = make(schemas.EVENTS, micro.EVENTS), plant[1]
-    got = {r.event_id: r for r in state_intervals(events, machines, rows_per_slice).collect()}
+    got = {r.event_id: r for r in state_intervals(events, machines, slice_us).collect()}
     known = {e[0] for e in micro.EVENTS if e[1] != 9}
     assert {k: r.duration_us for k, r in got.items()} == {k: micro.DURATION_US[k] for k in known}
     assert got[4].day == D1 and got[0].day == D1
@@ -43,9 +43,9 @@ def test_intervals(make, plant, rows_per_slice):
     assert {r.line_id for k, r in got.items() if r.machine_id == 3} == {11}
 
 
-@pytest.mark.parametrize("rows_per_slice", SLICINGS)
-def test_line_day_kpi(make, plant, rows_per_slice):
-    time = machine_time_daily(make(schemas.EVENTS, micro.EVENTS), rows_per_slice=rows_per_slice)
+@pytest.mark.parametrize("slice_us", SLICINGS)
+def test_line_day_kpi(make, plant, slice_us):
+    time = machine_time_daily(make(schemas.EVENTS, micro.EVENTS), slice_us=slice_us)
     got = {(r.line_id, r.day): r for r in line_day_kpi(time, *plant[1:]).collect()}
     assert set(got) == {(10, D1), (10, D2), (10, D3), (11, D1), (11, D2)}
 
@@ -88,9 +88,9 @@ def test_rankings_and_snapshot(plant):
     mart.unpersist()
 
 
-@pytest.mark.parametrize("rows_per_slice", SLICINGS)
-def test_pareto(spark, make, rows_per_slice):
-    time = machine_time_daily(make(schemas.EVENTS, micro.EVENTS), rows_per_slice=rows_per_slice)
+@pytest.mark.parametrize("slice_us", SLICINGS)
+def test_pareto(spark, make, slice_us):
+    time = machine_time_daily(make(schemas.EVENTS, micro.EVENTS), slice_us=slice_us)
     got = rows(downtime.downtime_pareto(time, reason_codes(spark), AS_OF))
     assert got == [
         ("UNKNOWN", Decimal("60.00"), 0.4, 0.4),
@@ -154,7 +154,7 @@ def test_quality_rounds_halves_up(make):
     qc = make(schemas.QC_RESULTS, samples)
     runs = make(schemas.RUNS, micro.RUNS)
     assert rows(quality.qc_fail_by_test(qc, AS_OF)) == [("viscosity", 32, 1, 0.0313)]
-    assert rows(quality.qc_fail_by_line_day(qc, runs, AS_OF)) == [
+    assert rows(quality.qc_fail_by_line_day(quality.qc_line_day_tally(qc, runs, AS_OF))) == [
         (10, datetime.date(2024, 1, 5), 32, 1, 0.0313)
     ]
 

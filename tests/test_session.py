@@ -2,7 +2,8 @@ from types import SimpleNamespace
 
 import pytest
 
-from linetally.session import checkpointed, shared_folder
+from linetally.session import checkpoint_folder, checkpointed, shared_folder
+from linetally.sources import files
 
 
 def fake(master, named=None):
@@ -18,6 +19,8 @@ def test_named_folder_wins():
 def test_a_cluster_must_name_its_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(fake("spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(fake("local-cluster[2,1,1024]"))
 
 
 def test_checkpoints_go_to_the_named_folder(spark):
@@ -26,3 +29,13 @@ def test_checkpoints_go_to_the_named_folder(spark):
     assert rows.count() == 10
     assert named in spark.sparkContext.getCheckpointDir()
     assert "Range" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_checkpoint_folder_is_removed_after_use(spark):
+    before = spark.sparkContext.getCheckpointDir()
+    with checkpoint_folder(spark) as folder:
+        assert checkpointed(spark.range(5)).count() == 5
+        assert files.exists(spark, folder)
+    assert not files.exists(spark, folder)
+    assert checkpointed(spark.range(5)).count() == 5
+    assert before is None or spark.sparkContext.getCheckpointDir().startswith(before.rsplit("/", 1)[0])

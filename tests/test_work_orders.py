@@ -20,14 +20,14 @@ def brute_force(events, machines, runs):
     return result
 
 
-def assigned(events, machines, runs, rows_per_slice):
-    rows = assign_work_order(events, machines, runs, rows_per_slice).collect()
+def assigned(events, machines, runs, ids_per_slice):
+    rows = assign_work_order(events, machines, runs, ids_per_slice).collect()
     assert len(rows) == len({r.event_id for r in rows})
     return {r.event_id: r.work_order_id for r in rows}
 
 
-@pytest.mark.parametrize("rows_per_slice", [4_000_000, 5])
-def test_matches_brute_force(spark, rows_per_slice):
+@pytest.mark.parametrize("ids_per_slice", [1_000_000, 50])
+def test_matches_brute_force(spark, ids_per_slice):
     sf = "/root/testdata/sf0.001"
     tables = (
         fixtures.machine_events(spark, sf),
@@ -36,11 +36,11 @@ def test_matches_brute_force(spark, rows_per_slice):
     )
     expected = brute_force(*tables)
     assert None in expected.values() and len(set(expected.values())) > 100
-    assert assigned(*tables, rows_per_slice) == expected
+    assert assigned(*tables, ids_per_slice) == expected
 
 
-@pytest.mark.parametrize("rows_per_slice", [4_000_000, 10])
-def test_one_line_day_holds_nearly_everything(make, rows_per_slice):
+@pytest.mark.parametrize("ids_per_slice", [1_000_000, 40])
+def test_one_line_day_holds_nearly_everything(make, ids_per_slice):
     """A single hot machine and line-day: many events on few runs, and on very many runs."""
     start = datetime.datetime(2024, 1, 1, 6)
     events = make(
@@ -57,7 +57,7 @@ def test_one_line_day_holds_nearly_everything(make, rows_per_slice):
 
     for few_or_many in (runs(2, 10) + runs(3, 11), runs(300, 10) + runs(1, 12)):
         table = make(schemas.RUNS, few_or_many)
-        assert assigned(events, machines, table, rows_per_slice) == brute_force(events, machines, table)
+        assert assigned(events, machines, table, ids_per_slice) == brute_force(events, machines, table)
 
 
 def test_keeps_event_columns(spark, sf_dir):

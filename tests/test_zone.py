@@ -26,7 +26,7 @@ def test_no_hour_is_lost_when_clocks_change(make, zone):
         ],
     )
     machines = make(schemas.MACHINES, micro.MACHINES)
-    got = {r.event_id: r.duration_us for r in state_intervals(events, machines, 1).collect()}
+    got = {r.event_id: r.duration_us for r in state_intervals(events, machines, 1_000_000).collect()}
     assert got == {1: 7_200_000_000, 2: 0}
 
 
