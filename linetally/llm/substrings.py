@@ -9,7 +9,7 @@ Anchors.  Only windows of ``ANCHOR`` words at positions whose remainder modulo `
 PERIOD takes both into it.  As ANCHOR + PERIOD - 1 = WINDOW, two equal windows, wherever they
 start, share an anchor at the same place inside them.  So only words around anchors that occur
 in several documents can be part of a match; there every window is extended to its full length
-and compared by 128 bits of hash.
+and compared by 96 bits of hash.
 
 Documents are dealt into groups of a bounded number.  What a group has several times is settled
 inside the group, and between groups only one entry per group and distinct anchor or window
@@ -39,8 +39,8 @@ from linetally.llm.workers import shipped
 WINDOW = 13
 PERIOD, COVER = 7, (0, 1, 3)
 ANCHOR = WINDOW - PERIOD + 1
-DOCS_PER_GROUP = 500
-GROUPS_PER_BUCKET = 16
+DOCS_PER_GROUP = 1_000
+GROUPS_PER_BUCKET = 4
 LAST = np.iinfo(np.int64).max
 # Odd multipliers of the two rolling hashes.
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -80,9 +80,10 @@ class GroupWords:
         return at, self.window_hashes(ANCHOR, FACTORS[0])[at]
 
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
-        """Starts of all full windows, and their 128-bit hashes as two columns."""
+        """Starts of all full windows, and their hashes: 64 bits and 32 more, as two columns."""
         at = np.flatnonzero(self.left >= WINDOW)
-        return at, np.stack([self.window_hashes(WINDOW, f)[at] for f in FACTORS], axis=1)
+        first, second = (self.window_hashes(WINDOW, factor)[at] for factor in FACTORS)
+        return at, np.stack([first, second >> np.uint64(32)], axis=1)
 
 
 def group_words(rows: pa.Table) -> GroupWords:
@@ -112,7 +113,7 @@ def _table(columns: dict, schema: dict[str, pa.DataType]) -> pa.Table:
     return pa.table({name: pa.array(list(columns[name]), kind) for name, kind in schema.items()})
 
 
-_LONGS = pa.list_(pa.int64())
+_LONGS, _INTS = pa.list_(pa.int64()), pa.list_(pa.int32())
 
 
 def _signed(values: np.ndarray) -> np.ndarray:
@@ -147,7 +148,8 @@ def _owner(rows: pa.Table, name: str) -> np.ndarray:
 def _by_group(groups: np.ndarray, columns: dict[str, np.ndarray]) -> pa.Table:
     cut = _rows(groups, columns)
     cut["g"] = cut.pop("bucket")
-    return _table(cut, {"g": pa.int64(), **dict.fromkeys(columns, _LONGS)})
+    kinds = {name: _INTS if values.dtype == np.int32 else _LONGS for name, values in columns.items()}
+    return _table(cut, {"g": pa.int64(), **kinds})
 
 
 def shared_anchors(key: tuple, rows: pa.Table) -> pa.Table:
@@ -189,9 +191,10 @@ def group_windows(n_buckets: int) -> Callable[[tuple, pa.Table, pa.Table], pa.Ta
         near = _near_anchors(words, _flat(told, "hashes").astype(np.uint64), starts)
         values, least, _ = _least_ids(words, starts[near], hashes[near])
         buckets = (values[:, 0] % np.uint64(n_buckets)).astype(np.int64)
-        cut = _rows(buckets, {"h1": _signed(values[:, 0]), "h2": _signed(values[:, 1]), "least": least})
+        second = values[:, 1].astype(np.uint32).view(np.int32)
+        cut = _rows(buckets, {"h1": _signed(values[:, 0]), "h2": second, "least": least})
         cut["g"] = [key[0].as_py()] * len(cut["bucket"])
-        return _table(cut, {"bucket": pa.int64(), "g": pa.int64(), "h1": _LONGS, "h2": _LONGS, "least": _LONGS})
+        return _table(cut, {"bucket": pa.int64(), "g": pa.int64(), "h1": _LONGS, "h2": _INTS, "least": _LONGS})
 
     return emit
 
@@ -215,7 +218,7 @@ def removed_words(rows: pa.Table, told: pa.Table) -> tuple[GroupWords, np.ndarra
     words = group_words(rows)
     starts, hashes = words.windows()
     values, least, inverse = _least_ids(words, starts, hashes)
-    told_pairs = np.stack([_flat(told, x).astype(np.uint64) for x in ("h1", "h2")], axis=1)
+    told_pairs = np.stack([_flat(told, "h1").astype(np.uint64), _flat(told, "h2").astype(np.uint32)], axis=1)
     if len(told_pairs):
         pair = np.dtype([("a", "<u8"), ("b", "<u8")])
         known = np.ascontiguousarray(values).view(pair).ravel()
@@ -292,10 +295,10 @@ def _removal_pass(
     )
     shared = anchors.groupBy("bucket").applyInArrow(shared_anchors, "g long, hashes array<long>")
     windows = grouped.cogroup(shared.groupBy("g")).applyInArrow(
-        group_windows(n_buckets), "bucket long, g long, h1 array<long>, h2 array<long>, least array<long>"
+        group_windows(n_buckets), "bucket long, g long, h1 array<long>, h2 array<int>, least array<long>"
     )
     first = windows.groupBy("bucket").applyInArrow(
-        first_windows, "g long, h1 array<long>, h2 array<long>, first array<long>"
+        first_windows, "g long, h1 array<long>, h2 array<int>, first array<long>"
     )
     return grouped.cogroup(first.groupBy("g")).applyInArrow(last, schema)
 
