@@ -87,14 +87,11 @@ class ByteBpe:
 
     def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
         found = [self._pattern.findall(chunk) for chunk in chunks]
-        self._matches.learn(found)
-        return [b"".join(map(self._matches.__getitem__, matches)) for matches in found]
+        return [b"".join(ids) for ids in self._matches.values_of(found)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        lists = [cut(text) for text in texts]
-        self._chunks.learn(lists)
-        return [b"".join(map(self._chunks.__getitem__, chunks)) for chunks in lists]
+        return [b"".join(ids) for ids in self._chunks.values_of([cut(text) for text in texts])]
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes that encoded ids stand for."""

@@ -13,13 +13,24 @@ from collections.abc import Callable, Iterable
 
 # A code point that Unicode keeps free for internal use; texts that hold it take the slow cut.
 MARK = "\ufdd0"
-_RUN = re.compile(r"\s\s|\A\s|\s\Z")
+# All white space but space and line end, single characters that Python or Unicode call so.
+OTHER_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 _BEFORE_WORD = re.compile(r"(?<=\S)(?= \S)")
 
 
 def is_plain(text: str) -> bool:
-    """Whether each white space of the text stands alone between other characters."""
-    return bool(text) and MARK not in text and not _RUN.search(text)
+    """Whether all white space is spaces and line ends that stand alone between other characters."""
+    return (
+        bool(text)
+        and "  " not in text
+        and "\n " not in text
+        and " \n" not in text
+        and "\n\n" not in text
+        and not text[0].isspace()
+        and not text[-1].isspace()
+        and MARK not in text
+        and not any(space in text for space in OTHER_SPACES)
+    )
 
 
 def cut_plain(text: str) -> list[str]:
@@ -35,27 +46,34 @@ def cut(text: str) -> list[str]:
 
 
 class Memo(dict):
-    """What chunks give, up to ``capacity`` of them beside the fixed ones.
+    """What chunks give (never None), up to ``capacity`` of them beside the fixed ones.
 
     ``make`` gets a list of new chunks and returns what each gives.  A full memo starts afresh
     from the fixed entries, so its memory is bounded and no result depends on what it holds.
     """
 
-    def __init__(self, make: Callable[[list[str]], Iterable], capacity: int = 300_000, fixed: dict | None = None):
+    def __init__(self, make: Callable[[list[str]], Iterable], capacity: int = 700_000, fixed: dict | None = None):
         super().__init__(fixed or {})
         self._make, self._fixed, self._capacity = make, dict(fixed or {}), capacity
 
-    def learn(self, lists: list[list[str]]) -> None:
-        """Make sure that all chunks of these lists are known."""
+    def values_of(self, lists: list[list[str]]) -> list[list]:
+        """What each chunk of each list gives."""
         if len(self) > len(self._fixed) + self._capacity:
             self.clear()
             self.update(self._fixed)
-        new: set[str] = set()
-        for chunks in lists:
-            new.update(x for x in set(chunks) if x not in self)
+        found = [list(map(self.get, chunks)) for chunks in lists]
+        open_ = [
+            (values, [(k, chunks[k]) for k, v in enumerate(values) if v is None])
+            for chunks, values in zip(lists, found, strict=True)
+            if None in values
+        ]
+        new = list({chunk for _, gaps in open_ for _, chunk in gaps})
         if new:
-            found = list(new)
-            self.update(zip(found, self._make(found), strict=True))
+            self.update(zip(new, self._make(new), strict=True))
+            for values, gaps in open_:
+                for k, chunk in gaps:
+                    values[k] = self[chunk]
+        return found
 
 
 def pieces(values: list, size: int = 256) -> Iterable[list]:

@@ -1,4 +1,8 @@
-"""Tables written to the folder that all executors share."""
+"""Tables written to the folder that all executors share.
+
+They lie below ``llm-<application id>`` there.  Results read them lazily, so they stay until
+``remove_stored`` is called, or the folder of an application that has ended is deleted.
+"""
 
 from __future__ import annotations
 
@@ -7,10 +11,25 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from linetally.session import shared_folder
+from linetally.sources import files
+
+_folders: dict[str, str] = {}
+
+
+def _folder(spark: SparkSession) -> str:
+    application = spark.sparkContext.applicationId
+    if application not in _folders:
+        _folders[application] = f"{shared_folder(spark)}/llm-{application}"
+    return _folders[application]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_stored(spark: SparkSession) -> None:
+    """Delete all tables this application has stored; results that read them are lost."""
+    files.remove(spark, _folder(spark))
 
 
 def stored(rows: DataFrame, name: str) -> DataFrame:

@@ -102,13 +102,10 @@ def count_tokens(docs: DataFrame, model: str, limit: int = 4096, table_size: int
             n_bytes, n_tokens = [], []
             for texts in pieces(_texts(batch)):
                 lists = [_chunks(text) for text in texts]
-                memo.learn([x for x in lists if x])
-                for text, chunks in zip(texts, lists, strict=True):
+                known = memo.values_of([chunks or [] for chunks in lists])
+                for text, chunks, lengths in zip(texts, lists, known, strict=True):
                     n_bytes.append(len(text.encode()))
-                    if chunks is None:
-                        n_tokens.append(len(_processor(model).encode(text)) if text else 0)
-                    else:
-                        n_tokens.append(sum(map(memo.__getitem__, chunks)))
+                    n_tokens.append(len(_processor(model).encode(text)) if chunks is None else sum(lengths))
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id"),

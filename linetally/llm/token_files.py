@@ -23,6 +23,9 @@ table gives no blocks.  Other columns are ignored.
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -45,32 +48,68 @@ BLOCK_SCHEMA = (
 )
 
 
+# A chunk that starts and ends with something visible, but for one space before it.
+_JOINABLE = re.compile(r" ?[^\s](?:[^\n]*[^\s])?")
+
+
 class LibraryEncoder:
-    """Encodes texts by a tokenizer file; chunks that recur are encoded once."""
+    """Encodes texts by a tokenizer file; chunks that recur are encoded once.
 
-    def __init__(self, path: str):
-        import os
+    Texts are cut only for byte-level tokenizers with the usual pattern and nothing before or
+    after it.  For others, and where a text spells an added token, the library gets whole texts.
+    """
 
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks already use all cores
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self._added = [token.content for token in self._tokenizer.get_added_tokens_decoder().values()]
         self.width = 2 if self._tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self._memo = Memo(self._encode_whole)
+        plan = json.loads(self._tokenizer.to_str())
+        usual = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        self._cuts = usual.items() <= (plan["pre_tokenizer"] or {}).items() and not (
+            plan["normalizer"] or plan["post_processor"] or plan["truncation"] or plan["padding"]
+        )
+        self._line_end = self._ids(["\n"])[0].tolist()
+        self._memo = Memo(self._encode_chunks)
 
-    def _encode_whole(self, texts: list[str]) -> list[bytes]:
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, f"<u{self.width}").tobytes() for x in found]
+        return [np.array(x.ids, f"<u{self.width}") for x in found]
+
+    def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
+        """The ids of new chunks.  A full stop or comma after a letter is a match of its own."""
+        if not self._cuts or len(self._line_end) != 1:
+            return [ids.tobytes() for ids in self._ids(chunks)]
+        cuts = [(x[:-1], x[-1]) if x[-1] in ".," and x[-2:-1].isalpha() else (x, "") for x in chunks]
+        known = self._memo.keys() & {word for word, _ in cuts}
+        made = {word: self._memo[word] for word in known}
+        made |= self._encode_joined(list({x for cut in cuts for x in cut if x and x not in made}))
+        made[""] = b""
+        return [made[word] + made[end] for word, end in cuts]
+
+    def _encode_joined(self, chunks: list[str]) -> dict[str, bytes]:
+        """The ids of chunks.  Those that a line end before and after leaves as they are go together."""
+        made: dict[str, bytes] = {}
+        joined = [x for x in chunks if _JOINABLE.fullmatch(x) and not any(a in x for a in self._added)]
+        groups = list(pieces(joined, 2_000))
+        for group, ids in zip(groups, self._ids(["\n".join(group) for group in groups]), strict=True):
+            raw, ends = ids.tobytes(), (np.flatnonzero(ids == self._line_end[0]) * self.width).tolist()
+            starts = [0, *[end + self.width for end in ends]]
+            made.update(zip(group, map(raw.__getitem__, map(slice, starts, [*ends, len(raw)])), strict=True))
+        rest = [x for x in chunks if x not in made]
+        made.update(zip(rest, (ids.tobytes() for ids in self._ids(rest)), strict=True))
+        return made
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, ``width`` bytes each.
-
-        A text that spells an added token may have it across chunks, so it is encoded whole.
-        """
-        lists = [[text] if any(x in text for x in self._added) else cut(text) for text in texts]
-        self._memo.learn(lists)
-        return [b"".join(map(self._memo.__getitem__, chunks)) for chunks in lists]
+        """The ids of each text, ``width`` bytes each."""
+        whole = [not self._cuts or any(x in text for x in self._added) for text in texts]
+        known = self._memo.values_of([[] if w else cut(text) for text, w in zip(texts, whole, strict=True)])
+        return [
+            self._ids([text])[0].tobytes() if w else b"".join(ids)
+            for text, w, ids in zip(texts, whole, known, strict=True)
+        ]
 
 
 @lru_cache(maxsize=2)

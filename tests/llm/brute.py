@@ -36,7 +36,7 @@ def awkward(spark):
         f"before {passage}\nafter {passage}",
         "same line\nsame line\n\nsame line " * 30,
         "x" * 50_000,
-        "﷐ mark ﷐\n\n  two  spaces ",
+        "\ufdd0 mark \ufdd0\n\n  two  spaces ",
         "a\x00b 😀 é é İ ſ ½ ²",
     ]
     rows = [(i, t, "en" if i % 2 else None, f"src{i % 3}" if i % 4 else None, len(t or "")) for i, t in enumerate(texts)]

@@ -181,6 +181,20 @@ def test_toxicity_awkward(spark):
     assert toxicity.score(brute.empty(spark), toxicity.fit_chain(brute.empty(spark), labels, categories)).count() == 0
 
 
+# stored tables
+
+
+def test_stored_tables_lie_in_one_folder_that_can_be_removed(spark, monkeypatch, tmp_path):
+    from linetally.llm import store
+    from linetally.sources import files
+
+    monkeypatch.setitem(store._folders, spark.sparkContext.applicationId, f"{tmp_path}/own")
+    rows = stored(spark.range(10), "rows")
+    assert rows.count() == 10 and files.exists(spark, f"{tmp_path}/own")
+    store.remove_stored(spark)
+    assert not files.exists(spark, f"{tmp_path}/own")
+
+
 # pipeline
 
 
