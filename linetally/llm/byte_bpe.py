@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linetally.llm.pretokens import Memo, cut, pieces
+from linetally.llm.pretokens import Memo, all_chunks, text_slices
 from linetally.llm.workers import shipped
 
 
@@ -78,20 +78,23 @@ class ByteBpe:
         self._matches = Memo(self._encode_matches)
         self._chunks = Memo(self._encode_chunks)
 
-    def _encode_matches(self, matches: list[str]) -> list[bytes]:
-        raw = [match.encode() for match in matches]
-        mapped = [token.decode("latin-1").translate(self._letters) for token in raw]
+    def _encode_matches(self, matches: list[bytes]) -> list[bytes]:
+        mapped = [match.decode("latin-1").translate(self._letters) for match in matches]
         found = self._model.encode(mapped, num_threads=1)
-        ids = [[self._whole[token]] if token in self._whole else got for token, got in zip(raw, found, strict=True)]
+        ids = [[self._whole[m]] if m in self._whole else got for m, got in zip(matches, found, strict=True)]
         return [np.array(x, "<u4").tobytes() for x in ids]
 
-    def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
-        found = [self._pattern.findall(chunk) for chunk in chunks]
-        return [b"".join(ids) for ids in self._matches.values_of(found)]
+    def _encode_chunks(self, chunks: list[bytes]) -> list[bytes]:
+        """The ids of chunks: of each match of the pattern, one after the other."""
+        found = [[match.encode() for match in self._pattern.findall(chunk.decode())] for chunk in chunks]
+        distinct = list({match for matches in found for match in matches})
+        ids = dict(zip(distinct, self._matches.values_of(distinct), strict=True))
+        return [b"".join(map(ids.__getitem__, matches)) for matches in found]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        return [b"".join(ids) for ids in self._chunks.values_of([cut(text) for text in texts])]
+        chunks = all_chunks(texts)
+        return chunks.join(self._chunks.values_of(chunks.distinct), 4)
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes that encoded ids stand for."""
@@ -115,20 +118,18 @@ def encode_and_decode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFra
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(ranks_path, pattern)
         for batch in batches:
-            counts, id_digests, text_digests = [], [], []
-            for texts in pieces([x or "" for x in batch.column("text").to_pylist()]):
-                for ids in codec.encode(texts):
-                    counts.append(len(ids) // 4)
-                    id_digests.append(hashlib.sha256(ids).hexdigest())
-                    text_digests.append(hashlib.sha256(codec.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": batch.column("doc_id"),
-                    "n_tokens": pa.array(counts, pa.int64()),
-                    "ids_sha256": pa.array(id_digests, pa.string()),
-                    "decoded_sha256": pa.array(text_digests, pa.string()),
-                }
-            )
+            for rows, texts in text_slices(batch):
+                ids = codec.encode(texts)
+                digests = [hashlib.sha256(x).hexdigest() for x in ids]
+                decoded = [hashlib.sha256(codec.decode(x)).hexdigest() for x in ids]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "doc_id": rows.column("doc_id"),
+                        "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()),
+                        "ids_sha256": pa.array(digests, pa.string()),
+                        "decoded_sha256": pa.array(decoded, pa.string()),
+                    }
+                )
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return shipped(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(code, schema)

@@ -9,13 +9,19 @@ again, so that a tokenizer has to see each chunk once per worker.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
-# A code point that Unicode keeps free for internal use; texts that hold it take the slow cut.
-MARK = "\ufdd0"
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+# A control character to cut at; texts that hold it take the slow cut.
+MARK = "\x01"
 # All white space but space and line end, single characters that Python or Unicode call so.
 OTHER_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 _BEFORE_WORD = re.compile(r"(?<=\S)(?= \S)")
+CHARS_AT_ONCE = 8_000_000
 
 
 def is_plain(text: str) -> bool:
@@ -33,16 +39,66 @@ def is_plain(text: str) -> bool:
     )
 
 
-def cut_plain(text: str) -> list[str]:
-    """Words with the space before them, and line ends, of a plain text."""
-    return text.replace("\n", f"{MARK}\n{MARK}").replace(" ", f"{MARK} ").split(MARK)
+@dataclass
+class Chunks:
+    """The chunks of some texts: text i has distinct[index[k]] for k from bounds[i] to bounds[i + 1]."""
+
+    distinct: list[bytes]
+    index: np.ndarray
+    bounds: np.ndarray
+
+    def join(self, values: list[bytes], width: int) -> list[bytes]:
+        """For each text the values of its chunks, given per distinct chunk, in one.
+
+        Values are numbers of ``width`` bytes.
+        """
+        lengths = np.fromiter(map(len, values), np.int64, len(values)) // width
+        numbers = np.frombuffer(b"".join(values), f"<u{width}")
+        starts = np.cumsum(lengths) - lengths
+        own = lengths[self.index]
+        ends = np.concatenate([[0], np.cumsum(own)])
+        shift = np.repeat(starts[self.index] - ends[:-1], own)
+        raw = numbers[np.arange(ends[-1]) + shift].tobytes()
+        cuts = (ends[self.bounds] * width).tolist()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def sum(self, values: list[int]) -> np.ndarray:
+        """For each text the sum of its chunks' values, given per distinct chunk."""
+        sums = np.concatenate([[0], np.cumsum(np.array(values, np.int64)[self.index])])
+        return np.diff(sums[self.bounds])
+
+
+def _plain_lists(texts: pa.Array) -> pa.ListArray:
+    """The chunks of plain texts: line ends, and words with the space before them."""
+    marked = pc.replace_substring(texts, "\n", f"{MARK}\n{MARK}")
+    return pc.split_pattern(pc.replace_substring(marked, " ", f"{MARK} "), MARK)
+
+
+def chunks_of(texts: pa.Array, plain: np.ndarray, others: Callable[[str], list[str]]) -> Chunks:
+    """The chunks of texts; ``others`` cuts those that are not marked as plain."""
+    lists = _plain_lists(texts.filter(pa.array(plain)))
+    if not plain.all():
+        slow = [others(text) for text in texts.filter(pa.array(~plain)).to_pylist()]
+        lists = pa.concat_arrays([lists, pa.array(slow, pa.list_(pa.string()))])
+        lists = lists.take(pa.array(np.argsort(np.argsort(~plain, kind="stable"))))
+    flat = lists.flatten().dictionary_encode()
+    words = flat.dictionary
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].tolist()
+    data = words.buffers()[2].to_pybytes() if words.buffers()[2] else b""
+    distinct = [data[a:b] for a, b in zip(ends, ends[1:])]
+    counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    return Chunks(distinct, flat.indices.to_numpy(), np.concatenate([[0], np.cumsum(counts)]).astype(np.int64))
 
 
 def cut(text: str) -> list[str]:
     """The chunks of any text; joined they give the text again."""
-    if not text:
-        return []
-    return cut_plain(text) if is_plain(text) else _BEFORE_WORD.split(text)
+    return _BEFORE_WORD.split(text) if text else []
+
+
+def all_chunks(texts: pa.Array) -> Chunks:
+    """The chunks of any texts."""
+    plain = np.array([is_plain(text) for text in texts.to_pylist()], bool)
+    return chunks_of(texts, plain, cut)
 
 
 class Memo(dict):
@@ -52,30 +108,33 @@ class Memo(dict):
     from the fixed entries, so its memory is bounded and no result depends on what it holds.
     """
 
-    def __init__(self, make: Callable[[list[str]], Iterable], capacity: int = 700_000, fixed: dict | None = None):
+    def __init__(self, make: Callable[[list[bytes]], list], capacity: int = 1_000_000, fixed: dict | None = None):
         super().__init__(fixed or {})
         self._make, self._fixed, self._capacity = make, dict(fixed or {}), capacity
 
-    def values_of(self, lists: list[list[str]]) -> list[list]:
-        """What each chunk of each list gives."""
+    def values_of(self, distinct: list[bytes]) -> list:
+        """What each of some distinct chunks gives."""
         if len(self) > len(self._fixed) + self._capacity:
             self.clear()
             self.update(self._fixed)
-        found = [list(map(self.get, chunks)) for chunks in lists]
-        open_ = [
-            (values, [(k, chunks[k]) for k, v in enumerate(values) if v is None])
-            for chunks, values in zip(lists, found, strict=True)
-            if None in values
-        ]
-        new = list({chunk for _, gaps in open_ for _, chunk in gaps})
-        if new:
-            self.update(zip(new, self._make(new), strict=True))
-            for values, gaps in open_:
-                for k, chunk in gaps:
-                    values[k] = self[chunk]
+        found = list(map(self.get, distinct))
+        gaps = [k for k, value in enumerate(found) if value is None]
+        if gaps:
+            new = list(map(distinct.__getitem__, gaps))
+            made = self._make(new)
+            self.update(zip(new, made, strict=True))
+            for k, value in zip(gaps, made, strict=True):
+                found[k] = value
         return found
 
 
-def pieces(values: list, size: int = 256) -> Iterable[list]:
-    for i in range(0, len(values), size):
-        yield values[i : i + size]
+def text_slices(batch: pa.RecordBatch, chars: int = CHARS_AT_ONCE) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """A batch in parts of about so many bytes of text each, with their texts, null as empty."""
+    texts = pc.fill_null(batch.column("text"), "")
+    sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    start = 0
+    while start < batch.num_rows:
+        before = sizes[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(sizes, before + chars, "right")))
+        yield batch.slice(start, end - start), texts.slice(start, end - start)
+        start = end

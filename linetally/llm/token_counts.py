@@ -18,11 +18,13 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linetally.llm.pretokens import Memo, cut_plain, is_plain, pieces
+from linetally.llm.pretokens import Chunks, Memo, chunks_of, is_plain, text_slices
 from linetally.llm.workers import shipped
 
 TABLE_SIZE = 65_536
@@ -38,48 +40,49 @@ def _processor(path: str):
     return sentencepiece.SentencePieceProcessor(model_file=path)
 
 
-def _chunks(text: str) -> list[str] | None:
-    """Chunks whose token counts add up to the text's, or None if it must be encoded whole.
+def _chunks(texts: pa.Array) -> tuple[Chunks, np.ndarray]:
+    """Chunks whose token counts add up to the text's, and for which texts there are any.
 
-    The library puts a space before the text, so the first word starts like any other.
+    The library puts a space before the text, so the first word starts like any other.  Texts
+    whose white space is not plain have no chunks and must be encoded whole.
     """
-    if SPACE in text or not is_plain(text):
-        return None
-    return cut_plain(" " + text)[1:]
+    plain = np.array([SPACE not in text and is_plain(text) for text in texts.to_pylist()], bool)
+    spaced = pc.binary_join_element_wise(" ", texts, "")
+    return chunks_of(spaced, plain, lambda _: []), plain
 
 
-def chunk_lengths(path: str, chunks: list[str]) -> list[int]:
-    """Tokens of each chunk inside a text.
+def chunk_lengths(path: str, chunks: list[bytes]) -> list[int]:
+    """Tokens of each chunk inside a text; the empty one before the first space has none.
 
     A word brings its space, which the library adds by itself.  Any other chunk is encoded
     after a line end, whose two tokens (the added space, the byte) are taken off again.
     """
-    encoded = _processor(path).encode([x[1:] if x[0] == " " else "\n" + x for x in chunks], num_threads=1)
-    return [len(ids) - (0 if x[0] == " " else 2) for x, ids in zip(chunks, encoded, strict=True)]
+    texts = [chunk.decode() for chunk in chunks]
+    encoded = _processor(path).encode([x[1:] if x[:1] in (" ", "") else "\n" + x for x in texts], num_threads=1)
+    return [len(ids) - (0 if x[:1] in (" ", "") else 2) for x, ids in zip(texts, encoded, strict=True)]
 
 
-def _texts(batch: pa.RecordBatch) -> list[str]:
-    return [x or "" for x in batch.column("text").to_pylist()]
-
-
-def heavy_chunks(docs: DataFrame, size: int = TABLE_SIZE) -> list[str]:
+def heavy_chunks(docs: DataFrame, size: int = TABLE_SIZE) -> list[bytes]:
     """The most frequent chunks of all texts, at most ``size``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[str] = Counter()
+        seen: Counter[bytes] = Counter()
         for batch in batches:
-            for text in _texts(batch):
-                seen.update(_chunks(text) or ())
+            for _, texts in text_slices(batch):
+                chunks, _ = _chunks(texts)
+                counts = np.bincount(chunks.index, minlength=len(chunks.distinct)).tolist()
+                seen.update(dict(zip(chunks.distinct, counts, strict=True)))
                 if len(seen) > COUNTER_SIZE:
                     seen = Counter(dict(seen.most_common(COUNTER_SIZE // 4)))
         top = seen.most_common(HEAVY_PER_TASK)
         yield pa.RecordBatch.from_pydict(
-            {"chunk": pa.array([x for x, _ in top], pa.string()), "n": pa.array([n for _, n in top], pa.int64())}
+            {"chunk": pa.array([x for x, _ in top], pa.binary()), "n": pa.array([n for _, n in top], pa.int64())}
         )
 
     rows = (
-        shipped(docs).select("text")
-        .mapInArrow(count, "chunk string, n long")
+        shipped(docs)
+        .select(F.col("text").cast("string"))
+        .mapInArrow(count, "chunk binary, n long")
         .groupBy("chunk")
         .agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "chunk")
@@ -87,7 +90,7 @@ def heavy_chunks(docs: DataFrame, size: int = TABLE_SIZE) -> list[str]:
         .select("chunk")
         .collect()
     )
-    return [row.chunk for row in rows]
+    return [bytes(row.chunk) for row in rows]
 
 
 def count_tokens(docs: DataFrame, model: str, limit: int = 4096, table_size: int = TABLE_SIZE) -> DataFrame:
@@ -99,21 +102,19 @@ def count_tokens(docs: DataFrame, model: str, limit: int = 4096, table_size: int
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Memo(lambda new: chunk_lengths(model, new), fixed=table.value)
         for batch in batches:
-            n_bytes, n_tokens = [], []
-            for texts in pieces(_texts(batch)):
-                lists = [_chunks(text) for text in texts]
-                known = memo.values_of([chunks or [] for chunks in lists])
-                for text, chunks, lengths in zip(texts, lists, known, strict=True):
-                    n_bytes.append(len(text.encode()))
-                    n_tokens.append(len(_processor(model).encode(text)) if chunks is None else sum(lengths))
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": batch.column("doc_id"),
-                    "n_bytes": pa.array(n_bytes, pa.int64()),
-                    "n_tokens": pa.array(n_tokens, pa.int64()),
-                    "over_limit": pa.array([n > limit for n in n_tokens], pa.bool_()),
-                }
-            )
+            for rows, texts in text_slices(batch):
+                chunks, plain = _chunks(texts)
+                n_tokens = chunks.sum(memo.values_of(chunks.distinct))
+                others = texts.filter(pa.array(~plain)).to_pylist()
+                n_tokens[~plain] = [len(ids) for ids in _processor(model).encode(others, num_threads=1)]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "doc_id": rows.column("doc_id"),
+                        "n_bytes": pc.binary_length(texts).cast(pa.int64()),
+                        "n_tokens": pa.array(n_tokens, pa.int64()),
+                        "over_limit": pa.array(n_tokens > limit),
+                    }
+                )
 
     schema = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
     return shipped(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(count, schema)

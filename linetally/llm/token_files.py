@@ -37,10 +37,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linetally.llm.mph import PerfectHash
-from linetally.llm.pretokens import Memo, cut, pieces
+from linetally.llm.pretokens import Memo, chunks_of, cut, is_plain, text_slices
 from linetally.llm.workers import shipped
 
 BLOCK_IDS = 1 << 20
+CHUNKS_AT_ONCE = 2_000
+STOPS = (b".", b",")
 BLOCK_SCHEMA = (
     "shard int, block int, before long, low long, high long, has_null boolean, keys array<long>, "
     "levels array<long>, bits binary, prints array<long>, slot_first array<int>, slot_docs array<int>, "
@@ -48,8 +50,8 @@ BLOCK_SCHEMA = (
 )
 
 
-# A chunk that starts and ends with something visible, but for one space before it.
-_JOINABLE = re.compile(r" ?[^\s](?:[^\n]*[^\s])?")
+# Lines whose white space at an end would go with the line end; one space before a word does not.
+_MERGING = re.compile(r"\s\n|\n(?! ?\S)")
 
 
 class LibraryEncoder:
@@ -78,38 +80,50 @@ class LibraryEncoder:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, f"<u{self.width}") for x in found]
 
-    def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
-        """The ids of new chunks.  A full stop or comma after a letter is a match of its own."""
-        if not self._cuts or len(self._line_end) != 1:
-            return [ids.tobytes() for ids in self._ids(chunks)]
-        cuts = [(x[:-1], x[-1]) if x[-1] in ".," and x[-2:-1].isalpha() else (x, "") for x in chunks]
-        known = self._memo.keys() & {word for word, _ in cuts}
-        made = {word: self._memo[word] for word in known}
-        made |= self._encode_joined(list({x for cut in cuts for x in cut if x and x not in made}))
-        made[""] = b""
-        return [made[word] + made[end] for word, end in cuts]
-
-    def _encode_joined(self, chunks: list[str]) -> dict[str, bytes]:
-        """The ids of chunks.  Those that a line end before and after leaves as they are go together."""
-        made: dict[str, bytes] = {}
-        joined = [x for x in chunks if _JOINABLE.fullmatch(x) and not any(a in x for a in self._added)]
-        groups = list(pieces(joined, 2_000))
-        for group, ids in zip(groups, self._ids(["\n".join(group) for group in groups]), strict=True):
-            raw, ends = ids.tobytes(), (np.flatnonzero(ids == self._line_end[0]) * self.width).tolist()
-            starts = [0, *[end + self.width for end in ends]]
-            made.update(zip(group, map(raw.__getitem__, map(slice, starts, [*ends, len(raw)])), strict=True))
-        rest = [x for x in chunks if x not in made]
-        made.update(zip(rest, (ids.tobytes() for ids in self._ids(rest)), strict=True))
-        return made
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _encode_chunks(self, chunks: list[bytes]) -> list[bytes]:
+        """The ids of new chunks.
+
+        A full stop or comma after a letter is a match of its own, so words that differ in
+        it are encoded once.  Chunks that stand between line ends as they are go together.
+        """
+        if len(self._line_end) != 1:
+            return [ids.tobytes() for ids in self._ids([chunk.decode() for chunk in chunks])]
+        ends = [chunk[-1:] if chunk[-1:] in STOPS and chunk[-2:-1].isalpha() else b"" for chunk in chunks]
+        words = [chunk[:-1] if end else chunk for chunk, end in zip(chunks, ends, strict=True)]
+        new = [word for word in {*words, *STOPS} if word not in self._memo]
+        spaces = [word for word in new if word.isspace()]
+        if spaces:
+            self._memo.update(zip(spaces, (x.tobytes() for x in self._ids([x.decode() for x in spaces])), strict=True))
+            new = [word for word in new if not word.isspace()]
+        for i in range(0, len(new), CHUNKS_AT_ONCE):
+            group = new[i : i + CHUNKS_AT_ONCE]
+            self._memo.update(zip(group, self._encode_lines(group), strict=True))
+        of_end = {b"": b"", **{stop: self._memo[stop] for stop in STOPS}}
+        of_word = map(self._memo.__getitem__, words)
+        return [ids + of_end[end] for ids, end in zip(of_word, ends, strict=True)]
+
+    def _encode_lines(self, chunks: list[bytes]) -> list[bytes]:
+        """The ids of chunks, encoded as the lines of one text if that leaves them as they are."""
+        text = b"\n".join(chunks).decode()
+        if text.count("\n") != len(chunks) - 1 or _MERGING.search(f"\n{text}\n."):
+            return [ids.tobytes() for ids in self._ids([chunk.decode() for chunk in chunks])]
+        ids = self._ids([text])[0]
+        raw, ends = ids.tobytes(), (np.flatnonzero(ids == self._line_end[0]) * self.width).tolist()
+        starts = [0, *[end + self.width for end in ends]]
+        return list(map(raw.__getitem__, map(slice, starts, [*ends, len(raw)])))
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text, ``width`` bytes each."""
-        whole = [not self._cuts or any(x in text for x in self._added) for text in texts]
-        known = self._memo.values_of([[] if w else cut(text) for text, w in zip(texts, whole, strict=True)])
-        return [
-            self._ids([text])[0].tobytes() if w else b"".join(ids)
-            for text, w, ids in zip(texts, whole, known, strict=True)
-        ]
+        values = texts.to_pylist()
+        whole = np.array([not self._cuts or any(x in text for x in self._added) for text in values], bool)
+        plain = np.array([not w and is_plain(text) for text, w in zip(values, whole, strict=True)], bool)
+        spelled = {text for text, w in zip(values, whole, strict=True) if w}
+        chunks = chunks_of(texts, plain, lambda text: [] if text in spelled else cut(text))
+        found = chunks.join(self._memo.values_of(chunks.distinct), self.width)
+        places = np.flatnonzero(whole).tolist()
+        for i, ids in zip(places, self._ids([values[i] for i in places]), strict=True):
+            found[i] = ids.tobytes()
+        return found
 
 
 @lru_cache(maxsize=2)
@@ -167,9 +181,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int) -
             )
 
         for batch in batches:
-            names, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for some in pieces(list(zip(names, texts, strict=True))):
-                for (name, _), got in zip(some, encoder.encode([text or "" for _, text in some]), strict=True):
+            for rows, texts in text_slices(batch):
+                for name, got in zip(rows.column("doc_id").to_pylist(), encoder.encode(texts), strict=True):
                     doc_ids.append(name)
                     ids.append(got + end)
                     size += len(ids[-1]) // encoder.width
@@ -185,8 +198,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int) -
         .repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id", "text")
         .mapInArrow(encode, BLOCK_SCHEMA)
-        .write.option("compression", "zstd")
-        .parquet(path)
+        .write.parquet(path)
     )
 
 

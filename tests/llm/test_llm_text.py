@@ -7,6 +7,7 @@ import zlib
 import brute
 import compare
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 
@@ -32,14 +33,27 @@ def texts(spark, sf_dir):
 
 
 def test_chunks_rejoin(texts):
-    assert all("".join(pretokens.cut(text)) == text for text in texts)
+    chunks = pretokens.all_chunks(pa.array(texts))
+    assert chunks.join(chunks.distinct, 1) == [text.encode() for text in texts]
+    assert chunks.sum([len(x) for x in chunks.distinct]).tolist() == [len(text.encode()) for text in texts]
+    assert sum(pretokens.is_plain(text) for text in texts) > 1000
+    assert pretokens.all_chunks(pa.array([], pa.string())).join([], 2) == []
+
+
+def test_slices_cover_the_batch():
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(["a" * n if n % 7 else None for n in range(50)])})
+    for size in (1, 40, 10_000):
+        parts = list(pretokens.text_slices(batch, size))
+        assert pa.Table.from_batches([p for p, _ in parts]).column("text").to_pylist() == batch.column("text").to_pylist()
+        assert all(len(t) == 1 or sum(map(len, t.to_pylist())) <= size for _, t in parts)
+        assert [x for _, t in parts for x in t.to_pylist()] == [x or "" for x in batch.column("text").to_pylist()]
 
 
 def test_memo_starts_afresh_and_keeps_fixed_entries():
-    memo = pretokens.Memo(lambda new: [x.upper() for x in new], capacity=2, fixed={"f": "F"})
-    for some in (["a", "b"], ["c"], ["d", "a"]):
-        assert memo.values_of([some, []]) == [[x.upper() for x in some], []]
-    assert memo["f"] == "F" and len(memo) <= 5
+    memo = pretokens.Memo(lambda new: [x.upper() for x in new], capacity=2, fixed={b"f": b"F"})
+    for some in ([b"a", b"b"], [b"c"], [b"d", b"a"], []):
+        assert memo.values_of(some) == [x.upper() for x in some]
+    assert memo[b"f"] == b"F" and len(memo) <= 5
 
 
 # op1
@@ -170,13 +184,11 @@ def test_token_counts_match_library(spark, sf_dir):
 
 
 def test_token_chunks_add_up(texts):
-    library = token_counts._processor(MODEL)
-    memo = pretokens.Memo(lambda new: token_counts.chunk_lengths(MODEL, new))
-    whole = library.encode(texts, num_threads=1)
-    for text, ids in zip(texts, whole, strict=True):
-        chunks = token_counts._chunks(text)
-        if chunks is not None:
-            assert sum(memo.values_of([chunks])[0]) == len(ids), text
+    whole = [len(ids) for ids in token_counts._processor(MODEL).encode(texts, num_threads=1)]
+    chunks, plain = token_counts._chunks(pa.array(texts))
+    sums = chunks.sum(token_counts.chunk_lengths(MODEL, chunks.distinct))
+    assert sums[plain].tolist() == [n for n, p in zip(whole, plain, strict=True) if p]
+    assert plain.sum() > 1000 and not sums[~plain].any()
 
 
 # op6
@@ -188,7 +200,7 @@ def test_byte_bpe_matches_library_and_round_trips(texts):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     codec = byte_bpe.ByteBpe(RANKS, public_tokenizers.PATTERN)
-    for text, ids in zip(texts, codec.encode(texts), strict=True):
+    for text, ids in zip(texts, codec.encode(pa.array(texts)), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(text)
         assert codec.decode(ids) == text.encode()
 
@@ -203,7 +215,7 @@ def test_byte_bpe_query(spark, sf_dir):
     codec = byte_bpe.ByteBpe(RANKS, public_tokenizers.PATTERN)
     for docs in (spark.read.parquet(f"{sf_dir}/documents.parquet"), brute.awkward(spark), brute.empty(spark)):
         rows = docs.select("doc_id", "text").collect()
-        ids = codec.encode([r.text or "" for r in rows])
+        ids = codec.encode(pa.array([r.text or "" for r in rows], pa.string()))
         want = [(r.doc_id, len(x) // 4, brute.sha(x), brute.sha(r.text or "")) for r, x in zip(rows, ids, strict=True)]
         got = byte_bpe.encode_and_decode(docs, RANKS, public_tokenizers.PATTERN)
         assert brute.multiset(got.collect()) == brute.multiset(want)
@@ -216,11 +228,11 @@ def test_library_encoder_matches_library(texts):
     from tokenizers import Tokenizer
 
     library, encoder = Tokenizer.from_file(JSON), token_files.LibraryEncoder(JSON)
-    for text, ids, got in zip(texts, library.encode_batch(texts, add_special_tokens=False), encoder.encode(texts), strict=True):
+    for text, ids, got in zip(texts, library.encode_batch(texts, add_special_tokens=False), encoder.encode(pa.array(texts)), strict=True):
         assert np.frombuffer(got, "<u2").tolist() == ids.ids, text
     other = public_tokenizers.path("word_bpe_49k.json")
     library, encoder = Tokenizer.from_file(other), token_files.LibraryEncoder(other)
-    for text, ids, got in zip(texts, library.encode_batch(texts, add_special_tokens=False), encoder.encode(texts), strict=True):
+    for text, ids, got in zip(texts, library.encode_batch(texts, add_special_tokens=False), encoder.encode(pa.array(texts)), strict=True):
         assert np.frombuffer(got, "<u2").tolist() == ids.ids, text
 
 
