@@ -279,10 +279,11 @@ def quality_verdicts(docs: DataFrame, fences: Fences = Fences()) -> DataFrame:
 def keep_good(docs: DataFrame, fences: Fences = Fences()) -> DataFrame:
     """The documents that pass, with all their columns.
 
-    Fences are small (one row per language and source), so that Spark joins them without moving
-    texts; measuring again is cheaper than shuffling or storing the texts.
+    The counts for the fences are written, as the optimizer would compute them anew in every
+    filter on them.  Fences are small (one row per language and source), so that Spark joins them
+    without moving texts; measuring again is cheaper than shuffling or storing the texts.
     """
-    bounds = stored(adaptive_fences(_small(docs), fences), "fences")
+    bounds = stored(adaptive_fences(stored(_small(docs), "measures"), fences), "fences")
     names = [F.col(f"doc.{name}") for name in docs.columns]
     measured = text_measures(docs.select(F.struct(*docs.columns).alias("doc"), "text", *GROUP)).select(
         "doc", *GROUP, "measures.*"

@@ -202,6 +202,7 @@ def simhash_components(docs: DataFrame, covering: Covering = Covering(), shingle
 def keep_first(docs: DataFrame, covering: Covering = Covering(), shingle: int = SHINGLE) -> DataFrame:
     """The document with the least doc_id of each component, with all its columns.
 
+    The list of these doc_ids grows with the documents, so it is merged, never broadcast.
     Where that doc_id has several rows, the least of them by text and the other columns stays.
     Rows with a null doc_id are neither first nor named by a component; all stay.
     """
@@ -216,7 +217,7 @@ def keep_first(docs: DataFrame, covering: Covering = Covering(), shingle: int =
         .select("doc_id", "least.*")
     )
     return (
-        docs.join(once, "doc_id", "left_semi")
+        docs.join(once.hint("merge"), "doc_id", "left_semi")
         .unionByName(least)
         .unionByName(docs.where("doc_id is null"))
         .select(docs.columns)
