@@ -75,8 +75,8 @@ class ByteBpe:
         self._lengths = np.array([len(token) for token in tokens], np.int64)
         self._starts = np.cumsum(self._lengths) - self._lengths
         self._bytes = np.frombuffer(b"".join(tokens), np.uint8)
-        self._matches = Memo(self._encode_matches)
-        self._chunks = Memo(self._encode_chunks)
+        self._matches = Memo(self._encode_matches, capacity=250_000)
+        self._chunks = Memo(self._encode_chunks, capacity=500_000)
 
     def _encode_matches(self, matches: list[bytes]) -> list[bytes]:
         mapped = [match.decode("latin-1").translate(self._letters) for match in matches]
