@@ -87,7 +87,7 @@ class GroupWords:
 
 
 def group_words(rows: pa.Table) -> GroupWords:
-    doc_ids = rows.column("doc_id").fill_null(LAST).to_numpy()
+    doc_ids = rows.column("doc_id").cast(pa.int64()).fill_null(LAST).to_numpy()
     return GroupWords(doc_ids, [(t or "").encode().split() for t in rows.column("text").to_pylist()])
 
 
