@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linetally.llm.pretokens import text_slices
 from linetally.llm.workers import shipped
 
 SAMPLE_DOCS = 4_000
@@ -37,6 +38,8 @@ MIN_DOCS = 4
 FOLDS = 3
 STEPS, RATE, RIDGE = 200, 0.1, 1.0
 SEED = 7
+SLOTS = 1 << 22
+CHARS_AT_ONCE = 1_000_000
 START_LENGTHS = (3, 4, 5, 6)
 _WORD = re.compile(r"\w+")
 
@@ -51,19 +54,36 @@ def features_of(words: set[str]) -> set[str]:
     return words.union(*({f"{start}*" for start in some} for some in starts))
 
 
+def _slots(features: list[str]) -> np.ndarray:
+    return np.fromiter((hash(feature) % SLOTS for feature in features), np.int64, len(features))
+
+
 def chosen_features(documents: list[set[str]], labels: np.ndarray) -> list[str]:
-    """The features that depend most on some category, by chi-square."""
-    seen = Counter(feature for features in documents for feature in features)
+    """The features that depend most on some category, by chi-square; documents as words.
+
+    Features are made anew in each pass instead of being kept.  The first pass counts them in a
+    table of slots, so that the second need not hold the many that are too rare.
+    """
+    in_slot = np.zeros(SLOTS, np.int32)
+    for words in documents:
+        in_slot[_slots(list(features_of(words)))] += 1
+    seen, among = Counter(), [Counter() for _ in labels.T]
+    for words, row in zip(documents, labels, strict=True):
+        features = list(features_of(words))
+        frequent = in_slot[_slots(features)] >= MIN_DOCS
+        own = [feature for feature, often in zip(features, frequent.tolist(), strict=True) if often]
+        seen.update(own)
+        for counter, y in zip(among, row, strict=True):
+            counter.update(own if y else ())
     names = sorted(feature for feature, n in seen.items() if n >= MIN_DOCS)
     count, total = np.array([seen[name] for name in names], float), len(documents)
     best = np.zeros(len(names))
-    for column in labels.T:
+    for column, counter in zip(labels.T, among, strict=True):
         positive = column.sum()
         if not 0 < positive < total:
             continue
-        among = Counter(f for features, y in zip(documents, column, strict=True) if y for f in features)
         expected = count * positive / total
-        distance = (np.array([among[name] for name in names]) - expected) ** 2 / expected
+        distance = (np.array([counter[name] for name in names]) - expected) ** 2 / expected
         best = np.maximum(best, distance * total / (total - positive) * total / np.maximum(total - count, 1))
     return [names[i] for i in np.argsort(-best, kind="stable")[:VOCABULARY]]
 
@@ -93,9 +113,10 @@ class Presence:
     size: int
 
     @classmethod
-    def of(cls, documents: list[set[str]], vocabulary: dict[str, int]) -> Presence:
+    def of(cls, documents: Iterable[set[str]], vocabulary: dict[str, int]) -> Presence:
+        """For documents as words."""
         known = vocabulary.keys()
-        found = [sorted(vocabulary[feature] for feature in features & known) for features in documents]
+        found = [sorted(vocabulary[feature] for feature in features_of(words) & known) for words in documents]
         places = np.array([p for x in found for p in x], np.int64)
         return cls(places, np.array([len(x) for x in found], np.int64), len(vocabulary))
 
@@ -155,9 +176,8 @@ class Chain:
         """The chain for documents as sets of words and labels (documents, categories) of 0 and 1."""
         if not documents:
             return cls(categories, {}, [], [0.5] * len(categories))
-        features = [features_of(words) for words in documents]
-        vocabulary = {feature: i for i, feature in enumerate(chosen_features(features, labels))}
-        x = Presence.of(features, vocabulary)
+        vocabulary = {feature: i for i, feature in enumerate(chosen_features(documents, labels))}
+        x = Presence.of(documents, vocabulary)
         fold = np.random.default_rng(SEED).permutation(len(documents)) % FOLDS
         links, thresholds, earlier = [], [], np.zeros((len(documents), 0))
         for column in range(len(categories)):
@@ -176,7 +196,7 @@ class Chain:
         """(texts, categories)"""
         if not self.links:
             return np.zeros((len(texts), len(self.categories)))
-        x = Presence.of([features_of(words_of(text)) for text in texts], self.vocabulary)
+        x = Presence.of(map(words_of, texts), self.vocabulary)
         earlier = np.zeros((len(texts), 0))
         for link in self.links:
             earlier = np.column_stack([earlier, link.log_odds(x, earlier)])
@@ -209,7 +229,12 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Column],
     schema = "doc_id long, " + ", ".join(f"y{i} int" for i in range(len(names))) + ", words array<string>"
     found = sorted(shipped(rows).mapInArrow(distinct, schema).collect(), key=lambda row: row.doc_id)
     y = np.array([[row[f"y{i}"] for i in range(len(names))] for row in found], float).reshape(len(found), len(names))
-    return Chain.fit([set(row.words) for row in found], y, names)
+    same: dict[str, str] = {}  # one object per word
+    documents = []
+    for i, row in enumerate(found):
+        documents.append({same.setdefault(word, word) for word in row.words})
+        found[i] = None
+    return Chain.fit(documents, y, names)
 
 
 def score(docs: DataFrame, chain: Chain) -> DataFrame:
@@ -219,10 +244,11 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = shared.value.probabilities(batch.column("text").to_pylist())
-            scores = {f"p_{name}": pa.array(p[:, i]) for i, name in enumerate(names)}
-            verdicts = {name: pa.array(p[:, i] >= shared.value.thresholds[i]) for i, name in enumerate(names)}
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), **scores, **verdicts})
+            for rows, texts in text_slices(batch, CHARS_AT_ONCE):
+                p = shared.value.probabilities(texts.to_pylist())
+                scores = {f"p_{name}": pa.array(p[:, i]) for i, name in enumerate(names)}
+                verdicts = {name: pa.array(p[:, i] >= shared.value.thresholds[i]) for i, name in enumerate(names)}
+                yield pa.RecordBatch.from_pydict({"doc_id": rows.column("doc_id"), **scores, **verdicts})
 
     schema = ", ".join(["doc_id long", *[f"p_{x} double" for x in names], *[f"{x} boolean" for x in names]])
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
