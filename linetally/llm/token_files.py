@@ -23,6 +23,7 @@ table gives no blocks.  Other columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
@@ -91,10 +92,6 @@ class LibraryEncoder:
         ends = [chunk[-1:] if chunk[-1:] in STOPS and chunk[-2:-1].isalpha() else b"" for chunk in chunks]
         words = [chunk[:-1] if end else chunk for chunk, end in zip(chunks, ends, strict=True)]
         new = [word for word in {*words, *STOPS} if word not in self._memo]
-        spaces = [word for word in new if word.isspace()]
-        if spaces:
-            self._memo.update(zip(spaces, (x.tobytes() for x in self._ids([x.decode() for x in spaces])), strict=True))
-            new = [word for word in new if not word.isspace()]
         for i in range(0, len(new), CHUNKS_AT_ONCE):
             group = new[i : i + CHUNKS_AT_ONCE]
             self._memo.update(zip(group, self._encode_lines(group), strict=True))
@@ -171,6 +168,13 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int) -
     schema = to_arrow_schema(_parse_datatype_string(BLOCK_SCHEMA))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # nothing here makes cycles; collections would only walk the caches
+        try:
+            yield from encoded(batches)
+        finally:
+            gc.enable()
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
         end = np.array([end_id], f"<u{encoder.width}").tobytes()
         shard, block, before, doc_ids, ids, size = TaskContext.get().partitionId(), 0, 0, [], [], 0
@@ -216,7 +220,7 @@ class Block:
         self._first, self._docs = np.array(row["slot_first"]), np.array(row["slot_docs"])
         self.offsets = np.array(row["offsets"])
         self.nulls = int(self._first.min()) if len(self._first) else len(self.offsets) - 1
-        self._payload = np.frombuffer(row["payload"], f"<u{row['width']}")
+        self._payload = memoryview(np.frombuffer(row["payload"], f"<u{row['width']}").astype("<u4").tobytes())
 
     def documents(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For all documents of these keys: the place of the key given, and of the document."""
@@ -227,8 +231,12 @@ class Block:
         skipped = np.repeat(np.cumsum(docs) - docs, docs)
         return of_key, np.repeat(first, docs) + np.arange(len(of_key)) - skipped
 
-    def ids(self, place: int) -> np.ndarray:
-        return self._payload[self.offsets[place] : self.offsets[place + 1]].astype("<u4")
+    def raw(self, first: int, last: int) -> memoryview:
+        """The ids from one offset to another as little-endian unsigned 32-bit integers."""
+        return self._payload[4 * first : 4 * last]
+
+    def ids(self, place: int) -> list[int]:
+        return np.frombuffer(self.raw(*self.offsets[place : place + 2].tolist()), "<u4").tolist()
 
 
 def shard_starts(blocks: DataFrame) -> DataFrame:
@@ -249,14 +257,15 @@ def document_digests(spark: SparkSession, path: str) -> DataFrame:
                 of_key, places = block.documents(keys)
                 doc_ids = [None] * block.nulls + keys[of_key].tolist()
                 places = np.concatenate([np.arange(block.nulls), places])
-                starts = block.offsets[places]
+                starts, ends = block.offsets[places], block.offsets[places + 1]
+                sums = [zlib.crc32(block.raw(a, b)) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
                 yield pa.RecordBatch.from_pydict(
                     {
                         "shard": pa.array([row["shard"]] * len(places), pa.int32()),
                         "doc_id": pa.array(doc_ids, pa.int64()),
                         "local": pa.array(row["before"] + starts, pa.int64()),
-                        "n_tokens": pa.array(block.offsets[places + 1] - starts, pa.int64()),
-                        "ids_crc32": pa.array([zlib.crc32(block.ids(x).tobytes()) for x in places], pa.int64()),
+                        "n_tokens": pa.array(ends - starts, pa.int64()),
+                        "ids_crc32": pa.array(sums, pa.int64()),
                     }
                 )
 
@@ -291,7 +300,7 @@ def lookup(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
             block, asked = Block(row), wanted.column("doc_id").to_numpy()
             of_key, places = block.documents(asked)
             doc_ids += asked[of_key].tolist()
-            ids += [block.ids(x).tolist() for x in places]
+            ids += [block.ids(x) for x in places]
         return pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "ids": pa.array(ids, pa.list_(pa.int64()))})
 
     wanted = (
