@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -104,8 +105,9 @@ def all_chunks(texts: pa.Array) -> Chunks:
 class Memo(dict):
     """What chunks give (never None), up to ``capacity`` of them beside the fixed ones.
 
-    ``make`` gets a list of new chunks and returns what each gives.  A full memo starts afresh
-    from the fixed entries, so its memory is bounded and no result depends on what it holds.
+    ``make`` gets a list of new chunks and returns what each gives.  A full memo goes back to
+    the fixed entries and the older half of the others, as frequent chunks come early.  So its
+    memory is bounded, and no result depends on what it holds.
     """
 
     def __init__(self, make: Callable[[list[bytes]], list], capacity: int = 1_000_000, fixed: dict | None = None):
@@ -115,8 +117,9 @@ class Memo(dict):
     def values_of(self, distinct: list[bytes]) -> list:
         """What each of some distinct chunks gives."""
         if len(self) > len(self._fixed) + self._capacity:
+            kept = dict(islice(self.items(), len(self._fixed) + self._capacity // 2))
             self.clear()
-            self.update(self._fixed)
+            self.update(kept)
         found = list(map(self.get, distinct))
         gaps = [k for k, value in enumerate(found) if value is None]
         if gaps:
