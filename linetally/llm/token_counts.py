@@ -25,11 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linetally.llm.pretokens import Chunks, Memo, chunks_of, is_plain, text_slices
+from linetally.llm.store import stored
 from linetally.llm.workers import shipped
 
 TABLE_SIZE = 65_536
 HEAVY_PER_TASK = 20_000
 COUNTER_SIZE = 500_000
+STEPS_PER_DOUBLING = 8
 SPACE = "▁"  # how the library writes a space
 
 
@@ -79,18 +81,24 @@ def heavy_chunks(docs: DataFrame, size: int = TABLE_SIZE) -> list[bytes]:
             {"chunk": pa.array([x for x, _ in top], pa.binary()), "n": pa.array([n for _, n in top], pa.int64())}
         )
 
-    rows = (
+    sums = (
         shipped(docs)
         .select(F.col("text").cast("string"))
         .mapInArrow(count, "chunk binary, n long")
         .groupBy("chunk")
         .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "chunk")
-        .limit(size)
-        .select("chunk")
-        .collect()
     )
-    return [bytes(row.chunk) for row in rows]
+    sums = stored(sums.withColumn("step", F.floor(F.log2("n") * STEPS_PER_DOUBLING).cast("int")), "heavy-chunks")
+    # A few hundred steps of frequency at most; the table takes as many whole ones as fit.
+    taken, least = 0, None
+    for row in sorted(sums.groupBy("step").count().collect(), reverse=True):
+        taken += row["count"]
+        if taken > size:
+            break
+        least = row["step"]
+    if least is None:
+        return []
+    return [bytes(row.chunk) for row in sums.where(F.col("step") >= least).select("chunk").collect()]
 
 
 def count_tokens(docs: DataFrame, model: str, limit: int = 4096, table_size: int = TABLE_SIZE) -> DataFrame:
