@@ -21,8 +21,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near duplicates."""
-    return simhash.keep_first(docs, Covering(parts=3, distance=4), shingle=4)
+    """One document of each group of near duplicates, whatever its doc_id."""
+    return simhash.one_of_each(docs, Covering(parts=3, distance=4), shingle=4)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

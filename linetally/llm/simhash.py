@@ -9,7 +9,8 @@ large group of near copies never becomes all its pairs.
 Defined cases: a null or empty text, or one without words, has fingerprint 0 and links like any
 other.  Repeated rows have equal fingerprints.  Null doc_ids take part, but a component is named
 by its least doc_id that is not null.  An empty table gives an empty result.  Other columns are
-ignored by ``simhash_components`` and kept by ``keep_first``.
+ignored by ``simhash_components`` and kept by ``one_of_each`` and ``keep_first``.  Only
+``one_of_each`` goes by components where doc_ids are null or repeated.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linetally.llm.components import components
@@ -62,17 +63,27 @@ def simhash(text: str, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(majority, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and the fingerprint as a long (the same 64 bits, signed)."""
+def _text_hashes() -> dict[str, Column]:
+    """128 bits that stand for a text."""
+    text = F.col("text").cast("string")
+    return {"h1": F.xxhash64(text), "h2": F.xxhash64(F.lit(1), text)}
+
+
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, hashed: bool = False) -> DataFrame:
+    """doc_id and the fingerprint as a long (the same 64 bits, signed), with h1 and h2 if ``hashed``."""
+    hashes = _text_hashes() if hashed else {}
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = [simhash(text or "", shingle) for text in batch.column("text").to_pylist()]
             signed = np.array(prints, np.uint64).astype(np.int64)
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "print": pa.array(signed)})
+            yield batch.drop_columns(["text"]).append_column("print", pa.array(signed))
 
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return shipped(texts).mapInArrow(compute, "doc_id long, print long")
+    texts = docs.select(
+        F.col("doc_id").cast("long"), F.col("text").cast("string"), *[h.alias(name) for name, h in hashes.items()]
+    )
+    schema = ", ".join(f"{name} long" for name in ("doc_id", *hashes, "print"))
+    return shipped(texts).mapInArrow(compute, schema)
 
 
 def _union(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -180,11 +191,16 @@ def _whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield held
 
 
+def _rooted(prints: DataFrame, covering: Covering, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Distinct fingerprints with the root of their component."""
+    roots = components(near_links(prints, covering, cell_rows)).select(F.col("a").alias("print"), "root")
+    return prints.join(roots, "print", "left").withColumn("root", F.coalesce("root", "print"))
+
+
 def print_components(prints: DataFrame, covering: Covering = Covering(), cell_rows: int = CELL_ROWS) -> DataFrame:
     """(print, component_id) for every distinct fingerprint of (doc_id, print)."""
     least = stored(prints.groupBy("print").agg(F.min("doc_id").alias("doc_id")), "prints")
-    roots = components(near_links(least, covering, cell_rows)).select(F.col("a").alias("print"), "root")
-    rooted = least.join(roots, "print", "left").withColumn("root", F.coalesce("root", "print"))
+    rooted = _rooted(least, covering, cell_rows)
     names = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return rooted.join(names, "root").select("print", "component_id")
 
@@ -222,3 +238,39 @@ def keep_first(docs: DataFrame, covering: Covering = Covering(), shingle: int =
         .unionByName(docs.where("doc_id is null"))
         .select(docs.columns)
     )
+
+
+def one_of_each(docs: DataFrame, covering: Covering = Covering(), shingle: int = SHINGLE) -> DataFrame:
+    """One document of each component, with all its columns.
+
+    It is the one with the least doc_id, null being larger than all others; where several texts
+    have that doc_id, the one with the least fingerprint and text hash; where that row is repeated,
+    the least by all columns.  Doc_ids only rank the documents of a component, so no two components
+    meet in one id.  The list of the chosen grows with the documents, so it is merged.
+    """
+    key = ["doc_id", "h1", "h2"]
+    prints = fingerprints(docs, shingle, hashed=True)
+    rows = prints.groupBy("print", *key).agg(F.count(F.lit(1)).alias("n"))
+
+    def least(*columns: str) -> Column:
+        return F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), *columns)).alias("first")
+
+    of_prints = rows.groupBy("print").agg(least(*key, "n")).select("print", "first.*")
+    rooted = _rooted(stored(of_prints, "prints"), covering)
+    chosen = rooted.groupBy("root").agg(least("doc_id", "print", "h1", "h2", "n")).select("first.*")
+    first = stored(chosen.select(*key, "n"), "first")
+
+    keyed = docs.select(
+        F.struct(*docs.columns).alias("doc"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        *[h.alias(name) for name, h in _text_hashes().items()],
+    )
+
+    def among(some: DataFrame) -> DataFrame:
+        same = [keyed[name].eqNullSafe(some[name]) for name in key]
+        return keyed.join(some, same, "left_semi")
+
+    once, repeated = (first.where(x).select(*key) for x in ("n = 1", "n > 1"))
+    single = among(repeated).groupBy(*key).agg(F.min("doc").alias("doc"))
+    kept = among(once.hint("merge")).select("doc").unionByName(single.select("doc"))
+    return kept.select([F.col(f"doc.{name}") for name in docs.columns])

@@ -2,6 +2,7 @@
 
 import brute
 import compare
+import corpus_pipeline
 import numpy as np
 import pytest
 
@@ -44,6 +45,33 @@ def test_simhash_awkward(spark):
     assert simhash.keep_first(brute.empty(spark)).count() == 0
 
 
+def test_near_dedup_goes_by_components_not_by_doc_ids(spark):
+    def text(name):
+        return " ".join(f"{name}{i}" for i in range(60))
+
+    rows = [(1, text("a")), (5, text("b")), (5, text("c")), (5, text("a"))]  # two components only 5 is in, and a copy of 1
+    rows += [(None, text("a")), (None, text("d")), (None, text("d").upper()), (None, text("e"))]
+    rows += [(7, text("f")), (7, text("f")), (9, text("f")), (8, None), (None, "")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, h1 string")
+    assert len({brute.simhash(text(name)) for name in "abcdef"}) == 6
+    kept = corpus_pipeline.near_dedup(spark, docs, "")
+    assert kept.columns == docs.columns
+    got = [(r.doc_id, (r.text or "").lower()) for r in kept.collect()]
+    want = [(1, "a"), (5, "b"), (5, "c"), (None, "d"), (None, "e"), (7, "f")]
+    assert brute.multiset(got) == brute.multiset([*[(i, text(name)) for i, name in want], (8, "")])
+
+    rows = brute.awkward(spark)
+    given = rows.select("doc_id", "text").collect()
+    prints = [brute.simhash(r.text) for r in given]
+    group = brute.groups(len(prints), lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 4)
+    least = {}
+    for r, g in zip(given, group, strict=True):
+        least[g] = min(least.get(g, (True, 0)), (r.doc_id is None, r.doc_id or 0))
+    kept = corpus_pipeline.near_dedup(spark, rows, "")
+    assert kept.columns == rows.columns
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == sorted(least.values())
+
+
 @pytest.fixture(scope="module")
 def clusters():
     """Chains and clouds of fingerprints around a few centres."""
