@@ -140,6 +140,26 @@ def test_black_box_templates():
     assert "".join(renderer.add(turn).part for turn in turns) == counting(turns)
 
 
+def test_templates_that_look_back_far(spark):
+    turns = [("assistant" if i % 2 else "user", f"t{i}") for i in range(120)]
+
+    def folded(some):  # rewrites a middle turn, late
+        return "".join(f"{r}: {'...' if i == 10 and len(some) > 60 else t};" for i, (r, t) in enumerate(some))
+
+    def headed(some):  # looks back now and then
+        return "".join(f"{f'#{some[i // 2][1]} ' if i % 50 == 0 else ''}{r}: {t};" for i, (r, t) in enumerate(some))
+
+    renderer = chat.Renderer(folded)
+    assert [i for i, turn in enumerate(turns) if renderer.add(turn).rewrites] == [60]
+    renderer = chat.Renderer(headed)
+    parts = [renderer.add(turn) for turn in turns]
+    assert "".join(p.part for p in parts) == headed(turns) and not any(p.rewrites for p in parts)
+
+    rows = spark.createDataFrame([(1, i, *turn) for i, turn in enumerate(turns)], "conv_id long, turn long, role string, text string")
+    assert "".join(r.part for r in chat.rendered_turns(rows, headed).collect()) == headed(turns)
+    assert [i for i, r in enumerate(chat.rendered_turns(rows, folded).collect()) if r.rewrites] == [60]
+
+
 # op8
 
 
