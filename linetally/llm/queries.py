@@ -80,8 +80,12 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity, then toxicity of fluent and of junk texts, from the given labels."""
-    toxic, fluent = F.col("toxic") == 1, F.col("quality") == 1
-    categories = {"toxic": toxic, "toxic_fluent": toxic & fluent, "toxic_junk": toxic & ~fluent}
+    toxic, fluent, judged = F.col("toxic") == 1, F.col("quality") == 1, F.col("quality").isNotNull()
+    categories = {
+        "toxic": toxic,
+        "toxic_fluent": F.when(judged, toxic & fluent),
+        "toxic_junk": F.when(judged, toxic & ~fluent),
+    }
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit_chain(docs, table(spark, sf_dir, "labels"), categories))
 

@@ -12,9 +12,10 @@ The vocabulary (the ``VOCABULARY`` features that depend most on some category by
 among those in ``MIN_DOCS`` sampled documents or more) and the weights go to every task.
 
 Defined cases: a null or empty text has no known feature and gets the scores of the intercepts.
-Labels that are null leave a document out of the sample; several labels of one doc_id count as
-their maximum.  Without labelled documents all scores are 0.  Repeated rows are scored each by
-itself; other columns are ignored.
+Labels that are null for the first category leave a document out of the sample, others out of
+their own link alone; several labels of one doc_id count as their maximum.  Without labelled
+documents all scores are 0, and nearly so those of a category that no sampled document has a label
+of.  Repeated rows are scored each by itself; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ MIN_DOCS = 4
 FOLDS = 3
 STEPS, RATE, RIDGE = 200, 0.1, 1.0
 SEED = 7
+NEVER = -30.0  # log-odds of a category without labels
 SLOTS = 1 << 22
 CHARS_AT_ONCE = 1_000_000
 START_LENGTHS = (3, 4, 5, 6)
@@ -61,28 +63,28 @@ def _slots(features: list[str]) -> np.ndarray:
 def chosen_features(documents: list[set[str]], labels: np.ndarray) -> list[str]:
     """The features that depend most on some category, by chi-square; documents as words.
 
-    Features are made anew in each pass instead of being kept.  The first pass counts them in a
+    A category only counts documents with a label of it.  Features are made anew in each pass instead of being kept.  The first pass counts them in a
     table of slots, so that the second need not hold the many that are too rare.
     """
     in_slot = np.zeros(SLOTS, np.int32)
     for words in documents:
         in_slot[_slots(list(features_of(words)))] += 1
-    seen, among = Counter(), [Counter() for _ in labels.T]
+    seen, among, unknown = Counter(), [Counter() for _ in labels.T], [Counter() for _ in labels.T]
     for words, row in zip(documents, labels, strict=True):
         features = list(features_of(words))
         frequent = in_slot[_slots(features)] >= MIN_DOCS
         own = [feature for feature, often in zip(features, frequent.tolist(), strict=True) if often]
         seen.update(own)
-        for counter, y in zip(among, row, strict=True):
-            counter.update(own if y else ())
+        for counter, without, y in zip(among, unknown, row, strict=True):
+            (without if np.isnan(y) else counter).update(own if y else ())
     names = sorted(feature for feature, n in seen.items() if n >= MIN_DOCS)
-    count, total = np.array([seen[name] for name in names], float), len(documents)
     best = np.zeros(len(names))
-    for column, counter in zip(labels.T, among, strict=True):
-        positive = column.sum()
+    for column, counter, without in zip(labels.T, among, unknown, strict=True):
+        positive, total = np.nansum(column), len(documents) - np.isnan(column).sum()
         if not 0 < positive < total:
             continue
-        expected = count * positive / total
+        count = np.array([seen[name] - without[name] for name in names], float)
+        expected = np.maximum(count * positive / total, np.finfo(float).tiny)
         distance = (np.array([counter[name] for name in names]) - expected) ** 2 / expected
         best = np.maximum(best, distance * total / (total - positive) * total / np.maximum(total - count, 1))
     return [names[i] for i in np.argsort(-best, kind="stable")[:VOCABULARY]]
@@ -173,7 +175,7 @@ class Chain:
 
     @classmethod
     def fit(cls, documents: list[set[str]], labels: np.ndarray, categories: list[str]) -> Chain:
-        """The chain for documents as sets of words and labels (documents, categories) of 0 and 1."""
+        """The chain for documents as sets of words and labels (documents, categories) of 0, 1 and nan."""
         if not documents:
             return cls(categories, {}, [], [0.5] * len(categories))
         vocabulary = {feature: i for i, feature in enumerate(chosen_features(documents, labels))}
@@ -182,13 +184,18 @@ class Chain:
         links, thresholds, earlier = [], [], np.zeros((len(documents), 0))
         for column in range(len(categories)):
             y = labels[:, column].astype(float)
-            outside = np.zeros(len(documents))
+            known, outside = ~np.isnan(y), np.zeros(len(documents))
             for k in range(FOLDS):
                 held = fold == k
-                link = Link.fit(x.pick(~held), earlier[~held], y[~held])
-                outside[held] = link.log_odds(x.pick(held), earlier[held])
-            links.append(Link.fit(x, earlier, y))
-            thresholds.append(best_threshold(_sigmoid(outside), y))
+                others = ~held & known
+                if others.any():
+                    link = Link.fit(x.pick(others), earlier[others], y[others])
+                    outside[held] = link.log_odds(x.pick(held), earlier[held])
+            if known.any():
+                links.append(Link.fit(x.pick(known), earlier[known], y[known]))
+            else:  # later links get no weight on it, as it is 0 for all while they learn
+                links.append(Link(np.zeros(x.size), np.zeros(column), NEVER))
+            thresholds.append(best_threshold(_sigmoid(outside[known]), y[known]))
             earlier = np.column_stack([earlier, outside])
         return cls(categories, vocabulary, links, thresholds)
 
@@ -211,7 +218,7 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Column],
     names = list(categories)
     known = (
         labels.select(F.col("doc_id").cast("long"), *[c.cast("int").alias(f"y{i}") for i, c in enumerate(categories.values())])
-        .dropna()
+        .dropna(subset=["doc_id", "y0"])
         .groupBy("doc_id")
         .agg(*[F.max(f"y{i}").alias(f"y{i}") for i in range(len(names))])
         .orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id")

@@ -201,6 +201,26 @@ def test_toxicity_awkward(spark):
     assert toxicity.score(brute.empty(spark), toxicity.fit_chain(brute.empty(spark), labels, categories)).count() == 0
 
 
+def test_toxicity_of_labels_with_null_quality(spark):
+    """A null quality leaves a document out of the later links alone."""
+    toxic, given = F.col("toxic") == 1, F.col("quality").isNotNull()
+    categories = {"toxic": toxic, "toxic_fluent": F.when(given, toxic & (F.col("quality") == 1))}
+    rng = np.random.default_rng(0)
+    docs = [(i, f"{'alpha' if i % 3 == 0 else 'beta'} w{rng.integers(20)}") for i in range(300)]
+    texts = spark.createDataFrame(docs, "doc_id long, text string")
+
+    def called(quality):
+        rows = [(i, int(i % 3 == 0), quality(i)) for i in range(300)]
+        labels = spark.createDataFrame(rows, "doc_id long, toxic int, quality int")
+        scored = toxicity.score(texts, toxicity.fit_chain(texts, labels, categories)).collect()
+        return [{r.doc_id for r in scored if r[name]} for name in categories]
+
+    want = {i for i in range(300) if i % 3 == 0}
+    assert called(lambda i: None) == [want, set()]
+    assert called(lambda i: 1 if i % 2 else None) == [want, want]
+    assert called(lambda i: 1) == [want, want]
+
+
 # stored tables
 
 
