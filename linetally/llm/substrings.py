@@ -11,7 +11,8 @@ start, share an anchor at the same place inside them.  So only words around anch
 in several documents can be part of a match; there every window is extended to its full length
 and compared by 96 bits of hash.
 
-Documents are dealt into groups of a bounded number.  What a group has several times is settled
+Documents are dealt by doc_id and text into groups of a bounded number, whatever share of them has
+one doc_id or none; only repeats of a whole row always meet in one group.  What a group has several times is settled
 inside the group, and between groups only one entry per group and distinct anchor or window
 travels, so a passage that a third of all documents share costs one entry per group.
 
@@ -289,7 +290,7 @@ def _removal_pass(
     n_groups = max(1, -(-docs.count() // docs_per_group))
     n_buckets = max(1, -(-n_groups // GROUPS_PER_BUCKET))
     group = "g" + "_" * max(map(len, docs.columns))  # no column of docs is called that
-    grouped = shipped(docs).withColumn(group, F.pmod(F.xxhash64("doc_id"), F.lit(n_groups))).groupBy(group)
+    grouped = shipped(docs).withColumn(group, F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_groups))).groupBy(group)
     anchors = grouped.applyInArrow(
         group_anchors(n_buckets), "bucket long, g long, hashes array<long>, several array<boolean>"
     )

@@ -4,6 +4,7 @@ import brute
 import compare
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from linetally.llm import oracle, queries, simhash, substrings
@@ -140,6 +141,20 @@ def test_substrings_awkward(spark, per_group):
     assert brute.multiset(words) == brute.multiset((w[0], w[3]) for w in want)
 
 
+def test_substrings_deal_one_doc_id_to_many_groups(spark):
+    passage = " ".join(f"p{i}" for i in range(20))
+    rows = [(None if i % 3 else 7, f"a{i} {passage} z{i}") for i in range(300)] + [(3, passage), (9, passage)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def size(key, given, told):
+        return pa.table({"n": [given.num_rows]})
+
+    sizes = [r.n for r in substrings._removal_pass(docs, size, "n long", 10).collect()]
+    assert sum(sizes) == len(rows) and max(sizes) < 40
+    got = substrings.removals(docs, 10).collect()
+    assert brute.multiset(got) == brute.multiset(brute.removals(rows))
+
+
 def test_substrings_of_all_alignments(spark):
     passage = [f"p{i}" for i in range(13)]
     rows = [(i, " ".join([f"d{i}x{j}" for j in range(i)] + passage + [f"e{i}"])) for i in range(20)]
