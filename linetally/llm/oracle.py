@@ -160,3 +160,94 @@ def substring_sql() -> str:
     select doc_id, len(w)::bigint as n_words, coalesce(n, 0)::bigint as n_removed,
            sha256(coalesce(kept.text, '')) as kept_sha256
     from split left join kept on split.r = kept.r left join removed on split.r = removed.r"""
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit: each byte is followed by seven steps without one."""
+    steps = f"list_transform(string_split({text}, ''), lambda c: [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1])"
+    mixed = "case when x >= 0 then xor(a, x) else a end"
+    step = f"xor(({mixed}) >> 1, 3988292384::bigint * (({mixed}) & 1))"
+    return f"xor(list_reduce(list_concat([4294967295::bigint], flatten({steps})), lambda a, x: {step}), 4294967295::bigint)"
+
+
+def repair_sql() -> str:
+    """Dynamic programming over the rows: the best (cost, edits, lines) for each last role."""
+
+    def then(label: str, cost: object, edit: str, line: str = "''") -> str:
+        return (
+            f"case when {label} is not null then struct_pack(cost := {label}.cost + {cost}, "
+            f"audit := {label}.audit || '{edit}', lines := {label}.lines || {line}) end"
+        )
+
+    def inserted(table: str) -> str:
+        """Labels with turns inserted after them, where that is better."""
+        user, assistant = "'user:' || chr(10)", "'assistant:' || chr(10)"
+        both = f"{user} || {assistant}"
+        two = [f"least({table}.l2, {', '.join(then(f'{table}.l{s}', 2, 'I', user) for s in (0, 1, 3))}) as l2"]
+        three = [
+            f"least({table}.l3, {then(f'{table}.l2', 2, 'I', assistant)}, "
+            f"{', '.join(then(f'{table}.l{s}', 4, 'II', both) for s in (0, 1))}) as l3"
+        ]
+        return ", ".join([f"{table}.l0 as l0", f"{table}.l1 as l1", *two, *three])
+
+    kept, renamed = "r.role || ':' || r.text || chr(10)", "':' || r.text || chr(10)"
+
+    def kept_if(initial: str, states: tuple[int, ...]) -> str:
+        moves = ", ".join(then(f"c.l{s}", "r.cut", "K", kept) for s in states)
+        best = f"least({moves})" if len(states) > 1 else moves
+        return f"case when not r.gone and r.initial = '{initial}' then {best} end"
+
+    def renamed_to(role: str, states: tuple[int, ...]) -> str:
+        moves = ", ".join(then(f"c.l{s}", "2 + r.cut", "R", f"'{role}' || {renamed}") for s in states)
+        best = f"least({moves})" if len(states) > 1 else moves
+        return f"case when not r.gone then {best} end"
+
+    deleted = {s: then(f"c.l{s}", 3, "D") for s in range(4)}
+    label = "struct_pack(cost := {}::bigint, audit := {}::varchar, lines := {}::varchar)"
+    start, none = label.format(0, "''", "''"), f"case when false then {label.format(0, chr(39) * 2, chr(39) * 2)} end"
+    return f"""
+    with recursive given as (
+        select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+               {crc32_sql("coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')")} % 20 as fault
+        from conversations),
+    damaged as (
+        select conv_id, turn, case when fault = 4 then 'user' else role end as role,
+               case fault when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+               unnest(range(case fault when 0 then 0 when 3 then 2 else 1 end)) as again
+        from given),
+    placed as (
+        select conv_id, turn, role, text, role[1] as initial,
+               row_number() over (partition by conv_id order by turn nulls first, role, text) as i,
+               regexp_replace(text, '[\\x20\\x09-\\x0D]+', '', 'g') as visible
+        from damaged),
+    faulty as (
+        select *, row_number() over (partition by conv_id, role, text order by i) as nth,
+               case when visible = '' then 'blank' when nth > 1 then 'duplicate'
+                       when visible[-1] not in ('.', '!', '?') then 'truncated' else '' end as fault,
+               lag(initial) over (partition by conv_id order by i) || initial as pair from placed),
+    steps as (
+        select conv_id, i, role, text, initial, fault in ('blank', 'duplicate') as gone,
+               (fault = 'truncated')::bigint as cut from faulty),
+    counted as (
+        select g.conv_id, coalesce(max(f.turn) - min(f.turn) + 1 - count(distinct f.turn), 0)::bigint as gaps,
+               count(*) filter (f.fault = 'blank') as blank, count(*) filter (f.fault = 'duplicate') as duplicate,
+               count(*) filter (f.fault = 'truncated') as truncated,
+               count(*) filter (f.pair not in ('su', 'ua', 'au')) as illegal, count(f.i) as n
+        from (select distinct conv_id from given) g left join faulty f on g.conv_id is not distinct from f.conv_id
+        group by g.conv_id),
+    labels(conv_id, i, l0, l1, l2, l3) as (
+        select conv_id, 0::bigint, {start}, {none}, {none}, {none} from counted
+        union all
+        select c.conv_id, r.i, {deleted[0]},
+               least({deleted[1]}, {kept_if("s", (0,))}),
+               least({deleted[2]}, {kept_if("u", (0, 1, 3))}, {renamed_to("user", (0, 1, 3))}),
+               least({deleted[3]}, {kept_if("a", (2,))}, {renamed_to("assistant", (2,))})
+        from (select conv_id, i, {inserted("w")} from labels w) c
+        join steps r on c.conv_id is not distinct from r.conv_id and r.i = c.i + 1),
+    ended as (
+        select conv_id, least(l0, l3) as best
+        from (select w.conv_id, {inserted("w")} from labels w join counted n
+              on w.conv_id is not distinct from n.conv_id and w.i = n.n))
+    select e.conv_id, gaps, blank, duplicate, truncated, illegal, best.cost as cost, best.audit as audit,
+           sha256(best.lines[:-2]) as repaired_sha256
+    from ended e join counted n on e.conv_id is not distinct from n.conv_id"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linetally.llm import byte_bpe, chat, fingerprints, mixing, oracle, quality, simhash, substrings, token_counts, token_files, toxicity
+from linetally.llm import byte_bpe, chat, fingerprints, mixing, oracle, quality, repair, simhash, substrings, token_counts, token_files, toxicity
 from linetally.llm.covering import Covering
 from linetally.llm.store import fresh_path
 
@@ -98,6 +98,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removals(table(spark, sf_dir, "documents"))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_report(*repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -110,6 +114,7 @@ def queries() -> dict[str, Query]:
         "op8_toxicity": op8_toxicity,
         "op9_mixing": op9_mixing,
         "op10_substring_dedup": op10_substring_dedup,
+        "op11_repair": op11_repair,
     }
 
 
@@ -120,4 +125,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_chat": oracle.chat_sql(),
         "op9_mixing": oracle.mixing_sql(SOURCE_WEIGHTS, REST_WEIGHT),
         "op10_substring_dedup": oracle.substring_sql(),
+        "op11_repair": oracle.repair_sql(),
     }
