@@ -23,6 +23,7 @@ MARK = "\x01"
 OTHER_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 _BEFORE_WORD = re.compile(r"(?<=\S)(?= \S)")
 CHARS_AT_ONCE = 8_000_000
+LONG_CHUNK = 512
 
 
 def is_plain(text: str) -> bool:
@@ -103,34 +104,54 @@ def all_chunks(texts: pa.Array) -> Chunks:
 
 
 class Memo(dict):
-    """What chunks give (never None), up to ``capacity`` of them beside the fixed ones.
+    """What chunks give (never None), up to ``capacity`` of them and ``capacity_bytes`` beside the fixed ones.
 
     ``make`` gets a list of new chunks and returns what each gives.  A full memo goes back to
-    the fixed entries and the older half of the others, as frequent chunks come early.  So its
-    memory is bounded, and no result depends on what it holds.
+    the fixed entries and the older half of the others, as frequent chunks come early; chunks of
+    more than ``LONG_CHUNK`` bytes are not kept, as they hardly come again.  So its memory is bounded
+    whatever the texts look like, and no result depends on what it holds.
     """
 
-    def __init__(self, make: Callable[[list[bytes]], list], capacity: int = 1_000_000, fixed: dict | None = None):
+    def __init__(
+        self,
+        make: Callable[[list[bytes]], list],
+        capacity: int = 1_000_000,
+        fixed: dict | None = None,
+        capacity_bytes: int = 128_000_000,
+    ):
         super().__init__(fixed or {})
         self._make, self._fixed, self._capacity = make, dict(fixed or {}), capacity
+        self._capacity_bytes, self._bytes = capacity_bytes, 0
+
+    def _shrink(self) -> None:
+        kept = dict(islice(self.items(), len(self._fixed) + (len(self) - len(self._fixed)) // 2))
+        self.clear()
+        self.update(kept)
+        own = islice(self.items(), len(self._fixed), None)
+        self._bytes = sum(_size(chunk, value) for chunk, value in own)
 
     def values_of(self, distinct: list[bytes]) -> list:
         """What each of some distinct chunks gives."""
-        if len(self) > len(self._fixed) + self._capacity:
-            kept = dict(islice(self.items(), len(self._fixed) + self._capacity // 2))
-            self.clear()
-            self.update(kept)
+        while len(self) > len(self._fixed) + self._capacity or self._bytes > self._capacity_bytes:
+            self._shrink()
         found = list(map(self.get, distinct))
         gaps = [k for k, value in enumerate(found) if value is None]
         if gaps:
             new = list(map(distinct.__getitem__, gaps))
             made = self._make(new)
-            self.update(zip(new, made, strict=True))
-            for k, value in zip(gaps, made, strict=True):
+            for k, chunk, value in zip(gaps, new, made, strict=True):
                 found[k] = value
+                if len(chunk) <= LONG_CHUNK:
+                    self[chunk] = value
+                    self._bytes += _size(chunk, value)
         return found
 
 
+def _size(chunk: bytes, value: object) -> int:
+    """About the bytes that an entry takes, with those of its objects and its place."""
+    return 180 + len(chunk) + (len(value) if isinstance(value, bytes) else 0)
+
+
 def text_slices(batch: pa.RecordBatch, chars: int = CHARS_AT_ONCE) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """A batch in parts of about so many bytes of text each, with their texts, null as empty."""
     texts = pc.fill_null(batch.column("text"), "")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linetally.llm import byte_bpe, chat, fingerprints, mixing, oracle, quality, repair, simhash, substrings, token_counts, token_files, toxicity
+from linetally.llm import byte_bpe, chat, fingerprints, mixing, oracle, pieces, quality, repair, simhash, substrings, token_counts, token_files, toxicity
 from linetally.llm.covering import Covering
 from linetally.llm.store import fresh_path
 
@@ -102,6 +102,10 @@ def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair_report(*repair.damaged(table(spark, sf_dir, "conversations")))
 
 
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_and_decode(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -115,6 +119,7 @@ def queries() -> dict[str, Query]:
         "op9_mixing": op9_mixing,
         "op10_substring_dedup": op10_substring_dedup,
         "op11_repair": op11_repair,
+        "op12_sentencepiece": op12_sentencepiece,
     }
 
 
