@@ -251,3 +251,42 @@ def repair_sql() -> str:
     select e.conv_id, gaps, blank, duplicate, truncated, illegal, best.cost as cost, best.audit as audit,
            sha256(best.lines[:-2]) as repaired_sha256
     from ended e join counted n on e.conv_id is not distinct from n.conv_id"""
+
+
+def turn_trie_sql() -> str:
+    """A node is a prefix of 64 digits per turn; its subtree is all that starts with it."""
+    return f"""
+    with turns as (
+        select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+               row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) - 1 as place
+        from conversations where conv_id is not null),
+    convs as (
+        select distinct conv_id, conv_id - conv_id % 5 as base, {crc32_sql("conv_id::varchar")} % 9 as h from turns),
+    rebuilt as (
+        select c.conv_id, 0 as own, t.place, md5(role) || md5(text) as name, strlen(text)::bigint as bytes
+        from convs c join turns t on t.conv_id = c.base and t.place < c.h
+        union all
+        select c.conv_id, 1, t.place, md5(role) || md5(text), strlen(text)::bigint
+        from convs c join turns t on t.conv_id = c.conv_id and t.place >= c.h),
+    paths as (
+        select c.conv_id, coalesce(string_agg(name, '' order by own, place), '') as path, count(name)::bigint as n,
+               list(bytes order by own, place) as sizes
+        from convs c left join rebuilt r on c.conv_id = r.conv_id group by c.conv_id),
+    places as (select conv_id, d, left(path, (64 * d)::int) as node, sizes[d] as bytes, n
+               from (select *, unnest(range(n + 1)) as d from paths)),
+    nodes as (
+        select node, any_value(d) as depth, min(conv_id) as conv_id, count(*) as n_convs,
+               coalesce((count(*) - 1) * any_value(bytes), 0) as saved,
+               coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (d = n), '') as ends
+        from places group by node),
+    families as (
+        select c.*, p.conv_id as parent_conv_id
+        from nodes c left join nodes p on c.depth = p.depth + 1 and starts_with(c.node, p.node)),
+    counted as (
+        select p.node, count(c.node) as n_children
+        from nodes p left join nodes c on c.depth = p.depth + 1 and starts_with(c.node, p.node) group by p.node),
+    sums as (
+        select v.node, count(*) filter (n_children = 0) as n_leaves, sum(w.saved)::bigint as saved_tokens
+        from nodes v join (select * from nodes join counted using (node)) w on starts_with(w.node, v.node) group by v.node)
+    select conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(ends) as ends_sha256
+    from families join counted using (node) join sums using (node)"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linetally.llm import byte_bpe, chat, fingerprints, mixing, oracle, pieces, quality, repair, simhash, substrings, token_counts, token_files, toxicity
+from linetally.llm import byte_bpe, chat, fingerprints, mixing, oracle, pieces, quality, repair, simhash, substrings, token_counts, token_files, toxicity, turn_trie
 from linetally.llm.covering import Covering
 from linetally.llm.store import fresh_path
 
@@ -106,6 +106,10 @@ def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_and_decode(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op13_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_trie.prefix_trie(turn_trie.rebuilt_turns(table(spark, sf_dir, "conversations")))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -120,6 +124,7 @@ def queries() -> dict[str, Query]:
         "op10_substring_dedup": op10_substring_dedup,
         "op11_repair": op11_repair,
         "op12_sentencepiece": op12_sentencepiece,
+        "op13_turn_trie": op13_turn_trie,
     }
 
 
@@ -131,4 +136,5 @@ def oracle_sql() -> dict[str, str]:
         "op9_mixing": oracle.mixing_sql(SOURCE_WEIGHTS, REST_WEIGHT),
         "op10_substring_dedup": oracle.substring_sql(),
         "op11_repair": oracle.repair_sql(),
+        "op13_turn_trie": oracle.turn_trie_sql(),
     }

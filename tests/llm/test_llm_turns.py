@@ -4,9 +4,10 @@ import random
 
 import brute
 import compare
+import numpy as np
 import pytest
 
-from linetally.llm import oracle, queries, repair
+from linetally.llm import oracle, queries, repair, turn_trie
 
 TURNS = "conv_id long, turn long, role string, text string"
 
@@ -123,3 +124,55 @@ def test_long_conversation_is_streamed(spark):
     report = repair.repair_report(rows).first()
     want = cheapest([repair.Turn.of("user" if i % 3 else "assistant", f"{i}.", False) for i in range(n)])
     assert (report.cost, report.audit) == want
+
+
+# op13
+
+
+def test_centroid_roll_up_sums_subtrees():
+    rng = random.Random(6)
+    for n in range(300):
+        shape = n % 3  # any tree, a chain, a star
+        parents = [-1] + [rng.randrange(i) if shape == 0 else i - 1 if shape == 1 else 0 for i in range(1, n)]
+        values = np.array([[rng.randrange(9) for _ in range(n)] for _ in range(2)], np.int64).reshape(2, n)
+        want = values.copy()
+        for node in range(n - 1, 0, -1):
+            want[:, parents[node]] += want[:, node]
+        assert (turn_trie.roll_up(parents[:n], values) == want).all()
+
+
+@pytest.mark.parametrize("component_nodes", [1, 7, turn_trie.COMPONENT_NODES])
+def test_trie_matches_sql(spark, sf_dir, component_nodes):
+    rows = queries.table(spark, sf_dir, "conversations").where("conv_id < 60")
+    got = turn_trie.prefix_trie(turn_trie.rebuilt_turns(rows), component_nodes)
+    assert compare.assert_same(got, turns_connection(rows), oracle.turn_trie_sql()) > 100
+
+
+def test_trie_query(spark, sf_dir):
+    got = queries.op13_turn_trie(spark, sf_dir)
+    assert compare.assert_same(got, compare.connect(sf_dir), oracle.turn_trie_sql()) > 250
+
+
+def test_trie_awkward(spark):
+    rows = awkward_turns(spark, 6)
+    got = turn_trie.prefix_trie(turn_trie.rebuilt_turns(rows), 20)
+    assert compare.assert_same(got, turns_connection(rows), oracle.turn_trie_sql()) > 100
+    assert turn_trie.prefix_trie(turn_trie.rebuilt_turns(rows.limit(0))).count() == 0
+
+
+def test_trie_of_conversations_as_they_are(spark):
+    turns = [(c, t, "user", text) for c, texts in enumerate(["ab", "ab", "ac", "abd", "b"]) for t, text in enumerate(texts)]
+    rows = {(r.depth, r.conv_id): r for r in turn_trie.prefix_trie(turn_trie.ordered_turns(spark.createDataFrame(turns, TURNS))).collect()}
+    root = rows[0, 0]
+    assert len(rows) == 6 and (root.n_convs, root.n_children, root.n_leaves, root.parent_conv_id) == (5, 2, 3, None)
+    assert root.saved_tokens == 3 + 2 and rows[2, 0].ends_sha256 == brute.sha("0,1") and rows[3, 3].parent_conv_id == 0
+
+
+def test_trie_of_a_long_and_a_common_conversation(spark):
+    rows = spark.range(3000).selectExpr("10L as conv_id", "id as turn", "'user' as role", "cast(id as string) as text")
+    same = spark.range(400).selectExpr("id * 5 + 100 as conv_id", "0L as turn", "'user' as role", "'hi' as text")
+    turns = turn_trie.ordered_turns(rows.unionByName(same))
+    got = {(r.depth, r.conv_id): r for r in turn_trie.prefix_trie(turns, 500).collect()}
+    assert len(got) == 3002 and all(r.n_leaves == 1 for key, r in got.items() if key[0] > 0)
+    assert got[0, 10].saved_tokens == 399 * 2 and got[0, 10].n_leaves == 2 and got[1, 100].n_convs == 400
+    assert got[1, 100].ends_sha256 == brute.sha(",".join(str(5 * i + 100) for i in range(400)))
