@@ -87,9 +87,9 @@ def _overwritten_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mart.read_line_day_kpi(spark, path)
 
 
-def _refreshed(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+def _refreshed(spark: SparkSession, sf_dir: str) -> str:
     """Store time and KPI as known before some days, with too many events on one, then refresh."""
-    path, time_path = _fresh_path(spark, "line_day_kpi"), _fresh_path(spark, "machine_time")
+    path = _fresh_path(spark, "mart")
     events, machines, runs = _facts(spark, sf_dir)
     first, last = datetime.date(2024, 1, 20), datetime.date(2024, 2, 29)
     start = F.lit(first).cast("timestamp_ntz")
@@ -97,20 +97,17 @@ def _refreshed(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
         "event_ts", F.lit(last).cast("timestamp_ntz")
     )
     known = events.where(F.col("event_ts") < start).unionByName(moved.where(F.col("event_id") % 3 == 0))
-    mart.write_machine_time(line_day.machine_day_parts(known), time_path)
-    known_runs = runs.where(F.col("actual_end_ts") < start)
-    known_time = mart.read_machine_time(spark, time_path)
-    mart.write_line_day_kpi(line_day.line_day_kpi(known_time, machines, known_runs), path)
-    mart.refresh_line_day_kpi(path, time_path, events, machines, runs, first, last)
-    return path, time_path
+    mart.build_line_day_kpi(path, known, machines, runs.where(F.col("actual_end_ts") < start))
+    mart.refresh_line_day_kpi(path, events, machines, runs, first, last)
+    return path
 
 
 def _refreshed_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mart.read_line_day_kpi(spark, _refreshed(spark, sf_dir)[0])
+    return mart.read_line_day_kpi(spark, _refreshed(spark, sf_dir))
 
 
 def _refreshed_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mart.read_machine_time(spark, _refreshed(spark, sf_dir)[1])
+    return mart.read_machine_time(spark, _refreshed(spark, sf_dir))
 
 
 def _inserted_events(spark: SparkSession, sf_dir: str) -> DataFrame:

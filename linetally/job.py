@@ -3,8 +3,8 @@
 spark-submit --py-files linetally.zip linetally/job.py --tables ROOT --out FOLDER
              [--as-of YYYY-MM-DD] [--refresh FIRST LAST] [--event-log NAME] [--assign]
 
-ROOT holds one Parquet folder per table.  FOLDER receives machine_time_daily,
-mart_daily_line_kpi, qc_line_day_tally, reports/<name> and audits/<name>; both must be
+ROOT holds one Parquet folder per table.  FOLDER receives mart (machine time and daily KPI, see
+plans.mart), qc_line_day_tally, reports/<name> and audits/<name>; both must be
 reachable from every executor.  The event log is shuffled once.  With --refresh the stored
 machine time and mart are only brought up to date for rows changed on the days FIRST to LAST.
 --event-log names a bucketed catalog table to read events from.  --assign links events to work
@@ -19,19 +19,12 @@ import datetime
 from pyspark.sql import SparkSession
 
 from linetally.operators.audits import all_audits
-from linetally.operators.line_day import line_day_kpi, machine_day_parts
 from linetally.operators.work_orders import assign_work_order
-from linetally.plans.mart import (
-    read_line_day_kpi,
-    read_machine_time,
-    refresh_line_day_kpi,
-    write_line_day_kpi,
-    write_machine_time,
-)
+from linetally.plans.mart import build_line_day_kpi, read_line_day_kpi, read_machine_time, refresh_line_day_kpi
 from linetally.plans.quality import qc_line_day_tally
 from linetally.plans.reports import all_reports
-from linetally.session import SETTINGS, checkpoint_folder
-from linetally.sources.schemas import EVENTS, LINE_DAY_KPI, MACHINE_TIME, TABLES
+from linetally.session import SETTINGS
+from linetally.sources.schemas import EVENTS, TABLES
 from linetally.sources.tables import load_tables, read_table, save_table
 
 
@@ -50,14 +43,12 @@ def run(
     tables = load_tables(spark, root, event_log)
     events, machines = tables["fct_machine_events"], tables["dim_machines"]
     runs = tables["fct_production_runs"]
-    time_path, mart_path = f"{out}/{MACHINE_TIME.name}", f"{out}/{LINE_DAY_KPI.name}"
-    with checkpoint_folder(spark):
-        if refresh is None:
-            write_machine_time(machine_day_parts(events), time_path)
-            write_line_day_kpi(line_day_kpi(read_machine_time(spark, time_path), machines, runs), mart_path)
-        else:
-            refresh_line_day_kpi(mart_path, time_path, events, machines, runs, *refresh)
-    written = [time_path, mart_path]
+    mart_path = f"{out}/mart"
+    if refresh is None:
+        build_line_day_kpi(mart_path, events, machines, runs)
+    else:
+        refresh_line_day_kpi(mart_path, events, machines, runs, *refresh)
+    written = [mart_path]
     if assign:
         save_table(assign_work_order(events, machines, runs), f"{out}/assigned_events", EVENTS)
         tables[EVENTS.name] = read_table(spark, f"{out}/assigned_events", EVENTS)
@@ -65,7 +56,7 @@ def run(
     tally_path = f"{out}/qc_line_day_tally"
     qc_line_day_tally(tables["fct_qc_results"], runs, as_of).write.mode("overwrite").parquet(tally_path)
     written.append(tally_path)
-    time, mart = read_machine_time(spark, time_path), read_line_day_kpi(spark, mart_path)
+    time, mart = read_machine_time(spark, mart_path), read_line_day_kpi(spark, mart_path)
     reports = all_reports(tables, time, mart, spark.read.parquet(tally_path), as_of)
     for folder, results in (("reports", reports), ("audits", all_audits(tables, TABLES.values()))):
         for name, result in results.items():

@@ -32,6 +32,19 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def folders(spark: SparkSession, path: str) -> list[tuple[str, float]]:
+    """Names of the folders in a folder, and when each was last changed (seconds)."""
+    files, place = _at(spark, path)
+    if not files.exists(place):
+        return []
+    found = [status for status in files.listStatus(place) if status.isDirectory()]
+    return sorted((status.getPath().getName(), status.getModificationTime() / 1000) for status in found)
+
+
+def now() -> float:
+    return time.time()
+
+
 def new_version(path: str) -> str:
     return f"{path}/{_PREFIX}{time.time_ns() // 1000:020d}-{uuid.uuid4().hex[:8]}"
 

@@ -51,6 +51,17 @@ def _folder_day(table: Table) -> Column:
     return F.to_date(table.layout[0]).alias(STORED_DAY)
 
 
+def with_folder_day(rows: DataFrame, table: Table) -> tuple[DataFrame, str]:
+    """rows with the column that their folders are named by, and its name.
+
+    Tables without dates have one folder.
+    """
+    if "day" in table.schema.names:
+        return rows, "day"
+    day = _folder_day(table) if table.layout else F.lit("all")
+    return rows.withColumn(STORED_DAY, day), STORED_DAY
+
+
 def save_table(rows: DataFrame, root: str, table: Table, mode: str = "overwrite") -> None:
     """Write rows (``append`` inserts); tables with dates get a folder per day.
 

@@ -25,10 +25,9 @@ def check(spark, written):
         folder, name = path.rsplit("/", 2)[1:]
         if folder == "reports":
             compare.assert_same(entry._plain(spark.read.parquet(path)), con, oracle[name])
-        elif name == "mart_daily_line_kpi":
+        elif name == "mart":
             compare.assert_same(entry._plain(read_line_day_kpi(spark, path)), con, oracle["line_day_kpi"])
-        elif name == "machine_time_daily":
-            compare.assert_same(read_machine_time(spark, path), con, oracle[name])
+            compare.assert_same(read_machine_time(spark, path), con, oracle["machine_time_daily"])
 
 
 def violations(spark, written):

@@ -8,17 +8,20 @@ from pyspark.sql import functions as F
 from linetally.operators.line_day import line_day_kpi, machine_day_parts, machine_time_daily
 from linetally.plans import mart
 from linetally.plans.mart import (
+    build_line_day_kpi,
     days_to_rebuild,
+    move_view,
     publish_line_day_kpi,
     read_line_day_kpi,
     read_machine_parts,
     read_machine_time,
     refresh_line_day_kpi,
+    refresh_machine_time,
     write_line_day_kpi,
     write_machine_time,
 )
 from linetally.session import shared_folder
-from linetally.sources import files, fixtures, schemas
+from linetally.sources import files, fixtures, schemas, snapshots
 from linetally.sources.tables import read_table, save_table
 
 
@@ -105,8 +108,7 @@ def test_days_to_rebuild_reach_back_to_the_last_event_before(make):
 
 
 def stored(path, events, machines, runs):
-    write_machine_time(machine_day_parts(events), f"{path}-time")
-    write_line_day_kpi(kpi(events, machines, runs), path)
+    build_line_day_kpi(path, events, machines, runs)
 
 
 def test_refresh_equals_full_rebuild_after_late_events(spark, make, path):
@@ -130,14 +132,14 @@ def test_refresh_equals_full_rebuild_after_late_events(spark, make, path):
     after = make(schemas.EVENTS, micro.EVENTS + later + late)
 
     stored(path, before, machines, runs)
-    refresh_line_day_kpi(path, f"{path}-time", after, machines, more_runs, *days(5, 6))
+    refresh_line_day_kpi(path, after, machines, more_runs, *days(5, 6))
     assert rows(read_line_day_kpi(spark, path)) == rows(kpi(after, machines, more_runs))
     assert rows(read_line_day_kpi(spark, path)) != rows(kpi(before, machines, runs))
 
     # And back again: the days lose all the rows they got.
-    refresh_line_day_kpi(path, f"{path}-time", before, machines, runs, *days(5, 6))
+    refresh_line_day_kpi(path, before, machines, runs, *days(5, 6))
     assert rows(read_line_day_kpi(spark, path)) == rows(kpi(before, machines, runs))
-    left = read_machine_parts(spark, f"{path}-time").where(F.col("day").isin(*days(5, 6)))
+    left = read_machine_parts(spark, path).where(F.col("day").isin(*days(5, 6)))
     assert left.count() == 0
 
 
@@ -148,14 +150,13 @@ def test_refresh_of_days_within_the_log(spark, path):
     runs = fixtures.production_runs(spark, sf)
     first, last = days(10, 12)
     late = F.to_date("event_ts").between(first, last) & (F.col("event_id") % 2 == 0)
-    time_path = f"{path}-time"
     stored(path, events.where(~late), machines, runs)
-    old_files = files_of(read_machine_parts(spark, time_path).where(~F.col("day").between(first, last)))
-    refresh_line_day_kpi(path, time_path, events, machines, runs, first, last)
-    time, whole = read_machine_time(spark, time_path), machine_time_daily(events)
+    old_files = files_of(read_machine_parts(spark, path).where(~F.col("day").between(first, last)))
+    refresh_line_day_kpi(path, events, machines, runs, first, last)
+    time, whole = read_machine_time(spark, path), machine_time_daily(events)
     assert time.exceptAll(whole.select(time.columns)).count() == 0 and time.count() == whole.count()
     assert rows(read_line_day_kpi(spark, path)) == rows(kpi(events, machines, runs))
-    assert old_files == files_of(read_machine_parts(spark, time_path).where(~F.col("day").between(first, last)))
+    assert old_files == files_of(read_machine_parts(spark, path).where(~F.col("day").between(first, last)))
 
 
 def test_refresh_reads_events_of_its_days_only(spark, make, path, monkeypatch):
@@ -169,7 +170,7 @@ def test_refresh_reads_events_of_its_days_only(spark, make, path, monkeypatch):
     seen = []
     original = mart.machine_day_parts
     monkeypatch.setattr(mart, "machine_day_parts", lambda given: seen.append(given) or original(given))
-    refresh_line_day_kpi(path, f"{path}-time", events, machines, runs, *days(10, 10))
+    refresh_line_day_kpi(path, events, machines, runs, *days(10, 10))
     assert [r.event_id for given in seen for r in given.collect()] == [3]
     plan = seen[0]._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(stored_day" in plan
@@ -181,12 +182,136 @@ def test_old_versions_stay_for_a_while(spark, make, path):
     mart_rows = kpi(events, machines, make(schemas.RUNS, micro.RUNS))
     first = write_line_day_kpi(mart_rows, path)
     second = write_line_day_kpi(mart_rows, path)
-    assert files.versions(spark, path) == [first, second]
+    assert files.versions(spark, f"{path}/snapshots") == [first, second]
     third = write_line_day_kpi(mart_rows, path, grace_seconds=0)
-    assert files.versions(spark, path) == [third]
+    assert files.versions(spark, f"{path}/snapshots") == [third]
     broken = mart_rows.withColumn("good_qty", F.raise_error(F.lit("lost")).cast("bigint"))
     with pytest.raises(Exception, match="lost"):
         write_line_day_kpi(broken, path, grace_seconds=0)
     assert rows(read_line_day_kpi(spark, path)) == rows(mart_rows)
     with pytest.raises(FileNotFoundError):
         read_line_day_kpi(spark, f"{path}-never")
+
+
+LATE = [
+    (50, 3, "2024-01-05 03:00:00", "STOP", "PLAN", None),
+    (51, 1, "2024-01-05 04:00:00", "RUN", None, None),
+]
+
+
+def data_files(path):
+    from pathlib import Path
+
+    return {str(p) for p in Path(path, "data").rglob("*.parquet")}
+
+
+def test_a_refresh_that_stops_anywhere_can_be_made_again(spark, make, path, monkeypatch):
+    """Every write of a refresh fails once; nothing is visible before all is done."""
+    from pyspark.sql import DataFrameWriter
+
+    machines, runs = make(schemas.MACHINES, micro.MACHINES), make(schemas.RUNS, micro.RUNS)
+    more_runs = make(schemas.RUNS, [*micro.RUNS, micro.run(6, 11, "2024-01-05 10:00:00", 70, 3)])
+    # What machine 2 had on the changed day goes: its day before has to be rebuilt all the same.
+    gone = [(60, 2, "2024-01-05 01:00:00", "STOP", "MECH", None)]
+    before, after = make(schemas.EVENTS, micro.EVENTS + gone), make(schemas.EVENTS, micro.EVENTS + LATE)
+    stored(path, before, machines, runs)
+    known = rows(read_line_day_kpi(spark, path))
+    original, left, stopped = DataFrameWriter.parquet, [0], 0
+
+    def write(self, *args, **kwargs):
+        left[0] -= 1
+        if left[0] < 0:
+            raise OSError("stopped")
+        original(self, *args, **kwargs)
+
+    for n in range(20):
+        left[0] = n
+        monkeypatch.setattr(DataFrameWriter, "parquet", write)
+        try:
+            refresh_line_day_kpi(path, after, machines, more_runs, *days(5, 5))
+        except OSError:
+            stopped += 1
+            assert rows(read_line_day_kpi(spark, path)) == known
+            continue
+        finally:
+            monkeypatch.undo()
+        break
+    assert stopped == 3  # machine time, mart, snapshot
+    assert rows(read_line_day_kpi(spark, path)) == rows(kpi(after, machines, more_runs)) != known
+    time, whole = read_machine_time(spark, path), machine_time_daily(after)
+    assert time.exceptAll(whole.select(time.columns)).count() == 0 and time.count() == whole.count()
+
+
+def test_a_refresh_writes_the_rebuilt_days_only(spark, path):
+    sf = "/root/testdata/sf0.001"
+    events, machines = fixtures.machine_events(spark, sf), fixtures.machines(spark, sf)
+    runs = fixtures.production_runs(spark, sf)
+    day = datetime.date(2024, 1, 10)
+    late = (F.to_date("event_ts") == F.lit(day)) & (F.col("event_id") % 2 == 0)
+    stored(path, events.where(~late), machines, runs)
+    parts, base = read_machine_parts(spark, path), snapshots.current(spark, path)
+    expected = {r.day for r in days_to_rebuild(parts, machine_day_parts(events), day, day).collect()}
+    old = data_files(path)
+    refresh_line_day_kpi(path, events, machines, runs, day, day)
+    new = data_files(path) - old
+    assert old < data_files(path)
+    of_time = {name for name in new if schemas.MACHINE_TIME.name in name}
+    assert {name.split("day=")[1][:10] for name in of_time} == {"2024-01-10"}
+    written = {datetime.date.fromisoformat(name.split("day=")[1][:10]) for name in new - of_time}
+    assert written == expected and len(expected) < len(base.of(schemas.LINE_DAY_KPI)) / 2
+    taken_over = set(snapshots.current(spark, path).of(schemas.LINE_DAY_KPI)) & set(base.of(schemas.LINE_DAY_KPI))
+    assert {f.day for f in taken_over} == {f.day for f in base.of(schemas.LINE_DAY_KPI)} - expected
+    assert rows(read_line_day_kpi(spark, path)) == rows(kpi(events, machines, runs))
+
+
+def test_a_view_follows_a_refresh_and_filters_by_day(spark, make, path):
+    machines, runs = make(schemas.MACHINES, micro.MACHINES), make(schemas.RUNS, micro.RUNS)
+    stored(path, make(schemas.EVENTS, micro.EVENTS), machines, runs)
+    move_view(spark, "line_kpi", path)
+    first = rows(spark.table("line_kpi"))
+    after = make(schemas.EVENTS, micro.EVENTS + LATE)
+    refresh_line_day_kpi(path, after, machines, runs, *days(5, 5))
+    assert rows(spark.table("line_kpi")) == first
+    move_view(spark, "line_kpi", path)
+    assert rows(spark.table("line_kpi")) == rows(kpi(after, machines, runs))
+    recent = spark.table("line_kpi").where("day = date'2024-01-05'")
+    assert all("day=2024-01-05" in name for name in files_of(recent)) and recent.count() > 0
+    write_line_day_kpi(kpi(after, machines, runs).limit(0), path)
+    move_view(spark, "line_kpi", path)
+    assert spark.table("line_kpi").count() == 0 == read_line_day_kpi(spark, path).count()
+
+
+def test_a_second_writer_is_refused(spark, make, path):
+    parts = machine_day_parts(make(schemas.EVENTS, micro.EVENTS))
+    write_machine_time(parts, path)
+    base = snapshots.current(spark, path)
+    write_machine_time(parts, path)
+    with pytest.raises(RuntimeError, match="changed meanwhile"):
+        snapshots.publish(spark, path, base, base.folders)
+
+
+def test_machine_time_alone_is_refreshed_in_one_step(spark, make, path):
+    events, after = make(schemas.EVENTS, micro.EVENTS), make(schemas.EVENTS, micro.EVENTS + LATE)
+    write_machine_time(machine_day_parts(events), path)
+    reader = read_machine_time(spark, path)
+    refresh_machine_time(path, after, *days(5, 5))
+    time, whole = read_machine_time(spark, path), machine_time_daily(after)
+    assert time.exceptAll(whole.select(time.columns)).count() == 0 and time.count() == whole.count()
+    assert reader.count() == machine_time_daily(events).count()  # a reader that started earlier
+    write_line_day_kpi(kpi(after, make(schemas.MACHINES, micro.MACHINES), make(schemas.RUNS, micro.RUNS)), path)
+    with pytest.raises(ValueError, match="no longer fit"):
+        refresh_machine_time(path, after, *days(5, 5))
+
+
+def test_what_no_snapshot_needs_is_deleted(spark, make, path):
+    machines, runs = make(schemas.MACHINES, micro.MACHINES), make(schemas.RUNS, micro.RUNS)
+    stored(path, make(schemas.EVENTS, micro.EVENTS), machines, runs)
+    refresh_line_day_kpi(path, make(schemas.EVENTS, micro.EVENTS + LATE), machines, runs, *days(5, 5))
+    expected = rows(read_line_day_kpi(spark, path))
+    snapshots.write_batch(machine_day_parts(make(schemas.EVENTS, micro.EVENTS)), schemas.MACHINE_TIME, path, "never")
+    assert snapshots.remove_unused(spark, path) == []
+    removed = snapshots.remove_unused(spark, path, grace_seconds=-1)
+    assert "machine_time_daily/batch=never" in removed and len(removed) > 1
+    assert rows(read_line_day_kpi(spark, path)) == expected
+    in_use = {f"{path}/data/{f.folder}" for f in snapshots.current(spark, path).folders}
+    assert {name.rsplit("/", 1)[0] for name in data_files(path)} == in_use
