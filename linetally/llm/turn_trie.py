@@ -28,6 +28,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ from linetally.llm.store import stored
 from linetally.llm.workers import shipped
 
 ROOT = bytes(16)
-COMPONENT_NODES = 100_000
+COMPONENT_NODES = 1_000
 FAMILY, MOST_SHARED = 5, 9
 ROWS_AT_ONCE, CHARS_AT_ONCE = 10_000, 4_000_000
 PIECE_BYTES = 1 << 16
@@ -235,14 +236,16 @@ def _component_sums(nodes: DataFrame) -> DataFrame:
 def _cut_large(nodes: DataFrame, paths: DataFrame, component_nodes: int) -> tuple[DataFrame, list[DataFrame]]:
     """Cuts components of more than ``component_nodes`` nodes at their centroids until there are none.
 
-    Returns the nodes left, with their components, and what the cuts add to nodes' sums.
+    Returns the nodes left, with their components, and what the cuts add to nodes' sums.  Nodes of small
+    components take no part in further rounds.
     """
-    added = []
+    settled, added = [], []
     while True:
         large = nodes.groupBy("component").agg(F.max("size").alias("n")).where(F.col("n") > component_nodes)
         large = stored(large, "trie-components")
         if large.isEmpty():
-            return nodes, added
+            return reduce(DataFrame.unionByName, [*settled, nodes]), added
+        settled.append(nodes.join(large, "component", "left_anti"))
         inside = nodes.join(large, "component")
         # Nodes with more than half of a component form a path from its top; the centroid ends it.
         at = F.struct("node", "conv_id", "depth", "size")
@@ -267,7 +270,8 @@ def _cut_large(nodes: DataFrame, paths: DataFrame, component_nodes: int) -> tupl
         )
         is_cut, is_below = F.col("node") == F.col("cut_node"), F.col("through") & (F.col("depth") > F.col("cut_depth"))
         sorted_out = stored(
-            nodes.join(cuts, "component", "left")
+            inside.drop("n")
+            .join(cuts, "component")
             .join(below, ["component", "conv_id"], "left")
             .join(above, ["component", "node"], "left")
             .withColumn("is_cut", F.coalesce(is_cut, F.lit(False)))
