@@ -19,7 +19,7 @@ from linetally.functions.times import STORED_DAY
 from linetally.operators import audits, calendar, intervals, line_day, work_orders
 from linetally.plans import crosschecks, downtime, mart, production, quality, shipping, snapshot
 from linetally.session import shared_folder
-from linetally.sources import fixtures
+from linetally.sources import fixtures, loads, snapshots
 from linetally.sources.fixtures import AS_OF
 from linetally.sources.schemas import EVENTS, RUNS, TABLES, Reference
 from linetally.sources.tables import fill_defaults, read_table, reason_codes, save_table
@@ -119,6 +119,50 @@ def _inserted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, root, EVENTS).drop("work_order_id", STORED_DAY)
 
 
+def _events_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stops, then the runs together with stops that are known, and that batch once more."""
+    path = _fresh_path(spark, "loaded")
+    events = fixtures.machine_events(spark, sf_dir)
+    stops, runs = events.where(F.col("state") == "STOP"), events.where(F.col("state") != "STOP")
+    batch = runs.unionByName(stops.where(F.col("event_id") % 4 == 0)).unionByName(runs.where(F.col("event_id") % 9 == 0))
+    loads.load_rows(stops, EVENTS, path, "stops")
+    for _ in range(2):
+        loads.load_rows(batch, EVENTS, path, "runs")
+    return snapshots.read_table(spark, path, EVENTS).drop("work_order_id", STORED_DAY)
+
+
+def _loaded_with_faults(spark: SparkSession, sf_dir: str) -> str:
+    """Events of which some break a rule each, and some come twice, loaded in two batches."""
+    path = _fresh_path(spark, "loaded")
+    tables = fixtures.all_tables(spark, sf_dir)
+    fault = F.col("event_id") % 50
+    machine = F.when(fault == 2, F.col("machine_id") + 1_000_000).when(fault != 3, F.col("machine_id"))
+    faulty = tables[EVENTS.name].select(
+        "event_id",
+        machine.cast("int").alias("machine_id"),
+        F.when(fault != 6, F.col("event_ts")).alias("event_ts"),
+        F.when(fault == 1, "IDLE").otherwise(F.col("state")).alias("state"),
+        F.when(fault.isin(1, 4), "NONE").otherwise(F.col("reason_code")).alias("reason_code"),
+        "work_order_id",
+    )
+    changed = faulty.where(fault == 5).withColumn("state", F.lit("STOP")).withColumn("reason_code", F.lit("PLAN"))
+    first = F.col("event_id") % 3 == 0
+    loads.load_rows(faulty.where(first), EVENTS, path, "first", tables)
+    rest = faulty.where(~first).unionByName(faulty.where(fault == 7)).unionByName(changed)
+    loads.load_rows(rest, EVENTS, path, "second", tables)
+    return path
+
+
+def _loaded_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _loaded_with_faults(spark, sf_dir)
+    return snapshots.read_table(spark, path, EVENTS).drop("work_order_id", STORED_DAY)
+
+
+def _rejected_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rejects = loads.read_rejects(spark, _loaded_with_faults(spark, sf_dir), EVENTS)
+    return rejects.drop("work_order_id").withColumn("reasons", F.array_join("reasons", "; "))
+
+
 def _pk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten tables, and lineitem, whose order line numbers are known to repeat."""
     declared = audits.pk_violations(fixtures.all_tables(spark, sf_dir), TABLES.values())
@@ -214,6 +258,9 @@ def line_queries() -> dict[str, Query]:
         "qc_results": lambda s, d: _plain(fixtures.qc_results(s, d)),
         "shipments": fixtures.shipments,
         "insert_machine_events": _inserted_events,
+        "insert_events_by_key": _events_by_key,
+        "load_accepted_events": _loaded_events,
+        "load_rejected_events": _rejected_events,
         "state_intervals": lambda s, d: intervals.state_intervals(*_log(s, d)),
         "state_intervals_hourly_pieces": lambda s, d: intervals.state_intervals(*_log(s, d), slice_us=HOUR_US),
         "machine_time_daily": _time,

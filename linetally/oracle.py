@@ -232,6 +232,32 @@ MACHINE_TIME = """select machine_id, day, reason_code,
                              sum(if(state = 'STOP', us, 0))::bigint as stop_us
                              from iv group by all"""
 
+EVENT_COLUMNS = "event_id, machine_id, event_ts, state, reason_code"
+
+# Events with faults in two batches, judged row by row.
+LOADED = """
+        , f as (select event_id, case event_id % 50 when 2 then machine_id + 1000000 when 3 then null else machine_id end
+                           as machine_id,
+                       if(event_id % 50 = 6, null, event_ts) as event_ts, if(event_id % 50 = 1, 'IDLE', state) as state,
+                       if(event_id % 50 in (1, 4), 'NONE', reason_code) as reason_code, event_id % 3 = 0 as first from e),
+        g as (select * from f
+              union all select * replace (false as first) from f where event_id % 50 = 7
+              union all select * replace ('STOP' as state, 'PLAN' as reason_code, false as first) from f
+                        where event_id % 50 = 5),
+        w as (select *, list_filter([
+                         if(machine_id is null, 'null: machine_id', ''), if(event_ts is null, 'null: event_ts', ''),
+                         if(state not in ('RUN', 'STOP'), 'domain: state', ''),
+                         if(machine_id not in (select machine_id from m), 'reference: machine_id', ''),
+                         if(reason_code not in (select reason_code from rc), 'reference: reason_code', '')],
+                         lambda x: x <> '') as own from g),
+        k as (select event_id as known from w where first and len(own) = 0),
+        v as (select w.*, if(known is not null, list_append(own, 'key'), own) as found
+              from w left join k on event_id = known and not first),
+        judged as (select *, array_to_string(if(len(found) = 0 and nth > 1, ['key'], found), '; ') as reasons
+                   from (select *, row_number() over (partition by event_id, len(found) = 0 order by machine_id nulls first,
+                                                      event_ts nulls first, state nulls first, reason_code nulls first) as nth
+                         from v))"""
+
 LINKED = """
         , n as (select line_id, actual_start_ts::date as day, work_order_id,
                        row_number() over (partition by line_id, day order by work_order_id) - 1 as place,
@@ -249,6 +275,9 @@ STATEMENTS = {
     "shipments": "select * from s",
     **dict.fromkeys(("state_intervals", "state_intervals_hourly_pieces"), STATE_INTERVALS),
     "insert_machine_events": "select * from e",
+    "insert_events_by_key": "select * from e",
+    "load_accepted_events": f"{LOADED} select {EVENT_COLUMNS} from judged where reasons = ''",
+    "load_rejected_events": f"{LOADED} select {EVENT_COLUMNS}, reasons from judged where reasons <> ''",
     **dict.fromkeys(("machine_time_daily", "machine_time_hourly_pieces", "refresh_machine_time"), MACHINE_TIME),
     "line_time_daily": "select * from lt",
     "line_output_daily": "select * from lo",

@@ -54,11 +54,11 @@ def _folder_day(table: Table) -> Column:
 def with_folder_day(rows: DataFrame, table: Table) -> tuple[DataFrame, str]:
     """rows with the column that their folders are named by, and its name.
 
-    Tables without dates have one folder.
+    Tables without dates have one folder, of no day.
     """
     if "day" in table.schema.names:
         return rows, "day"
-    day = _folder_day(table) if table.layout else F.lit("all")
+    day = _folder_day(table) if table.layout else F.lit(None).cast("date")
     return rows.withColumn(STORED_DAY, day), STORED_DAY
 
 
