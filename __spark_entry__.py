@@ -16,7 +16,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))  # wherever this file i
 from linetally import oracle
 from linetally.functions import days_back
 from linetally.functions.times import STORED_DAY
-from linetally.operators import audits, calendar, intervals, line_day, work_orders
+from linetally.operators import audits, calendar, intervals, line_day, ranges, work_orders
 from linetally.plans import crosschecks, downtime, mart, production, quality, shipping, snapshot
 from linetally.session import shared_folder
 from linetally.sources import fixtures, loads, snapshots
@@ -263,6 +263,15 @@ def line_queries() -> dict[str, Query]:
         "load_rejected_events": _rejected_events,
         "state_intervals": lambda s, d: intervals.state_intervals(*_log(s, d)),
         "state_intervals_hourly_pieces": lambda s, d: intervals.state_intervals(*_log(s, d), slice_us=HOUR_US),
+        "state_intervals_by_range": lambda s, d: ranges.state_intervals_by_range(
+            *_log(s, d), _fresh_path(s, "sorted-events")
+        ),
+        "numbered_events": lambda s, d: ranges.numbered(
+            fixtures.machine_events(s, d).drop("work_order_id"),
+            ["event_ts", "event_id"],
+            _fresh_path(s, "numbered-events"),
+            "seq",
+        ),
         "machine_time_daily": _time,
         "machine_time_hourly_pieces": lambda s, d: line_day.machine_time_daily(
             fixtures.machine_events(s, d), slice_us=HOUR_US

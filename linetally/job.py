@@ -19,6 +19,7 @@ import datetime
 from pyspark.sql import SparkSession
 
 from linetally.operators.audits import all_audits
+from linetally.operators.ranges import store_ordered
 from linetally.operators.work_orders import assign_work_order
 from linetally.plans.mart import build_line_day_kpi, read_line_day_kpi, read_machine_time, refresh_line_day_kpi
 from linetally.plans.quality import qc_line_day_tally
@@ -61,7 +62,10 @@ def run(
     for folder, results in (("reports", reports), ("audits", all_audits(tables, TABLES.values()))):
         for name, result in results.items():
             written.append(f"{out}/{folder}/{name}")
-            result.write.mode("overwrite").parquet(written[-1])
+            if folder == "reports":
+                store_ordered(result, written[-1])  # ranges.read_ordered gives the order back
+            else:
+                result.write.mode("overwrite").parquet(written[-1])
     return written
 
 

@@ -273,9 +273,12 @@ STATEMENTS = {
     "production_runs": "select *, 'unit' as uom from r",
     "qc_results": "select * replace (value::double as value) from q",
     "shipments": "select * from s",
-    **dict.fromkeys(("state_intervals", "state_intervals_hourly_pieces"), STATE_INTERVALS),
+    **dict.fromkeys(
+        ("state_intervals", "state_intervals_hourly_pieces", "state_intervals_by_range"), STATE_INTERVALS
+    ),
     "insert_machine_events": "select * from e",
     "insert_events_by_key": "select * from e",
+    "numbered_events": "select *, row_number() over (order by event_ts, event_id) as seq from e",
     "load_accepted_events": f"{LOADED} select {EVENT_COLUMNS} from judged where reasons = ''",
     "load_rejected_events": f"{LOADED} select {EVENT_COLUMNS}, reasons from judged where reasons <> ''",
     **dict.fromkeys(("machine_time_daily", "machine_time_hourly_pieces", "refresh_machine_time"), MACHINE_TIME),

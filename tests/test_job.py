@@ -7,24 +7,34 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from linetally import job
+from linetally.operators.ranges import read_ordered
 from linetally.plans.mart import read_line_day_kpi, read_machine_time
+from linetally.plans.reports import all_reports
 from linetally.session import shared_folder
 from linetally.sources import fixtures
 from linetally.sources.schemas import EVENTS, RUNS, TABLES
-from linetally.sources.tables import read_table, save_event_log, save_table
+from linetally.sources.tables import load_tables, read_table, save_event_log, save_table
 
 SF = "/root/testdata/sf0.001"
 
 
-def check(spark, written):
-    """From stored tables, over the stored mart, to stored reports."""
+def check(spark, tables, written):
+    """From stored tables, over the stored mart, to stored reports in their order."""
+    mart = next(path for path in written if path.endswith("/mart"))
+    tally = spark.read.parquet(next(path for path in written if path.endswith("tally")))
+    time, kpi = read_machine_time(spark, mart), read_line_day_kpi(spark, mart)
+    reports = all_reports(load_tables(spark, tables), time, kpi, tally, fixtures.AS_OF)
     con, oracle = compare.connect(SF), entry.oracle_sql()
     names = [path.rsplit("/", 1)[1] for path in written if "/reports/" in path]
     assert len(names) == 14
     for path in written:
         folder, name = path.rsplit("/", 2)[1:]
         if folder == "reports":
-            compare.assert_same(entry._plain(spark.read.parquet(path)), con, oracle[name])
+            stored = read_ordered(spark, path)
+            compare.assert_same(entry._plain(stored.drop("place")), con, oracle[name])
+            in_order = [tuple(r)[:-1] for r in stored.orderBy("place").collect()]
+            report = reports[name].collect()
+            assert in_order == [tuple(r) for r in report], name
         elif name == "mart":
             compare.assert_same(entry._plain(read_line_day_kpi(spark, path)), con, oracle["line_day_kpi"])
             compare.assert_same(read_machine_time(spark, path), con, oracle["machine_time_daily"])
@@ -43,7 +53,7 @@ def test_stored_results_equal_the_oracle_after_build_and_refresh(spark):
     for name, rows in views.items():
         save_table(rows, tables, TABLES[name])
     written = job.run(spark, tables, out, fixtures.AS_OF, assign=True)
-    check(spark, written)
+    check(spark, tables, written)
     assert violations(spark, written)["not_null_violations"] == 0
     linked = read_table(spark, out, dataclasses.replace(EVENTS, name="assigned_events"))
     assert linked.where("work_order_id is not null").count() > 0
@@ -58,7 +68,7 @@ def test_stored_results_equal_the_oracle_after_build_and_refresh(spark):
     job.run(spark, tables, out, fixtures.AS_OF)
     save_table(events.where(new_events), tables, EVENTS, mode="append")
     save_table(runs.where(new_runs), tables, RUNS, mode="append")
-    check(spark, job.run(spark, tables, out, fixtures.AS_OF, (first, last)))
+    check(spark, tables, job.run(spark, tables, out, fixtures.AS_OF, (first, last)))
 
 
 def test_job_reports_violations_and_reads_a_bucketed_log(spark, make):
