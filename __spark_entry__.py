@@ -21,8 +21,8 @@ from linetally.plans import crosschecks, downtime, mart, production, quality, sh
 from linetally.session import shared_folder
 from linetally.sources import fixtures, loads, snapshots
 from linetally.sources.fixtures import AS_OF
-from linetally.sources.schemas import EVENTS, RUNS, TABLES, Reference
-from linetally.sources.tables import fill_defaults, read_table, reason_codes, save_table
+from linetally.sources.schemas import EVENTS, QC_RESULTS, RUNS, TABLES, Reference
+from linetally.sources.tables import fill_defaults, look_up, read_table, reason_codes, save_by_order, save_table
 
 try:  # the operators on training data are an optional part
     import corpus_pipeline
@@ -233,6 +233,25 @@ def _qc_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.qc_line_day_tally(qc, runs, AS_OF)
 
 
+def _qc_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QC fail rates from samples and runs that are stored by work order."""
+    stored = []
+    for table, rows in ((QC_RESULTS, fixtures.qc_results), (RUNS, fixtures.production_runs)):
+        path = _fresh_path(spark, table.name)
+        name = path.rsplit("/", 1)[1].replace("-", "_")
+        save_by_order(rows(spark, sf_dir), table, name, path, buckets=8)
+        stored.append(spark.table(name))
+    return quality.qc_fail_by_line_day(quality.qc_line_day_tally_by_order(*stored, AS_OF))
+
+
+def _looked_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Single events from the stored table, by their ids."""
+    root = _fresh_path(spark, "tables")
+    save_table(fixtures.machine_events(spark, sf_dir), root, EVENTS)
+    rows = look_up(read_table(spark, root, EVENTS), "event_id", [0, 1, 512, 4097, 10**12])
+    return rows.drop("work_order_id", STORED_DAY)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The daily line KPI at sf0.001."""
     return _plain(_kpi(spark, "/root/testdata/sf0.001"))
@@ -261,6 +280,7 @@ def line_queries() -> dict[str, Query]:
         "insert_events_by_key": _events_by_key,
         "load_accepted_events": _loaded_events,
         "load_rejected_events": _rejected_events,
+        "look_up_events": _looked_up,
         "state_intervals": lambda s, d: intervals.state_intervals(*_log(s, d)),
         "state_intervals_hourly_pieces": lambda s, d: intervals.state_intervals(*_log(s, d), slice_us=HOUR_US),
         "state_intervals_by_range": lambda s, d: ranges.state_intervals_by_range(
@@ -301,6 +321,7 @@ def line_queries() -> dict[str, Query]:
         ),
         "qc_fail_by_test": lambda s, d: quality.qc_fail_by_test(fixtures.qc_results(s, d), AS_OF),
         "qc_fail_by_line_day": lambda s, d: quality.qc_fail_by_line_day(_qc_tally(s, d)),
+        "qc_fail_by_line_day_stored_by_order": _qc_by_order,
         "qc_vs_yield": lambda s, d: quality.qc_vs_yield(_qc_tally(s, d), _kpi(s, d, 30)),
         "on_time_overall": lambda s, d: shipping.on_time_overall(fixtures.shipments(s, d), AS_OF),
         "on_time_by_customer": lambda s, d: shipping.on_time_by_customer(

@@ -278,6 +278,7 @@ STATEMENTS = {
     ),
     "insert_machine_events": "select * from e",
     "insert_events_by_key": "select * from e",
+    "look_up_events": "select * from e where event_id in (0, 1, 512, 4097, 1000000000000)",
     "numbered_events": "select *, row_number() over (order by event_ts, event_id) as seq from e",
     "load_accepted_events": f"{LOADED} select {EVENT_COLUMNS} from judged where reasons = ''",
     "load_rejected_events": f"{LOADED} select {EVENT_COLUMNS}, reasons from judged where reasons <> ''",
@@ -318,8 +319,9 @@ STATEMENTS = {
                {_rounded("count_if(actual_end_ts <= planned_end_ts)", "count(*)", 4)} as on_time_share
         from r where actual_end_ts >= {CUT_30} group by all""",
     "qc_fail_by_test": _tally(f"sample_ts >= {CUT_30}", "test_type", "q"),
-    "qc_fail_by_line_day": _tally(
-        f"sample_ts >= {CUT_30}", "line_id, sample_ts::date as day", "q join r using (work_order_id)"
+    **dict.fromkeys(
+        ("qc_fail_by_line_day", "qc_fail_by_line_day_stored_by_order"),
+        _tally(f"sample_ts >= {CUT_30}", "line_id, sample_ts::date as day", "q join r using (work_order_id)"),
     ),
     "qc_vs_yield": f"""
         , d as ({_tally(f"sample_ts >= {CUT_30}", "line_id, sample_ts::date as day",

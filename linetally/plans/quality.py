@@ -36,6 +36,25 @@ def qc_line_day_tally(qc: DataFrame, runs: DataFrame, as_of: AsOf = None, days:
     )
 
 
+def qc_line_day_tally_by_order(qc: DataFrame, runs: DataFrame, as_of: AsOf = None, days: int = 30) -> DataFrame:
+    """``qc_line_day_tally`` for tables stored by ``save_by_order``: no sample moves.
+
+    Samples are summed per order and day where they are read, meet their order there, and
+    move as sums per line and day.  A bucket is read by one task: where a single order may have a large share of
+    all samples, use the plain form, whose join is split.
+    """
+    per_order = (
+        _recent(qc, as_of, days)
+        .groupBy("work_order_id", F.to_date("sample_ts").alias("day"))
+        .agg(*_tally())
+    )
+    return (
+        per_order.join(runs.select("work_order_id", "line_id"), "work_order_id")
+        .groupBy("line_id", "day")
+        .agg(F.sum("samples").alias("samples"), F.sum("fails").alias("fails"))
+    )
+
+
 def qc_fail_by_test(qc: DataFrame, as_of: AsOf = None, days: int = 30) -> DataFrame:
     return (
         _recent(qc, as_of, days)

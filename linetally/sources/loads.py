@@ -25,7 +25,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 from linetally.functions.blooms import possibly_among
 from linetally.sources import files, snapshots
 from linetally.sources.schemas import Reference, Table
-from linetally.sources.tables import conform, with_folder_day
+from linetally.sources.tables import bloom_options, conform, with_folder_day
 
 REASONS, VERDICT = "reasons", "verdict"
 ACCEPTED, REJECTED, SUSPECT = "accepted", "rejected", "suspect"
@@ -138,6 +138,7 @@ def _write(rows: DataFrame, table: Table, path: str, batch: str) -> None:
         out.hint("rebalance", VERDICT, column)
         .sortWithinPartitions(VERDICT, column, *table.layout)
         .write.mode("overwrite")
+        .options(**bloom_options(table))
         .partitionBy(VERDICT, column)
         .parquet(snapshots.batch_path(path, table, batch))
     )

@@ -42,6 +42,8 @@ class Table:
     defaults: dict[str, str] = field(default_factory=dict)
     layout: tuple[str, ...] = ()
     """Columns the stored files are sorted by; their day (of the first) is a folder."""
+    lookups: tuple[str, ...] = ()
+    """Columns that single rows are looked up by: stored files have Bloom filters on them."""
 
     @property
     def required(self) -> list[str]:
@@ -108,6 +110,7 @@ RUNS = Table(
     ),
     defaults={"uom": "unit"},
     layout=("actual_end_ts", "work_order_id"),
+    lookups=("work_order_id",),
 )
 
 EVENTS = Table(
@@ -124,6 +127,7 @@ EVENTS = Table(
     ),
     domains={"state": ("RUN", "STOP")},
     layout=("event_ts", "event_id"),
+    lookups=("event_id", "work_order_id"),
 )
 
 QC_RESULTS = Table(
@@ -141,6 +145,7 @@ QC_RESULTS = Table(
     ("qc_id",),
     (Reference("work_order_id", "fct_production_runs", "work_order_id"),),
     layout=("sample_ts", "qc_id"),
+    lookups=("qc_id", "work_order_id"),
 )
 
 SHIPMENTS = Table(
@@ -162,6 +167,7 @@ SHIPMENTS = Table(
         Reference("product_id", "dim_products", "product_id"),
     ),
     layout=("requested_ship_date", "shipment_id"),
+    lookups=("shipment_id", "order_id"),
 )
 
 TABLES = {

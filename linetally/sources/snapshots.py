@@ -26,7 +26,7 @@ from pyspark.sql.types import DateType, StructField, StructType
 from linetally.functions.times import STORED_DAY
 from linetally.sources import files
 from linetally.sources.schemas import Table
-from linetally.sources.tables import conform, with_folder_day
+from linetally.sources.tables import bloom_options, conform, with_folder_day
 
 _BATCH = re.compile(r"[A-Za-z0-9_-]+")
 LISTED = "table_name string, folder string"
@@ -100,6 +100,7 @@ def write_batch(rows: DataFrame, table: Table, path: str, batch: str | None = No
         out.hint("rebalance", column)
         .sortWithinPartitions(column, *table.layout)
         .write.mode("overwrite")
+        .options(**bloom_options(table))
         .partitionBy(column)
         .parquet(batch_path(path, table, batch))
     )

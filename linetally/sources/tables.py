@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
@@ -62,6 +65,25 @@ def with_folder_day(rows: DataFrame, table: Table) -> tuple[DataFrame, str]:
     return rows.withColumn(STORED_DAY, day), STORED_DAY
 
 
+def bloom_options(table: Table) -> dict[str, str]:
+    """Writer options for Bloom filters on the columns that single rows are looked up by.
+
+    Each row group gets the smallest filter that its values need.
+    """
+    options = {"parquet.bloom.filter.adaptive.enabled": "true"} if table.lookups else {}
+    return {**options, **{f"parquet.bloom.filter.enabled#{name}": "true" for name in table.lookups}}
+
+
+def look_up(rows: DataFrame, column: str, values: Sequence[int]) -> DataFrame:
+    """The rows of a stored table whose column has one of some values.
+
+    Single comparisons reach the Parquet reader, which skips row groups by their Bloom filters
+    and bounds; lists of values would only reach it as a range.
+    """
+    wanted = [F.col(column) == F.lit(value) for value in sorted(set(values))]
+    return rows.where(reduce(Column.__or__, wanted, F.lit(False)))
+
+
 def save_table(rows: DataFrame, root: str, table: Table, mode: str = "overwrite") -> None:
     """Write rows (``append`` inserts); tables with dates get a folder per day.
 
@@ -69,13 +91,14 @@ def save_table(rows: DataFrame, root: str, table: Table, mode: str = "overwrite"
     """
     out = conform(rows, table)
     if not table.layout:
-        out.write.mode(mode).parquet(f"{root}/{table.name}")
+        out.write.mode(mode).options(**bloom_options(table)).parquet(f"{root}/{table.name}")
         return
     (
         out.withColumn(STORED_DAY, _folder_day(table))
         .hint("rebalance", STORED_DAY)
         .sortWithinPartitions(STORED_DAY, *table.layout)
         .write.mode(mode)
+        .options(**bloom_options(table))
         .partitionBy(STORED_DAY)
         .parquet(f"{root}/{table.name}")
     )
@@ -100,6 +123,23 @@ def save_event_log(events: DataFrame, name: str, path: str, buckets: int, spread
     )
 
 
+def save_by_order(rows: DataFrame, table: Table, name: str, path: str, buckets: int) -> None:
+    """Store a table with work orders as a catalog table bucketed and sorted by them.
+
+    Tables stored with the same number of buckets are joined on the order where they lie.
+    """
+    (
+        conform(rows, table)
+        .repartition(buckets, "work_order_id")
+        .write.mode("overwrite")
+        .option("path", path)
+        .options(**bloom_options(table))
+        .bucketBy(buckets, "work_order_id")
+        .sortBy("work_order_id")
+        .saveAsTable(name)
+    )
+
+
 def read_table(spark: SparkSession, root: str, table: Table) -> DataFrame:
     """A stored table; one with dates has its folder's day as a further column, ``stored_day``.
 

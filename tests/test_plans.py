@@ -122,6 +122,12 @@ def test_samples_move_once(spark, sf_dir, no_static_broadcast):
     assert plan.rindex("HashAggregate") < plan.index("SortMergeJoin")
 
 
+def test_samples_stored_by_order_do_not_move(spark, sf_dir, no_static_broadcast):
+    plan = plan_of(entry.line_queries()["qc_fail_by_line_day_stored_by_order"](spark, sf_dir))
+    below = plan[plan.index("SortMergeJoin") :]
+    assert "Exchange" not in below and below.count("FileScan") == 2
+
+
 def test_date_filters_reach_the_scans(spark, sf_dir, no_static_broadcast):
     pareto = plan_of(entry.line_queries()["downtime_pareto"](spark, sf_dir))
     scans = [line for line in pareto.splitlines() if "FileScan" in line]

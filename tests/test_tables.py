@@ -13,7 +13,7 @@ from linetally.plans import production, quality, shipping
 from linetally.session import shared_folder
 from linetally.sources import fixtures, schemas
 from linetally.sources.schemas import TABLES
-from linetally.sources.tables import load_tables, read_table, register_views, save_event_log, save_table
+from linetally.sources.tables import load_tables, look_up, read_table, register_views, save_event_log, save_table
 
 
 @pytest.fixture
@@ -122,3 +122,44 @@ def test_declared_counts():
     assert sum(len(t.key) for t in tables) == 10
     assert sum(len(t.references) for t in tables) == 10
     assert sum(len(t.required) - len(t.key) for t in tables) == 33
+
+
+def rows_read(df):
+    """Rows of the row groups that the scan could not skip."""
+    df.collect()
+    (scan,) = [p for p in scans(df._jdf.queryExecution().executedPlan())]
+    return scan.metrics().apply("numOutputRows").value()
+
+
+def scans(plan):
+    leaves = plan.collectLeaves()
+    return [leaves.apply(i) for i in range(leaves.size())]
+
+
+def test_a_lookup_by_id_reads_few_row_groups(spark, root):
+    """Ids that lie all over a day's times, so that their bounds say nothing."""
+    day = F.expr("timestamp_ntz'2024-01-05 00:00:00'") + F.expr("interval 1 second") * F.col("id").cast("int")
+    rows = spark.range(80_000).select(
+        (F.col("id") * 48_271 % 2_147_483_647).alias("event_id"),
+        F.lit(1).alias("machine_id"),
+        day.alias("event_ts"),
+        F.lit("RUN").alias("state"),
+        (F.col("id") * 16_807 % 2_147_483_647).alias("work_order_id"),
+    )
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("parquet.block.size", str(1 << 17))
+    hadoop.set("parquet.block.row.count.limit", "5000")
+    try:
+        save_table(rows, root, schemas.EVENTS)
+    finally:
+        hadoop.unset("parquet.block.size")
+        hadoop.unset("parquet.block.row.count.limit")
+    stored = read_table(spark, root, schemas.EVENTS)
+    wanted = [r.event_id for r in rows.where("id in (7, 40000)").collect()]
+    found = look_up(stored, "event_id", wanted)
+    assert sorted(r.event_id for r in found.collect()) == sorted(wanted)
+    assert rows_read(stored) == 80_000 and 2 <= rows_read(found) <= 20_000
+    order = rows.where("id = 55555").first().work_order_id
+    assert [r.work_order_id for r in look_up(stored, "work_order_id", [order]).collect()] == [order]
+    assert rows_read(look_up(stored, "work_order_id", [order])) <= 15_000
+    assert look_up(stored, "event_id", []).count() == 0 == look_up(stored, "event_id", [-5]).count()
