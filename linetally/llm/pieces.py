@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linetally.llm.pretokens import Memo, chunks_of, is_plain, text_slices
+from linetally.llm.pretokens import Memo, chunks_of, holds, plain_texts, text_slices
 from linetally.llm.workers import shipped
 
 SPACE = "▁"  # how the library writes a space
@@ -206,7 +206,7 @@ class PieceCodec:
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text, begin and end included, as little-endian unsigned 32-bit integers."""
-        plain = np.array([SPACE not in text and is_plain(text) for text in texts.to_pylist()], bool)
+        plain = plain_texts(texts) & ~holds(texts, SPACE)
         spaced = pc.binary_join_element_wise(self._prefix, texts, "")
         chunks = chunks_of(spaced, plain, lambda text: _CHUNK.findall(text) if text != self._prefix else [])
         begin, end = (np.array([i], "<u4").tobytes() for i in (self.bos_id, self.eos_id))

@@ -9,7 +9,7 @@ again, so that a tokenizer has to see each chunk once per worker.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from itertools import islice
 
@@ -24,21 +24,19 @@ OTHER_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in "
 _BEFORE_WORD = re.compile(r"(?<=\S)(?= \S)")
 CHARS_AT_ONCE = 8_000_000
 LONG_CHUNK = 512
+ENTRY_BYTES = 180
+STOPS = (".", ",")
 
 
-def is_plain(text: str) -> bool:
-    """Whether all white space is spaces and line ends that stand alone between other characters."""
-    return (
-        bool(text)
-        and "  " not in text
-        and "\n " not in text
-        and " \n" not in text
-        and "\n\n" not in text
-        and not text[0].isspace()
-        and not text[-1].isspace()
-        and MARK not in text
-        and not any(space in text for space in OTHER_SPACES)
-    )
+def holds(texts: pa.Array, pattern: str) -> np.ndarray:
+    """For each text whether a regular expression is found in it."""
+    return pc.match_substring_regex(texts, pattern).to_numpy(zero_copy_only=False).astype(bool)
+
+
+def plain_texts(texts: pa.Array) -> np.ndarray:
+    """For each text whether it has any characters, and its white space is only spaces and line ends
+    that stand alone between other characters."""
+    return ~holds(texts, f"^$|[ \n][ \n]|^[ \n]|[ \n]$|[{MARK}{''.join(OTHER_SPACES)}]")
 
 
 @dataclass
@@ -70,15 +68,26 @@ class Chunks:
         return np.diff(sums[self.bounds])
 
 
-def _plain_lists(texts: pa.Array) -> pa.ListArray:
+def _plain_lists(texts: pa.Array, stops: bool) -> pa.ListArray:
     """The chunks of plain texts: line ends, and words with the space before them."""
     marked = pc.replace_substring(texts, "\n", f"{MARK}\n{MARK}")
-    return pc.split_pattern(pc.replace_substring(marked, " ", f"{MARK} "), MARK)
+    marked = pc.replace_substring(marked, " ", f"{MARK} ")
+    for stop in STOPS if stops else ():
+        marked = pc.replace_substring(marked, f"{stop}{MARK}", f"{MARK}{stop}{MARK}")
+    return pc.split_pattern(marked, MARK)
+
+
+def stops_follow_words(texts: pa.Array) -> np.ndarray:
+    """For each text whether every stop before a space or line end stands behind a letter or digit."""
+    return ~holds(texts, r"(?:^|[^\pL\pN])[.,][ \n]")
+
 
+def chunks_of(texts: pa.Array, plain: np.ndarray, others: Callable[[str], list[str]], stops: bool = False) -> Chunks:
+    """The chunks of texts; ``others`` cuts those that are not marked as plain.
 
-def chunks_of(texts: pa.Array, plain: np.ndarray, others: Callable[[str], list[str]]) -> Chunks:
-    """The chunks of texts; ``others`` cuts those that are not marked as plain."""
-    lists = _plain_lists(texts.filter(pa.array(plain)))
+    With ``stops``, a full stop or comma at the end of a plain text's word is a chunk of its own.
+    """
+    lists = _plain_lists(texts.filter(pa.array(plain)), stops)
     if not plain.all():
         slow = [others(text) for text in texts.filter(pa.array(~plain)).to_pylist()]
         lists = pa.concat_arrays([lists, pa.array(slow, pa.list_(pa.string()))])
@@ -99,8 +108,7 @@ def cut(text: str) -> list[str]:
 
 def all_chunks(texts: pa.Array) -> Chunks:
     """The chunks of any texts."""
-    plain = np.array([is_plain(text) for text in texts.to_pylist()], bool)
-    return chunks_of(texts, plain, cut)
+    return chunks_of(texts, plain_texts(texts), cut)
 
 
 class Memo(dict):
@@ -127,8 +135,14 @@ class Memo(dict):
         kept = dict(islice(self.items(), len(self._fixed) + (len(self) - len(self._fixed)) // 2))
         self.clear()
         self.update(kept)
-        own = islice(self.items(), len(self._fixed), None)
-        self._bytes = sum(_size(chunk, value) for chunk, value in own)
+        self._bytes = self._weight(kept.keys() - self._fixed.keys(), kept)
+
+    @staticmethod
+    def _weight(chunks: Iterable[bytes], values: dict[bytes, object]) -> int:
+        """About the bytes that entries take, with those of their objects and places."""
+        chunks = list(chunks)
+        own = [value for value in map(values.__getitem__, chunks) if type(value) is bytes]
+        return ENTRY_BYTES * len(chunks) + sum(map(len, chunks)) + sum(map(len, own))
 
     def values_of(self, distinct: list[bytes]) -> list:
         """What each of some distinct chunks gives."""
@@ -139,19 +153,17 @@ class Memo(dict):
         if gaps:
             new = list(map(distinct.__getitem__, gaps))
             made = self._make(new)
-            for k, chunk, value in zip(gaps, new, made, strict=True):
+            for k, value in zip(gaps, made, strict=True):
                 found[k] = value
-                if len(chunk) <= LONG_CHUNK:
-                    self[chunk] = value
-                    self._bytes += _size(chunk, value)
+            if max(map(len, new)) > LONG_CHUNK:
+                some = {chunk: value for chunk, value in zip(new, made, strict=True) if len(chunk) <= LONG_CHUNK}
+            else:
+                some = dict(zip(new, made, strict=True))
+            self.update(some)
+            self._bytes += self._weight(some, some)
         return found
 
 
-def _size(chunk: bytes, value: object) -> int:
-    """About the bytes that an entry takes, with those of its objects and its place."""
-    return 180 + len(chunk) + (len(value) if isinstance(value, bytes) else 0)
-
-
 def text_slices(batch: pa.RecordBatch, chars: int = CHARS_AT_ONCE) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """A batch in parts of about so many bytes of text each, with their texts, null as empty."""
     texts = pc.fill_null(batch.column("text"), "")

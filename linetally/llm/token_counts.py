@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linetally.llm.pretokens import Chunks, Memo, chunks_of, is_plain, text_slices
+from linetally.llm.pretokens import Chunks, Memo, chunks_of, holds, plain_texts, text_slices
 from linetally.llm.store import stored
 from linetally.llm.workers import shipped
 
@@ -48,7 +48,7 @@ def _chunks(texts: pa.Array) -> tuple[Chunks, np.ndarray]:
     The library puts a space before the text, so the first word starts like any other.  Texts
     whose white space is not plain have no chunks and must be encoded whole.
     """
-    plain = np.array([SPACE not in text and is_plain(text) for text in texts.to_pylist()], bool)
+    plain = plain_texts(texts) & ~holds(texts, SPACE)
     spaced = pc.binary_join_element_wise(" ", texts, "")
     return chunks_of(spaced, plain, lambda _: []), plain
 

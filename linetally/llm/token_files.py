@@ -34,16 +34,18 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linetally.llm.mph import PerfectHash
-from linetally.llm.pretokens import Memo, chunks_of, cut, is_plain, text_slices
+from linetally.llm.pretokens import Memo, chunks_of, cut, plain_texts, stops_follow_words, text_slices
 from linetally.llm.workers import shipped
 
 BLOCK_IDS = 1 << 20
-CHUNKS_AT_ONCE = 2_000
-STOPS = (b".", b",")
+BYTES_AT_ONCE = 20_000
+CHARS_AT_ONCE = 24_000_000
+CACHE_BYTES = 240_000_000
 BLOCK_SCHEMA = (
     "shard int, block int, before long, low long, high long, has_null boolean, keys array<long>, "
     "levels array<long>, bits binary, prints array<long>, slot_first array<int>, slot_docs array<int>, "
@@ -55,6 +57,16 @@ BLOCK_SCHEMA = (
 _MERGING = re.compile(r"\s\n|\n(?! ?\S)")
 
 
+def byte_level_letters() -> dict[int, str]:
+    """The letter by which byte-level vocabularies write each byte.
+
+    Visible characters of Latin-1 are themselves; the other bytes, in order, are U+0100 and after.
+    """
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [byte for byte in range(256) if byte not in visible]
+    return {**{byte: chr(byte) for byte in visible}, **{byte: chr(256 + n) for n, byte in enumerate(others)}}
+
+
 class LibraryEncoder:
     """Encodes texts by a tokenizer file; chunks that recur are encoded once.
 
@@ -74,8 +86,11 @@ class LibraryEncoder:
         self._cuts = usual.items() <= (plan["pre_tokenizer"] or {}).items() and not (
             plan["normalizer"] or plan["post_processor"] or plan["truncation"] or plan["padding"]
         )
+        # Merges of words may be asked for by themselves where nothing else is done to them.
+        self._cuts &= plan["model"]["type"] == "BPE"
+        self._letters = byte_level_letters()
         self._line_end = self._ids(["\n"])[0].tolist()
-        self._memo = Memo(self._encode_chunks)
+        self._memo = Memo(self._encode_chunks, capacity_bytes=CACHE_BYTES)
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -84,20 +99,33 @@ class LibraryEncoder:
     def _encode_chunks(self, chunks: list[bytes]) -> list[bytes]:
         """The ids of new chunks.
 
-        A full stop or comma after a letter is a match of its own, so words that differ in
-        it are encoded once.  Chunks that stand between line ends as they are go together.
+        A word of letters is one match of the pattern and goes straight to the library's merges;
+        of others many are encoded together, but no more than some bytes.
         """
+        if not self._cuts:
+            return [ids.tobytes() for ids in self._ids([chunk.decode() for chunk in chunks])]
+        merges, kind, letters = self._tokenizer.model.tokenize, f"<u{self.width}", self._letters
+        found: list[bytes | None] = [None] * len(chunks)
+        for k, chunk in enumerate(chunks):
+            if chunk.decode().removeprefix(" ").isalpha():
+                tokens = merges(chunk.decode("latin-1").translate(letters))
+                found[k] = np.array([token.id for token in tokens], kind).tobytes()
+        rest = [k for k, ids in enumerate(found) if ids is None]
+        for k, ids in zip(rest, self._encode_groups([chunks[k] for k in rest]), strict=True):
+            found[k] = ids
+        return found
+
+    def _encode_groups(self, chunks: list[bytes]) -> list[bytes]:
         if len(self._line_end) != 1:
             return [ids.tobytes() for ids in self._ids([chunk.decode() for chunk in chunks])]
-        ends = [chunk[-1:] if chunk[-1:] in STOPS and chunk[-2:-1].isalpha() else b"" for chunk in chunks]
-        words = [chunk[:-1] if end else chunk for chunk, end in zip(chunks, ends, strict=True)]
-        new = [word for word in {*words, *STOPS} if word not in self._memo]
-        for i in range(0, len(new), CHUNKS_AT_ONCE):
-            group = new[i : i + CHUNKS_AT_ONCE]
-            self._memo.update(zip(group, self._encode_lines(group), strict=True))
-        of_end = {b"": b"", **{stop: self._memo[stop] for stop in STOPS}}
-        of_word = map(self._memo.__getitem__, words)
-        return [ids + of_end[end] for ids, end in zip(of_word, ends, strict=True)]
+        ends = np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)))
+        found, start = [], 0
+        while start < len(chunks):
+            before = ends[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, before + BYTES_AT_ONCE, "right")))
+            found += self._encode_lines(chunks[start:end])
+            start = end
+        return found
 
     def _encode_lines(self, chunks: list[bytes]) -> list[bytes]:
         """The ids of chunks, encoded as the lines of one text if that leaves them as they are."""
@@ -111,14 +139,15 @@ class LibraryEncoder:
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text, ``width`` bytes each."""
-        values = texts.to_pylist()
-        whole = np.array([not self._cuts or any(x in text for x in self._added) for text in values], bool)
-        plain = np.array([not w and is_plain(text) for text, w in zip(values, whole, strict=True)], bool)
-        spelled = {text for text, w in zip(values, whole, strict=True) if w}
-        chunks = chunks_of(texts, plain, lambda text: [] if text in spelled else cut(text))
+        whole = np.full(len(texts), not self._cuts)
+        for added in self._added:
+            whole |= pc.match_substring(texts, added).to_numpy(zero_copy_only=False).astype(bool)
+        spelled = set(texts.filter(pa.array(whole)).to_pylist())
+        plain = plain_texts(texts) & stops_follow_words(texts) & ~whole
+        chunks = chunks_of(texts, plain, lambda text: [] if text in spelled else cut(text), stops=True)
         found = chunks.join(self._memo.values_of(chunks.distinct), self.width)
         places = np.flatnonzero(whole).tolist()
-        for i, ids in zip(places, self._ids([values[i] for i in places]), strict=True):
+        for i, ids in zip(places, self._ids([texts[i].as_py() for i in places]), strict=True):
             found[i] = ids.tobytes()
         return found
 
@@ -185,7 +214,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int) -
             )
 
         for batch in batches:
-            for rows, texts in text_slices(batch):
+            for rows, texts in text_slices(batch, CHARS_AT_ONCE):
                 for name, got in zip(rows.column("doc_id").to_pylist(), encoder.encode(texts), strict=True):
                     doc_ids.append(name)
                     ids.append(got + end)
