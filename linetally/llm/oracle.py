@@ -21,19 +21,6 @@ def quality_sql(fences: Fences = Fences()) -> str:
     )
     slack_of = " ".join(f"when '{name}' then {slack[name]}" for name in RATES)
 
-    def bounds(keys: str) -> str:
-        names = f"{keys}, rate" if keys else "rate"
-        given = f"{keys}," if keys else ""
-        return f"""
-            select {given} rate, max(total)::bigint as n_docs,
-                   min(bin) filter (upto * 4 >= total * 2) as q2,
-                   (min(bin) filter (upto * 4 >= total * 3) - min(bin) filter (upto * 4 >= total)) * {fences.spread}
-                     + case rate {slack_of} end as reach
-            from (select *, sum(n) over (partition by {names} order by bin) as upto,
-                         sum(n) over (partition by {names}) as total
-                  from (select {given} rate, bin, count(*) as n from binned group by all))
-            group by {names}"""
-
     checks = " and ".join(
         [f"max({rate(name)}) filter (f.rate = '{name}') <= max(f.q2 + f.reach) filter (f.rate = '{name}')" for name in RATES]
         + [
@@ -68,18 +55,25 @@ def quality_sql(fences: Fences = Fences()) -> str:
     binned as (
         select lang, source, rate, (v >> greatest(length(bin(v)) - 5, 0)) << greatest(length(bin(v)) - 5, 0) as bin
         from rated),
-    own as ({bounds("lang, source")}),
-    by_lang as ({bounds("lang")}),
-    whole as ({bounds("")}),
+    own as (select lang, source, rate, bin, count(*)::hugeint as n from binned group by all),
+    by_lang as (select lang, rate, bin, sum(n)::hugeint as n from own group by all),
+    mixed as (
+        select o.lang, o.source, o.rate, o.bin, o.n * t.total as n
+        from own o join (select lang, rate, sum(n)::hugeint as total from by_lang group by all) t
+          on o.lang is not distinct from t.lang and o.rate = t.rate
+        union all
+        select g.lang, g.source, g.rate, b.bin, {fences.prior} * b.n
+        from (select distinct lang, source, rate from own) g join by_lang b
+          on g.lang is not distinct from b.lang and g.rate = b.rate),
+    running as (
+        select *, sum(n) over (partition by lang, source, rate order by bin) as upto,
+               sum(n) over (partition by lang, source, rate) as total
+        from (select lang, source, rate, bin, sum(n) as n from mixed group by all)),
     fences as (
-        select o.lang, o.source, o.rate,
-               case when o.n_docs >= {fences.min_group} then o.q2
-                    when b.n_docs >= {fences.min_group} then b.q2 else a.q2 end as q2,
-               case when o.n_docs >= {fences.min_group} then o.reach
-                    when b.n_docs >= {fences.min_group} then b.reach else a.reach end as reach
-        from own o
-        join by_lang b on o.lang is not distinct from b.lang and o.rate = b.rate
-        join whole a on o.rate = a.rate),
+        select lang, source, rate, min(bin) filter (upto * 4 >= total * 2) as q2,
+               (min(bin) filter (upto * 4 >= total * 3) - min(bin) filter (upto * 4 >= total)) * {fences.spread}
+                 + case rate {slack_of} end as reach
+        from running group by lang, source, rate),
     judged as (
         select m.r, {checks} as inside
         from measured m join fences f

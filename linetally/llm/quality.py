@@ -5,15 +5,16 @@ Rates made of them are sketched per language and source.  The sketch is a histog
 log-linear bins (relative width 1/16), kept as rows (group, measure, bin, count): sketches of
 parts merge by adding counts, in any order and with the same result, so that a lost executor or
 another split of the input changes nothing.  Quantiles of the sketch give each group its fences;
-the fences are joined back and filter the documents.
+the fences are joined back and filter the documents.  Into every group's sketch, whatever its size, its language's is merged
+with the weight of ``prior`` documents: a handful of documents is judged much like its language, some
+dozens by what they are themselves, and nothing changes at any one size.
 
 Everything runs on DataFrame functions.
 
-Defined cases: a null text counts as empty; empty texts have 0 words and fail the base rule.
-Null languages or sources form groups of their own.  Repeated rows are judged alike, each by
-itself.  Groups with fewer than ``min_group`` passing documents take the fences of their
-language, and languages that small those of all documents.  Other columns are ignored by
-``quality_verdicts`` and kept by ``keep_good``.
+Defined cases: a null text counts as empty; empty texts have 0 words and fail the base rule; texts of any
+length are measured whole, in the memory of one row.  Null languages or sources form groups of their own.
+Repeated rows are judged alike, each by itself.  An empty table gives an empty result.  Other columns are
+ignored by ``quality_verdicts`` and kept by ``keep_good``, whatever their names and types.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linetally.llm.names import quoted
 from linetally.llm.store import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -33,11 +35,11 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 GROUP = ["lang", "source"]
 
-# Rates of a document, in whole thousandths so that all engines bin them alike.
+# Rates of a document, in whole thousandths so that all engines bin them alike.  Repeated words have
+# no fence: good documents come close to the base rule's limit, below which a fence would have to lie.
 RATES = {
     "symbol_rate": ("n_symbols", "word_chars"),
     "dup_line_rate": ("n_dup_lines", "n_lines"),
-    "repeat_rate": ("n_repeat_words", "n_words"),
     "word_length": ("word_chars", "n_words"),
 }
 TWO_SIDED = ("word_length",)
@@ -56,10 +58,9 @@ class Fences:
     slack: tuple[tuple[str, int], ...] = (
         ("symbol_rate", 50),
         ("dup_line_rate", 500),
-        ("repeat_rate", 300),
         ("word_length", 1500),
     )
-    min_group: int = 200
+    prior: int = 20
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -175,8 +176,34 @@ def merge_sketches(sketches: DataFrame, keys: list[str]) -> DataFrame:
     return sketches.groupBy(*keys, "rate", "bin").agg(F.sum("n").alias("n"))
 
 
+def _exact(name: str) -> Column:
+    """Counts of two sketches are multiplied, which may take more than 64 bits."""
+    return F.col(name).cast("decimal(19,0)")
+
+
+def with_prior(sketches: DataFrame, prior: int) -> DataFrame:
+    """Sketches of languages and sources, each with its language's as if by ``prior`` more documents.
+
+    A bin's weight is n * N + prior * m, with n documents of the group, m and N of the language in the
+    bin and in all: whole numbers, so that quantiles do not depend on rounding.
+    """
+    of_lang = merge_sketches(sketches, ["lang"]).withColumnsRenamed({"n": "m", "lang": "of_lang"})
+    totals = of_lang.groupBy("of_lang", "rate").agg(F.sum("m").alias("total"))
+    groups = sketches.select(*GROUP, "rate").distinct()
+
+    def in_lang(rows: DataFrame, wider: DataFrame) -> DataFrame:
+        same = F.col("lang").eqNullSafe(F.col("of_lang")) & (rows["rate"] == wider["rate"])
+        return rows.join(wider, same).drop("of_lang").drop(wider["rate"])
+
+    own = in_lang(sketches, totals).select(*GROUP, "rate", "bin", (_exact("n") * _exact("total")).alias("n"))
+    added = in_lang(groups, of_lang).select(
+        *GROUP, "rate", "bin", (_exact("m") * F.lit(prior).cast("decimal(19,0)")).alias("n")
+    )
+    return merge_sketches(own.unionByName(added), GROUP)
+
+
 def sketch_fences(sketches: DataFrame, keys: list[str], fences: Fences) -> DataFrame:
-    """One row per group with ``n_docs`` and the fences low_<rate> and high_<rate>.
+    """One row per group with the fences low_<rate> and high_<rate>.
 
     A group has at most a few hundred bins per rate, whatever it holds.
     """
@@ -195,19 +222,16 @@ def sketch_fences(sketches: DataFrame, keys: list[str], fences: Fences) -> DataF
     reach = (F.col("q3") - F.col("q1")) * fences.spread + slack
     bounds = (
         ranked.groupBy(*names)
-        .agg(quantile(1).alias("q1"), quantile(2).alias("q2"), quantile(3).alias("q3"), F.sum("n").alias("n"))
-        .select(*names, "n", (F.col("q2") - reach).alias("low"), (F.col("q2") + reach).alias("high"))
+        .agg(quantile(1).alias("q1"), quantile(2).alias("q2"), quantile(3).alias("q3"))
+        .select(*names, (F.col("q2") - reach).alias("low"), (F.col("q2") + reach).alias("high"))
     )
-    columns = [F.max("n").alias("n_docs")]
+    columns = []
     for name in RATES:
         is_rate = F.col("rate") == name
         columns.append(F.max(F.when(is_rate, F.col("high"))).alias(f"high_{name}"))
         if name in TWO_SIDED:
             columns.append(F.max(F.when(is_rate, F.col("low"))).alias(f"low_{name}"))
-    return bounds.groupBy(*keys).agg(*columns) if keys else bounds.agg(*columns)
-
-
-FENCE_COLUMNS = [f"high_{name}" for name in RATES] + [f"low_{name}" for name in TWO_SIDED]
+    return bounds.groupBy(*keys).agg(*columns)
 
 
 def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
@@ -218,29 +242,10 @@ def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
 
 
 def adaptive_fences(measured: DataFrame, fences: Fences = Fences()) -> DataFrame:
-    """The fences of each language and source (as of_lang, of_source).
-
-    Small groups fall back to their language, small languages to everything.
-    """
+    """The fences of each language and source (as of_lang, of_source)."""
     sketches = stored(rate_sketches(measured), "rate-sketches")
-    by_lang = merge_sketches(sketches, ["lang"])
-    own = sketch_fences(sketches, GROUP, fences).withColumnsRenamed({k: f"of_{k}" for k in GROUP})
-    lang = sketch_fences(by_lang, ["lang"], fences)
-    # One row of a few numbers, from a few hundred bins.
-    whole = sketch_fences(merge_sketches(by_lang, []), [], fences).first()
-
-    def pick(name: str) -> Column:
-        return (
-            F.when(F.col("own.n_docs") >= fences.min_group, F.col(f"own.{name}"))
-            .when(F.col("lang.n_docs") >= fences.min_group, F.col(f"lang.{name}"))
-            .otherwise(F.lit(whole[name]).cast("long"))
-        )
-
-    return (
-        own.alias("own")
-        .join(lang.alias("lang"), F.col("own.of_lang").eqNullSafe(F.col("lang.lang")), "left")
-        .select("of_lang", "of_source", *[pick(name).alias(name) for name in FENCE_COLUMNS])
-    )
+    own = sketch_fences(with_prior(sketches, fences.prior), GROUP, fences)
+    return own.withColumnsRenamed({k: f"of_{k}" for k in GROUP})
 
 
 def _verdict() -> Column:
@@ -279,13 +284,11 @@ def quality_verdicts(docs: DataFrame, fences: Fences = Fences()) -> DataFrame:
 def keep_good(docs: DataFrame, fences: Fences = Fences()) -> DataFrame:
     """The documents that pass, with all their columns.
 
-    The counts for the fences are written, as the optimizer would compute them anew in every
-    filter on them.  Fences are small (one row per language and source), so that Spark joins them
-    without moving texts; measuring again is cheaper than shuffling or storing the texts.
+    Documents and their counts are written once and then filtered by the fences, which are small
+    (one row per language and source): texts are measured once and move nowhere.
     """
-    bounds = stored(adaptive_fences(stored(_small(docs), "measures"), fences), "fences")
-    names = [F.col(f"doc.{name}") for name in docs.columns]
-    measured = text_measures(docs.select(F.struct(*docs.columns).alias("doc"), "text", *GROUP)).select(
-        "doc", *GROUP, "measures.*"
-    )
+    counted = text_measures(docs.select(F.struct(*map(quoted, docs.columns)).alias("doc"), "text", *GROUP))
+    measured = stored(counted.select("doc", *GROUP, "measures.*"), "measured-documents")
+    bounds = stored(adaptive_fences(measured.drop("doc"), fences), "fences")
+    names = [F.col("doc")[name].alias(name) for name in docs.columns]
     return measured.join(bounds, _same(measured, bounds, GROUP), "left").where(_verdict()).select(*names)

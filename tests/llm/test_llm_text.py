@@ -76,7 +76,7 @@ def test_quality_matches_sql(spark, sf_dir):
 
 def test_quality_awkward(spark):
     rows = brute.awkward(spark)
-    fences = quality.Fences(min_group=2)
+    fences = quality.Fences(prior=2)
     got = compare.spark_rows(quality.quality_verdicts(rows, fences))[1]
     assert got == sql_over(rows, oracle.quality_sql(fences))
     kept = quality.keep_good(rows, fences)
@@ -101,6 +101,31 @@ def test_quality_keeps_good_and_finds_junk(spark):
     assert found[(0, False)] > 30 * found.get((0, True), 0)
 
 
+@pytest.mark.parametrize("n", [30, 150, 199, 200, 250])
+def test_a_source_of_its_own_kind_is_judged_by_itself_at_any_size(spark, n):
+    """A table with symbols everywhere among prose without any, and junk inside the prose."""
+    rng = random.Random(n)
+
+    def words(between=" "):
+        return between.join(str(rng.choice(["plain", "words", "of", "a", "quiet", "text", "go", "on"])) + str(rng.randrange(99)) for _ in range(60))
+
+    rows = [(i, words(), "en", f"s{i % 3}", 0) for i in range(900)]
+    rows += [(1000 + i, words(" | "), "en", "tables", 0) for i in range(n)]
+    rows += [(5000 + i, words(" ## "), "en", "s1", 0) for i in range(3)]
+    verdicts = quality.quality_verdicts(spark.createDataFrame(rows, brute.SCHEMA))
+    kept = {r.doc_id: r.kept for r in verdicts.where("not base_failed").collect()}
+    assert len(kept) == len(rows)
+    assert all(kept[i] == (i < 5000) for i in kept)
+
+
+def test_registered_groups_have_fences_of_their_own(spark, sf_dir):
+    measured = quality._small(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    groups = measured.where("not base_failed").select("lang", "source").distinct().count()
+    fences = quality.adaptive_fences(measured)
+    assert fences.count() == groups > 50
+    assert fences.drop("of_source").distinct().count() > fences.select("of_lang").distinct().count()
+
+
 def test_sketches_merge(spark, sf_dir):
     measured = quality._small(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     whole = quality.merge_sketches(quality.rate_sketches(measured), [])
