@@ -2,18 +2,21 @@
 
 A source of size s that should make up the share w of a corpus of size t is repeated t * w / s
 times on average.  Every document draws its number of copies from the Poisson distribution of
-that mean, by inversion of a uniform number that a hash of seed and doc_id gives; the draw
+that mean, by inversion of a uniform number that a hash of seed, doc_id and text gives; the draw
 depends on nothing else, so any task can repeat it.  Copies are then shuffled globally by a hash
-of seed, doc_id and copy.
+of seed, doc_id, text and copy.
 
 Everything runs on DataFrame functions.  Sizes are summed on the map side; the tables that go to
 every task have one row per named source, of which there may be ``MAX_SOURCES``.  Sources
 without a weight, and null sources, form one group of their own, the rest.
 
-Defined cases: a null text has size 0, and a group of size 0 is repeated once on average.  Rows
-of equal doc_id draw the same number; a null doc_id draws like an empty one.  An empty table
-gives an empty result.  All columns are kept, and a column ``copy`` (1, 2, ...) is added by
-``mixed_copies``.
+Defined cases: a null text has size 0 and is hashed like an empty one; a group of size 0 is repeated
+once on average.  Rows without doc_id, or with equal ones, draw by their texts.  Rows that are equal in both
+draw by their places in the input as well, so that a row which makes up a third of a corpus neither
+vanishes nor multiplies as a whole; which of them are copied does not matter, as they are alike but for
+columns that mixing does not look at.  Texts of any length are hashed whole.  An empty table gives an
+empty result.  All columns are kept, whatever their names and types; ``mixed_copies`` adds ``copy``
+(1, 2, ...), in place of a column that has that name in any case.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linetally.llm.names import quoted
 from linetally.llm.store import stored
 
 MAX_SOURCES = 10_000
@@ -49,11 +53,15 @@ def named_weights(docs: DataFrame, weights: Mapping[str, float]) -> DataFrame:
 
 
 def _grouped(docs: DataFrame, weights: Mapping[str, float]) -> DataFrame:
-    """(doc, doc_id, mix_group, size): whole rows with what mixing needs."""
+    """(doc, mix_id, mix_group, size): whole rows with what mixing needs."""
     named = named_weights(docs, weights).select(F.col("source").alias("mix_source"))
     rows = docs.select(
-        F.struct(*docs.columns).alias("doc"),
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("mix_id"),
+        F.struct(*map(quoted, docs.columns)).alias("doc"),
+        F.concat_ws(
+            ":",
+            F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
+            F.md5(F.coalesce("text", F.lit("")).cast("binary")),
+        ).alias("mix_id"),
         F.col("source").alias("of_source"),
         F.coalesce(F.octet_length("text").cast("bigint"), F.lit(0)).alias("size"),
     )
@@ -64,6 +72,23 @@ def _grouped(docs: DataFrame, weights: Mapping[str, float]) -> DataFrame:
     )
 
 
+def _told_apart(grouped: DataFrame) -> DataFrame:
+    """Rows whose mix_id repeats get their place in the input added to it.
+
+    A repeat is found from the ids alone, summed where they are read; the list of repeated ids is
+    empty in a corpus that has none.
+    """
+    ids = grouped.groupBy("mix_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = stored(ids.select(F.col("mix_id").alias("repeated_id")), "mix-repeated")
+    place = F.concat_ws(":", "mix_id", F.col("place").cast("string"))
+    return (
+        grouped.withColumn("place", F.monotonically_increasing_id())
+        .join(repeated, F.col("mix_id") == F.col("repeated_id"), "left")
+        .withColumn("mix_id", F.when(F.col("repeated_id").isNotNull(), place).otherwise(F.col("mix_id")))
+        .drop("place", "repeated_id")
+    )
+
+
 def group_rates(
     docs: DataFrame, weights: Mapping[str, float], rest_weight: float = 1.0, epochs: float = 1.0
 ) -> DataFrame:
@@ -117,6 +142,20 @@ def _numbers(copies: Column) -> Column:
     return F.filter(F.sequence(F.lit(0).cast("bigint"), copies), lambda n: n > 0)
 
 
+def _mixed(
+    docs: DataFrame, weights: Mapping[str, float], rest_weight: float, epochs: float, seed: str
+) -> DataFrame:
+    """(doc, mix_copy): the copies of all documents, shuffled globally."""
+    rates = stored(group_rates(docs, weights, rest_weight, epochs), "mix-rates")
+    copies = (
+        _told_apart(_grouped(docs, weights))
+        .join(F.broadcast(rates.select("mix_group", "draws", "cdf")), "mix_group")  # one row per named source
+        .select("doc", "mix_id", F.explode(_numbers(_copies(seed))).alias("mix_copy"))
+    )
+    key = F.md5(F.concat_ws(":", F.lit(f"{seed} order"), "mix_id", F.col("mix_copy").cast("string")).cast("binary"))
+    return copies.withColumn("mix_key", key).repartition("mix_key").sortWithinPartitions("mix_key")
+
+
 def mixed_copies(
     docs: DataFrame, weights: Mapping[str, float], rest_weight: float = 1.0, epochs: float = 1.0, seed: str = "mix"
 ) -> DataFrame:
@@ -125,26 +164,15 @@ def mixed_copies(
     The order within and between partitions follows a hash, so reading the result as written is
     reading a random permutation; the one exchange of the texts deals them out by it.
     """
-    rates = stored(group_rates(docs, weights, rest_weight, epochs), "mix-rates")
-    others = [name for name in docs.columns if name != "copy"]
-    copies = (
-        _grouped(docs, weights)
-        .join(F.broadcast(rates.select("mix_group", "draws", "cdf")), "mix_group")  # one row per named source
-        .select("doc", "mix_id", F.explode(_numbers(_copies(seed))).alias("mix_copy"))
-    )
-    key = F.md5(F.concat_ws(":", F.lit(f"{seed} order"), "mix_id", F.col("mix_copy").cast("string")).cast("binary"))
-    return (
-        copies.withColumn("mix_key", key)
-        .repartition("mix_key")
-        .sortWithinPartitions("mix_key")
-        .select(*[F.col(f"doc.`{name}`") for name in others], F.col("mix_copy").alias("copy"))
+    others = [name for name in docs.columns if name.lower() != "copy"]
+    return _mixed(docs, weights, rest_weight, epochs, seed).select(
+        *[F.col("doc")[name].alias(name) for name in others], F.col("mix_copy").alias("copy")
     )
 
 
-def mix(docs: DataFrame, weights: Mapping[str, float], **options) -> DataFrame:
+def mix(
+    docs: DataFrame, weights: Mapping[str, float], rest_weight: float = 1.0, epochs: float = 1.0, seed: str = "mix"
+) -> DataFrame:
     """The mixed documents with the columns of docs, each copy a row of its own."""
-    names = docs.columns
-    if "copy" in names:
-        kept = mixed_copies(docs.withColumnRenamed("copy", "copy of docs"), weights, **options)
-        return kept.drop("copy").withColumnRenamed("copy of docs", "copy").select(names)
-    return mixed_copies(docs, weights, **options).select(names)
+    names = [F.col("doc")[name].alias(name) for name in docs.columns]
+    return _mixed(docs, weights, rest_weight, epochs, seed).select(*names)

@@ -110,7 +110,7 @@ def mixing_sql(weights: dict[str, float], rest_weight: float, seed: str = "mix")
     return f"""
     with recursive named(name, weight) as (values {named}),
     docs as (
-        select row_number() over () as r, d.*, coalesce(doc_id::varchar, '') as id, name,
+        select row_number() over () as r, d.*, coalesce(doc_id::varchar, '') || ':' || md5(coalesce(text, '')) as id, name,
                coalesce(weight, {float(rest_weight)!r}::double) as weight
         from documents d left join named on d.source = name),
     sizes as (

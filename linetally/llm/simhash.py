@@ -9,7 +9,7 @@ large group of near copies never becomes all its pairs.
 Defined cases: a null or empty text, or one without words, has fingerprint 0 and links like any
 other.  Repeated rows have equal fingerprints.  Null doc_ids take part, but a component is named
 by its least doc_id that is not null.  An empty table gives an empty result.  Other columns are
-ignored by ``simhash_components`` and kept by ``one_of_each`` and ``keep_first``.  Only
+ignored by ``simhash_components`` and kept by ``one_of_each``.  Only
 ``one_of_each`` goes by components where doc_ids are null or repeated.
 """
 
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from linetally.llm.components import components
 from linetally.llm.covering import Covering
+from linetally.llm.names import quoted
 from linetally.llm.store import stored
 from linetally.llm.workers import shipped
 
@@ -215,31 +216,6 @@ def simhash_components(docs: DataFrame, covering: Covering = Covering(), shingle
     )
 
 
-def keep_first(docs: DataFrame, covering: Covering = Covering(), shingle: int = SHINGLE) -> DataFrame:
-    """The document with the least doc_id of each component, with all its columns.
-
-    The list of these doc_ids grows with the documents, so it is merged, never broadcast.
-    Where that doc_id has several rows, the least of them by text and the other columns stays.
-    Rows with a null doc_id are neither first nor named by a component; all stay.
-    """
-    of_docs = stored(simhash_components(docs, covering, shingle).where("doc_id = component_id"), "first")
-    first = of_docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_rows"))
-    once, repeated = (stored(first.where(x).select("doc_id"), "first") for x in ("n_rows = 1", "n_rows > 1"))
-    others = [name for name in docs.columns if name != "doc_id"]
-    least = (
-        docs.join(repeated, "doc_id", "left_semi")
-        .groupBy("doc_id")
-        .agg(F.min(F.struct("text", *[name for name in others if name != "text"])).alias("least"))
-        .select("doc_id", "least.*")
-    )
-    return (
-        docs.join(once.hint("merge"), "doc_id", "left_semi")
-        .unionByName(least)
-        .unionByName(docs.where("doc_id is null"))
-        .select(docs.columns)
-    )
-
-
 def one_of_each(docs: DataFrame, covering: Covering = Covering(), shingle: int = SHINGLE) -> DataFrame:
     """One document of each component, with all its columns.
 
@@ -261,7 +237,7 @@ def one_of_each(docs: DataFrame, covering: Covering = Covering(), shingle: int =
     first = stored(chosen.select(*key, "n"), "first")
 
     keyed = docs.select(
-        F.struct(*docs.columns).alias("doc"),
+        F.struct(*map(quoted, docs.columns)).alias("doc"),
         F.col("doc_id").cast("long").alias("doc_id"),
         *[h.alias(name) for name, h in _text_hashes().items()],
     )
@@ -271,6 +247,6 @@ def one_of_each(docs: DataFrame, covering: Covering = Covering(), shingle: int =
         return keyed.join(some, same, "left_semi")
 
     once, repeated = (first.where(x).select(*key) for x in ("n = 1", "n > 1"))
-    single = among(repeated).groupBy(*key).agg(F.min("doc").alias("doc"))
+    single = among(repeated).groupBy(*key).agg(F.min_by("doc", F.md5(F.to_json("doc").cast("binary"))).alias("doc"))
     kept = among(once.hint("merge")).select("doc").unionByName(single.select("doc"))
-    return kept.select([F.col(f"doc.{name}") for name in docs.columns])
+    return kept.select([F.col("doc")[name].alias(name) for name in docs.columns])

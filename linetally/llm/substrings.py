@@ -11,14 +11,15 @@ start, share an anchor at the same place inside them.  So only words around anch
 in several documents can be part of a match; there every window is extended to its full length
 and compared by 96 bits of hash.
 
-Documents are dealt by doc_id and text into groups of a bounded number, whatever share of them has
-one doc_id or none; only repeats of a whole row always meet in one group.  What a group has several times is settled
+Documents are dealt by doc_id and text into groups of a bounded number and of bounded bytes on average,
+whatever share of them has one doc_id or none; only repeats of a whole row always meet in one group.  What a group has several times is settled
 inside the group, and between groups only one entry per group and distinct anchor or window
 travels, so a passage that a third of all documents share costs one entry per group.
 
 Defined cases: a null or empty text has no words.  Windows of documents with equal doc_id do not
-remove each other.  A null doc_id counts as larger than all others.  Other columns are ignored by
-``removals`` and kept by ``cut_repeats``.
+remove each other.  A null doc_id counts as larger than all others.  Texts of any length are cut
+whole; a group holds one at least.  An empty table gives an empty result.  Other columns are ignored by
+``removals`` and kept by ``cut_repeats``, whatever their names and types.
 """
 
 from __future__ import annotations
@@ -35,12 +36,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from linetally.llm.names import quoted
 from linetally.llm.workers import shipped
 
 WINDOW = 13
 PERIOD, COVER = 7, (0, 1, 3)
 ANCHOR = WINDOW - PERIOD + 1
 DOCS_PER_GROUP = 1_000
+BYTES_PER_GROUP = 32_000_000
 GROUPS_PER_BUCKET = 4
 LAST = np.iinfo(np.int64).max
 # Odd multipliers of the two rolling hashes.
@@ -287,7 +290,8 @@ def _removal_pass(
 
     All three read one and the same exchange of the texts.
     """
-    n_groups = max(1, -(-docs.count() // docs_per_group))
+    size = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    n_groups = max(1, -(-size.n // docs_per_group), -(-(size.bytes or 0) // BYTES_PER_GROUP))
     n_buckets = max(1, -(-n_groups // GROUPS_PER_BUCKET))
     group = "g" + "_" * max(map(len, docs.columns))  # no column of docs is called that
     grouped = shipped(docs).withColumn(group, F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_groups))).groupBy(group)
@@ -313,4 +317,9 @@ def removals(docs: DataFrame, docs_per_group: int = DOCS_PER_GROUP) -> DataFrame
 
 def cut_repeats(docs: DataFrame, docs_per_group: int = DOCS_PER_GROUP) -> DataFrame:
     """docs with the removed words cut out of ``text``; the spacing of the rest stays."""
-    return _removal_pass(docs, cut_rows, docs.schema, docs_per_group)
+    others = [name for name in docs.columns if name not in ("doc_id", "text")]
+    rest = F.struct(*[quoted(name) for name in others]) if others else F.struct(F.lit(0).alias("none"))
+    packed = docs.select("doc_id", "text", rest.alias("rest"))
+    cut = _removal_pass(packed, cut_rows, packed.schema, docs_per_group)
+    own = {name: F.col("rest")[name].alias(name) for name in others}
+    return cut.select([own[name] if name in own else F.col(name) for name in docs.columns])

@@ -180,7 +180,10 @@ class Chain:
             return cls(categories, {}, [], [0.5] * len(categories))
         vocabulary = {feature: i for i, feature in enumerate(chosen_features(documents, labels))}
         x = Presence.of(documents, vocabulary)
-        fold = np.random.default_rng(SEED).permutation(len(documents)) % FOLDS
+        # Copies of a text share a fold: what held-out documents are judged by has not seen them.
+        texts: dict[frozenset[str], int] = {}
+        of_text = np.array([texts.setdefault(frozenset(words), len(texts)) for words in documents], int)
+        fold = (np.random.default_rng(SEED).permutation(len(texts)) % FOLDS)[of_text]
         links, thresholds, earlier = [], [], np.zeros((len(documents), 0))
         for column in range(len(categories)):
             y = labels[:, column].astype(float)

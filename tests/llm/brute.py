@@ -43,10 +43,10 @@ def awkward(spark):
     rows += [rows[3], rows[3], rows[7], rows[8], (None, "one", "en", None, 3), (None, None, None, None, None)]
     rows += [(20, f"{passage} more", "en", "src1", 10), (20, f"less {passage}", "en", "src1", 10)]
     frame = spark.createDataFrame(rows, SCHEMA)
-    clashing = ["g", "bucket", "measures", "print", "copy", "doc", "size", "least", "root", "anchor", "home", "follows", "r"]
+    clashing = ["g", "bucket", "measures", "print", "Copy", "doc", "a.b", "of_lang", "mix_id", "size", "least", "root", "anchor", "home", "follows", "r"]
     for i, name in enumerate(clashing):
         frame = frame.selectExpr("*", f"{i} as `{name}`")
-    return frame
+    return frame.selectExpr("*", "map('k', doc_id) as entries")
 
 
 def empty(spark):
@@ -108,4 +108,4 @@ def jaccard(a: list[str], b: list[str]) -> float:
 
 
 def multiset(rows) -> Counter:
-    return Counter(tuple(row) for row in rows)
+    return Counter(tuple(repr(x) if isinstance(x, dict) else x for x in row) for row in rows)

@@ -48,12 +48,29 @@ def test_mixing_awkward(spark):
     have = brute.multiset(rows.collect())
     assert set(brute.multiset(mixed.collect())) <= set(have)
     assert mixing.mix(brute.empty(spark), WEIGHTS).count() == 0
-    plain = rows.select("doc_id", "text", "lang", "source", "n_chars")
-    numbers = mixing.mixed_copies(plain, WEIGHTS, epochs=3.0)
-    per_row = numbers.groupBy(*plain.columns).agg(F.max("copy").alias("most"), F.count("*").alias("n"))
-    times = plain.groupBy(*plain.columns).agg(F.count("*").alias("rows"))
-    for r in per_row.alias("a").join(times.alias("b"), F.expr("a.doc_id <=> b.doc_id and a.text <=> b.text and a.source <=> b.source")).collect():
-        assert r.n == r.most * r.rows  # repeated rows draw alike
+    numbers = mixing.mixed_copies(rows, WEIGHTS, epochs=3.0)
+    assert numbers.columns == [*[c for c in rows.columns if c != "Copy"], "copy"]
+
+
+@pytest.mark.parametrize("ids", ["cast(null as bigint)", "5L"])
+@pytest.mark.parametrize("seed", ["s1", "s2", "s3", "s4"])
+def test_a_third_of_rows_with_one_id_keeps_its_share(spark, ids, seed):
+    """Texts of their own, or one text for all: neither vanishes, and no partition gets them all."""
+    rows = spark.range(9_000).selectExpr(
+        f"if(id % 3 = 0, {ids}, id) as doc_id",
+        "if(id % 2 = 0, 'one text', concat('text ', id % 3000)) as text",
+        "concat('s', id % 4) as source",
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        mixed = mixing.mixed_copies(rows, {"s0": 1.0, "s1": 1.0, "s2": 1.0}, seed=seed)
+        found = mixed.groupBy(F.expr(f"doc_id <=> {ids}").alias("same"), F.expr("text = 'one text'").alias("one")).count().collect()
+        parts = [r["count"] for r in mixed.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    n = {(r[0], r[1]): r["count"] for r in found}
+    assert 1_350 < n[True, True] < 1_650 and 1_350 < n[True, False] < 1_650
+    assert max(parts) < 2 * sum(parts) / len(parts)
 
 
 def test_mixing_wants_bounded_weights(spark):
