@@ -2,8 +2,10 @@
 
 Level by level, keys hash into a bit array; a bit is set where exactly one key lands, and the
 others go on to the next level.  A key's slot is the number of set bits before its own, so n keys
-fill the slots 0 to n - 1 without gaps at about three bits a key.  A lookup touches a few bits
-however many keys there are; the fingerprint in the slot tells foreign keys apart.
+fill the slots 0 to n - 1 without gaps at about three bits a key.  Bits lie in words of 64, and a
+directory holds the number of set bits before each word.  A lookup reads one word and one
+number of the directory per level, of which it passes two on average, however many keys there are; the
+fingerprint in the slot tells foreign keys apart.
 """
 
 from __future__ import annotations
@@ -36,10 +38,12 @@ def fingerprints(keys: np.ndarray) -> np.ndarray:
 
 @dataclass
 class PerfectHash:
-    """``sizes``: bits of each level; ``bits``: all levels, 8 to a byte; ``prints``: one per slot."""
+    """``sizes``: bits of each level; ``words``: all levels, 64 bits each; ``ranks``: set bits before each word;
+    ``prints``: one per slot."""
 
     sizes: np.ndarray
-    bits: bytes
+    words: np.ndarray
+    ranks: np.ndarray
     prints: np.ndarray
 
     @classmethod
@@ -55,21 +59,27 @@ class PerfectHash:
             sizes.append(size)
             levels.append(alone)
             rest = rest[~alone[places]]
-        bits = np.concatenate(levels) if levels else np.zeros(0, bool)
-        index = cls(np.array(sizes, np.int64), np.packbits(bits).tobytes(), np.zeros(len(keys), np.uint32))
+        bits = np.concatenate([*levels, np.zeros(-sum(sizes) % 64, bool)])
+        words = np.packbits(bits, bitorder="little").view("<u8")
+        ones = np.bitwise_count(words).astype(np.uint32)
+        ranks = np.cumsum(ones, dtype=np.uint32) - ones
+        index = cls(np.array(sizes, np.int64), words, ranks, np.zeros(len(keys), np.uint32))
         index.prints[index._slots(keys)] = fingerprints(keys)
         return index
 
     def _slots(self, keys: np.ndarray) -> np.ndarray:
         """The slot of each key, -1 where no level has its bit."""
-        bits = np.unpackbits(np.frombuffer(self.bits, np.uint8), count=int(self.sizes.sum())).astype(bool)
-        before = np.cumsum(bits) - bits
         slots, open_, base = np.full(len(keys), -1, np.int64), np.arange(len(keys)), 0
-        for level, size in enumerate(self.sizes):
-            places = base + _place(keys[open_], level, int(size))
-            hit = bits[places]
-            slots[open_[hit]] = before[places[hit]]
-            open_, base = open_[~hit], base + int(size)
+        for level, size in enumerate(self.sizes.tolist()):
+            if not len(open_):
+                break
+            places = base + _place(keys[open_], level, size)
+            at, bit = places >> 6, (places & 63).astype(_U64)
+            words = self.words[at]
+            hit = (words >> bit) & _U64(1) == 1
+            before = np.bitwise_count(words & ((_U64(1) << bit) - _U64(1)))
+            slots[open_[hit]] = (self.ranks[at] + before)[hit]
+            open_, base = open_[~hit], base + size
         return slots
 
     def find(self, keys: np.ndarray) -> np.ndarray:

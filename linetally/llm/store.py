@@ -1,12 +1,15 @@
 """Tables written to the folder that all executors share.
 
 They lie below ``llm-<application id>`` there.  Results read them lazily, so they stay until
-``remove_stored`` is called, or the folder of an application that has ended is deleted.
+``remove_stored`` is called, or the folder of an application that has ended is deleted.  What is stored
+within ``passing`` goes when it ends.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,8 +26,21 @@ def _folder(spark: SparkSession) -> str:
     return _folders[application]
 
 
+_passing: list[str] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_passing[-1] if _passing else _folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Tables stored within are deleted at the end; what is to last is written before, elsewhere."""
+    _passing.append(fresh_path(spark, "passing"))
+    try:
+        yield
+    finally:
+        files.remove(spark, _passing.pop())
 
 
 def remove_stored(spark: SparkSession) -> None:

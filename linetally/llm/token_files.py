@@ -1,24 +1,27 @@
 """Token ids of all documents as files of raw ids, with keyed access.
 
-The file format: a Parquet folder with one row per block of at most about ``BLOCK_IDS`` ids.
+The file format: a Parquet folder with one row per block of at most about ``BLOCK_IDS`` ids.  Lists of
+numbers are little-endian bytes, read where they lie.
 
     shard, block    documents ascend by doc_id within a block, from block to block and shard to shard
-    before          ids in earlier blocks of the shard
+    before, n_ids   ids in earlier blocks of the shard, and in the block
+    nulls           documents without doc_id, which lie in front
     low, high       first and last doc_id
-    keys            the distinct doc_ids, ascending; null last, as ``has_null``
-    levels, bits, prints    minimal perfect hash of the keys: doc_id -> slot, with fingerprints
+    levels, bits, ranks, prints    minimal perfect hash of the doc_ids -> slot, with fingerprints
     slot_first, slot_docs   first document of a slot, number of documents with that doc_id
     offsets         where each document's ids start, and the end of the last
     width           bytes per id (2 where the vocabulary fits, else 4)
-    payload         the ids, little-endian
+    payload         the ids
+    doc_ids         the doc_ids in order, for readers of whole files; access by key does not open this column
 
-A doc_id leads to its ids in constant time: the block by its range, the slot by the hash, the
+A doc_id leads to its ids in constant time: the shard and block by their ranges, the slot by the hash, the
 place by the slot.  Blocks are written by Spark tasks, each from one range of doc_ids, so a lost
 executor only repeats its ranges.
 
 Defined cases: a null or empty text has just the end id.  Documents with equal doc_id lie
-together, ordered by text, and share a slot.  Null doc_ids come before all others.  An empty
-table gives no blocks.  Other columns are ignored.
+together, ordered by text, and share a slot; where very many have one, they take several blocks and shards, cut
+by the beginnings of their texts.  Null doc_ids come before all others.  Texts of any length are encoded
+whole and lie in one block.  An empty table gives no blocks.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,6 +43,7 @@ from pyspark.sql import functions as F
 
 from linetally.llm.mph import PerfectHash
 from linetally.llm.pretokens import Memo, chunks_of, cut, plain_texts, stops_follow_words, text_slices
+from linetally.llm.store import stored
 from linetally.llm.workers import shipped
 
 BLOCK_IDS = 1 << 20
@@ -47,10 +51,23 @@ BYTES_AT_ONCE = 20_000
 CHARS_AT_ONCE = 24_000_000
 CACHE_BYTES = 240_000_000
 BLOCK_SCHEMA = (
-    "shard int, block int, before long, low long, high long, has_null boolean, keys array<long>, "
-    "levels array<long>, bits binary, prints array<long>, slot_first array<int>, slot_docs array<int>, "
-    "offsets array<long>, width int, payload binary"
+    "shard int, block int, before long, n_ids long, nulls int, low long, high long, levels binary, bits binary, "
+    "ranks binary, prints binary, slot_first binary, slot_docs binary, offsets binary, width int, payload binary, "
+    "doc_ids binary"
 )
+# How the lists of numbers in a block are written; fixed values of the format.
+KINDS = {
+    "levels": "<i8",
+    "bits": "<u8",
+    "ranks": "<u4",
+    "prints": "<u4",
+    "slot_first": "<i4",
+    "slot_docs": "<i4",
+    "offsets": "<i8",
+    "doc_ids": "<i8",
+}
+INDEX = ["shard", "block", "before", "nulls", "levels", "bits", "ranks", "prints", "slot_first", "slot_docs", "offsets", "width", "payload"]
+START_CHARS = 32
 
 
 # Lines whose white space at an end would go with the line end; one space before a word does not.
@@ -160,29 +177,32 @@ def _encoder(path: str) -> LibraryEncoder:
 def block_row(shard: int, block: int, before: int, doc_ids: list, ids: list[bytes], width: int) -> dict:
     """The row of one block."""
     lengths = np.array([len(x) // width for x in ids], np.int64)
-    named = np.array([x is not None for x in doc_ids], bool)
-    keys, first, counts = np.unique(
-        np.array([x for x in doc_ids if x is not None], np.int64), return_index=True, return_counts=True
-    )
-    first = first + int((~named).sum())  # null doc_ids lie in front
+    named = np.array([x for x in doc_ids if x is not None], np.int64)
+    nulls = len(doc_ids) - len(named)
+    keys, first, counts = np.unique(named, return_index=True, return_counts=True)
     index = PerfectHash.build(keys)
     slots = index.find(keys)
     slot_first, slot_docs = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
-    slot_first[slots], slot_docs[slots] = first, counts
+    slot_first[slots], slot_docs[slots] = first + nulls, counts
+    lists = {
+        "levels": index.sizes,
+        "bits": index.words,
+        "ranks": index.ranks,
+        "prints": index.prints,
+        "slot_first": slot_first,
+        "slot_docs": slot_docs,
+        "offsets": np.concatenate([[0], np.cumsum(lengths)]),
+        "doc_ids": named,
+    }
     return {
         "shard": shard,
         "block": block,
         "before": before,
+        "n_ids": int(lengths.sum()),
+        "nulls": nulls,
         "low": int(keys[0]) if len(keys) else None,
         "high": int(keys[-1]) if len(keys) else None,
-        "has_null": not named.all(),
-        "keys": keys,
-        "levels": index.sizes,
-        "bits": index.bits,
-        "prints": index.prints.astype(np.int64),
-        "slot_first": slot_first,
-        "slot_docs": slot_docs,
-        "offsets": np.concatenate([[0], np.cumsum(lengths)]),
+        **{name: numbers.astype(KINDS[name]).tobytes() for name, numbers in lists.items()},
         "width": width,
         "payload": b"".join(ids),
     }
@@ -197,13 +217,6 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int) -
     schema = to_arrow_schema(_parse_datatype_string(BLOCK_SCHEMA))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()  # nothing here makes cycles; collections would only walk the caches
-        try:
-            yield from encoded(batches)
-        finally:
-            gc.enable()
-
-    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
         end = np.array([end_id], f"<u{encoder.width}").tobytes()
         shard, block, before, doc_ids, ids, size = TaskContext.get().partitionId(), 0, 0, [], [], 0
@@ -215,7 +228,12 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int) -
 
         for batch in batches:
             for rows, texts in text_slices(batch, CHARS_AT_ONCE):
-                for name, got in zip(rows.column("doc_id").to_pylist(), encoder.encode(texts), strict=True):
+                gc.disable()  # encoding makes no cycles; collections would only walk the caches
+                try:
+                    found = encoder.encode(texts)
+                finally:
+                    gc.enable()
+                for name, got in zip(rows.column("doc_id").to_pylist(), found, strict=True):
                     doc_ids.append(name)
                     ids.append(got + end)
                     size += len(ids[-1]) // encoder.width
@@ -228,8 +246,11 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int) -
     (
         shipped(docs)
         .select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-        .repartitionByRange("doc_id")
+        # Beginnings of texts go in their order, and are short enough for the sample of the ranges.
+        .withColumn("start", F.substring("text", 1, START_CHARS))
+        .repartitionByRange("doc_id", "start")
         .sortWithinPartitions("doc_id", "text")
+        .drop("start")
         .mapInArrow(encode, BLOCK_SCHEMA)
         .write.parquet(path)
     )
@@ -240,16 +261,18 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
 
 
 class Block:
-    """One block row, opened for reading."""
+    """One row of a batch of blocks, read where it lies."""
 
-    def __init__(self, row: dict):
-        self._index = PerfectHash(
-            np.array(row["levels"], np.int64), row["bits"], np.array(row["prints"]).astype(np.uint32)
-        )
-        self._first, self._docs = np.array(row["slot_first"]), np.array(row["slot_docs"])
-        self.offsets = np.array(row["offsets"])
-        self.nulls = int(self._first.min()) if len(self._first) else len(self.offsets) - 1
-        self._payload = memoryview(np.frombuffer(row["payload"], f"<u{row['width']}").astype("<u4").tobytes())
+    def __init__(self, rows: pa.RecordBatch | pa.Table, i: int):
+        def numbers(name: str) -> np.ndarray:
+            return np.frombuffer(rows.column(name)[i].as_buffer(), KINDS[name])
+
+        self._index = PerfectHash(*map(numbers, ("levels", "bits", "ranks", "prints")))
+        self._first, self._docs = numbers("slot_first"), numbers("slot_docs")
+        self.offsets = numbers("offsets")
+        self.nulls = rows.column("nulls")[i].as_py()
+        self._width = rows.column("width")[i].as_py()
+        self._payload = np.frombuffer(rows.column("payload")[i].as_buffer(), f"<u{self._width}")
 
     def documents(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For all documents of these keys: the place of the key given, and of the document."""
@@ -260,18 +283,18 @@ class Block:
         skipped = np.repeat(np.cumsum(docs) - docs, docs)
         return of_key, np.repeat(first, docs) + np.arange(len(of_key)) - skipped
 
-    def raw(self, first: int, last: int) -> memoryview:
+    def raw(self, first: int, last: int) -> bytes:
         """The ids from one offset to another as little-endian unsigned 32-bit integers."""
-        return self._payload[4 * first : 4 * last]
+        return self._payload[first:last].astype("<u4").tobytes()
 
     def ids(self, place: int) -> list[int]:
-        return np.frombuffer(self.raw(*self.offsets[place : place + 2].tolist()), "<u4").tolist()
+        first, last = self.offsets[place : place + 2].tolist()
+        return self._payload[first:last].tolist()
 
 
 def shard_starts(blocks: DataFrame) -> DataFrame:
     """The ids before each shard: a running sum over one row per shard, read without payloads."""
-    last = F.element_at("offsets", -1)
-    totals = blocks.groupBy("shard").agg(F.sum(last).alias("n_ids"))
+    totals = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n_ids"))
     earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return totals.select("shard", F.coalesce(F.sum("n_ids").over(earlier), F.lit(0)).alias("shard_start"))
 
@@ -281,8 +304,9 @@ def document_digests(spark: SparkSession, path: str) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                block, keys = Block(row), np.array(row["keys"], np.int64)
+            for i in range(batch.num_rows):
+                block = Block(batch, i)
+                keys = np.unique(np.frombuffer(batch.column("doc_ids")[i].as_buffer(), KINDS["doc_ids"]))
                 of_key, places = block.documents(keys)
                 doc_ids = [None] * block.nulls + keys[of_key].tolist()
                 places = np.concatenate([np.arange(block.nulls), places])
@@ -290,16 +314,16 @@ def document_digests(spark: SparkSession, path: str) -> DataFrame:
                 sums = [zlib.crc32(block.raw(a, b)) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "shard": pa.array([row["shard"]] * len(places), pa.int32()),
+                        "shard": pa.array([batch.column("shard")[i].as_py()] * len(places), pa.int32()),
                         "doc_id": pa.array(doc_ids, pa.int64()),
-                        "local": pa.array(row["before"] + starts, pa.int64()),
+                        "local": pa.array(batch.column("before")[i].as_py() + starts, pa.int64()),
                         "n_tokens": pa.array(ends - starts, pa.int64()),
                         "ids_crc32": pa.array(sums, pa.int64()),
                     }
                 )
 
     blocks = read_blocks(spark, path)
-    digests = blocks.mapInArrow(read, "shard int, doc_id long, local long, n_tokens long, ids_crc32 long")
+    digests = blocks.select(*INDEX, "doc_ids").mapInArrow(read, "shard int, doc_id long, local long, n_tokens long, ids_crc32 long")
     # One row per shard, and there are no more shards than shuffle partitions.
     return digests.join(F.broadcast(shard_starts(blocks)), "shard").select(
         "doc_id", (F.col("shard_start") + F.col("local")).alias("start"), "n_tokens", "ids_crc32"
@@ -309,36 +333,48 @@ def document_digests(spark: SparkSession, path: str) -> DataFrame:
 def lookup(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
     """doc_id and ids of the documents with the given keys (column doc_id); unknown keys give none.
 
-    Key ranges of the blocks (24 bytes for each million ids) go to every task; payloads only move
-    for blocks that some key falls into.
+    The range of each shard goes to every task, one row per task that wrote the files.  Within a shard keys meet
+    the ranges of its blocks, and payloads only move for blocks that some key falls into.
     """
-    ranges = read_blocks(spark, path).where("low is not null").select("shard", "block", "low", "high").toPandas()
-    ranges = ranges.sort_values(["low", "high"]).reset_index(drop=True)
-    shared = spark.sparkContext.broadcast(ranges)
-
-    @F.pandas_udf("array<struct<shard:int,block:int>>")
-    def blocks_of(doc_ids: pd.Series) -> pd.Series:
-        lows, highs = shared.value["low"].to_numpy(), shared.value["high"].to_numpy()
-        names = shared.value[["shard", "block"]].to_dict("records")
+    blocks = read_blocks(spark, path).where("low is not null")
+    shards = blocks.groupBy("shard").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    ranges = shards.orderBy("low", "high", "shard").toPandas()
+    names, lows, highs = (ranges[c].to_numpy() for c in ("shard", "low", "high"))
+
+    @F.pandas_udf("array<int>")
+    def shards_of(doc_ids: pd.Series) -> pd.Series:
         first, last = np.searchsorted(highs, doc_ids), np.searchsorted(lows, doc_ids, "right")
-        return pd.Series([names[a:b] for a, b in zip(first, last, strict=True)])
+        return pd.Series([names[a:b] for a, b in zip(first.tolist(), last.tolist(), strict=True)])
+
+    def blocks_of(wanted: pa.Table, rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("low", "ascending"), ("high", "ascending")])
+        doc_ids, low, high = (t.column(c).to_numpy() for t, c in ((wanted, "doc_id"), (rows, "low"), (rows, "high")))
+        first = np.searchsorted(high, doc_ids)
+        counts = np.maximum(np.searchsorted(low, doc_ids, "right") - first, 0)
+        at = np.repeat(first, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        hit = rows.select(["shard", "block"]).take(pa.array(at))
+        return hit.append_column("doc_id", pa.array(np.repeat(doc_ids, counts), pa.int64()))
 
     def fetch(key: tuple, wanted: pa.Table, rows: pa.Table) -> pa.Table:
         doc_ids, ids = [], []
-        for row in rows.to_pylist():
-            block, asked = Block(row), wanted.column("doc_id").to_numpy()
+        for i in range(rows.num_rows):
+            block, asked = Block(rows, i), wanted.column("doc_id").to_numpy()
             of_key, places = block.documents(asked)
             doc_ids += asked[of_key].tolist()
             ids += [block.ids(x) for x in places]
         return pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "ids": pa.array(ids, pa.list_(pa.int64()))})
 
-    wanted = (
+    asked = (
         keys.select(F.col("doc_id").cast("long"))
         .where("doc_id is not null")
         .distinct()
-        .withColumn("at", F.explode(blocks_of("doc_id")))
-        .select("doc_id", "at.shard", "at.block")
+        .withColumn("shard", F.explode(shards_of("doc_id")))
+    )
+    slim = blocks.select("shard", "block", "low", "high")
+    wanted = stored(
+        asked.groupBy("shard").cogroup(slim.groupBy("shard")).applyInArrow(blocks_of, "shard int, block int, doc_id long"),
+        "asked-blocks",
     )
-    hit = read_blocks(spark, path).join(wanted.select("shard", "block").distinct(), ["shard", "block"], "left_semi")
+    hit = blocks.select(*INDEX).join(wanted.select("shard", "block").distinct(), ["shard", "block"], "left_semi")
     by = ["shard", "block"]
     return wanted.groupBy(*by).cogroup(hit.groupBy(*by)).applyInArrow(fetch, "doc_id long, ids array<long>")

@@ -300,3 +300,15 @@ def test_pipeline_awkward(spark, tmp_path):
             docs = stored(stage(spark, docs, str(tmp_path)), "stage")
             if name != corpus_pipeline.STAGES[-1][0]:
                 assert docs.columns == rows.columns
+
+
+def test_run_keeps_its_result_only(spark, sf_dir):
+    from pathlib import Path
+
+    from linetally.llm import store
+
+    folder = Path(store._folder(spark))
+    before = set(folder.iterdir()) if folder.exists() else set()
+    assert corpus_pipeline.run(spark, sf_dir).count() > 100
+    (left,) = set(folder.iterdir()) - before
+    assert left.name.startswith("byte-level-BPE")

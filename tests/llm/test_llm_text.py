@@ -273,6 +273,40 @@ def test_perfect_hash():
         PerfectHash.build(np.array([1, 1]))
 
 
+def test_a_lookup_does_not_grow_with_the_keys():
+    """Time of single lookups, best of many, at a thousand and at a million keys."""
+    import time
+
+    rng, best = np.random.default_rng(4), {}
+    for n in (1_000, 1_000_000):
+        keys = np.unique(rng.integers(-(2**63), 2**63, n, dtype=np.int64))
+        row = token_files.block_row(0, 0, 0, keys.tolist(), [b"ab"] * len(keys), 2)
+        block = token_files.Block(pa.RecordBatch.from_pylist([row]), 0)
+        times = []
+        for key in rng.choice(keys, 300):
+            start = time.perf_counter()
+            found = block.documents(np.array([key]))[1]
+            assert block.ids(int(found[0])) == [25185]
+            times.append(time.perf_counter() - start)
+        best[n] = np.quantile(times, 0.2)
+    assert best[1_000_000] < 3 * best[1_000]
+
+
+def test_one_doc_id_spreads_over_shards(spark):
+    rows = spark.range(4_000).selectExpr("if(id % 3 = 0, null, if(id % 3 = 1, 5L, id)) as doc_id", "concat(id * 7919 % 4001, ' text') as text")
+    path = fresh_path(spark, "token-files")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    token_files.write_token_files(rows, path, JSON, end_id=2)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    blocks = token_files.read_blocks(spark, path)
+    assert blocks.where("nulls > 0").select("shard").distinct().count() > 1
+    assert blocks.where("low <= 5 and high >= 5").select("shard").distinct().count() > 1
+    digests = token_files.document_digests(spark, path).collect()
+    assert len(digests) == 4_000 and sorted(r.start for r in digests)[0] == 0
+    found = token_files.lookup(spark, path, spark.createDataFrame([(5,), (8,)], "doc_id long")).collect()
+    assert sorted(r.doc_id for r in found) == [5] * 1_334 + [8]
+
+
 @pytest.mark.parametrize("block_ids", [500, token_files.BLOCK_IDS])
 def test_token_files(spark, sf_dir, block_ids, monkeypatch):
     from tokenizers import Tokenizer
