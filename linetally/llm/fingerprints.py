@@ -8,9 +8,14 @@ a single digest first, recovers the digests of the pieces that differ.  Where ce
 hold no single digest, the sketch was too small and the pair is tried again, ``GROWTH`` times
 larger.  The fingerprint is the sketch of the first size.
 
+Documents are read as streams, each of one range of their order, some megabytes of text at a time.
+Only the first document of every range moves a second time, to the last of the range before.
+
 Defined cases: a null text is empty, and empty texts are alike (1.0).  Documents with equal
-doc_id follow each other by text; a null doc_id comes after all others in descending order.  A
-single document is its own next one.  Other columns are ignored.
+doc_id follow each other by text, and are cut into ranges by its beginning; a null doc_id comes after all
+others in descending order.  Repeated rows follow each other.  A single document is its own next one.  Texts of
+any length are taken whole, with the next one, in the memory of a task.  An empty table gives an empty
+result.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,13 +27,14 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linetally.llm.mph import mix
+from linetally.llm.pretokens import text_slices
+from linetally.llm.store import stored
 from linetally.llm.workers import shipped
 
 PIECE_WORDS = 8
@@ -36,9 +42,10 @@ PIECE = re.compile(rf"(?:[^\s.]+ ?){{1,{PIECE_WORDS}}}[.\s]*|[.\s]+")
 HASHES = 3
 FIRST_WIDTH = 4  # cells in a row of the fingerprint
 GROWTH = 4
-DOCS_PER_BUCKET = 1_000
+DOCS_AT_ONCE = 1_000
+CHARS_AT_ONCE = 8_000_000
+START_CHARS = 32
 CELLS_AT_ONCE = 1 << 20
-LOWEST = np.iinfo(np.int64).min
 _U64 = np.uint64
 
 
@@ -187,65 +194,86 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def bucket_ends(docs: DataFrame, docs_per_bucket: int = DOCS_PER_BUCKET) -> np.ndarray:
-    """The last doc_id of each bucket, ascending; a bucket holds about that many documents.
-
-    Only doc_ids are moved; the driver gets one number per bucket.
-    """
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, last, ends = 0, None, []
-        for batch in batches:
-            ids = batch.column("doc_id").to_numpy()
-            if not len(ids):
-                continue
-            at = np.flatnonzero((n + 1 + np.arange(len(ids))) % docs_per_bucket == 0)
-            ends += ids[at].tolist()
-            n, last = n + len(ids), int(ids[-1])
-        if n:
-            yield pa.RecordBatch.from_pydict({"doc_id": pa.array([*ends, last], pa.int64())})
-
-    ids = shipped(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("doc_id"))
-    ordered = ids.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    return np.unique([row.doc_id for row in ordered.mapInArrow(cut, "doc_id long").collect()]).astype(np.int64)
+def _seams(schema: str) -> str:
+    return f"{schema}, range_id int, seam string, seam_id long, seam_text string"
 
 
 def with_next(
-    docs: DataFrame, visit: Callable[[pa.Table, list[str]], pa.Table], schema: str, docs_per_bucket: int
+    docs: DataFrame, visit: Callable[[pa.Table, list[str]], pa.Table], schema: str, docs_at_once: int
 ) -> DataFrame:
-    """visit(documents of a bucket, the text after each) for all buckets of documents by doc_id.
+    """visit(some documents in order, the text after each) for all documents by doc_id.
 
-    The order is descending doc_id, and the first document follows the last.  Texts move once;
-    only the first document of each bucket is also sent to the bucket that it follows.
+    The order is descending doc_id, and the first document follows the last.  What the visits give is
+    stored, together with the first and last document of every range.
     """
-    ends = bucket_ends(docs, docs_per_bucket)
-    shared = docs.sparkSession.sparkContext.broadcast(ends)
-
-    @F.pandas_udf("array<struct<bucket:int,follows:boolean>>")
-    def places(doc_ids: pd.Series) -> pd.Series:
-        ends = shared.value
-        own = np.searchsorted(ends, doc_ids.fillna(LOWEST).astype(np.int64))
-        return pd.Series(
-            [
-                [(b, False), ((b + 1) % len(ends), True)] if ends[b] == i else [(b, False)]
-                for b, i in zip(own.tolist(), doc_ids.fillna(LOWEST).astype(np.int64).tolist(), strict=True)
-            ]
-        )
-
-    def in_order(key: tuple, rows: pa.Table) -> pa.Table:
-        rows = rows.append_column("order_id", rows.column("doc_id").fill_null(int(LOWEST)))
-        rows = rows.set_column(1, "text", rows.column("text").fill_null(""))
-        rows = rows.sort_by([("follows", "ascending"), ("order_id", "descending"), ("text", "ascending")])
-        n = rows.column("follows").to_pylist().count(False)
-        texts = rows.column("text").to_pylist()
-        return visit(rows.slice(0, n), texts[1 : n + 1])
-
-    placed = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        .withColumn("place", F.explode(places("doc_id")))
-        .select("doc_id", "text", "place.bucket", "place.follows")
+    from pyspark import TaskContext
+
+    names = [column.split()[0] for column in schema.split(", ")]
+
+    def seam(kind: str, rows: pa.Table, i: int) -> pa.RecordBatch:
+        fields = {"seam": kind, "seam_id": rows.column("doc_id")[i].as_py(), "seam_text": rows.column("text")[i].as_py()}
+        empty = visit(rows.slice(0, 0), [])
+        row = {name: pa.nulls(1, empty.column(name).type) for name in names}
+        row["range_id"] = pa.array([TaskContext.get().partitionId()], pa.int32())
+        kinds = {"seam": pa.string(), "seam_id": pa.int64(), "seam_text": pa.string()}
+        return pa.RecordBatch.from_pydict({**row, **{n: pa.array([fields[n]], k) for n, k in kinds.items()}})
+
+    def done(rows: pa.Table, following: list[str]) -> Iterator[pa.RecordBatch]:
+        found, n = visit(rows, following), rows.num_rows
+        found = found.append_column("range_id", pa.nulls(n, pa.int32()))
+        for name, kind in (("seam", pa.string()), ("seam_id", pa.int64()), ("seam_text", pa.string())):
+            found = found.append_column(name, pa.nulls(n, kind))
+        yield from found.combine_chunks().to_batches()
+
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            for rows, _ in text_slices(batch, CHARS_AT_ONCE):
+                for start in range(0, rows.num_rows, docs_at_once):
+                    some = pa.Table.from_batches([rows.slice(start, docs_at_once)])
+                    if held is None:
+                        yield seam("first", some, 0)
+                    else:
+                        some = pa.concat_tables([held, some])
+                    n = some.num_rows - 1
+                    if n:
+                        yield from done(some.slice(0, n), some.column("text").to_pylist()[1:])
+                    held = some.slice(n)
+        if held is not None:
+            yield seam("last", held, 0)
+
+    def visit_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = pa.Table.from_batches([batch.slice(i, 1)])
+                yield from visit(row.select(["doc_id", "text"]), row.column("next_text").to_pylist()).to_batches()
+
+    # Beginnings of texts go in their order, and are short enough for the sample of the ranges.
+    order = F.col("doc_id").desc_nulls_last()
+    ranges = (
+        shipped(docs)
+        .select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+        .withColumn("start", F.substring("text", 1, START_CHARS))
+        .repartitionByRange(order, "start")
+        .sortWithinPartitions(order, "text")
+        .drop("start")
+    )
+    found = stored(ranges.mapInArrow(follow, _seams(schema)), "with-next")
+    firsts = found.where("seam = 'first'").select(F.col("range_id").alias("next_range"), F.col("seam_text").alias("next_text"))
+    # One number per range; there are no more of them than shuffle partitions.
+    around = Window.orderBy("range_id")
+    every = around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    after = found.where("seam = 'first'").select(
+        "range_id", F.coalesce(F.lead("range_id").over(around), F.min("range_id").over(every)).alias("next_range")
+    )
+    lasts = (
+        found.where("seam = 'last'")
+        .select("range_id", F.col("seam_id").alias("doc_id"), F.col("seam_text").alias("text"))
+        .join(after, "range_id")
+        .join(firsts, "next_range")
+        .select("doc_id", "text", "next_text")
     )
-    return placed.groupBy("bucket").applyInArrow(in_order, schema)
+    return found.where("seam is null").select(*names).unionByName(lasts.mapInArrow(visit_one, schema))
 
 
 def version_rows(rows: pa.Table, following: list[str]) -> pa.Table:
@@ -270,10 +298,10 @@ def version_rows(rows: pa.Table, following: list[str]) -> pa.Table:
     )
 
 
-def version_fingerprints(docs: DataFrame, docs_per_bucket: int = DOCS_PER_BUCKET) -> DataFrame:
+def version_fingerprints(docs: DataFrame, docs_at_once: int = DOCS_AT_ONCE) -> DataFrame:
     """One row per document, see ``version_rows``."""
     schema = (
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
         "near_edited double, near_next double"
     )
-    return with_next(docs, version_rows, schema, docs_per_bucket)
+    return with_next(docs, version_rows, schema, docs_at_once)

@@ -136,6 +136,29 @@ def test_sketches_merge(spark, sf_dir):
 # op2
 
 
+@pytest.fixture
+def uncoalesced(spark):
+    """As many ranges as there are shuffle partitions."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_a_third_of_documents_without_doc_id_spreads_over_ranges(spark, uncoalesced):
+    docs = spark.range(3_000).selectExpr("if(id % 3 = 0, null, id) as doc_id", "concat(id * 7919 % 3001, ' some text.') as text")
+    schema = "doc_id long, part int"
+
+    def visit(rows, following):
+        from pyspark import TaskContext
+
+        here = TaskContext.get().partitionId()
+        return pa.table({"doc_id": rows.column("doc_id"), "part": pa.array([here] * rows.num_rows, pa.int32())})
+
+    found = fingerprints.with_next(docs, visit, schema, 100)
+    sizes = [r["count"] for r in found.where("doc_id is null").groupBy("part").count().collect()]
+    assert sum(sizes) == 1_000 and len(sizes) >= 3 and max(sizes) < 600
+
+
 def versions(rows):
     """What op2 should return for (doc_id, text) in its order."""
     texts = [text or "" for _, text in rows]
@@ -152,7 +175,7 @@ COLUMNS = ["doc_id", "n_chars", "edited_sha256", "near_edited", "near_next"]
 
 
 @pytest.mark.parametrize("per_bucket", [1, 37, 1000])
-def test_fingerprints_recover_all_differences(spark, sf_dir, per_bucket):
+def test_fingerprints_recover_all_differences(spark, sf_dir, per_bucket, uncoalesced):
     docs = brute.documents(spark, sf_dir)
     got = fingerprints.version_fingerprints(spark.read.parquet(f"{sf_dir}/documents.parquet"), per_bucket).collect()
     rows = list(zip(docs.doc_id[::-1].tolist(), docs.text[::-1].tolist(), strict=True))
@@ -164,11 +187,11 @@ def test_fingerprints_recover_all_differences(spark, sf_dir, per_bucket):
 
 
 @pytest.mark.parametrize("per_bucket", [1, 5])
-def test_fingerprints_awkward(spark, per_bucket):
+def test_fingerprints_awkward(spark, per_bucket, uncoalesced):
     rows = brute.awkward(spark)
     given = sorted(
         ((r.doc_id, r.text) for r in rows.collect()),
-        key=lambda r: (-(fingerprints.LOWEST if r[0] is None else r[0]), (r[1] or "").encode()),
+        key=lambda r: (r[0] is None, -(r[0] or 0), (r[1] or "").encode()),
     )
     got = fingerprints.version_fingerprints(rows, per_bucket).collect()
     assert brute.multiset([r[c] for c in COLUMNS] for r in got) == brute.multiset(versions(given))
