@@ -2,8 +2,11 @@
 
 spark-submit --py-files linetally.zip linetally/job.py --tables ROOT --out FOLDER
              [--as-of YYYY-MM-DD] [--refresh FIRST LAST] [--event-log NAME] [--assign]
+             [--load FOLDER BATCH]
 
-ROOT holds one Parquet folder per table.  FOLDER receives mart (machine time and daily KPI, see
+ROOT holds one Parquet folder per table, or a snapshot of all of them (sources.snapshots).  --load adds a batch of
+rows to that snapshot first, from a Parquet folder per table, and writes what it rejected to rejects/<table>;
+the same batch is not added twice.  FOLDER receives mart (machine time and daily KPI, see
 plans.mart), qc_line_day_tally, reports/<name> and audits/<name>; both must be
 reachable from every executor.  The event log is shuffled once.  With --refresh the stored
 machine time and mart are only brought up to date for rows changed on the days FIRST to LAST.
@@ -25,6 +28,8 @@ from linetally.plans.mart import build_line_day_kpi, read_line_day_kpi, read_mac
 from linetally.plans.quality import qc_line_day_tally
 from linetally.plans.reports import all_reports
 from linetally.session import SETTINGS
+from linetally.sources import files, snapshots
+from linetally.sources.loads import load_folder, read_rejects
 from linetally.sources.schemas import EVENTS, TABLES
 from linetally.sources.tables import load_tables, read_table, save_table
 
@@ -37,11 +42,21 @@ def run(
     refresh: tuple[datetime.date, datetime.date] | None = None,
     event_log: str | None = None,
     assign: bool = False,
+    load: tuple[str, str] | None = None,
 ) -> list[str]:
     """Returns the paths written.  All reports share one date, today if none is given."""
     if as_of is None:
         as_of = spark.sql("select current_date()").first()[0]
-    tables = load_tables(spark, root, event_log)
+    written = []
+    if load is not None:
+        load_folder(spark, load[0], root, load[1])
+        for name, table in TABLES.items():
+            written.append(f"{out}/rejects/{name}")
+            read_rejects(spark, root, table).write.mode("overwrite").parquet(written[-1])
+    if files.exists(spark, f"{root}/snapshots"):
+        tables = snapshots.load_tables(spark, root)
+    else:
+        tables = load_tables(spark, root, event_log)
     events, machines = tables["fct_machine_events"], tables["dim_machines"]
     runs = tables["fct_production_runs"]
     mart_path = f"{out}/mart"
@@ -49,7 +64,7 @@ def run(
         build_line_day_kpi(mart_path, events, machines, runs)
     else:
         refresh_line_day_kpi(mart_path, events, machines, runs, *refresh)
-    written = [mart_path]
+    written.append(mart_path)
     if assign:
         save_table(assign_work_order(events, machines, runs), f"{out}/assigned_events", EVENTS)
         tables[EVENTS.name] = read_table(spark, f"{out}/assigned_events", EVENTS)
@@ -77,9 +92,10 @@ def main() -> None:
     parser.add_argument("--refresh", type=datetime.date.fromisoformat, nargs=2, metavar=("FIRST", "LAST"))
     parser.add_argument("--event-log")
     parser.add_argument("--assign", action="store_true")
+    parser.add_argument("--load", nargs=2, metavar=("FOLDER", "BATCH"))
     given = parser.parse_args()
     spark = SparkSession.builder.appName("linetally").config(map=SETTINGS).getOrCreate()
-    for path in run(spark, given.tables, given.out, given.as_of, given.refresh, given.event_log, given.assign):
+    for path in run(spark, given.tables, given.out, given.as_of, given.refresh, given.event_log, given.assign, given.load):
         print(path)
     spark.stop()
 

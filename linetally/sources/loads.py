@@ -24,7 +24,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from linetally.functions.blooms import possibly_among
 from linetally.sources import files, snapshots
-from linetally.sources.schemas import Reference, Table
+from linetally.sources.schemas import TABLES, Reference, Table
 from linetally.sources.tables import bloom_options, conform, with_folder_day
 
 REASONS, VERDICT = "reasons", "verdict"
@@ -191,3 +191,18 @@ def read_rejects(spark: SparkSession, path: str, table: Table) -> DataFrame:
     """What was rejected from a table so far: its columns and the reasons."""
     rejects = rejects_of(table)
     return snapshots.read(spark, path, snapshots.existing(spark, path).of(rejects), rejects.schema)
+
+
+def load_folder(spark: SparkSession, folder: str, path: str, batch: str) -> dict[str, bool]:
+    """Load a batch of all tables that have a Parquet folder in ``folder``; says which were new.
+
+    Parents come before their children, so that rows may refer to others of the same batch.  Every table
+    changes in one step; a batch that stopped between two tables is loaded on from there.
+    """
+    loaded = {}
+    for name, table in TABLES.items():
+        if files.exists(spark, f"{folder}/{name}"):
+            base = snapshots.current(spark, path)
+            parents = {r.parent: snapshots.read_table(spark, path, TABLES[r.parent], base) for r in table.references}
+            loaded[name] = load_rows(spark.read.parquet(f"{folder}/{name}"), table, path, batch, parents)
+    return loaded

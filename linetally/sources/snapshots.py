@@ -25,7 +25,7 @@ from pyspark.sql.types import DateType, StructField, StructType
 
 from linetally.functions.times import STORED_DAY
 from linetally.sources import files
-from linetally.sources.schemas import Table
+from linetally.sources.schemas import TABLES, Table
 from linetally.sources.tables import bloom_options, conform, with_folder_day
 
 _BATCH = re.compile(r"[A-Za-z0-9_-]+")
@@ -136,6 +136,13 @@ def read_table(spark: SparkSession, path: str, table: Table, snapshot: Snapshot
     return read(spark, path, snapshot.of(table), stored_schema(table))
 
 
+def load_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """All declared tables as one snapshot has them."""
+    snapshot = existing(spark, path)
+    found = {name: read_table(spark, path, table, snapshot) for name, table in TABLES.items()}
+    return {name: rows if TABLES[name].layout else rows.drop(STORED_DAY) for name, rows in found.items()}
+
+
 def publish(
     spark: SparkSession,
     path: str,

@@ -11,8 +11,8 @@ from linetally.operators.ranges import read_ordered
 from linetally.plans.mart import read_line_day_kpi, read_machine_time
 from linetally.plans.reports import all_reports
 from linetally.session import shared_folder
-from linetally.sources import fixtures
-from linetally.sources.schemas import EVENTS, RUNS, TABLES
+from linetally.sources import files, fixtures, snapshots
+from linetally.sources.schemas import EVENTS, QC_RESULTS, RUNS, TABLES
 from linetally.sources.tables import load_tables, read_table, save_event_log, save_table
 
 SF = "/root/testdata/sf0.001"
@@ -23,7 +23,8 @@ def check(spark, tables, written):
     mart = next(path for path in written if path.endswith("/mart"))
     tally = spark.read.parquet(next(path for path in written if path.endswith("tally")))
     time, kpi = read_machine_time(spark, mart), read_line_day_kpi(spark, mart)
-    reports = all_reports(load_tables(spark, tables), time, kpi, tally, fixtures.AS_OF)
+    given = snapshots.load_tables if files.exists(spark, f"{tables}/snapshots") else load_tables
+    reports = all_reports(given(spark, tables), time, kpi, tally, fixtures.AS_OF)
     con, oracle = compare.connect(SF), entry.oracle_sql()
     names = [path.rsplit("/", 1)[1] for path in written if "/reports/" in path]
     assert len(names) == 14
@@ -91,3 +92,27 @@ def test_all_reports_share_one_date(spark, monkeypatch):
     monkeypatch.setattr(job, "all_reports", lambda *a: dates.append(a[-1]) or original(*a))
     job.run(spark, f"{root}/tables", f"{root}/out")
     assert isinstance(dates[0], datetime.date)
+
+
+def test_batches_are_loaded_and_reported(spark):
+    """Two batches, the second given twice and with bad rows, make the tables of the oracle."""
+    root = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    views, day = fixtures.all_tables(spark, SF), F.expr("timestamp_ntz'2024-01-20 00:00:00'")
+    late = {EVENTS.name: F.col("event_ts") >= day, RUNS.name: F.col("actual_end_ts") >= day}
+    for name, rows in views.items():
+        if name in late:
+            rows.where(~late[name]).write.parquet(f"{root}/first/{name}")
+            bad = rows.limit(50).withColumn(TABLES[name].key[0], F.lit(None).cast("bigint"))
+            rows.where(late[name]).unionByName(bad).write.parquet(f"{root}/second/{name}")
+        else:
+            # Samples come with the last of the work orders they refer to.
+            rows.write.parquet(f"{root}/{'second' if name == QC_RESULTS.name else 'first'}/{name}")
+    out, tables = f"{root}/out", f"{root}/tables"
+    job.run(spark, tables, out, fixtures.AS_OF, load=(f"{root}/first", "first"))
+    days = (datetime.date(2024, 1, 20), datetime.date(2024, 3, 1))
+    for _ in range(2):
+        written = job.run(spark, tables, out, fixtures.AS_OF, days, load=(f"{root}/second", "second"))
+    rejects = spark.read.parquet(f"{out}/rejects/{EVENTS.name}")
+    assert rejects.count() == 50 and rejects.where("reasons[0] = 'null: event_id'").count() == 50
+    check(spark, tables, [path for path in written if "/rejects/" not in path])
+    assert {name: n for name, n in violations(spark, written).items() if n} == {}
