@@ -207,6 +207,70 @@ def test_later_links_use_earlier_categories():
     assert p[0, 0] > 0.8 > p[0, 1] - 0.2 and p[0, 1] > 0.5 > p[1, 1] and (p[2] == p[3]).all()
 
 
+def dense_chain(documents, labels, texts):
+    """The chain on full matrices: probabilities of texts, thresholds, and folds."""
+    df = {}
+    for words in documents:
+        for feature in toxicity.features_of(words):
+            df[feature] = df.get(feature, 0) + 1
+    names = sorted(f for f, n in df.items() if n >= toxicity.MIN_DOCS)
+    assert len(names) < toxicity.VOCABULARY  # all of them are chosen
+
+    def matrix(some):
+        return np.array([[f in features for f in names] for features in map(toxicity.features_of, some)], float)
+
+    def fit(rows, y):
+        rows, w = np.column_stack([rows, np.ones(len(rows))]), np.zeros(rows.shape[1] + 1)
+        ridge, m, v = np.r_[np.full(len(w) - 1, toxicity.RIDGE), 0.0], np.zeros(len(w)), np.zeros(len(w))
+        for t in range(1, toxicity.STEPS + 1):
+            slope = rows.T @ (1 / (1 + np.exp(-np.clip(rows @ w, -30, 30))) - y) + ridge * w
+            m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope**2
+            w = w - toxicity.RATE * (1 - t / (toxicity.STEPS + 1)) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
+        return w
+
+    def odds(rows, w):
+        return np.column_stack([rows, np.ones(len(rows))]) @ w
+
+    texts_seen = {}
+    number = [texts_seen.setdefault(frozenset(d), len(texts_seen)) for d in documents]
+    fold = (np.random.default_rng(toxicity.SEED).permutation(len(texts_seen)) % toxicity.FOLDS)[number]
+    x, new = matrix(documents), matrix([toxicity.words_of(t) for t in texts])
+    thresholds = []
+    for column in range(labels.shape[1]):
+        y, known, outside = labels[:, column], ~np.isnan(labels[:, column]), np.zeros(len(documents))
+        for k in range(toxicity.FOLDS):
+            train = (fold != k) & known
+            outside[fold == k] = odds(x[fold == k], fit(x[train], y[train]))
+        new = np.column_stack([new, odds(new, fit(x[known], y[known]))])
+        x = np.column_stack([x, outside])
+        p, truth = 1 / (1 + np.exp(-np.clip(outside[known], -30, 30))), y[known]
+        f1 = {c: 2 * truth[p >= c].sum() / ((p >= c).sum() + truth.sum()) for c in p}
+        thresholds.append((max(f1.values()), f1, p, truth))
+    tail = new[:, -labels.shape[1] :]
+    return 1 / (1 + np.exp(-np.clip(tail, -30, 30))), thresholds, fold
+
+
+def test_chain_equals_a_dense_one():
+    import random
+
+    rng = random.Random(11)
+    pool = [f"{a}{b}" for a in ("kind", "rude", "plain", "odd", "warm", "cold") for b in ("", "ly", "er", "est")]
+    documents = [set(rng.sample(pool, rng.randint(2, 7))) for _ in range(150)]
+    documents += documents[:40]  # copies
+    first = np.array([float(any(w.startswith("rude") for w in d)) for d in documents])
+    second = np.array([float(f and any(w.startswith("cold") for w in d)) for f, d in zip(first, documents, strict=True)])
+    second[::9] = np.nan
+    labels = np.column_stack([first, second])
+    texts = [" ".join(sorted(d)) for d in documents[:30]] + ["", "rude unknown coldly", None]
+    chain = toxicity.Chain.fit(documents, labels, ["first", "second"])
+    want, thresholds, fold = dense_chain(documents, labels, texts)
+    assert np.allclose(chain.probabilities(texts), want, atol=1e-9)
+    for found, (best, _, p, truth) in zip(chain.thresholds, thresholds, strict=True):
+        called = p >= found
+        assert abs(2 * truth[called].sum() / (called.sum() + truth.sum()) - best) < 1e-12
+    assert (fold[:40] == fold[150:]).all() and len(set(fold)) == toxicity.FOLDS
+
+
 def test_toxicity_awkward(spark):
     rows = brute.awkward(spark)
     labels = spark.createDataFrame([(i, i % 2, 1) for i in range(13)] + [(5, 1, 1), (None, 1, 1), (7, None, 0)], "doc_id long, toxic int, quality int")
