@@ -24,7 +24,7 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from math import inf
 
@@ -58,6 +58,26 @@ def merged(text: str, rank: dict[str, int]) -> tuple[list[str], tuple[str, str]
     return parts, pair
 
 
+def spaced_chunks(text: str) -> list[str]:
+    """The chunks of a text that starts with the space put before it; none if that is all."""
+    return _CHUNK.findall(text) if text != " " else []
+
+
+def check_cuts(pieces: Iterable[str]) -> None:
+    """Fail where texts may not be cut before runs of spaces and around line ends."""
+    if any(re.search(f"[^{SPACE}]{SPACE}|\n", piece) for piece in pieces if len(piece) > 1):
+        raise ValueError("pieces must not reach across words or lines")
+
+
+def read_model(path: str):  # sentencepiece's ModelProto
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    model = pb.ModelProto()
+    with open(path, "rb") as file:
+        model.ParseFromString(file.read())
+    return model
+
+
 class Vocabulary:
     """The normal pieces of a model: their ranks, merge trees, and an automaton that finds them."""
 
@@ -145,18 +165,17 @@ class PieceCodec:
     def __init__(self, model_path: str):
         from sentencepiece import sentencepiece_model_pb2 as pb
 
-        model = pb.ModelProto()
-        with open(model_path, "rb") as file:
-            model.ParseFromString(file.read())
+        model = read_model(model_path)
         trainer, norm = model.trainer_spec, model.normalizer_spec
         kinds = pb.ModelProto.SentencePiece
         if trainer.model_type != pb.TrainerSpec.BPE or not trainer.byte_fallback or trainer.treat_whitespace_as_suffix:
             raise ValueError("only BPE models with byte fallback and leading spaces are supported")
-        if norm.precompiled_charsmap or norm.remove_extra_whitespaces or not norm.escape_whitespaces:
-            raise ValueError("only models that leave texts as they are, with escaped spaces, are supported")
+        if norm.precompiled_charsmap or norm.remove_extra_whitespaces or not (
+            norm.escape_whitespaces and norm.add_dummy_prefix
+        ):
+            raise ValueError("only models that leave texts as they are, with a space before them and spaces escaped, are supported")
         if {p.type for p in model.pieces} - {kinds.NORMAL, kinds.UNKNOWN, kinds.CONTROL, kinds.BYTE}:
             raise ValueError("user defined and unused pieces are not supported")
-        self._prefix = " " if norm.add_dummy_prefix else ""
         self._byte_ids = [0] * 256
         normal: dict[str, int] = {}
         surfaces = []
@@ -178,8 +197,7 @@ class PieceCodec:
         self._lengths = np.array([len(s) for s in surfaces], np.int64)
         self._starts = np.cumsum(self._lengths) - self._lengths
         self._bytes = np.frombuffer(b"".join(surfaces), np.uint8)
-        if any(re.search(f"[^{SPACE}]{SPACE}|\n", piece) for piece in normal if len(piece) > 1):
-            raise ValueError("pieces must not reach across words or lines")
+        check_cuts(normal)
         vocabulary = Vocabulary({piece: model.pieces[i].score for piece, i in normal.items()})
         self._vocabulary = vocabulary
         # Characters without a piece of their own may be parts of pieces; alone they are bytes.
@@ -207,8 +225,8 @@ class PieceCodec:
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text, begin and end included, as little-endian unsigned 32-bit integers."""
         plain = plain_texts(texts) & ~holds(texts, SPACE)
-        spaced = pc.binary_join_element_wise(self._prefix, texts, "")
-        chunks = chunks_of(spaced, plain, lambda text: _CHUNK.findall(text) if text != self._prefix else [])
+        spaced = pc.binary_join_element_wise(" ", texts, "")
+        chunks = chunks_of(spaced, plain, spaced_chunks)
         begin, end = (np.array([i], "<u4").tobytes() for i in (self.bos_id, self.eos_id))
         return [begin + ids + end for ids in chunks.join(self._memo.values_of(chunks.distinct), 4)]
 
@@ -223,7 +241,7 @@ class PieceCodec:
         ends = np.cumsum(lengths)
         shift = np.repeat(self._starts[ids] - (ends - lengths), lengths)
         raw = self._bytes[shift + np.arange(ends[-1])].tobytes()
-        first = len(self._prefix) if self._starts_spaced[ids[0]] else 0
+        first = 1 if self._starts_spaced[ids[0]] else 0
         if places[-1] - places[0] + 1 == len(places):
             try:
                 return raw[first:].decode()

@@ -9,7 +9,8 @@ themselves are never shuffled, only each task's few heaviest with their counts.
 Which chunks are in the table changes speed, never counts.
 
 Defined cases: a null or empty text has 0 bytes and 0 tokens; repeated rows and ids are counted
-each by itself; other columns are ignored.
+each by itself; texts of any length and with any white space are counted whole, by their chunks; an empty table
+gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linetally.llm.pieces import SPACE, check_cuts, read_model, spaced_chunks
 from linetally.llm.pretokens import Chunks, Memo, chunks_of, holds, plain_texts, text_slices
 from linetally.llm.store import stored
 from linetally.llm.workers import shipped
@@ -32,7 +34,7 @@ TABLE_SIZE = 65_536
 HEAVY_PER_TASK = 20_000
 COUNTER_SIZE = 500_000
 STEPS_PER_DOUBLING = 8
-SPACE = "▁"  # how the library writes a space
+TABLE_CHUNK = 128  # bytes of the longest chunks in the table, which thus has 8 MB of them at most
 
 
 @lru_cache(maxsize=4)
@@ -42,26 +44,26 @@ def _processor(path: str):
     return sentencepiece.SentencePieceProcessor(model_file=path)
 
 
-def _chunks(texts: pa.Array) -> tuple[Chunks, np.ndarray]:
-    """Chunks whose token counts add up to the text's, and for which texts there are any.
+def _chunks(texts: pa.Array) -> Chunks:
+    """Chunks whose token counts add up to the text's.
 
-    The library puts a space before the text, so the first word starts like any other.  Texts
-    whose white space is not plain have no chunks and must be encoded whole.
+    The library puts a space before the text, so the first word starts like any other.  Pieces do not
+    reach across the start of a run of spaces or a line end, where all texts are cut.
     """
     plain = plain_texts(texts) & ~holds(texts, SPACE)
-    spaced = pc.binary_join_element_wise(" ", texts, "")
-    return chunks_of(spaced, plain, lambda _: []), plain
+    return chunks_of(pc.binary_join_element_wise(" ", texts, ""), plain, spaced_chunks)
 
 
 def chunk_lengths(path: str, chunks: list[bytes]) -> list[int]:
     """Tokens of each chunk inside a text; the empty one before the first space has none.
 
-    A word brings its space, which the library adds by itself.  Any other chunk is encoded
+    A word brings its first space, which the library adds by itself.  Any other chunk is encoded
     after a line end, whose two tokens (the added space, the byte) are taken off again.
     """
     texts = [chunk.decode() for chunk in chunks]
-    encoded = _processor(path).encode([x[1:] if x[:1] in (" ", "") else "\n" + x for x in texts], num_threads=1)
-    return [len(ids) - (0 if x[:1] in (" ", "") else 2) for x, ids in zip(texts, encoded, strict=True)]
+    worded = [not x or (x[0] == " " and bool(x.strip(" " + SPACE))) for x in texts]
+    encoded = _processor(path).encode([x[1:] if w else "\n" + x for x, w in zip(texts, worded, strict=True)], num_threads=1)
+    return [len(ids) - (0 if w else 2) for w, ids in zip(worded, encoded, strict=True)]
 
 
 def heavy_chunks(docs: DataFrame, size: int = TABLE_SIZE) -> list[bytes]:
@@ -71,9 +73,9 @@ def heavy_chunks(docs: DataFrame, size: int = TABLE_SIZE) -> list[bytes]:
         seen: Counter[bytes] = Counter()
         for batch in batches:
             for _, texts in text_slices(batch):
-                chunks, _ = _chunks(texts)
+                chunks = _chunks(texts)
                 counts = np.bincount(chunks.index, minlength=len(chunks.distinct)).tolist()
-                seen.update(dict(zip(chunks.distinct, counts, strict=True)))
+                seen.update({x: n for x, n in zip(chunks.distinct, counts, strict=True) if len(x) <= TABLE_CHUNK})
                 if len(seen) > COUNTER_SIZE:
                     seen = Counter(dict(seen.most_common(COUNTER_SIZE // 4)))
         top = seen.most_common(HEAVY_PER_TASK)
@@ -103,6 +105,7 @@ def heavy_chunks(docs: DataFrame, size: int = TABLE_SIZE) -> list[bytes]:
 
 def count_tokens(docs: DataFrame, model: str, limit: int = 4096, table_size: int = TABLE_SIZE) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit per document, by the sentencepiece model at a path."""
+    check_cuts(piece.piece for piece in read_model(model).pieces)
     heavy = heavy_chunks(docs, table_size)
     lengths = dict(zip(heavy, chunk_lengths(model, heavy), strict=True)) if heavy else {}
     table = docs.sparkSession.sparkContext.broadcast(lengths)
@@ -111,10 +114,8 @@ def count_tokens(docs: DataFrame, model: str, limit: int = 4096, table_size: int
         memo = Memo(lambda new: chunk_lengths(model, new), fixed=table.value)
         for batch in batches:
             for rows, texts in text_slices(batch):
-                chunks, plain = _chunks(texts)
+                chunks = _chunks(texts)
                 n_tokens = chunks.sum(memo.values_of(chunks.distinct))
-                others = texts.filter(pa.array(~plain)).to_pylist()
-                n_tokens[~plain] = [len(ids) for ids in _processor(model).encode(others, num_threads=1)]
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": rows.column("doc_id"),
