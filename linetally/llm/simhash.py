@@ -3,7 +3,7 @@
 Fingerprints link where they differ in at most ``distance`` bits.  Equal fingerprints are merged
 first; the distinct ones are replicated to the anchors of a covering code (see ``covering``) and
 compared per anchor with those at home there.  An anchor with many fingerprints is compared in
-cells of bounded size.  Each cell only passes on a spanning forest of the links it finds, so a
+cells of bounded size: visitors are dealt to cells, and those at home, the smaller side, go to all of them.  Each cell only passes on a spanning forest of the links it finds, so a
 large group of near copies never becomes all its pairs.
 
 Defined cases: a null or empty text, or one without words, has fingerprint 0 and links like any
@@ -33,6 +33,7 @@ SHINGLE = 4
 SEED = 42
 HASHES_AT_ONCE = 1 << 18
 CELL_ROWS = 8_192
+HOME_ROWS = 131_072
 PAIRS_AT_ONCE = 1 << 21
 
 
@@ -119,8 +120,13 @@ def cell_links(home: np.ndarray, visitors: np.ndarray, distance: int) -> tuple[n
     return nodes[linked], nodes[labels[linked]]
 
 
-def near_links(prints: DataFrame, covering: Covering, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """Links (a, b) that connect exactly the distinct fingerprints connected by near pairs."""
+def near_links(
+    prints: DataFrame, covering: Covering, cell_rows: int = CELL_ROWS, home_rows: int = HOME_ROWS
+) -> DataFrame:
+    """Links (a, b) that connect exactly the distinct fingerprints connected by near pairs.
+
+    A cell has about ``cell_rows`` visitors and at most about ``home_rows`` fingerprints at home.
+    """
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,18 +139,27 @@ def near_links(prints: DataFrame, covering: Covering, cell_rows: int = CELL_ROWS
                 )
 
     visits = shipped(prints.select("print")).mapInArrow(visit, "anchor long, home boolean, print long")
-    # Anchors over cell_rows are cut into rows and columns of cells.  Their list has at most
-    # (number of visits / cell_rows) rows; without a list of bounded size Spark picks the join.
-    sizes = visits.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+    # Anchors over cell_rows are cut into columns of visitors and, with very many at home, rows of those.  The
+    # list of cut anchors has at most (number of visits / cell_rows) rows; Spark picks the join by its size.
+    sizes = visits.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("home")).alias("n_home"))
     crowded = stored(
-        sizes.where(F.col("n") > cell_rows).select("anchor", F.ceil(F.col("n") / cell_rows).alias("cuts")), "crowded"
+        sizes.where(F.col("n") > cell_rows).select(
+            "anchor", F.ceil(F.col("n") / cell_rows).alias("columns"), F.ceil(F.col("n_home") / home_rows).alias("rows")
+        ),
+        "crowded",
+    )
+
+    def cuts(name: str) -> Column:
+        return F.greatest(F.coalesce(name, F.lit(1).cast("long")), F.lit(1).cast("long"))
+
+    def every(name: str) -> Column:
+        return F.sequence(F.lit(0).cast("long"), cuts(name) - 1)
+
+    row, column = (F.pmod(F.xxhash64("print", F.lit(n)), cuts(name)) for n, name in ((1, "rows"), (2, "columns")))
+    as_home = F.when(
+        F.col("home"), F.transform(every("columns"), lambda c: F.struct(row.alias("r"), c.alias("c"), F.lit(True).alias("home")))
     )
-    cuts = F.coalesce("cuts", F.lit(1).cast("long"))
-    own = F.pmod(F.xxhash64("print", F.lit(1)), cuts)
-    every = F.sequence(F.lit(0).cast("long"), cuts - 1)
-    # Those at home are one row of cells each, visitors one column: they meet in every cell.
-    as_home = F.when(F.col("home"), F.transform(every, lambda c: F.struct(own.alias("r"), c.alias("c"), F.lit(True).alias("home"))))
-    as_visitor = F.transform(every, lambda r: F.struct(r.alias("r"), own.alias("c"), F.lit(False).alias("home")))
+    as_visitor = F.transform(every("rows"), lambda r: F.struct(r.alias("r"), column.alias("c"), F.lit(False).alias("home")))
     nothing = F.expr("cast(array() as array<struct<r: bigint, c: bigint, home: boolean>>)")
     cells = (
         visits.join(crowded, "anchor", "left")
@@ -192,16 +207,20 @@ def _whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield held
 
 
-def _rooted(prints: DataFrame, covering: Covering, cell_rows: int = CELL_ROWS) -> DataFrame:
+def _rooted(
+    prints: DataFrame, covering: Covering, cell_rows: int = CELL_ROWS, home_rows: int = HOME_ROWS
+) -> DataFrame:
     """Distinct fingerprints with the root of their component."""
-    roots = components(near_links(prints, covering, cell_rows)).select(F.col("a").alias("print"), "root")
+    roots = components(near_links(prints, covering, cell_rows, home_rows)).select(F.col("a").alias("print"), "root")
     return prints.join(roots, "print", "left").withColumn("root", F.coalesce("root", "print"))
 
 
-def print_components(prints: DataFrame, covering: Covering = Covering(), cell_rows: int = CELL_ROWS) -> DataFrame:
+def print_components(
+    prints: DataFrame, covering: Covering = Covering(), cell_rows: int = CELL_ROWS, home_rows: int = HOME_ROWS
+) -> DataFrame:
     """(print, component_id) for every distinct fingerprint of (doc_id, print)."""
     least = stored(prints.groupBy("print").agg(F.min("doc_id").alias("doc_id")), "prints")
-    rooted = _rooted(least, covering, cell_rows)
+    rooted = _rooted(least, covering, cell_rows, home_rows)
     names = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return rooted.join(names, "root").select("print", "component_id")
 

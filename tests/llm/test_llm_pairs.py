@@ -86,12 +86,14 @@ def clusters():
     return prints, expected_components(prints, list(range(len(prints))))
 
 
-@pytest.mark.parametrize(("parts", "cell_rows"), [(3, 8192), (3, 4), (2, 8192), (2, 16), (5, 8)])
-def test_every_covering_finds_every_link(spark, clusters, parts, cell_rows):
+@pytest.mark.parametrize(
+    ("parts", "cell_rows", "home_rows"), [(3, 8192, 8192), (3, 4, 100), (3, 4, 2), (2, 8192, 8192), (2, 16, 3), (5, 8, 8)]
+)
+def test_every_covering_finds_every_link(spark, clusters, parts, cell_rows, home_rows):
     prints, want = clusters
     signed = np.array(prints, np.uint64).astype(np.int64).tolist()
     rows = spark.createDataFrame(list(enumerate(signed)), "doc_id long, print long")
-    found = simhash.print_components(rows, Covering(parts, 4), cell_rows)
+    found = simhash.print_components(rows, Covering(parts, 4), cell_rows, home_rows)
     got = {r.doc_id: r.component_id for r in rows.join(found, "print").collect()}
     assert [got[i] for i in range(len(prints))] == want
 
