@@ -34,7 +34,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linetally.llm.workers import shipped
@@ -279,10 +279,19 @@ def _batch(rows: list[tuple], schema: str, types: list[pa.DataType]) -> pa.Recor
 
 
 def _later_repeats(rows: DataFrame) -> DataFrame:
-    """(conv_id, turn, digest) of rows seen on an earlier turn of their conversation."""
-    same = Window.partitionBy("conv_id", "digest").orderBy(F.col("turn").asc_nulls_first())
+    """(conv_id, turn, digest) of rows seen on an earlier turn of their conversation.
+
+    First turns combine where they are read; a row that fills a conversation is a skewed key of a plain
+    join, which adaptive execution splits.
+    """
     each = rows.where("present").select("conv_id", "turn", "digest").distinct()
-    return each.withColumn("place", F.row_number().over(same)).where("place > 1").drop("place")
+    at = F.struct(F.col("turn").isNotNull().alias("numbered"), "turn")  # null turns come first
+    firsts = each.groupBy(F.col("conv_id").alias("of_conv"), F.col("digest").alias("of_digest")).agg(
+        F.min(at)["turn"].alias("first_turn"), F.count(F.lit(1)).alias("n")
+    )
+    same = F.col("conv_id").eqNullSafe(F.col("of_conv")) & (F.col("digest") == F.col("of_digest"))
+    later = ~F.col("turn").eqNullSafe(F.col("first_turn"))
+    return each.join(firsts.where("n > 1"), same).where(later).select("conv_id", "turn", "digest")
 
 
 def repaired_turns(conversations: DataFrame, present: Column | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:

@@ -16,6 +16,9 @@ of the nodes only, however deep or wide the trie is.
   size of what was cut off from the nodes above.
 * Smaller components are handed to tasks whole, many at a time, and cut there in the same way.
 
+Names follow from one turn to the next, so a conversation, and a family that is rebuilt, is one stream, in bounded
+memory; so are the ids that end at a node, for their digest.
+
 Defined cases: a null role or text is empty.  Turns follow each other by number, then role and
 text; null numbers come first.  Rows without conv_id belong to no conversation and are left
 out.  Repeated rows are turns of their own; equal conversations share their nodes.  Empty texts are
