@@ -2,11 +2,11 @@
 
 spark-submit --py-files linetally.zip linetally/job.py --tables ROOT --out FOLDER
              [--as-of YYYY-MM-DD] [--refresh FIRST LAST] [--event-log NAME] [--assign]
-             [--load FOLDER BATCH]
+             [--load FOLDER BATCH [--refresh-loaded]]
 
 ROOT holds one Parquet folder per table, or a snapshot of all of them (sources.snapshots).  --load adds a batch of
 rows to that snapshot first, from a Parquet folder per table, and writes what it rejected to rejects/<table>;
-the same batch is not added twice.  FOLDER receives mart (machine time and daily KPI, see
+the same batch is not added twice.  --refresh-loaded then refreshes the days that the batch has events or runs of.  FOLDER receives mart (machine time and daily KPI, see
 plans.mart), qc_line_day_tally, reports/<name> and audits/<name>; both must be
 reachable from every executor.  The event log is shuffled once.  With --refresh the stored
 machine time and mart are only brought up to date for rows changed on the days FIRST to LAST.
@@ -29,8 +29,8 @@ from linetally.plans.quality import qc_line_day_tally
 from linetally.plans.reports import all_reports
 from linetally.session import SETTINGS
 from linetally.sources import files, snapshots
-from linetally.sources.loads import load_folder, read_rejects
-from linetally.sources.schemas import EVENTS, TABLES
+from linetally.sources.loads import days_of, load_folder, read_rejects
+from linetally.sources.schemas import EVENTS, RUNS, TABLES
 from linetally.sources.tables import load_tables, read_table, save_table
 
 
@@ -43,6 +43,7 @@ def run(
     event_log: str | None = None,
     assign: bool = False,
     load: tuple[str, str] | None = None,
+    refresh_loaded: bool = False,
 ) -> list[str]:
     """Returns the paths written.  All reports share one date, today if none is given."""
     if as_of is None:
@@ -60,7 +61,11 @@ def run(
     events, machines = tables["fct_machine_events"], tables["dim_machines"]
     runs = tables["fct_production_runs"]
     mart_path = f"{out}/mart"
-    if refresh is None:
+    if refresh_loaded:  # the last batch may have been loaded by a run that failed afterwards
+        refresh = days_of(spark, root, load[1], EVENTS, RUNS)
+    if refresh_loaded and refresh is None:
+        pass  # the batch has nothing that the mart is made of
+    elif refresh is None:
         build_line_day_kpi(mart_path, events, machines, runs)
     else:
         refresh_line_day_kpi(mart_path, events, machines, runs, *refresh)
@@ -93,9 +98,13 @@ def main() -> None:
     parser.add_argument("--event-log")
     parser.add_argument("--assign", action="store_true")
     parser.add_argument("--load", nargs=2, metavar=("FOLDER", "BATCH"))
+    parser.add_argument("--refresh-loaded", action="store_true")
     given = parser.parse_args()
+    if given.refresh_loaded and not given.load:
+        parser.error("--refresh-loaded needs --load")
     spark = SparkSession.builder.appName("linetally").config(map=SETTINGS).getOrCreate()
-    for path in run(spark, given.tables, given.out, given.as_of, given.refresh, given.event_log, given.assign, given.load):
+    options = (given.as_of, given.refresh, given.event_log, given.assign, given.load, given.refresh_loaded)
+    for path in run(spark, given.tables, given.out, *options):
         print(path)
     spark.stop()
 

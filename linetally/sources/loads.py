@@ -16,6 +16,7 @@ makes up a third of a load is one row per task.
 
 from __future__ import annotations
 
+import datetime
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -206,3 +207,10 @@ def load_folder(spark: SparkSession, folder: str, path: str, batch: str) -> dict
             parents = {r.parent: snapshots.read_table(spark, path, TABLES[r.parent], base) for r in table.references}
             loaded[name] = load_rows(spark.read.parquet(f"{folder}/{name}"), table, path, batch, parents)
     return loaded
+
+
+def days_of(spark: SparkSession, path: str, batch: str, *tables: Table) -> tuple[datetime.date, datetime.date] | None:
+    """The first and the last day that a batch has accepted rows of these tables for."""
+    snapshot = snapshots.existing(spark, path)
+    found = [f.day for t in tables for f in snapshot.of(t) if f.batch in (batch, f"{batch}-keys") and f.day]
+    return (min(found), max(found)) if found else None

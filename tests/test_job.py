@@ -12,6 +12,7 @@ from linetally.plans.mart import read_line_day_kpi, read_machine_time
 from linetally.plans.reports import all_reports
 from linetally.session import shared_folder
 from linetally.sources import files, fixtures, snapshots
+from linetally.sources.loads import days_of
 from linetally.sources.schemas import EVENTS, QC_RESULTS, RUNS, TABLES
 from linetally.sources.tables import load_tables, read_table, save_event_log, save_table
 
@@ -109,9 +110,10 @@ def test_batches_are_loaded_and_reported(spark):
             rows.write.parquet(f"{root}/{'second' if name == QC_RESULTS.name else 'first'}/{name}")
     out, tables = f"{root}/out", f"{root}/tables"
     job.run(spark, tables, out, fixtures.AS_OF, load=(f"{root}/first", "first"))
-    days = (datetime.date(2024, 1, 20), datetime.date(2024, 3, 1))
     for _ in range(2):
-        written = job.run(spark, tables, out, fixtures.AS_OF, days, load=(f"{root}/second", "second"))
+        written = job.run(spark, tables, out, fixtures.AS_OF, load=(f"{root}/second", "second"), refresh_loaded=True)
+    assert days_of(spark, tables, "second", EVENTS, RUNS)[0] == datetime.date(2024, 1, 20)
+    assert days_of(spark, tables, "second", TABLES["dim_lines"]) is None
     rejects = spark.read.parquet(f"{out}/rejects/{EVENTS.name}")
     assert rejects.count() == 50 and rejects.where("reasons[0] = 'null: event_id'").count() == 50
     check(spark, tables, [path for path in written if "/rejects/" not in path])
