@@ -48,8 +48,8 @@ from linetally.llm.workers import shipped
 
 BLOCK_IDS = 1 << 20
 BYTES_AT_ONCE = 20_000
-CHARS_AT_ONCE = 24_000_000
-CACHE_BYTES = 240_000_000
+CHARS_AT_ONCE = 10_000_000
+CACHE_BYTES = 160_000_000
 BLOCK_SCHEMA = (
     "shard int, block int, before long, n_ids long, nulls int, low long, high long, levels binary, bits binary, "
     "ranks binary, prints binary, slot_first binary, slot_docs binary, offsets binary, width int, payload binary, "
