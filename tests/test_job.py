@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from linetally import job
 from linetally.operators.ranges import read_ordered
-from linetally.plans.mart import read_line_day_kpi, read_machine_time
+from linetally.plans.mart import build_line_day_kpi, read_line_day_kpi, read_machine_time
 from linetally.plans.reports import all_reports
 from linetally.session import shared_folder
 from linetally.sources import files, fixtures, snapshots
-from linetally.sources.loads import days_of
+from linetally.sources.loads import days_of, load_folder
 from linetally.sources.schemas import EVENTS, QC_RESULTS, RUNS, TABLES
 from linetally.sources.tables import load_tables, read_table, save_event_log, save_table
 
@@ -109,9 +109,11 @@ def test_batches_are_loaded_and_reported(spark):
             # Samples come with the last of the work orders they refer to.
             rows.write.parquet(f"{root}/{'second' if name == QC_RESULTS.name else 'first'}/{name}")
     out, tables = f"{root}/out", f"{root}/tables"
-    job.run(spark, tables, out, fixtures.AS_OF, load=(f"{root}/first", "first"))
-    for _ in range(2):
-        written = job.run(spark, tables, out, fixtures.AS_OF, load=(f"{root}/second", "second"), refresh_loaded=True)
+    load_folder(spark, f"{root}/first", tables, "first")
+    first = snapshots.load_tables(spark, tables)
+    build_line_day_kpi(f"{out}/mart", first[EVENTS.name], first["dim_machines"], first[RUNS.name])
+    written = job.run(spark, tables, out, fixtures.AS_OF, load=(f"{root}/second", "second"), refresh_loaded=True)
+    assert not any(load_folder(spark, f"{root}/second", tables, "second").values())
     assert days_of(spark, tables, "second", EVENTS, RUNS)[0] == datetime.date(2024, 1, 20)
     assert days_of(spark, tables, "second", TABLES["dim_lines"]) is None
     rejects = spark.read.parquet(f"{out}/rejects/{EVENTS.name}")
