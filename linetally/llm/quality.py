@@ -44,6 +44,8 @@ RATES = {
 }
 TWO_SIDED = ("word_length",)
 SUB_BITS = 4
+# Whole texts are stored for a moment: small row groups, which tasks hold in memory while they write.
+ROW_GROUP_BYTES = 16_000_000
 
 
 @dataclass(frozen=True)
@@ -288,7 +290,8 @@ def keep_good(docs: DataFrame, fences: Fences = Fences()) -> DataFrame:
     (one row per language and source): texts are measured once and move nowhere.
     """
     counted = text_measures(docs.select(F.struct(*map(quoted, docs.columns)).alias("doc"), "text", *GROUP))
-    measured = stored(counted.select("doc", *GROUP, "measures.*"), "measured-documents")
+    rows = counted.select("doc", *GROUP, "measures.*")
+    measured = stored(rows, "measured-documents", **{"parquet.block.size": str(ROW_GROUP_BYTES)})
     bounds = stored(adaptive_fences(measured.drop("doc"), fences), "fences")
     names = [F.col("doc")[name].alias(name) for name in docs.columns]
     return measured.join(bounds, _same(measured, bounds, GROUP), "left").where(_verdict()).select(*names)

@@ -48,12 +48,13 @@ def remove_stored(spark: SparkSession) -> None:
     files.remove(spark, _folder(spark))
 
 
-def stored(rows: DataFrame, name: str) -> DataFrame:
+def stored(rows: DataFrame, name: str, **options: str) -> DataFrame:
     """rows computed now, written as Parquet to the shared folder and read back.
 
-    Losing an executor afterwards costs nothing, and the optimizer knows the real size.
+    Losing an executor afterwards costs nothing, and the optimizer knows the real size.  ``options``
+    are the writer's.
     """
     spark = rows.sparkSession
     path = fresh_path(spark, name)
-    rows.write.parquet(path)
+    rows.write.options(**options).parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
