@@ -44,8 +44,6 @@ RATES = {
 }
 TWO_SIDED = ("word_length",)
 SUB_BITS = 4
-# Whole texts are stored for a moment: small row groups, which tasks hold in memory while they write.
-ROW_GROUP_BYTES = 16_000_000
 
 
 @dataclass(frozen=True)
@@ -286,12 +284,13 @@ def quality_verdicts(docs: DataFrame, fences: Fences = Fences()) -> DataFrame:
 def keep_good(docs: DataFrame, fences: Fences = Fences()) -> DataFrame:
     """The documents that pass, with all their columns.
 
-    Documents and their counts are written once and then filtered by the fences, which are small
-    (one row per language and source): texts are measured once and move nowhere.
+    The counts for the fences are written, as the optimizer would compute them anew in every
+    filter on them.  Fences are small (one row per language and source), so that Spark joins them
+    without moving texts.  Texts are measured again for the filter: storing them with their counts takes half the
+    time, but most of an executor's memory.
     """
-    counted = text_measures(docs.select(F.struct(*map(quoted, docs.columns)).alias("doc"), "text", *GROUP))
-    rows = counted.select("doc", *GROUP, "measures.*")
-    measured = stored(rows, "measured-documents", **{"parquet.block.size": str(ROW_GROUP_BYTES)})
-    bounds = stored(adaptive_fences(measured.drop("doc"), fences), "fences")
+    bounds = stored(adaptive_fences(stored(_small(docs), "measures"), fences), "fences")
+    whole = docs.select(F.struct(*map(quoted, docs.columns)).alias("doc"), "text", *GROUP)
+    measured = text_measures(whole).select("doc", *GROUP, "measures.*")
     names = [F.col("doc")[name].alias(name) for name in docs.columns]
     return measured.join(bounds, _same(measured, bounds, GROUP), "left").where(_verdict()).select(*names)
