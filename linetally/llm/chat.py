@@ -7,12 +7,13 @@ history, and the turn is marked.  Rendering a turn with two different one-letter
 where inside the span its text stands, which gives the loss mask of assistant turns.
 
 A conversation is read as a stream.  Every turn is rendered after the whole prefix, whose turns
-are held; the work grows with the square of the turns.  For a template that looks at no more than
+are held; the work grows with the square of the turns, and memory with the conversation's text.
+``conversation_digests`` does so at any length.  For a template that looks at no more than
 the first ``HEAD_TURNS`` and the last ``TAIL_TURNS`` turns, callers may declare so with a
 ``window``: after so many turns the prefix is shortened to those, provided that the next turn
 renders to the same span after the short prefix as after the long one, and memory and work per
 turn stay bounded.  That one turn proves nothing about later ones, so the window is the caller's
-word; ``conversation_digests`` gives it for ``marked_turns``, which looks at no other turn.
+word; nothing in this package gives it.
 
 Defined cases: a null text or role is empty.  Turns with equal number follow each other by role
 and text; null turn numbers come first.  Rows without conv_id form one conversation.  Other
@@ -25,6 +26,7 @@ import hashlib
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,12 +37,13 @@ from linetally.llm.workers import shipped
 Turn = tuple[str, str]  # role, text
 Template = Callable[[list[Turn]], str]
 
-WINDOW_TURNS = 32
 HEAD_TURNS, TAIL_TURNS = 2, 4
 TRAINED_ROLE = "assistant"
+CACHED_TURNS, CACHED_CHARS = 16_384, 2_000  # written turns that a worker keeps, and the longest text among them
 
 # Control strings of common templates; fixed values.
 CONTROL = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|im_start|>", "<|im_end|>")
+_STARTS = {"\\", *(control[0] for control in CONTROL)}
 BEGIN, END = "<s>", "</s>\n"
 _TURN = re.compile(re.escape(BEGIN) + r"(.*?)\n(.*?)" + re.escape(END), re.DOTALL)
 _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
@@ -51,6 +54,8 @@ def escape(text: str) -> str:
 
     A backslash is doubled, and one is put after the first character of each control string.
     """
+    if not any(start in text for start in _STARTS):
+        return text
     text = text.replace("\\", "\\\\")
     for control in CONTROL:
         text = text.replace(control, f"{control[0]}\\{control[1:]}")
@@ -70,9 +75,20 @@ def unescape_role(role: str) -> str:
     return _ESCAPED.sub(lambda m: "\n" if m[1] == "n" else m[1], role)
 
 
+def marked_turn(turn: Turn) -> str:
+    role, text = turn
+    return f"{BEGIN}{escape_role(role)}\n{escape(text)}{END}"
+
+
+_kept_turn = lru_cache(CACHED_TURNS)(marked_turn)
+
+
 def marked_turns(turns: list[Turn]) -> str:
-    """The production template: each turn between markers, its role on the first line."""
-    return "".join(f"{BEGIN}{escape_role(role)}\n{escape(text)}{END}" for role, text in turns)
+    """The production template: each turn between markers, its role on the first line.
+
+    All turns are written again for every prefix, so short ones come from a cache.
+    """
+    return "".join([_kept_turn(t) if len(t[0]) + len(t[1]) <= CACHED_CHARS else marked_turn(t) for t in turns])
 
 
 @dataclass
@@ -204,8 +220,9 @@ class Reader:
 def conversation_digests(conversations: DataFrame) -> DataFrame:
     """Per conversation what its formatted output, read back, holds.
 
+    Every turn is rendered after its whole prefix, so a rewritten turn is found wherever it stands.
     Digests of a whole conversation are sequential by nature; they are taken from the stream of
-    its turns in bounded memory.
+    its turns.
     """
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_rewrites"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
@@ -235,4 +252,4 @@ def conversation_digests(conversations: DataFrame) -> DataFrame:
         "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
         "formatted_chars long, n_rewrites long"
     )
-    return rendered_turns(conversations, marked_turns, WINDOW_TURNS).mapInArrow(read, schema)
+    return rendered_turns(conversations, marked_turns).mapInArrow(read, schema)

@@ -177,6 +177,28 @@ def test_templates_that_look_back_far(spark):
     assert [i for i, r in enumerate(chat.rendered_turns(rows, folded).collect()) if r.rewrites] == [60]
 
 
+def test_digests_look_at_whole_prefixes(spark, monkeypatch):
+    def folded(some):  # marked turns of which a middle one is rewritten, late
+        turns = [(r, "..." if i == 10 and len(some) > 60 else t) for i, (r, t) in enumerate(some)]
+        return "".join(f"<s>{r}\n{t}</s>\n" for r, t in turns)
+
+    turns = [(c, i, "assistant" if i % 2 else "user", f"t{i}") for c, n in ((1, 120), (2, 60)) for i in range(n)]
+    rows = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    plain = {r.conv_id: r.n_rewrites for r in chat.conversation_digests(rows).collect()}
+    monkeypatch.setattr(chat, "marked_turns", folded)
+    rewritten = {r.conv_id: r.n_rewrites for r in chat.conversation_digests(rows).collect()}
+    assert plain == {1: 0, 2: 0} and rewritten == {1: 1, 2: 0}
+
+
+def test_turns_are_written_alike_with_and_without_the_cache():
+    long = "[INST]" + "x" * chat.CACHED_CHARS
+    turns = [(role, text) for role in ("user", "a\nb", "<s>", "") for text in (*TRICKY, "plain", long)]
+    want = "".join(f"<s>{chat.escape_role(r)}\n{chat.escape(t)}</s>\n" for r, t in turns)
+    before = chat._kept_turn.cache_info().currsize
+    assert chat.marked_turns(turns) == chat.marked_turns(turns) == want
+    assert chat._kept_turn.cache_info().currsize - before <= len(turns) - 4
+
+
 # op8
 
 
