@@ -8,7 +8,9 @@ where inside the span its text stands, which gives the loss mask of assistant tu
 
 A conversation is read as a stream.  Every turn is rendered after the whole prefix, whose turns
 are held; the work grows with the square of the turns, and memory with the conversation's text.
-``conversation_digests`` does so at any length.  For a template that looks at no more than
+As a turn's span depends on its prefix alone, the turns of a long conversation are dealt over tasks
+in blocks of ``BLOCK_TURNS``, each with all turns before it.
+``conversation_digests`` renders whole prefixes at any length.  For a template that looks at no more than
 the first ``HEAD_TURNS`` and the last ``TAIL_TURNS`` turns, callers may declare so with a
 ``window``: after so many turns the prefix is shortened to those, provided that the next turn
 renders to the same span after the short prefix as after the long one, and memory and work per
@@ -29,7 +31,7 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linetally.llm.workers import shipped
@@ -38,6 +40,7 @@ Turn = tuple[str, str]  # role, text
 Template = Callable[[list[Turn]], str]
 
 HEAD_TURNS, TAIL_TURNS = 2, 4
+BLOCK_TURNS = 2_000
 TRAINED_ROLE = "assistant"
 CACHED_TURNS, CACHED_CHARS = 16_384, 2_000  # written turns that a worker keeps, and the longest text among them
 
@@ -86,9 +89,12 @@ _kept_turn = lru_cache(CACHED_TURNS)(marked_turn)
 def marked_turns(turns: list[Turn]) -> str:
     """The production template: each turn between markers, its role on the first line.
 
-    All turns are written again for every prefix, so short ones come from a cache.
+    All turns are written again for every prefix, so short ones come from a cache; no more than
+    it holds are looked for in it, or each would drive out the next.
     """
-    return "".join([_kept_turn(t) if len(t[0]) + len(t[1]) <= CACHED_CHARS else marked_turn(t) for t in turns])
+    first, rest = turns[:CACHED_TURNS], turns[CACHED_TURNS:]
+    parts = [_kept_turn(t) if len(t[0]) + len(t[1]) <= CACHED_CHARS else marked_turn(t) for t in first]
+    return "".join(parts + [marked_turn(t) for t in rest])
 
 
 @dataclass
@@ -110,7 +116,7 @@ class Renderer:
     def __init__(self, template: Template, trained_role: str = TRAINED_ROLE, window: int | None = None):
         self._template, self._trained, self._window = template, trained_role, window
         self._turns: list[Turn] = []
-        self._so_far = "" if window == 0 else template([])
+        self._so_far: str | None = "" if window == 0 else template([])
         self._next_cut = window
 
     def _span(self, turns: list[Turn], before: str, turn: Turn) -> tuple[str, bool]:
@@ -132,7 +138,14 @@ class Renderer:
             self._turns, self._so_far = short, before
         self._next_cut = len(self._turns) + self._window
 
+    def follow(self, turn: Turn) -> None:
+        """Takes a turn of the prefix that is rendered elsewhere."""
+        self._turns.append(turn)
+        self._so_far = None
+
     def add(self, turn: Turn) -> Rendered:
+        if self._so_far is None:
+            self._so_far = self._template(self._turns)
         part, rewrites = self._span(self._turns, self._so_far, turn)
         mask = self._text_place(turn, part) if turn[0] == self._trained and not rewrites else None
         if self._window is not None and len(self._turns) >= self._next_cut and not rewrites:
@@ -142,15 +155,19 @@ class Renderer:
         return Rendered(turn[0], part, mask, rewrites)
 
 
-RENDERED = "conv_id long, first boolean, part string, mask_start int, mask_end int, rewrites boolean"
+RENDERED = "conv_id long, place long, part string, mask_start int, mask_end int, rewrites boolean"
 
 
 def rendered_turns(
-    conversations: DataFrame, template: Template = marked_turns, window: int | None = None
+    conversations: DataFrame,
+    template: Template = marked_turns,
+    window: int | None = None,
+    block_turns: int = BLOCK_TURNS,
 ) -> DataFrame:
     """One row per turn, in order within each conversation: its part of the output and its mask.
 
-    A ``window`` declares that the template looks back a bounded way, as the module says.
+    A ``window`` declares that the template looks back a bounded way, as the module says; then no
+    conversation is dealt over tasks.
     """
 
     def render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,27 +175,49 @@ def rendered_turns(
         for batch in batches:
             rows = []
             for row in batch.to_pylist():
-                first = row["conv_id"] != current
-                if first:
-                    current, renderer = row["conv_id"], Renderer(template, window=window)
+                if (row["conv_id"], row["block"]) != current:
+                    current, renderer = (row["conv_id"], row["block"]), Renderer(template, window=window)
+                if row["place"] < row["block"] * block_turns:
+                    renderer.follow((row["role"], row["text"]))
+                    continue
                 turn = renderer.add((row["role"], row["text"]))
                 start, end = turn.mask or (None, None)
-                rows.append((row["conv_id"], first, turn.part, start, end, turn.rewrites))
-            names = ["conv_id", "first", "part", "mask_start", "mask_end", "rewrites"]
-            kinds = [pa.int64(), pa.bool_(), pa.string(), pa.int32(), pa.int32(), pa.bool_()]
+                rows.append((row["conv_id"], row["place"], turn.part, start, end, turn.rewrites))
+            names = ["conv_id", "place", "part", "mask_start", "mask_end", "rewrites"]
+            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.bool_()]
             columns = list(zip(*rows)) if rows else [[]] * len(names)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=names
             )
 
-    order = ["conv_id", "turn", "role", "text"]
+    order = ["turn", "role", "text"]
+    own = Window.partitionBy("conv_id")
     turns = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"),
         F.col("turn").cast("long").alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    return shipped(turns).repartition("conv_id").sortWithinPartitions(*order).mapInArrow(render, RENDERED)
+    placed = shipped(turns).withColumn("place", F.row_number().over(own.orderBy(*order)).cast("long") - 1)
+    if window is not None:
+        one = placed.withColumn("block", F.lit(0).cast("long"))
+        return one.sortWithinPartitions("conv_id", *order).mapInArrow(render, RENDERED)
+
+    placed = placed.withColumn("last", F.count(F.lit(1)).over(own) - 1)
+    short = placed.where(F.col("last") < block_turns).withColumn("block", F.lit(0).cast("long"))
+    blocks = F.sequence(F.floor(F.col("place") / block_turns), F.floor(F.col("last") / block_turns))
+    # A number of partitions, as blocks are small for the work that they make.
+    partitions = int(conversations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = (
+        placed.where(F.col("last") >= block_turns)
+        .select("conv_id", "role", "text", "place", F.explode(blocks).alias("block"))
+        .repartition(partitions, "conv_id", "block")
+        .sortWithinPartitions("conv_id", "block", "place")
+        .mapInArrow(render, RENDERED)
+        .repartition("conv_id")
+        .sortWithinPartitions("conv_id", "place")
+    )
+    return short.sortWithinPartitions("conv_id", *order).mapInArrow(render, RENDERED).unionByName(dealt)
 
 
 class Reader:
@@ -217,7 +256,7 @@ class Reader:
         )
 
 
-def conversation_digests(conversations: DataFrame) -> DataFrame:
+def conversation_digests(conversations: DataFrame, block_turns: int = BLOCK_TURNS) -> DataFrame:
     """Per conversation what its formatted output, read back, holds.
 
     Every turn is rendered after its whole prefix, so a rewritten turn is found wherever it stands.
@@ -238,7 +277,7 @@ def conversation_digests(conversations: DataFrame) -> DataFrame:
         for batch in batches:
             done = []
             for row in batch.to_pylist():
-                if row["first"]:
+                if row["place"] == 0:
                     if reader:
                         done.append(reader.row(current))
                     current, reader = row["conv_id"], Reader()
@@ -252,4 +291,4 @@ def conversation_digests(conversations: DataFrame) -> DataFrame:
         "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
         "formatted_chars long, n_rewrites long"
     )
-    return rendered_turns(conversations, marked_turns).mapInArrow(read, schema)
+    return rendered_turns(conversations, marked_turns, block_turns=block_turns).mapInArrow(read, schema)

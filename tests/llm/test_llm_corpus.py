@@ -190,13 +190,40 @@ def test_digests_look_at_whole_prefixes(spark, monkeypatch):
     assert plain == {1: 0, 2: 0} and rewritten == {1: 1, 2: 0}
 
 
-def test_turns_are_written_alike_with_and_without_the_cache():
+def test_long_conversations_are_dealt_in_blocks(spark):
+    def counting(some):  # depends on all turns before, and rewrites turn 10 late
+        return "".join(f"{i}{'...' if i == 10 and len(some) > 60 else r}: {t};" for i, (r, t) in enumerate(some))
+
+    sizes = {None: 120, 1: 21, 2: 22, 3: 7, 4: 8, 5: 1, 6: 61}
+    turns = [(c, i // 2, "assistant" if i % 2 else "user", f"t{i:03d}") for c, n in sizes.items() for i in range(n)]
+    rows = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    spans = ["conv_id", "place", "part", "mask_start", "mask_end", "rewrites"]
+    got, want = ([tuple(r) for r in chat.rendered_turns(rows, counting, block_turns=b).select(spans).collect()] for b in (7, 1000))
+    for conv_id, n in sizes.items():
+        own = [r for r in got if r[0] == conv_id]
+        assert [r[1] for r in own] == list(range(n)) and own == [r for r in want if r[0] == conv_id]
+        assert [r[1] for r in own if r[5]] == [60][: n > 60]
+
+    digests = [sorted(map(repr, chat.conversation_digests(rows, b).collect())) for b in (7, 60, 1000)]
+    assert digests[0] == digests[1] == digests[2] and len(digests[0]) == len(sizes)
+    whole_rows = {c: [(r[2], r[3]) for r in sorted(turns, key=lambda r: r[1:]) if r[0] == c] for c in sizes}
+    assert {r.conv_id: tuple(r)[1:] for r in chat.conversation_digests(rows, 7).collect()} == {
+        c: whole(own) for c, own in whole_rows.items()
+    }
+
+    dealt = chat.rendered_turns(rows, counting, block_turns=7).select(F.spark_partition_id().alias("p"), "conv_id")
+    assert dealt.where("conv_id = 2").distinct().count() == 1  # a conversation is one stream again
+
+
+def test_turns_are_written_alike_with_and_without_the_cache(monkeypatch):
     long = "[INST]" + "x" * chat.CACHED_CHARS
     turns = [(role, text) for role in ("user", "a\nb", "<s>", "") for text in (*TRICKY, "plain", long)]
     want = "".join(f"<s>{chat.escape_role(r)}\n{chat.escape(t)}</s>\n" for r, t in turns)
     before = chat._kept_turn.cache_info().currsize
     assert chat.marked_turns(turns) == chat.marked_turns(turns) == want
     assert chat._kept_turn.cache_info().currsize - before <= len(turns) - 4
+    monkeypatch.setattr(chat, "CACHED_TURNS", 5)
+    assert chat.marked_turns(turns) == want
 
 
 # op8
